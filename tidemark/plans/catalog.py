@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import round9
-from tidemark.operators import drift
+from tidemark.operators import drift, prep, quality
 
 EVENTS_CUT = "2024-01-15 00:00:00"
 SHIP_CUT = "1998-01-01 00:00:00"
@@ -108,7 +108,147 @@ def q_drift_column_mismatch(spark, sf_dir):
     return drift.column_mismatch(ref, cur)
 
 
+# ---------------------------------------------------------------- quality
+
+def _lineitem_with_nulls(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_partkey",
+        null_every_7th("l_orderkey", "l_quantity").alias("l_quantity"),
+        null_every_7th("l_partkey", "l_extendedprice").alias("l_extendedprice"),
+        null_every_7th("l_suppkey", "l_returnflag").alias("l_returnflag"),
+        "l_shipdate")
+
+
+def q_quality_null_counts(spark, sf_dir):
+    return quality.null_counts(_lineitem_with_nulls(spark, sf_dir))
+
+
+def q_quality_duplicates(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    t = li.select("l_returnflag", "l_linestatus", "l_quantity",
+                  null_every_7th("l_orderkey", "l_tax").alias("l_tax"))
+    return quality.duplicate_stats(t)
+
+
+EVENTS_DTYPES = {"event_id": "int64", "value": "float64", "event_type": "object"}
+
+
+def q_quality_validate(spark, sf_dir):
+    return quality.validation_summary(table(spark, sf_dir, "events"), EVENTS_DTYPES)
+
+
+ORDERS_DTYPES = {"o_orderkey": "int64", "o_totalprice": "float64",
+                 "o_orderstatus": "int64", "o_not_there": "float64"}
+
+
+def q_quality_types(spark, sf_dir):
+    return quality.type_check(table(spark, sf_dir, "orders"), ORDERS_DTYPES)
+
+
+# ---------------------------------------------------------------- prep
+
+def q_prep_drop_duplicates(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
+    return prep.drop_duplicates(li)
+
+
+def q_prep_drop_columns(spark, sf_dir):
+    return prep.drop_columns(table(spark, sf_dir, "part"), ["p_name", "p_type", "p_not_there"])
+
+
+def q_prep_label_encode(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", null_every_7th("o_orderkey", "o_orderpriority").alias("o_orderpriority"))
+    out, _ = prep.fit_transform(o, [{"type": "encode_categorical", "columns": ["o_orderpriority"],
+                                     "method": "label"}])
+    return out
+
+
+def _one_hot(spark, sf_dir, drop_first):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    out, _ = prep.fit_transform(c, [{"type": "encode_categorical", "columns": ["c_mktsegment"],
+                                     "method": "one_hot", "drop_first": drop_first}])
+    return out
+
+
+def q_prep_one_hot(spark, sf_dir):
+    return _one_hot(spark, sf_dir, False)
+
+
+def q_prep_one_hot_drop_first(spark, sf_dir):
+    return _one_hot(spark, sf_dir, True)
+
+
+def _rounded(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[round9(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def q_prep_scale(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_size",
+                                             F.lit(1.0).alias("p_const"))
+    out, _ = prep.fit_transform(p, [{"type": "scale_numerical",
+                                     "columns": ["p_retailprice", "p_size", "p_const", "p_absent"]}])
+    return _rounded(out, {"p_retailprice", "p_size", "p_const"})
+
+
+def _fill(spark, sf_dir, method, columns, **extra):
+    t = _lineitem_with_nulls(spark, sf_dir).select("l_orderkey", "l_partkey", "l_quantity",
+                                                   "l_extendedprice", "l_returnflag")
+    out, _ = prep.fit_transform(t, [{"type": "fill_missing", "columns": columns,
+                                     "method": method, **extra}])
+    return _rounded(out, {"l_quantity", "l_extendedprice"})
+
+
+def q_prep_fill_mean(spark, sf_dir):
+    return _fill(spark, sf_dir, "mean", ["l_quantity", "l_extendedprice"])
+
+
+def q_prep_fill_median(spark, sf_dir):
+    return _fill(spark, sf_dir, "median", ["l_quantity", "l_extendedprice"])
+
+
+def q_prep_fill_mode(spark, sf_dir):
+    return _fill(spark, sf_dir, "mode", ["l_quantity", "l_returnflag"])
+
+
+def q_prep_fill_constant(spark, sf_dir):
+    return _fill(spark, sf_dir, "constant", ["l_quantity", "l_extendedprice", "l_returnflag"], value=0)
+
+
+CHAIN_STEPS = [
+    {"type": "drop_columns", "columns": ["props", "ts"]},
+    {"type": "drop_duplicates"},
+    {"type": "fill_missing", "columns": ["value"], "method": "mean"},
+    {"type": "encode_categorical", "columns": ["event_type"], "method": "label"},
+    {"type": "scale_numerical", "columns": ["value", "user_id"]},
+]
+
+
+def q_prep_chain(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    ev = ev.select("event_id", "ts", "user_id", "event_type",
+                   null_every_7th("event_id", "value").alias("value"), "props")
+    out, _ = prep.fit_transform(ev, CHAIN_STEPS)
+    return _rounded(out, {"value", "user_id"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quality_null_counts": q_quality_null_counts,
+    "quality_duplicates": q_quality_duplicates,
+    "quality_validate": q_quality_validate,
+    "quality_types": q_quality_types,
+    "prep_drop_duplicates": q_prep_drop_duplicates,
+    "prep_drop_columns": q_prep_drop_columns,
+    "prep_label_encode": q_prep_label_encode,
+    "prep_one_hot": q_prep_one_hot,
+    "prep_one_hot_drop_first": q_prep_one_hot_drop_first,
+    "prep_scale": q_prep_scale,
+    "prep_fill_mean": q_prep_fill_mean,
+    "prep_fill_median": q_prep_fill_median,
+    "prep_fill_mode": q_prep_fill_mode,
+    "prep_fill_constant": q_prep_fill_constant,
+    "prep_chain": q_prep_chain,
     "drift_categorical": q_drift_categorical,
     "drift_numeric_ks": q_drift_numeric_ks,
     "drift_numeric_pvalue": q_drift_numeric_pvalue,

@@ -140,7 +140,149 @@ WITH {_EVENTS_SIDES}
 SELECT 'props' AS "column", 'missing_in_current' AS side, CAST(count(props) AS BIGINT) AS n_values FROM ref
 """
 
+# ---------------------------------------------------------------- quality
+
+_LI_NULLS = """
+t AS (SELECT l_orderkey, l_partkey,
+             CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS l_quantity,
+             CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice,
+             CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+             l_shipdate
+      FROM lineitem)
+"""
+
+QUALITY_NULL_COUNTS = f"""
+WITH {_LI_NULLS},
+w AS (SELECT CAST(count(*) - count(l_orderkey) AS BIGINT) AS l_orderkey,
+             CAST(count(*) - count(l_partkey) AS BIGINT) AS l_partkey,
+             CAST(count(*) - count(l_quantity) AS BIGINT) AS l_quantity,
+             CAST(count(*) - count(l_extendedprice) AS BIGINT) AS l_extendedprice,
+             CAST(count(*) - count(l_returnflag) AS BIGINT) AS l_returnflag,
+             CAST(count(*) - count(l_shipdate) AS BIGINT) AS l_shipdate FROM t)
+SELECT "column", null_count FROM (UNPIVOT w ON COLUMNS(*) INTO NAME "column" VALUE null_count)
+"""
+
+QUALITY_DUPLICATES = """
+WITH t AS (SELECT l_returnflag, l_linestatus, l_quantity,
+                  CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_tax END AS l_tax FROM lineitem)
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT * FROM t)) AS distinct_rows,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t)) AS BIGINT) AS duplicate_rows
+FROM t
+"""
+
+QUALITY_VALIDATE = """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(6 AS BIGINT) AS n_cols,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM events)) AS BIGINT) AS duplicate_rows,
+       count(*) = (SELECT count(*) FROM (SELECT DISTINCT * FROM events)) AS is_valid
+FROM events
+"""
+
+QUALITY_TYPES = """
+SELECT * FROM (VALUES
+  ('o_orderkey', 'int64', 'int64', true,
+   (SELECT CAST(count_if(o_orderkey IS NOT NULL AND try_cast(o_orderkey AS BIGINT) IS NULL) AS BIGINT) FROM orders)),
+  ('o_totalprice', 'float64', 'float64', true,
+   (SELECT CAST(count_if(o_totalprice IS NOT NULL AND try_cast(o_totalprice AS DOUBLE) IS NULL) AS BIGINT) FROM orders)),
+  ('o_orderstatus', 'int64', 'object', false,
+   (SELECT CAST(count_if(o_orderstatus IS NOT NULL AND try_cast(o_orderstatus AS BIGINT) IS NULL) AS BIGINT) FROM orders))
+) v("column", expected, actual, matches, n_nonconforming)
+"""
+
+# ---------------------------------------------------------------- prep
+
+PREP_DROP_DUPLICATES = "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem"
+
+PREP_DROP_COLUMNS = "SELECT p_partkey, p_brand, p_size, p_retailprice FROM part"
+
+PREP_LABEL_ENCODE = """
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS p FROM orders),
+d AS (SELECT DISTINCT p FROM t WHERE p IS NOT NULL),
+codes AS (SELECT p, CAST(row_number() OVER (ORDER BY p) - 1 AS DOUBLE) AS code FROM d),
+k AS (SELECT CAST(count(*) AS DOUBLE) AS k FROM d)
+SELECT t.o_orderkey, CASE WHEN t.p IS NULL THEN k.k ELSE codes.code END AS o_orderpriority
+FROM t LEFT JOIN codes ON t.p = codes.p CROSS JOIN k
+"""
+
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _one_hot_sql(cats):
+    cols = ", ".join(f"CASE WHEN c_mktsegment = '{v}' THEN 1 ELSE 0 END AS \"c_mktsegment_{v}\"" for v in cats)
+    return f"SELECT c_custkey, {cols} FROM customer"
+
+
+PREP_ONE_HOT = _one_hot_sql(_SEGMENTS)
+PREP_ONE_HOT_DROP_FIRST = _one_hot_sql(_SEGMENTS[1:])
+
+PREP_SCALE = """
+WITH p AS (SELECT p_partkey, p_retailprice, p_size, 1.0e0 AS p_const FROM part),
+s AS (SELECT avg(p_retailprice) AS m1, stddev_samp(p_retailprice) AS s1,
+             avg(p_size) AS m2, stddev_samp(p_size) AS s2,
+             avg(p_const) AS m3, stddev_samp(p_const) AS s3 FROM p)
+SELECT p_partkey,
+       round(CASE WHEN s1 <> 0 THEN (p_retailprice - m1) / s1 END, 9) AS p_retailprice,
+       round(CASE WHEN s2 <> 0 THEN (p_size - m2) / s2 END, 9) AS p_size,
+       round(CASE WHEN s3 <> 0 THEN (p_const - m3) / s3 END, 9) AS p_const
+FROM p, s
+"""
+
+_FILL_BASE = f"WITH {_LI_NULLS}, f AS (SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice, l_returnflag FROM t)"
+
+PREP_FILL_MEAN = _FILL_BASE + """,
+s AS (SELECT avg(l_quantity) AS q, avg(l_extendedprice) AS e FROM f)
+SELECT l_orderkey, l_partkey, round(coalesce(l_quantity, q), 9) AS l_quantity,
+       round(coalesce(l_extendedprice, e), 9) AS l_extendedprice, l_returnflag FROM f, s
+"""
+
+PREP_FILL_MEDIAN = _FILL_BASE + """,
+s AS (SELECT median(l_quantity) AS q, median(l_extendedprice) AS e FROM f)
+SELECT l_orderkey, l_partkey, round(coalesce(l_quantity, q), 9) AS l_quantity,
+       round(coalesce(l_extendedprice, e), 9) AS l_extendedprice, l_returnflag FROM f, s
+"""
+
+PREP_FILL_MODE = _FILL_BASE + """,
+mq AS (SELECT l_quantity AS q FROM f WHERE l_quantity IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+mr AS (SELECT l_returnflag AS r FROM f WHERE l_returnflag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT l_orderkey, l_partkey, round(coalesce(l_quantity, q), 9) AS l_quantity,
+       round(l_extendedprice, 9) AS l_extendedprice, coalesce(l_returnflag, r) AS l_returnflag FROM f, mq, mr
+"""
+
+PREP_FILL_CONSTANT = _FILL_BASE + """
+SELECT l_orderkey, l_partkey, round(coalesce(l_quantity, 0.0), 9) AS l_quantity,
+       round(coalesce(l_extendedprice, 0.0), 9) AS l_extendedprice, coalesce(l_returnflag, '0') AS l_returnflag FROM f
+"""
+
+PREP_CHAIN = """
+WITH e AS (SELECT DISTINCT event_id, user_id, event_type,
+                  CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value FROM events),
+m AS (SELECT avg(value) AS mv FROM e),
+f AS (SELECT event_id, user_id, event_type, coalesce(value, mv) AS value FROM e, m),
+codes AS (SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) - 1 AS DOUBLE) AS code
+          FROM (SELECT DISTINCT event_type FROM f WHERE event_type IS NOT NULL)),
+c AS (SELECT f.event_id, f.user_id, codes.code AS event_type, f.value FROM f JOIN codes USING (event_type)),
+s AS (SELECT avg(value) AS mv, stddev_samp(value) AS sv, avg(user_id) AS mu, stddev_samp(user_id) AS su FROM c)
+SELECT event_id, round(CASE WHEN su <> 0 THEN (user_id - mu) / su END, 9) AS user_id, event_type,
+       round(CASE WHEN sv <> 0 THEN (value - mv) / sv END, 9) AS value
+FROM c, s
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "quality_null_counts": QUALITY_NULL_COUNTS,
+    "quality_duplicates": QUALITY_DUPLICATES,
+    "quality_validate": QUALITY_VALIDATE,
+    "quality_types": QUALITY_TYPES,
+    "prep_drop_duplicates": PREP_DROP_DUPLICATES,
+    "prep_drop_columns": PREP_DROP_COLUMNS,
+    "prep_label_encode": PREP_LABEL_ENCODE,
+    "prep_one_hot": PREP_ONE_HOT,
+    "prep_one_hot_drop_first": PREP_ONE_HOT_DROP_FIRST,
+    "prep_scale": PREP_SCALE,
+    "prep_fill_mean": PREP_FILL_MEAN,
+    "prep_fill_median": PREP_FILL_MEDIAN,
+    "prep_fill_mode": PREP_FILL_MODE,
+    "prep_fill_constant": PREP_FILL_CONSTANT,
+    "prep_chain": PREP_CHAIN,
     "drift_categorical": DRIFT_CATEGORICAL,
     "drift_numeric_ks": DRIFT_NUMERIC_KS,
     "drift_numeric_pvalue": DRIFT_NUMERIC_PVALUE,
@@ -149,3 +291,33 @@ ORACLE_SQL: dict[str, str] = {
     "drift_retrain_signal": DRIFT_RETRAIN_SIGNAL,
     "drift_column_mismatch": DRIFT_COLUMN_MISMATCH,
 }
+
+
+def _positive_zero_rounds(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: DuckDB keeps the
+    sign of a rounded tiny negative (-0.0) where Spark returns 0.0."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("(round(" + _positive_zero_rounds(sql[j + 6:k]) + ") + 0.0)")
+        i = k + 1
+
+
+ORACLE_SQL = {k: _positive_zero_rounds(v) for k, v in ORACLE_SQL.items()}

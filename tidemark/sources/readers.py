@@ -84,8 +84,8 @@ def _infer_and_cast(df: DataFrame) -> DataFrame:
         v = F.col(c)
         present = v.isNotNull()
         checks += [
-            F.count_if(present & F.try_cast(v, "bigint").isNull()).alias(f"{c}\x00l"),
-            F.count_if(present & F.try_cast(v, "double").isNull()).alias(f"{c}\x00d"),
+            F.count_if(present & v.try_cast("bigint").isNull()).alias(f"{c}\x00l"),
+            F.count_if(present & v.try_cast("double").isNull()).alias(f"{c}\x00d"),
             F.count_if(present & ~v.isin(CSV_TRUE_TOKENS + CSV_FALSE_TOKENS)).alias(f"{c}\x00b"),
             F.count_if(present).alias(f"{c}\x00n"),
         ]
