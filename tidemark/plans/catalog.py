@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import round9
-from tidemark.operators import drift, prep, quality
+from tidemark.operators import drift, metrics, perf, prep, quality, runs, split
 
 EVENTS_CUT = "2024-01-15 00:00:00"
 SHIP_CUT = "1998-01-01 00:00:00"
@@ -233,7 +233,134 @@ def q_prep_chain(spark, sf_dir):
     return _rounded(out, {"value", "user_id"})
 
 
+# ---------------------------------------------------------------- evaluation
+
+QUALITY_CHARS = 1500  # documents longer than this are predicted "good"
+
+
+def _doc_predictions(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    j = lab.join(docs, "doc_id")
+    return j.select(F.col("quality").alias("label"),
+                    F.when(F.col("n_chars") > QUALITY_CHARS, 1).otherwise(0).alias("prediction"))
+
+
+def q_eval_confusion(spark, sf_dir):
+    return metrics.confusion(_doc_predictions(spark, sf_dir))
+
+
+def q_eval_classification(spark, sf_dir):
+    m = metrics.classification_metrics(_doc_predictions(spark, sf_dir),
+                                       metrics=["accuracy", "precision", "recall", "f1", "auc_unknown"])
+    return m.withColumn("value", round9(F.col("value")))
+
+
+def q_eval_regression(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * 1500.0).alias("prediction"))
+    m = metrics.regression_metrics(li, metrics=["mse", "rmse", "mae", "r2"])
+    return m.withColumn("value", round9(F.col("value")))
+
+
+# ---------------------------------------------------------------- performance
+
+PERF_CONFIG = {"higher_is_better_metrics": ["mean_value", "purchase_share"],
+               "lower_is_better_metrics": ["error_share", "late_share"],
+               "metrics_threshold": 0.1, "overall_degradation_threshold": 0.3}
+
+
+def _period_metrics(ev: DataFrame, with_signup: bool) -> DataFrame:
+    cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
+    aggs = {
+        "mean_value": F.avg("value"),
+        "purchase_share": F.avg(F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0)),
+        "error_share": F.avg(F.when(F.col("event_type") == "error", 1.0).otherwise(0.0)),
+        "late_share": F.avg(F.when(F.col("ts") >= cut, 1.0).otherwise(0.0)),
+    }
+    if with_signup:
+        aggs["signup_share"] = F.avg(F.when(F.col("event_type") == "signup", 1.0).otherwise(0.0))
+    wide = ev.agg(*[v.alias(k) for k, v in aggs.items()])
+    return wide.unpivot([], list(aggs), "metric", "value")
+
+
+def _perf_inputs(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
+    base = _period_metrics(ev.where(F.col("ts") < cut), with_signup=False)
+    cur_ev = ev.where((F.col("ts") >= cut) & (F.col("event_type") != "error")) \
+        .withColumn("value", F.col("value") * 0.8)
+    cur = _period_metrics(cur_ev, with_signup=True)
+    return cur, base
+
+
+def q_perf_changes(spark, sf_dir):
+    cur, base = _perf_inputs(spark, sf_dir)
+    ch = perf.metric_changes(cur, base, PERF_CONFIG)
+    return ch.select("metric", *[round9(F.col(c)).alias(c) for c in
+                                 ("baseline_value", "current_value", "relative_change")], "degraded")
+
+
+def q_perf_summary(spark, sf_dir):
+    cur, base = _perf_inputs(spark, sf_dir)
+    s = perf.degradation_summary(cur, base, PERF_CONFIG)
+    return s.withColumn("degradation_score", round9(F.col("degradation_score")))
+
+
+def q_perf_report(spark, sf_dir):
+    cur, base = _perf_inputs(spark, sf_dir)
+    r = perf.performance_report(cur, base, PERF_CONFIG)
+    return r.select("metric", *[round9(F.col(c)).alias(c) for c in
+                                ("baseline_value", "current_value", "change_pct")], "status")
+
+
+# ---------------------------------------------------------------- split
+
+def q_split_three_way(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return split.assign_split(o, ["o_orderkey"], test_size=0.2, seed=42)
+
+
+# ---------------------------------------------------------------- history
+
+def _run_metrics(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    day = F.datediff(F.to_date("ts"), F.to_date(F.lit("2024-01-01"))).cast("long")
+    daily = ev.groupBy(F.concat(F.lit("model_"), F.col("user_id").cast("string")).alias("model"),
+                       day.alias("step")).agg(
+        F.avg("value").alias("mean_value"), F.count(F.lit(1)).cast("double").alias("n_events"))
+    return daily.unpivot(["model", "step"], ["mean_value", "n_events"], "metric", "value")
+
+
+def q_runs_latest_metric(spark, sf_dir):
+    out = runs.latest_metrics(_run_metrics(spark, sf_dir))
+    return out.withColumn("last_value", round9(F.col("last_value")))
+
+
+def _model_versions(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    stage = (F.when(F.col("event_type") == "purchase", "Production")
+             .when(F.col("event_type") == "signup", "Staging").otherwise("None"))
+    day = F.datediff(F.to_date("ts"), F.to_date(F.lit("2024-01-01"))).cast("long") + 1
+    return ev.groupBy(F.concat(F.lit("model_"), F.col("user_id").cast("string")).alias("name"),
+                      day.alias("version"), stage.alias("stage")).agg(
+        F.max("event_id").cast("string").alias("run_id"))
+
+
+def q_models_latest_version(spark, sf_dir):
+    return runs.latest_versions(_model_versions(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "eval_confusion": q_eval_confusion,
+    "eval_classification": q_eval_classification,
+    "eval_regression": q_eval_regression,
+    "perf_changes": q_perf_changes,
+    "perf_summary": q_perf_summary,
+    "perf_report": q_perf_report,
+    "split_three_way": q_split_three_way,
+    "runs_latest_metric": q_runs_latest_metric,
+    "models_latest_version": q_models_latest_version,
     "quality_null_counts": q_quality_null_counts,
     "quality_duplicates": q_quality_duplicates,
     "quality_validate": q_quality_validate,

@@ -267,7 +267,142 @@ SELECT event_id, round(CASE WHEN su <> 0 THEN (user_id - mu) / su END, 9) AS use
 FROM c, s
 """
 
+# ---------------------------------------------------------------- evaluation
+
+_DOC_PRED = """
+p AS (SELECT quality AS label, CASE WHEN n_chars > 1500 THEN 1 ELSE 0 END AS prediction
+      FROM labels JOIN documents USING (doc_id)),
+cm AS (SELECT label, prediction, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY 1, 2)
+"""
+
+EVAL_CONFUSION = f"WITH {_DOC_PRED} SELECT * FROM cm"
+
+EVAL_CLASSIFICATION = f"""
+WITH {_DOC_PRED},
+cls AS (SELECT label AS cls FROM cm UNION SELECT prediction FROM cm),
+per AS (SELECT c.cls,
+               coalesce((SELECT sum(n) FROM cm WHERE label = c.cls), 0) * 1.0e0 AS support,
+               coalesce((SELECT sum(n) FROM cm WHERE prediction = c.cls), 0) * 1.0e0 AS predicted,
+               coalesce((SELECT sum(n) FROM cm WHERE label = c.cls AND prediction = c.cls), 0) * 1.0e0 AS tp
+        FROM cls c),
+m AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS pr,
+                CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rc FROM per),
+m2 AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END AS f1 FROM m),
+a AS (SELECT sum(support) AS n, sum(tp) AS tp, sum(support * pr) AS wp, sum(support * rc) AS wr,
+             sum(support * f1) AS wf FROM m2)
+SELECT 'accuracy' AS metric, round(tp / n, 9) AS value FROM a
+UNION ALL SELECT 'precision', round(wp / n, 9) FROM a
+UNION ALL SELECT 'recall', round(wr / n, 9) FROM a
+UNION ALL SELECT 'f1', round(wf / n, 9) FROM a
+"""
+
+EVAL_REGRESSION = """
+WITH t AS (SELECT l_extendedprice AS y, l_quantity * 1500.0e0 AS yh FROM lineitem),
+a AS (SELECT avg((y - yh) * (y - yh)) AS mse, avg(abs(y - yh)) AS mae, sum((y - yh) * (y - yh)) AS sse,
+             var_pop(y) * count(y) AS sst FROM t)
+SELECT 'mse' AS metric, round(mse, 9) AS value FROM a
+UNION ALL SELECT 'rmse', round(sqrt(mse), 9) FROM a
+UNION ALL SELECT 'mae', round(mae, 9) FROM a
+UNION ALL SELECT 'r2', round(CASE WHEN sst <> 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0e0 ELSE 0.0e0 END, 9) FROM a
+"""
+
+# ---------------------------------------------------------------- performance
+
+
+def _period_sql(src: str, with_signup: bool) -> str:
+    parts = [
+        f"SELECT 'mean_value' AS metric, avg(value) AS value FROM {src}",
+        f"SELECT 'purchase_share', avg(CASE WHEN event_type = 'purchase' THEN 1.0e0 ELSE 0.0e0 END) FROM {src}",
+        f"SELECT 'error_share', avg(CASE WHEN event_type = 'error' THEN 1.0e0 ELSE 0.0e0 END) FROM {src}",
+        f"SELECT 'late_share', avg(CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN 1.0e0 ELSE 0.0e0 END) FROM {src}",
+    ]
+    if with_signup:
+        parts.append(f"SELECT 'signup_share', avg(CASE WHEN event_type = 'signup' THEN 1.0e0 ELSE 0.0e0 END) FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+_PERF_BASE = f"""
+WITH {_EVENTS_SIDES},
+cur2 AS (SELECT ts, event_type, value * 0.8e0 AS value FROM cur),
+b AS ({_period_sql("ref", False)}),
+c AS ({_period_sql("cur2", True)}),
+j AS (SELECT c.metric, b.value AS baseline_value, c.value AS current_value FROM c JOIN b USING (metric)),
+ch AS (SELECT *,
+              CASE WHEN baseline_value <> 0 THEN (current_value - baseline_value) / abs(baseline_value)
+                   WHEN current_value <> 0 THEN CAST('inf' AS DOUBLE) ELSE 0.0e0 END AS relative_change,
+              CASE WHEN baseline_value <> 0 THEN (current_value - baseline_value) / abs(baseline_value) * 100.0e0
+                   WHEN current_value <> 0 THEN CAST('inf' AS DOUBLE) ELSE 0.0e0 END AS change_pct,
+              metric IN ('error_share', 'late_share') AS lower
+       FROM j),
+d AS (SELECT *, CASE WHEN lower THEN relative_change > 0.1 ELSE relative_change < -0.1 END AS degraded FROM ch)
+"""
+
+PERF_CHANGES = _PERF_BASE + """
+SELECT metric, round(baseline_value, 9) AS baseline_value, round(current_value, 9) AS current_value,
+       round(relative_change, 9) AS relative_change, degraded FROM d
+"""
+
+PERF_SUMMARY = _PERF_BASE + """
+SELECT CAST((SELECT count_if(degraded) FROM d) AS BIGINT) AS degraded_metrics,
+       CAST((SELECT count(*) FROM c) AS BIGINT) AS total_metrics,
+       round((SELECT count_if(degraded) FROM d) * 1.0e0 / (SELECT count(*) FROM c), 9) AS degradation_score,
+       (SELECT count_if(degraded) FROM d) * 1.0e0 / (SELECT count(*) FROM c) >= 0.3 AS performance_degradation_detected
+"""
+
+PERF_REPORT = _PERF_BASE + """
+SELECT metric, round(baseline_value, 9) AS baseline_value, round(current_value, 9) AS current_value,
+       round(change_pct, 9) AS change_pct,
+       CASE WHEN (lower AND change_pct > 10.0) OR (NOT lower AND change_pct < -10.0) THEN 'degraded'
+            WHEN (lower AND change_pct < -10.0) OR (NOT lower AND change_pct > 10.0) THEN 'improved'
+            ELSE 'unchanged' END AS status
+FROM d ORDER BY abs(change_pct) DESC, metric
+"""
+
+# ---------------------------------------------------------------- split
+
+SPLIT_THREE_WAY = """
+WITH o AS (SELECT o_orderkey, o_custkey, md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))) AS h FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY h, o_orderkey) - 1 AS rk, count(*) OVER () AS n FROM o),
+s AS (SELECT *, CAST(ceil(n * 0.2e0) AS BIGINT) AS hold FROM r),
+s2 AS (SELECT *, hold - CAST(ceil(hold * 0.5e0) AS BIGINT) AS nval FROM s)
+SELECT o_orderkey, o_custkey,
+       CASE WHEN rk < nval THEN 'validation' WHEN rk < hold THEN 'test' ELSE 'train' END AS split
+FROM s2
+"""
+
+# ---------------------------------------------------------------- history
+
+RUNS_LATEST_METRIC = """
+WITH d AS (SELECT 'model_' || CAST(user_id AS VARCHAR) AS model,
+                  CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS BIGINT) AS step,
+                  avg(value) AS mean_value, CAST(count(*) AS DOUBLE) AS n_events
+           FROM events GROUP BY 1, 2),
+l AS (UNPIVOT d ON mean_value, n_events INTO NAME metric VALUE value)
+SELECT model, metric, max(step) AS last_step, round(arg_max(value, step), 9) AS last_value,
+       CAST(count(*) AS BIGINT) AS n_points
+FROM l GROUP BY 1, 2
+"""
+
+MODELS_LATEST_VERSION = """
+WITH v AS (SELECT 'model_' || CAST(user_id AS VARCHAR) AS name,
+                  CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS BIGINT) + 1 AS version,
+                  CASE WHEN event_type = 'purchase' THEN 'Production'
+                       WHEN event_type = 'signup' THEN 'Staging' ELSE 'None' END AS stage,
+                  CAST(max(event_id) AS VARCHAR) AS run_id
+           FROM events GROUP BY 1, 2, 3)
+SELECT name, stage, max(version) AS version, arg_max(run_id, version) AS run_id FROM v GROUP BY 1, 2
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "eval_confusion": EVAL_CONFUSION,
+    "eval_classification": EVAL_CLASSIFICATION,
+    "eval_regression": EVAL_REGRESSION,
+    "perf_changes": PERF_CHANGES,
+    "perf_summary": PERF_SUMMARY,
+    "perf_report": PERF_REPORT,
+    "split_three_way": SPLIT_THREE_WAY,
+    "runs_latest_metric": RUNS_LATEST_METRIC,
+    "models_latest_version": MODELS_LATEST_VERSION,
     "quality_null_counts": QUALITY_NULL_COUNTS,
     "quality_duplicates": QUALITY_DUPLICATES,
     "quality_validate": QUALITY_VALIDATE,
