@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import round9
-from tidemark.operators import drift, metrics, perf, prep, quality, runs, split
+from tidemark.operators import drift, metrics, ml, perf, prep, quality, runs, split
 
 EVENTS_CUT = "2024-01-15 00:00:00"
 SHIP_CUT = "1998-01-01 00:00:00"
@@ -351,7 +351,101 @@ def q_models_latest_version(spark, sf_dir):
     return runs.latest_versions(_model_versions(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- training
+
+LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_ship_days"]
+
+
+def _lineitem_ml(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    li = li.withColumn("l_ship_days", F.datediff(F.to_date("l_shipdate"),
+                                                 F.to_date(F.lit("1995-01-01"))).cast("double"))
+    tagged = split.assign_split(li, ["l_orderkey", "l_linenumber"], test_size=0.2, seed=42)
+    return tagged
+
+
+def _train_eval(spark, sf_dir, cfg, label, features, metric_names, source=None):
+    tagged = source if source is not None else _lineitem_ml(spark, sf_dir)
+    cols = features + [label]
+    train = tagged.where(F.col("split") == "train").select(*cols)
+    val = tagged.where(F.col("split") == "validation").select(*cols)
+    trained = ml.ModelTrainer(cfg).train(train, label, features)
+    out = ml.evaluate(trained, val, metric_names)
+    return out.withColumn("value", round9(F.col("value")))
+
+
+CLS_METRICS = ["accuracy", "precision", "recall", "f1"]
+REG_METRICS = ["mse", "rmse", "mae", "r2"]
+
+
+def q_train_rf_cls(spark, sf_dir):
+    cfg = {"model_type": "random_forest", "task_type": "classification",
+           "model_params": {"n_estimators": 20, "max_depth": 5}}
+    return _train_eval(spark, sf_dir, cfg, "l_returnflag", LI_FEATURES, CLS_METRICS)
+
+
+def q_train_rf_reg(spark, sf_dir):
+    cfg = {"model_type": "random_forest", "task_type": "regression",
+           "model_params": {"n_estimators": 20, "max_depth": 5}}
+    return _train_eval(spark, sf_dir, cfg, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], REG_METRICS)
+
+
+def q_train_gbt_cls(spark, sf_dir):
+    cfg = {"model_type": "gradient_boosting", "task_type": "classification",
+           "model_params": {"n_estimators": 10, "max_depth": 3}}
+    return _train_eval(spark, sf_dir, cfg, "l_linestatus", LI_FEATURES, CLS_METRICS)
+
+
+def q_train_gbt_multi(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumn("hour", F.hour("ts").cast("double")) \
+        .withColumn("user", F.col("user_id").cast("double"))
+    tagged = split.assign_split(ev, ["event_id"], test_size=0.2, seed=42)
+    cfg = {"model_type": "gradient_boosting", "task_type": "classification",
+           "model_params": {"n_estimators": 5, "max_depth": 3}}
+    return _train_eval(spark, sf_dir, cfg, "event_type", ["value", "hour", "user"], CLS_METRICS, tagged)
+
+
+def q_train_gbt_reg(spark, sf_dir):
+    cfg = {"model_type": "gradient_boosting", "task_type": "regression",
+           "model_params": {"n_estimators": 10, "max_depth": 3}}
+    return _train_eval(spark, sf_dir, cfg, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], REG_METRICS)
+
+
+def q_train_logreg(spark, sf_dir):
+    cfg = {"model_type": "linear", "task_type": "classification"}
+    return _train_eval(spark, sf_dir, cfg, "l_linestatus", LI_FEATURES, CLS_METRICS)
+
+
+def q_train_linear_one_feature(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    trained = ml.ModelTrainer({"model_type": "linear", "task_type": "regression"}).train(
+        li, "l_extendedprice", ["l_quantity"])
+    lr = trained.model.stages[-1]
+    return spark.range(1).select(F.round(F.lit(float(lr.coefficients[0])), 6).alias("slope"),
+                                 F.round(F.lit(float(lr.intercept)), 6).alias("intercept"))
+
+
+def q_score_batch(spark, sf_dir):
+    tagged = _lineitem_ml(spark, sf_dir)
+    train = tagged.where(F.col("split") == "train")
+    test = tagged.where(F.col("split") == "test")
+    cfg = {"model_type": "random_forest", "task_type": "classification",
+           "model_params": {"n_estimators": 20, "max_depth": 5}}
+    trained = ml.ModelTrainer(cfg).train(train.select(*LI_FEATURES, "l_returnflag"), "l_returnflag", LI_FEATURES)
+    return ml.score_batch(trained, test.select("l_orderkey", "l_linenumber", *LI_FEATURES),
+                          model_name="returnflag_rf", model_version="1",
+                          keep=["l_orderkey", "l_linenumber"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "train_rf_cls": q_train_rf_cls,
+    "train_rf_reg": q_train_rf_reg,
+    "train_gbt_cls": q_train_gbt_cls,
+    "train_gbt_multi": q_train_gbt_multi,
+    "train_gbt_reg": q_train_gbt_reg,
+    "train_logreg": q_train_logreg,
+    "train_linear_one_feature": q_train_linear_one_feature,
+    "score_batch": q_score_batch,
     "eval_confusion": q_eval_confusion,
     "eval_classification": q_eval_classification,
     "eval_regression": q_eval_regression,

@@ -393,7 +393,15 @@ WITH v AS (SELECT 'model_' || CAST(user_id AS VARCHAR) AS name,
 SELECT name, stage, max(version) AS version, arg_max(run_id, version) AS run_id FROM v GROUP BY 1, 2
 """
 
+# ---------------------------------------------------------------- training
+
+TRAIN_LINEAR_ONE_FEATURE = """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept FROM lineitem
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "train_linear_one_feature": TRAIN_LINEAR_ONE_FEATURE,
     "eval_confusion": EVAL_CONFUSION,
     "eval_classification": EVAL_CLASSIFICATION,
     "eval_regression": EVAL_REGRESSION,
