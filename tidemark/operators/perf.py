@@ -53,10 +53,11 @@ def metric_changes(current: DataFrame, baseline: DataFrame, config: dict | PerfC
     current metrics found in the baseline."""
     cfg = config if isinstance(config, PerfConfig) else PerfConfig.from_dict(config)
     j = _joined(current, baseline).where(F.col("baseline_value").isNotNull())
-    ch = relative_change(F.col("current_value"), F.col("baseline_value"))
-    t = F.lit(cfg.metrics_threshold)
-    degraded = F.when(_lower_is_better(cfg), ch > t).otherwise(ch < -t)
-    return j.select("metric", "baseline_value", "current_value", ch.alias("relative_change"),
+    j = j.withColumn("relative_change", relative_change(F.col("current_value"), F.col("baseline_value")))
+    j = j.withColumn("_lower", _lower_is_better(cfg))
+    ch, lower, t = F.col("relative_change"), F.col("_lower"), F.lit(cfg.metrics_threshold)
+    degraded = F.when(lower, ch > t).otherwise(ch < -t)
+    return j.select("metric", "baseline_value", "current_value", "relative_change",
                     degraded.alias("degraded"))
 
 
@@ -85,12 +86,14 @@ def performance_report(current: DataFrame, baseline: DataFrame,
     j = _joined(current, baseline).where(F.col("baseline_value").isNotNull())
     pct = pct_change(F.col("current_value"), F.col("baseline_value"))
     t = F.lit(cfg.metrics_threshold * 100.0)
-    lower = _lower_is_better(cfg)
-    worse = F.when(lower, F.col("change_pct") > t).otherwise(F.col("change_pct") < -t)
-    better = F.when(lower, F.col("change_pct") < -t).otherwise(F.col("change_pct") > t)
-    out = j.select("metric", "baseline_value", "current_value", pct.alias("change_pct"))
+    out = j.select("metric", "baseline_value", "current_value", pct.alias("change_pct"),
+                   _lower_is_better(cfg).alias("_lower"))
+    pc, lower = F.col("change_pct"), F.col("_lower")
+    worse = F.when(lower, pc > t).otherwise(pc < -t)
+    better = F.when(lower, pc < -t).otherwise(pc > t)
     status = F.when(worse, "degraded").when(better, "improved").otherwise("unchanged")
-    return out.withColumn("status", status).orderBy(F.abs("change_pct").desc(), "metric")
+    return (out.withColumn("status", status).drop("_lower")
+            .orderBy(F.abs("change_pct").desc(), "metric"))
 
 
 def report_counts(report: DataFrame) -> DataFrame:
