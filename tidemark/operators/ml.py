@@ -16,6 +16,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsR
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,7 +135,13 @@ class ModelTrainer:
         est = _estimator(self.model_type, self.task_type, self.model_params, self.random_state,
                          n_rows, len(classes))
         assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
-        model = Pipeline(stages=[assembler, est]).fit(data)
+        # Estimators pass over the input several times; keep it for the fit
+        # (lost blocks are recomputed from lineage).
+        data = data.select(*features, _LABEL_IDX).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = Pipeline(stages=[assembler, est]).fit(data)
+        finally:
+            data.unpersist()
         self.trained = TrainedModel(model, features, label, self.task_type, self.model_type, classes)
         return self.trained
 

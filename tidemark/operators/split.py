@@ -5,9 +5,10 @@ held out; the first floor(holdout / 2) of those are validation, the rest
 test. Sizes are exact and independent of partitioning.
 
 No global sort: rows are counted per 16-bit hash bucket (65,536 buckets,
-map-side partial counts), bucket offsets come from a window over that bounded
-table, and only the rows of the (at most two) buckets that straddle a cut are
-ranked, inside their bucket."""
+map-side partial counts); that bounded table gives every bucket's first rank,
+so whole buckets are assigned by a CASE on the bucket id, and only the rows of
+the (at most two) buckets that straddle a cut are ranked, inside their
+bucket."""
 
 from __future__ import annotations
 
@@ -30,30 +31,46 @@ def split_sizes(n: int, test_size: float = 0.2) -> tuple[int, int, int]:
     return n - hold, hold - test, test
 
 
+def _cut_bucket(order: list[int], starts: dict[int, int], counts: dict[int, int], cut: int):
+    """(bucket holding global rank ``cut``, its start rank); past the end ->
+    (a bucket id above every real one, n)."""
+    for b in order:
+        if starts[b] + counts[b] > cut:
+            return b, starts[b]
+    return 1 << (4 * BUCKET_HEX_CHARS), sum(counts.values())
+
+
 def assign_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42,
                  split_col: str = "split") -> DataFrame:
     """Add ``split_col`` in {'train', 'validation', 'test'}."""
     h = split_hash(key_cols, seed)
     rows = df.withColumn("_h", h).withColumn(
         "_b", F.conv(F.substring("_h", 1, BUCKET_HEX_CHARS), 16, 10).cast("long"))
-    buckets = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    n = buckets.agg(F.sum("_cnt")).first()[0] or 0
-    _, n_val, n_test = split_sizes(n, test_size)
+    # Bounded collect: at most 16^BUCKET_HEX_CHARS (bucket, count) pairs.
+    counts = {r[0]: r[1] for r in rows.groupBy("_b").agg(F.count(F.lit(1))).collect()}
+    order = sorted(counts)
+    starts, acc = {}, 0
+    for b in order:
+        starts[b] = acc
+        acc += counts[b]
+    _, n_val, n_test = split_sizes(acc, test_size)
     cut1, cut2 = n_val, n_val + n_test
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= 65,536 rows
-    bt = buckets.withColumn("_start", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    end = F.col("_start") + F.col("_cnt")
-    bt = bt.withColumn("_pure", F.when(end <= cut1, "validation")
-                       .when((F.col("_start") >= cut1) & (end <= cut2), "test")
-                       .when(F.col("_start") >= cut2, "train"))
-    rows = rows.join(F.broadcast(bt.select("_b", "_start", "_pure")), "_b")
-    pure = rows.where(F.col("_pure").isNotNull()).withColumn(split_col, F.col("_pure"))
-    rw = Window.partitionBy("_b").orderBy("_h", *key_cols)  # boundary buckets only
-    edge = rows.where(F.col("_pure").isNull()).withColumn(
-        "_r", F.col("_start") + F.row_number().over(rw) - 1)
+    (b1, s1), (b2, s2) = (_cut_bucket(order, starts, counts, c) for c in (cut1, cut2))
+    edges = {b: s for b, s, c in ((b1, s1, cut1), (b2, s2, cut2)) if s < c}
+    bucket = F.col("_b")
+    whole = F.when(bucket < b1, "validation").when(bucket < b2, "test").otherwise("train")
+    keep = list(df.columns) + [split_col]
+    if not edges:
+        return rows.withColumn(split_col, whole).select(*keep)
+    is_edge = bucket.isin(list(edges))
+    pure = rows.where(~is_edge).withColumn(split_col, whole)
+    start = F.lit(0).cast("long")
+    for b, s0 in edges.items():
+        start = F.when(bucket == b, F.lit(s0)).otherwise(start)
+    rw = Window.partitionBy("_b").orderBy("_h", *key_cols)  # at most two buckets
+    edge = rows.where(is_edge).withColumn("_r", start + F.row_number().over(rw) - 1)
     edge = edge.withColumn(split_col, F.when(F.col("_r") < cut1, "validation")
                            .when(F.col("_r") < cut2, "test").otherwise("train"))
-    keep = [c for c in df.columns] + [split_col]
     return pure.select(*keep).unionByName(edge.select(*keep))
 
 

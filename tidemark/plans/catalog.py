@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import round9
+from tidemark.session import scratch_path
+from tidemark.sources import readers, writers
 from tidemark.operators import drift, metrics, ml, perf, prep, quality, runs, split
 
 EVENTS_CUT = "2024-01-15 00:00:00"
@@ -437,7 +439,29 @@ def q_score_batch(spark, sf_dir):
                           keep=["l_orderkey", "l_linenumber"])
 
 
+# ---------------------------------------------------------------- io
+
+def q_io_csv_roundtrip(spark, sf_dir):
+    """orders -> CSV part files (header) -> CSV reader with NA tokens and
+    type inference; integers come back as long, text as string."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+        null_every_7th("o_orderkey", "o_totalprice").alias("o_price_gaps"))
+    path = writers.write_table(o, scratch_path(spark, "csv-roundtrip"), fmt="csv")
+    return readers.read_table(spark, {"source_type": "csv", "input_path": path})
+
+
+def q_io_json_roundtrip(spark, sf_dir):
+    """customer -> JSON lines -> JSON reader; columns back in source order."""
+    c = table(spark, sf_dir, "customer")
+    path = writers.write_table(c, scratch_path(spark, "json-roundtrip"), fmt="json")
+    back = readers.read_table(spark, {"source_type": "json", "input_path": path, "lines": True})
+    return back.select(*c.columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "io_csv_roundtrip": q_io_csv_roundtrip,
+    "io_json_roundtrip": q_io_json_roundtrip,
     "train_rf_cls": q_train_rf_cls,
     "train_rf_reg": q_train_rf_reg,
     "train_gbt_cls": q_train_gbt_cls,

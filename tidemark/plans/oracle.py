@@ -400,7 +400,20 @@ SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
        round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept FROM lineitem
 """
 
+# ---------------------------------------------------------------- io
+
+IO_CSV_ROUNDTRIP = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS o_price_gaps FROM orders
+"""
+
+IO_JSON_ROUNDTRIP = """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "io_csv_roundtrip": IO_CSV_ROUNDTRIP,
+    "io_json_roundtrip": IO_JSON_ROUNDTRIP,
     "train_linear_one_feature": TRAIN_LINEAR_ONE_FEATURE,
     "eval_confusion": EVAL_CONFUSION,
     "eval_classification": EVAL_CLASSIFICATION,
