@@ -129,24 +129,38 @@ def side_counts(reference: DataFrame, current: DataFrame, columns: list[str],
         F.sum(1 - F.col("is_ref")).cast("long").alias("n_cur"))
 
 
+def side_totals(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, tot_ref, tot_cur): non-null counts per column and side, from
+    two global aggregates (map-side partial counts, one row each). The result
+    has one row per column, so it is broadcast wherever it is joined."""
+    def side(df, name):
+        wide = df.agg(*[F.count(F.col(c)).cast("long").alias(c) for c in columns])
+        return wide.unpivot([], columns, "column", name)
+    return side(reference, "tot_ref").join(side(current, "tot_cur"), "column")
+
+
+def _names(spark, columns: list[str]) -> DataFrame:
+    return spark.createDataFrame([(c,) for c in columns], "column string")
+
+
 # ---------------------------------------------------------------- categorical
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str],
                       js_threshold: float = DEFAULT_JS_THRESHOLD) -> DataFrame:
-    """One row per column: Jensen-Shannon divergence of the value shares."""
+    """One row per column: Jensen-Shannon divergence of the value shares.
+
+    One plan: per-value counts (one shuffle, consumed once) joined with the
+    broadcast per-column totals, then summed per column."""
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], DRIFT_COLUMNS_SCHEMA)
+    totals = F.broadcast(side_totals(reference, current, columns))
     counts = side_counts(reference, current, columns, "string")
-    totals = counts.groupBy("column").agg(
-        F.sum("n_ref").cast("long").alias("tot_ref"), F.sum("n_cur").cast("long").alias("tot_cur"))
-    per_value = counts.join(F.broadcast(totals), "column")  # one row per column
-    js = per_value.groupBy("column").agg(
+    js = counts.join(totals, "column").groupBy("column").agg(
         F.sum(js_term(safe_div(F.col("n_ref"), F.col("tot_ref")),
                       safe_div(F.col("n_cur"), F.col("tot_cur")))).alias("js"),
         F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"))
-    names = spark.createDataFrame([(c,) for c in columns], "column string")
-    out = names.join(F.broadcast(js), "column", "left")
+    out = _names(spark, columns).join(F.broadcast(js), "column", "left")
     jsv = F.coalesce(F.col("js"), F.lit(0.0))
     return out.select(
         "column",
@@ -167,16 +181,18 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
                   p_threshold: float = DEFAULT_DRIFT_THRESHOLD) -> DataFrame:
     """One row per column: KS statistic, p-value, drift iff p < threshold.
-    A side with no non-null value gives no statistic and an error message."""
+    A side with no non-null value gives no statistic and an error message.
+    Totals come from broadcast global aggregates; the per-value counts (one
+    shuffle) feed the sorted scan once."""
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], DRIFT_COLUMNS_SCHEMA)
+    totals = F.broadcast(side_totals(reference, current, columns))
     counts = side_counts(reference, current, columns, "double")
-    ks = ks_statistics(counts)
-    names = spark.createDataFrame([(c,) for c in columns], "column string")
-    out = names.join(F.broadcast(ks), "column", "left")
-    n_ref = F.coalesce(F.col("n_reference"), F.lit(0)).cast("long")
-    n_cur = F.coalesce(F.col("n_current"), F.lit(0)).cast("long")
+    ks = ks_statistics(counts, totals)
+    out = _names(spark, columns).join(F.broadcast(ks), "column", "left")
+    n_ref = F.coalesce(F.col("tot_ref"), F.lit(0)).cast("long")
+    n_cur = F.coalesce(F.col("tot_cur"), F.lit(0)).cast("long")
     empty = (n_ref == 0) | (n_cur == 0)
     stat = F.when(empty, F.lit(None).cast("double")).otherwise(F.col("statistic"))
     p = ks_pvalue(stat, n_ref, n_cur)

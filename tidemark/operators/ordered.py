@@ -22,7 +22,7 @@ from tidemark.session import ensure_checkpoint_dir
 
 _RUN_SCHEMA_KS = ("column string, first_value double, last_value double, "
                   "sum_ref long, sum_cur long, max_ref long, max_cur long, "
-                  "min_ref long, min_cur long")
+                  "min_ref long, min_cur long, tot_ref long, tot_cur long")
 _RUN_SCHEMA_COUNT = "column string, first_value double, last_value double, cnt long"
 
 
@@ -42,19 +42,20 @@ def _ks_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per run: first/last value, count sums, and the local cumulative counts
     at which cr/N_ref - cc/N_cur is largest and smallest."""
     out = []
-    state = None  # [column, first, last, cr, cc, maxx, maxr, maxc, minx, minr, minc]
+    state = None  # [column, first, last, cr, cc, maxx, maxr, maxc, minx, minr, minc, nr, nc]
 
     def flush():
         if state is not None:
             out.append((state[0], state[1], state[2], state[3], state[4],
-                        state[6], state[7], state[9], state[10]))
+                        state[6], state[7], state[9], state[10], state[11], state[12]))
 
     for pdf in batches:
         for col, run in _runs(pdf):
             if state is None or state[0] != col:
                 flush()
                 state = [col, float(run["value"].iat[0]), None, 0, 0,
-                         -np.inf, 0, 0, np.inf, 0, 0]
+                         -np.inf, 0, 0, np.inf, 0, 0,
+                         int(run["tot_ref"].iat[0]), int(run["tot_cur"].iat[0])]
             cr = np.cumsum(run["n_ref"].to_numpy(dtype=np.int64)) + state[3]
             cc = np.cumsum(run["n_cur"].to_numpy(dtype=np.int64)) + state[4]
             nr = run["tot_ref"].to_numpy(dtype=np.float64)
@@ -70,7 +71,8 @@ def _ks_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             state[3], state[4] = int(cr[-1]), int(cc[-1])
     flush()
     yield pd.DataFrame(out, columns=["column", "first_value", "last_value", "sum_ref",
-                                     "sum_cur", "max_ref", "max_cur", "min_ref", "min_cur"])
+                                     "sum_cur", "max_ref", "max_cur", "min_ref", "min_cur",
+                                     "tot_ref", "tot_cur"])
 
 
 def _count_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,19 +106,16 @@ def _with_offsets(runs: DataFrame, *sum_cols: str) -> DataFrame:
     return runs
 
 
-def ks_statistics(counts: DataFrame) -> DataFrame:
+def ks_statistics(counts: DataFrame, totals: DataFrame) -> DataFrame:
     """Two-sample KS statistic per column.
 
     ``counts``: (column string, value double, n_ref long, n_cur long), one row
-    per distinct non-null value. Returns (column, statistic, n_reference,
-    n_current) with D = max_x |F_ref(x) - F_cur(x)|."""
-    totals = counts.groupBy("column").agg(
-        F.sum("n_ref").cast("long").alias("tot_ref"),
-        F.sum("n_cur").cast("long").alias("tot_cur"))
-    # One row per column: a bounded broadcast.
+    per distinct non-null value; ``totals``: (column, tot_ref, tot_cur), one
+    row per column (broadcast). Returns (column, statistic, tot_ref, tot_cur) with
+    D = max_x |F_ref(x) - F_cur(x)|."""
     rows = counts.join(F.broadcast(totals), "column")
     runs = _sorted_by_column_value(rows).mapInPandas(_ks_scan, _RUN_SCHEMA_KS)
-    runs = _with_offsets(runs, "sum_ref", "sum_cur").join(F.broadcast(totals), "column")
+    runs = _with_offsets(runs, "sum_ref", "sum_cur")
 
     def dist(r, c):
         return F.abs(F.try_divide((F.col("off_sum_ref") + F.col(r)).cast("double"), F.col("tot_ref"))
@@ -124,8 +123,7 @@ def ks_statistics(counts: DataFrame) -> DataFrame:
 
     return runs.groupBy("column").agg(
         F.max(F.greatest(dist("max_ref", "max_cur"), dist("min_ref", "min_cur"))).alias("statistic"),
-        F.first("tot_ref").alias("n_reference"),
-        F.first("tot_cur").alias("n_current"))
+        F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"))
 
 
 def exact_medians(long_values: DataFrame) -> dict[str, float | None]:
