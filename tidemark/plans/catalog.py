@@ -19,6 +19,7 @@ from tidemark.functions.exprs import round9
 from tidemark.session import scratch_path
 from tidemark.sources import readers, writers
 from tidemark.operators import drift, metrics, ml, perf, prep, quality, runs, split
+from tidemark.streaming import monitor
 
 EVENTS_CUT = "2024-01-15 00:00:00"
 SHIP_CUT = "1998-01-01 00:00:00"
@@ -459,7 +460,26 @@ def q_io_json_roundtrip(spark, sf_dir):
     return back.select(*c.columns)
 
 
+# ---------------------------------------------------------------- streaming
+
+def q_stream_daily_drift(spark, sf_dir):
+    """events arriving as a stream; each day's event_type shares against the
+    first half of January (Jensen-Shannon), state kept in tables."""
+    ev = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
+        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    ref = ev.where(F.col("ts") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
+    base = scratch_path(spark, "daily-drift")
+    q = monitor.start_daily_drift(stream, ref, ["event_type"], "ts", f"{base}/out",
+                                  f"{base}/state", f"{base}/checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("day", "column", round9(F.col("js_divergence")).alias("js_divergence"),
+                      "n_reference", "n_current", "drift_detected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_daily_drift": q_stream_daily_drift,
     "io_csv_roundtrip": q_io_csv_roundtrip,
     "io_json_roundtrip": q_io_json_roundtrip,
     "train_rf_cls": q_train_rf_cls,

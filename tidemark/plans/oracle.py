@@ -411,7 +411,30 @@ IO_JSON_ROUNDTRIP = """
 SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer
 """
 
+# ---------------------------------------------------------------- streaming
+
+STREAM_DAILY_DRIFT = """
+WITH rc AS (SELECT 'event_type' AS "column", event_type AS value, count(*) AS n_ref FROM events
+            WHERE ts < TIMESTAMP '2024-01-15' AND event_type IS NOT NULL GROUP BY 1, 2),
+rt AS (SELECT "column", sum(n_ref) AS tot_ref FROM rc GROUP BY 1),
+cc AS (SELECT CAST(ts AS DATE) AS day, 'event_type' AS "column", event_type AS value, count(*) AS n
+       FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2, 3),
+ct AS (SELECT day, "column", sum(n) AS tot_cur FROM cc GROUP BY 1, 2),
+b AS (SELECT day, "column", value, sum(n_ref) AS n_ref, sum(n) AS n FROM (
+        SELECT ct.day, rc."column", rc.value, rc.n_ref, 0 AS n FROM rc JOIN ct USING ("column")
+        UNION ALL SELECT day, "column", value, 0, n FROM cc) GROUP BY 1, 2, 3),
+j AS (SELECT b.day, b."column",
+             greatest(coalesce(b.n_ref * 1.0e0 / rt.tot_ref, 0.0), 1e-10) AS p,
+             greatest(coalesce(b.n * 1.0e0 / ct.tot_cur, 0.0), 1e-10) AS q, rt.tot_ref, ct.tot_cur
+      FROM b LEFT JOIN rt USING ("column") JOIN ct USING (day, "column")),
+s AS (SELECT day, "column", sum(0.5 * (p * ln(2 * p / (p + q)) + q * ln(2 * q / (p + q)))) AS js,
+             CAST(max(tot_ref) AS BIGINT) AS n_reference, CAST(max(tot_cur) AS BIGINT) AS n_current
+      FROM j GROUP BY 1, 2)
+SELECT day, "column", round(js, 9) AS js_divergence, n_reference, n_current, js > 0.1 AS drift_detected FROM s
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "stream_daily_drift": STREAM_DAILY_DRIFT,
     "io_csv_roundtrip": IO_CSV_ROUNDTRIP,
     "io_json_roundtrip": IO_JSON_ROUNDTRIP,
     "train_linear_one_feature": TRAIN_LINEAR_ONE_FEATURE,
