@@ -61,3 +61,29 @@ def test_degradation_rules(spark):
     empty = spark.createDataFrame([], "metric string, value double")
     s0 = perf.degradation_summary(empty, base, cfg).first()
     assert s0["degradation_score"] is None and not s0["performance_degradation_detected"]
+
+
+def test_roc_auc_matches_bruteforce_with_ties(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 1), float(rnd.randint(0, 20))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "label int, score double").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        got = metrics.roc_auc(df).first()["auc"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    pos = [s for l, s in rows if l == 1]
+    neg = [s for l, s in rows if l == 0]
+    brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert got == pytest.approx(brute, abs=1e-12)
+
+
+def test_missing_share_and_outliers(spark):
+    from tidemark.operators import quality
+    df = spark.createDataFrame([(1.0, None)] * 9 + [(100.0, "x")], "v double, s string")
+    ms = {r["column"]: r for r in quality.missing_share(df, 0.5).collect()}
+    assert ms["s"]["missing_share"] == pytest.approx(0.9) and ms["s"]["above_threshold"]
+    assert ms["v"]["null_count"] == 0 and not ms["v"]["above_threshold"]
+    oc = {r["column"]: r["n_outliers"] for r in quality.outlier_counts(df, ["v"], 2.0).collect()}
+    assert oc == {"v": 1}

@@ -87,3 +87,16 @@ def evaluate(df: DataFrame, task_type: str = "classification", label: str = "lab
 def as_dict(metric_rows: DataFrame) -> dict[str, float]:
     """Collect a (metric, value) table; bounded by the number of metrics."""
     return {r["metric"]: r["value"] for r in metric_rows.collect()}
+
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
+    """One row (auc, n_pos, n_neg): exact area under the ROC curve of
+    ``score`` for ``label == positive`` (Mann-Whitney rank sum, ties half).
+    Scores are counted per distinct value (one shuffle) and scanned in
+    sorted runs; no single task holds all scores."""
+    from tidemark.operators.ordered import rank_auc
+    is_pos = (F.col(label) == F.lit(positive)).cast("long")
+    counts = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+              .groupBy(F.lit("score").alias("column"), F.col(score).cast("double").alias("value"))
+              .agg(F.sum(is_pos).alias("n_pos"), F.sum(1 - is_pos).alias("n_neg")))
+    return rank_auc(counts).select("auc", F.col("n_pos").cast("long"), F.col("n_neg").cast("long"))

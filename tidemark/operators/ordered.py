@@ -92,6 +92,46 @@ def _count_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(out, columns=["column", "first_value", "last_value", "cnt"])
 
 
+_RUN_SCHEMA_AUC = "column string, first_value double, sum_pos long, sum_neg long, local double"
+
+
+def _auc_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per run: positive / negative count sums and
+    sum_s pos_s * (negatives below s inside the run + neg_s / 2)."""
+    out = []
+    state = None  # [column, first, pos, neg, local]
+    for pdf in batches:
+        for col, run in _runs(pdf):
+            if state is None or state[0] != col:
+                if state is not None:
+                    out.append(tuple(state))
+                state = [col, float(run["value"].iat[0]), 0, 0, 0.0]
+            pos = run["n_pos"].to_numpy(dtype=np.int64)
+            neg = run["n_neg"].to_numpy(dtype=np.int64)
+            below = np.concatenate(([0], np.cumsum(neg)[:-1])) + state[3]
+            state[4] += float(np.sum(pos * (below + 0.5 * neg)))
+            state[2] += int(pos.sum())
+            state[3] += int(neg.sum())
+    if state is not None:
+        out.append(tuple(state))
+    yield pd.DataFrame(out, columns=["column", "first_value", "sum_pos", "sum_neg", "local"])
+
+
+def rank_auc(counts: DataFrame) -> DataFrame:
+    """Exact ROC AUC per column by the rank-sum formula (ties count half).
+
+    ``counts``: (column string, value double, n_pos long, n_neg long), one row
+    per distinct score. AUC = sum_s pos_s (negatives below s + neg_s / 2) /
+    (P * N); the term is linear in a run's negative offset, so one sorted scan
+    plus a window over run summaries gives it exactly."""
+    runs = _sorted_by_column_value(counts).mapInPandas(_auc_scan, _RUN_SCHEMA_AUC)
+    runs = _with_offsets(runs, "sum_neg")
+    return runs.groupBy("column").agg(
+        F.try_divide(F.sum(F.col("off_sum_neg") * F.col("sum_pos") + F.col("local")),
+                     (F.sum("sum_pos") * F.sum("sum_neg")).cast("double")).alias("auc"),
+        F.sum("sum_pos").alias("n_pos"), F.sum("sum_neg").alias("n_neg"))
+
+
 def _sorted_by_column_value(df: DataFrame) -> DataFrame:
     return df.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
 

@@ -131,3 +131,12 @@ class ModelPerformanceMonitor:
             raise ValueError("Baseline metrics not loaded. Call load_baseline_metrics() first.")
         return (metric_changes(current, self.baseline, self.config),
                 degradation_summary(current, self.baseline, self.config))
+
+
+def below_floor(metrics: DataFrame, floor: float, metric_names: list[str] | None = None) -> DataFrame:
+    """(metric, value, floor): current metrics under an absolute floor
+    (optionally only the named ones)."""
+    m = metrics
+    if metric_names:
+        m = m.where(F.col("metric").isin(list(metric_names)))
+    return m.where(F.col("value") < F.lit(floor)).select("metric", "value", F.lit(float(floor)).alias("floor"))

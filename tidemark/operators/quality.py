@@ -139,3 +139,28 @@ def validate(df: DataFrame, schema: dict | None = None) -> ValidationResult:
     return ValidationResult(is_valid=bool(row["is_valid"]), nulls=null_counts(df), types=types,
                             summary=summary, duplicate_rows=int(row["duplicate_rows"]),
                             types_match=types_ok)
+
+
+def missing_share(df: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """(column, null_count, n_rows, missing_share, above_threshold): the
+    declared missing-value check (share of missing values > threshold)."""
+    fields = df.schema.fields
+    wide = df.agg(F.count(F.lit(1)).alias("\x00n"),
+                  *[F.count_if(_is_missing(f)).cast("long").alias(f.name) for f in fields])
+    long = wide.unpivot(["\x00n"], [f.name for f in fields], "column", "null_count")
+    share = F.try_divide(F.col("null_count").cast("double"), F.col("\x00n"))
+    return long.select("column", "null_count", F.col("\x00n").cast("long").alias("n_rows"),
+                       share.alias("missing_share"),
+                       F.coalesce(share > F.lit(threshold), F.lit(False)).alias("above_threshold"))
+
+
+def outlier_counts(df: DataFrame, columns: list[str], z: float = 3.0) -> DataFrame:
+    """(column, n_outliers): values with |x - mean| / sample std > z, per
+    numeric column. Mean and std come from one aggregate (a one-row
+    broadcast); the count is a second aggregate."""
+    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
+                   *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)])
+    j = df.select(*columns).crossJoin(F.broadcast(stats))
+    counts = j.agg(*[F.count_if(F.abs(F.try_divide(F.col(c).cast("double") - F.col(f"m{i}"), F.col(f"s{i}")))
+                                > F.lit(z)).cast("long").alias(c) for i, c in enumerate(columns)])
+    return counts.unpivot([], columns, "column", "n_outliers")

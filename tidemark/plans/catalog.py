@@ -478,7 +478,38 @@ def q_stream_daily_drift(spark, sf_dir):
                       "n_reference", "n_current", "drift_detected")
 
 
+# ---------------------------------------------------------------- declared checks
+
+def q_quality_missing_share(spark, sf_dir):
+    return quality.missing_share(_lineitem_with_nulls(spark, sf_dir), threshold=0.1) \
+        .withColumn("missing_share", round9(F.col("missing_share")))
+
+
+def q_quality_outliers(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey")
+    ev = table(spark, sf_dir, "events").select("value")
+    return quality.outlier_counts(o, ["o_totalprice", "o_custkey"], 3.0).unionByName(
+        quality.outlier_counts(ev, ["value"], 3.0))
+
+
+def q_eval_roc_auc(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    j = lab.join(docs, "doc_id").select(F.col("quality").alias("label"), F.col("n_chars").alias("score"))
+    return metrics.roc_auc(j).withColumn("auc", round9(F.col("auc")))
+
+
+def q_perf_below_floor(spark, sf_dir):
+    m = metrics.classification_metrics(_doc_predictions(spark, sf_dir),
+                                       metrics=["accuracy", "precision", "recall", "f1"])
+    return perf.below_floor(m, 0.9).withColumn("value", round9(F.col("value")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quality_missing_share": q_quality_missing_share,
+    "quality_outliers": q_quality_outliers,
+    "eval_roc_auc": q_eval_roc_auc,
+    "perf_below_floor": q_perf_below_floor,
     "stream_daily_drift": q_stream_daily_drift,
     "io_csv_roundtrip": q_io_csv_roundtrip,
     "io_json_roundtrip": q_io_json_roundtrip,

@@ -433,7 +433,49 @@ s AS (SELECT day, "column", sum(0.5 * (p * ln(2 * p / (p + q)) + q * ln(2 * q /
 SELECT day, "column", round(js, 9) AS js_divergence, n_reference, n_current, js > 0.1 AS drift_detected FROM s
 """
 
+# ---------------------------------------------------------------- declared checks
+
+QUALITY_MISSING_SHARE = f"""
+WITH {_LI_NULLS},
+w AS (SELECT count(*) AS n,
+             CAST(count(*) - count(l_orderkey) AS BIGINT) AS l_orderkey,
+             CAST(count(*) - count(l_partkey) AS BIGINT) AS l_partkey,
+             CAST(count(*) - count(l_quantity) AS BIGINT) AS l_quantity,
+             CAST(count(*) - count(l_extendedprice) AS BIGINT) AS l_extendedprice,
+             CAST(count(*) - count(l_returnflag) AS BIGINT) AS l_returnflag,
+             CAST(count(*) - count(l_shipdate) AS BIGINT) AS l_shipdate FROM t),
+l AS (UNPIVOT w ON l_orderkey, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate
+      INTO NAME "column" VALUE null_count)
+SELECT "column", null_count, CAST(n AS BIGINT) AS n_rows, round(null_count * 1.0e0 / n, 9) AS missing_share,
+       null_count * 1.0e0 / n > 0.1 AS above_threshold FROM l
+"""
+
+QUALITY_OUTLIERS = """
+WITH so AS (SELECT avg(o_totalprice) AS m1, stddev_samp(o_totalprice) AS s1,
+                   avg(o_custkey) AS m2, stddev_samp(o_custkey) AS s2 FROM orders),
+se AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events)
+SELECT 'o_totalprice' AS "column", CAST(count_if(abs((o_totalprice - m1) / s1) > 3.0) AS BIGINT) AS n_outliers FROM orders, so
+UNION ALL SELECT 'o_custkey', CAST(count_if(abs((o_custkey - m2) / s2) > 3.0) AS BIGINT) FROM orders, so
+UNION ALL SELECT 'value', CAST(count_if(abs((value - m) / s) > 3.0) AS BIGINT) FROM events, se
+"""
+
+EVAL_ROC_AUC = """
+WITH j AS (SELECT quality AS label, CAST(n_chars AS DOUBLE) AS score FROM labels JOIN documents USING (doc_id)),
+r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0e0 AS rk FROM j),
+a AS (SELECT sum(CASE WHEN label = 1 THEN rk ELSE 0 END) AS rs, count_if(label = 1) AS p, count_if(label <> 1) AS n FROM r)
+SELECT round((rs - p * (p + 1) / 2.0e0) / (p * n * 1.0e0), 9) AS auc, CAST(p AS BIGINT) AS n_pos, CAST(n AS BIGINT) AS n_neg FROM a
+"""
+
+PERF_BELOW_FLOOR = EVAL_CLASSIFICATION.replace(
+    "SELECT 'accuracy' AS metric", "SELECT metric, value, 0.9e0 AS floor FROM (SELECT 'accuracy' AS metric", 1) + """
+) m WHERE value < 0.9
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "quality_missing_share": QUALITY_MISSING_SHARE,
+    "quality_outliers": QUALITY_OUTLIERS,
+    "eval_roc_auc": EVAL_ROC_AUC,
+    "perf_below_floor": PERF_BELOW_FLOOR,
     "stream_daily_drift": STREAM_DAILY_DRIFT,
     "io_csv_roundtrip": IO_CSV_ROUNDTRIP,
     "io_json_roundtrip": IO_JSON_ROUNDTRIP,
