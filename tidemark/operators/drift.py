@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import js_term, ks_pvalue, round9, safe_div
-from tidemark.operators.ordered import ks_statistics
+from tidemark.operators.ordered import ks_statistics, wasserstein_distances
 
 # Defaults of the monitored configuration.
 DEFAULT_DRIFT_THRESHOLD = 0.05          # KS p-value below this -> drift
@@ -210,6 +210,26 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     )
 
 
+DEFAULT_WASSERSTEIN_THRESHOLD = 0.1  # normalised distance above this -> drift
+
+
+def wasserstein_drift(reference: DataFrame, current: DataFrame, columns: list[str],
+                      threshold: float = DEFAULT_WASSERSTEIN_THRESHOLD) -> DataFrame:
+    """(column, wasserstein, reference_std, wasserstein_norm, drift_detected):
+    first Wasserstein distance, normalised by the reference's population
+    standard deviation (a zero deviation leaves it NULL)."""
+    spark = reference.sparkSession
+    totals = F.broadcast(side_totals(reference, current, columns))
+    counts = side_counts(reference, current, columns, "double")
+    w = wasserstein_distances(counts, totals)
+    std = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]) \
+        .unpivot([], columns, "column", "reference_std")
+    out = _names(spark, columns).join(F.broadcast(w), "column", "left").join(F.broadcast(std), "column", "left")
+    norm = F.try_divide(F.col("wasserstein"), F.col("reference_std"))
+    return out.select("column", "wasserstein", "reference_std", norm.alias("wasserstein_norm"),
+                      F.coalesce(norm > F.lit(threshold), F.lit(False)).alias("drift_detected"))
+
+
 # ---------------------------------------------------------------- whole table
 
 @dataclass

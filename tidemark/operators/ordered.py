@@ -132,6 +132,66 @@ def rank_auc(counts: DataFrame) -> DataFrame:
         F.sum("sum_pos").alias("n_pos"), F.sum("sum_neg").alias("n_neg"))
 
 
+_RUN_SCHEMA_W = "column string, first_value double, part double"
+
+
+def wasserstein_distances(counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """First Wasserstein distance per column between the reference and current
+    empirical distributions: integral of |F_ref - F_cur| over the value axis.
+
+    ``counts`` and ``totals`` as for ``ks_statistics``. The absolute value
+    makes a run's contribution depend on its offset, so the sorted table is
+    checkpointed to the shared folder (fixing partition contents), scanned once
+    for run summaries and offsets (a table bounded by partitions x columns,
+    collected), and scanned again with those offsets."""
+    spark = counts.sparkSession
+    ensure_checkpoint_dir(spark)
+    rows = counts.join(F.broadcast(totals), "column")
+    ordered = _sorted_by_column_value(rows).checkpoint(eager=True)
+    runs = ordered.select("column", "value", F.col("n_ref").alias("n")).mapInPandas(
+        _count_scan, _RUN_SCHEMA_COUNT)
+    runs2 = ordered.select("column", "value", F.col("n_cur").alias("n")).mapInPandas(
+        _count_scan, _RUN_SCHEMA_COUNT).select("column", "first_value", F.col("cnt").alias("cnt_cur"))
+    runs = runs.join(runs2, ["column", "first_value"]).withColumnRenamed("cnt", "cnt_ref")
+    runs = _with_offsets(runs, "cnt_ref", "cnt_cur")
+    w = Window.partitionBy("column").orderBy("first_value")
+    runs = runs.withColumn("next_first", F.lead("first_value").over(w))
+    info = {(r["column"], r["first_value"]): (r["off_cnt_ref"], r["off_cnt_cur"], r["next_first"])
+            for r in runs.collect()}  # bounded: one row per run
+
+    def integrate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
+        state = None  # [column, first, cr, cc, prev_value, prev_diff, acc]
+        def flush():
+            if state is not None:
+                nxt = info[(state[0], state[1])][2]
+                last = 0.0 if nxt is None or state[4] is None else abs(state[5]) * (nxt - state[4])
+                out.append((state[0], state[1], state[6] + last))
+        for pdf in batches:
+            for col, run in _runs(pdf):
+                if state is None or state[0] != col:
+                    flush()
+                    first = float(run["value"].iat[0])
+                    off_r, off_c, _ = info[(col, first)]
+                    state = [col, first, off_r, off_c, None, 0.0, 0.0]
+                v = run["value"].to_numpy(dtype=np.float64)
+                cr = np.cumsum(run["n_ref"].to_numpy(dtype=np.int64)) + state[2]
+                cc = np.cumsum(run["n_cur"].to_numpy(dtype=np.int64)) + state[3]
+                nr = float(run["tot_ref"].iat[0])
+                nc = float(run["tot_cur"].iat[0])
+                diff = (cr / nr if nr > 0 else 0.0 * cr) - (cc / nc if nc > 0 else 0.0 * cc)
+                if state[4] is not None:  # gap from the previous batch's last value
+                    state[6] += abs(state[5]) * (v[0] - state[4])
+                state[6] += float(np.sum(np.abs(diff[:-1]) * np.diff(v)))
+                state[2], state[3] = int(cr[-1]), int(cc[-1])
+                state[4], state[5] = float(v[-1]), float(diff[-1])
+        flush()
+        yield pd.DataFrame(out, columns=["column", "first_value", "part"])
+
+    parts = ordered.mapInPandas(integrate, _RUN_SCHEMA_W)
+    return parts.groupBy("column").agg(F.sum("part").alias("wasserstein"))
+
+
 def _sorted_by_column_value(df: DataFrame) -> DataFrame:
     return df.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
 

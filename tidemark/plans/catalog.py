@@ -505,7 +505,15 @@ def q_perf_below_floor(spark, sf_dir):
     return perf.below_floor(m, 0.9).withColumn("value", round9(F.col("value")))
 
 
+def q_drift_wasserstein(spark, sf_dir):
+    ref, cur, cols = _lineitem_sides(spark, sf_dir)
+    out = drift.wasserstein_drift(ref, cur, cols)
+    return out.select("column", *[round9(F.col(c)).alias(c) for c in
+                                  ("wasserstein", "reference_std", "wasserstein_norm")], "drift_detected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "drift_wasserstein": q_drift_wasserstein,
     "quality_missing_share": q_quality_missing_share,
     "quality_outliers": q_quality_outliers,
     "eval_roc_auc": q_eval_roc_auc,

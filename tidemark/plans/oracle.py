@@ -471,7 +471,28 @@ PERF_BELOW_FLOOR = EVAL_CLASSIFICATION.replace(
 ) m WHERE value < 0.9
 """
 
+DRIFT_WASSERSTEIN = f"""
+WITH {_LINEITEM_LONG},
+counts AS (SELECT "column", value, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur
+           FROM long WHERE value IS NOT NULL GROUP BY 1, 2),
+run AS (SELECT "column", value,
+               sum(n_ref) OVER (PARTITION BY "column" ORDER BY value ROWS UNBOUNDED PRECEDING) AS cr,
+               sum(n_cur) OVER (PARTITION BY "column" ORDER BY value ROWS UNBOUNDED PRECEDING) AS cc,
+               sum(n_ref) OVER (PARTITION BY "column") AS nr,
+               sum(n_cur) OVER (PARTITION BY "column") AS nc,
+               lead(value) OVER (PARTITION BY "column" ORDER BY value) AS nxt
+        FROM counts),
+w AS (SELECT "column", sum(abs(cr * 1.0e0 / nr - cc * 1.0e0 / nc) * coalesce(nxt - value, 0.0)) AS wd
+      FROM run GROUP BY 1),
+sd AS (SELECT "column", stddev_pop(value) AS sd FROM long WHERE is_ref = 1 GROUP BY 1)
+SELECT "column", round(wd, 9) AS wasserstein, round(sd, 9) AS reference_std,
+       round(CASE WHEN sd <> 0 THEN wd / sd END, 9) AS wasserstein_norm,
+       coalesce(CASE WHEN sd <> 0 THEN wd / sd END > 0.1, false) AS drift_detected
+FROM w JOIN sd USING ("column")
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "drift_wasserstein": DRIFT_WASSERSTEIN,
     "quality_missing_share": QUALITY_MISSING_SHARE,
     "quality_outliers": QUALITY_OUTLIERS,
     "eval_roc_auc": EVAL_ROC_AUC,
