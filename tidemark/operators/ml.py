@@ -128,20 +128,26 @@ class ModelTrainer:
     def train(self, df: DataFrame, label: str, features: list[str] | None = None) -> TrainedModel:
         features = list(features or [c for c in df.columns if c != label])
         cls = self.task_type == "classification"
-        classes = _class_values(df, label) if cls else []
-        data = _index_label(df, label, classes) if cls else df.withColumn(
-            _LABEL_IDX, F.col(label).cast("double"))
-        n_rows = data.count() if (self.model_type == "linear" and cls) else 0
-        est = _estimator(self.model_type, self.task_type, self.model_params, self.random_state,
-                         n_rows, len(classes))
-        assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
-        # Estimators pass over the input several times; keep it for the fit
-        # (lost blocks are recomputed from lineage).
-        data = data.select(*features, _LABEL_IDX).persist(StorageLevel.MEMORY_AND_DISK)
+        # Estimators pass over the input several times (and the class list is
+        # read first); keep it for the fit. Lost blocks are recomputed from lineage.
+        df = df.select(*features, label)
+        # Spark ML fits run with the input's partitioning: spread a few large
+        # input splits over the cluster (a no-op for inputs of many files).
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            df = df.repartition(parallelism)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            classes = _class_values(df, label) if cls else []
+            data = _index_label(df, label, classes) if cls else df.withColumn(
+                _LABEL_IDX, F.col(label).cast("double"))
+            n_rows = data.count() if (self.model_type == "linear" and cls) else 0
+            est = _estimator(self.model_type, self.task_type, self.model_params, self.random_state,
+                             n_rows, len(classes))
+            assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
             model = Pipeline(stages=[assembler, est]).fit(data)
         finally:
-            data.unpersist()
+            df.unpersist()
         self.trained = TrainedModel(model, features, label, self.task_type, self.model_type, classes)
         return self.trained
 

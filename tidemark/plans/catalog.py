@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -368,12 +369,20 @@ def _lineitem_ml(spark, sf_dir):
 
 
 def _train_eval(spark, sf_dir, cfg, label, features, metric_names, source=None):
+    """Train on the train split, evaluate on the validation split. The tagged
+    table feeds both, so it is kept for the duration; the metric rows (one per
+    metric) are collected before it is released."""
     tagged = source if source is not None else _lineitem_ml(spark, sf_dir)
     cols = features + [label]
-    train = tagged.where(F.col("split") == "train").select(*cols)
-    val = tagged.where(F.col("split") == "validation").select(*cols)
-    trained = ml.ModelTrainer(cfg).train(train, label, features)
-    out = ml.evaluate(trained, val, metric_names)
+    tagged = tagged.select(*cols, "split").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train = tagged.where(F.col("split") == "train").select(*cols)
+        val = tagged.where(F.col("split") == "validation").select(*cols)
+        trained = ml.ModelTrainer(cfg).train(train, label, features)
+        rows = ml.evaluate(trained, val, metric_names).collect()
+    finally:
+        tagged.unpersist()
+    out = spark.createDataFrame([tuple(r) for r in rows], "metric string, value double")
     return out.withColumn("value", round9(F.col("value")))
 
 
