@@ -206,3 +206,15 @@ def load_model(spark: SparkSession, path: str) -> TrainedModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     return TrainedModel(PipelineModel.load(f"{path}/model"), meta["features"], meta["label"],
                         meta["task_type"], meta["model_type"], meta["classes"])
+
+
+def feature_importances(trained: TrainedModel) -> DataFrame:
+    """(feature, importance) of a tree model (random forest or binary
+    boosting); other models have none and give an error."""
+    est = trained.model.stages[-1]
+    if not hasattr(est, "featureImportances"):
+        raise ValueError(f"{trained.model_type} model has no feature importances")
+    imp = est.featureImportances.toArray().tolist()
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(list(zip(trained.features, [float(v) for v in imp])),
+                                 "feature string, importance double")

@@ -521,7 +521,17 @@ def q_drift_wasserstein(spark, sf_dir):
                                   ("wasserstein", "reference_std", "wasserstein_norm")], "drift_detected")
 
 
+def q_train_feature_importance(spark, sf_dir):
+    tagged = _lineitem_ml(spark, sf_dir)
+    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "l_linestatus")
+    cfg = {"model_type": "random_forest", "task_type": "classification",
+           "model_params": {"n_estimators": 10, "max_depth": 4}}
+    trained = ml.ModelTrainer(cfg).train(train, "l_linestatus", LI_FEATURES)
+    return ml.feature_importances(trained).withColumn("importance", round9(F.col("importance")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "train_feature_importance": q_train_feature_importance,
     "drift_wasserstein": q_drift_wasserstein,
     "quality_missing_share": q_quality_missing_share,
     "quality_outliers": q_quality_outliers,
