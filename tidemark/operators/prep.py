@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -291,13 +292,41 @@ def steps_from_config(config: dict | None) -> list[dict]:
     return list(config.get("preprocessing_steps", []))
 
 
+_STATEFUL = ("encode_categorical", "scale_numerical", "fill_missing")
+
+
+def _adds_shuffle(step: dict, params) -> bool:
+    """Steps whose output plan holds a wide shuffle of the whole table."""
+    if step.get("type") == "drop_duplicates":
+        return True
+    if step.get("type") == "encode_categorical" and isinstance(params, dict):
+        return any(isinstance(p, LabelCodes) and p.n_codes > BROADCAST_CODE_ROWS for p in params.values())
+    return False
+
+
 def fit_transform(df: DataFrame, steps: list[dict]) -> tuple[DataFrame, FittedSteps]:
-    """Apply the steps in order, each fitted on the previous step's output."""
+    """Apply the steps in order, each fitted on the previous step's output.
+
+    Fitting runs a statistics job over the current plan. When an earlier step
+    left a whole-table shuffle in that plan (de-duplication, a large code
+    join), the table is persisted (memory and disk; lost blocks are recomputed
+    from lineage) while the later steps are fitted, so the shuffle runs once
+    for all fits and once more for the final output, not once per fit."""
     fitted = FittedSteps(steps=list(steps))
-    for step in steps:
-        p = fit_step(df, step)
-        fitted.params.append(p)
-        df = apply_step(df, step, p)
+    shuffled, kept = False, []
+    try:
+        for step in steps:
+            if shuffled and step.get("type") in _STATEFUL:
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                kept.append(df)
+                shuffled = False
+            p = fit_step(df, step)
+            fitted.params.append(p)
+            df = apply_step(df, step, p)
+            shuffled = shuffled or _adds_shuffle(step, p)
+    finally:
+        for k in kept:
+            k.unpersist()
     return df, fitted
 
 

@@ -16,7 +16,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     platform hands you; nothing in the library depends on these settings."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus) * 2
+    parts = shuffle_partitions or int(os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS", int(cpus) * 2))
     spark = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
