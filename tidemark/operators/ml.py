@@ -14,11 +14,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import metrics as M
 
@@ -105,6 +106,10 @@ def _class_values(df: DataFrame, label: str) -> list:
     return sorted(r["v"] for r in vals)
 
 
+def _is_array_input(df: DataFrame, features: list[str]) -> bool:
+    return len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType)
+
+
 def _index_label(df: DataFrame, label: str, classes: list) -> DataFrame:
     mapping = F.create_map(*[x for i, v in enumerate(classes) for x in (F.lit(v), F.lit(float(i)))])
     return df.withColumn(_LABEL_IDX, mapping[F.col(label)])
@@ -144,8 +149,13 @@ class ModelTrainer:
             n_rows = data.count() if (self.model_type == "linear" and cls) else 0
             est = _estimator(self.model_type, self.task_type, self.model_params, self.random_state,
                              n_rows, len(classes))
-            assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
-            model = Pipeline(stages=[assembler, est]).fit(data)
+            if _is_array_input(data, features):
+                # One array<number> column (e.g. an embedding) is the vector itself.
+                data = data.withColumn(_FEATURES, array_to_vector(F.col(features[0])))
+                model = Pipeline(stages=[est]).fit(data)
+            else:
+                assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
+                model = Pipeline(stages=[assembler, est]).fit(data)
         finally:
             df.unpersist()
         self.trained = TrainedModel(model, features, label, self.task_type, self.model_type, classes)
@@ -163,6 +173,8 @@ def predict(trained: TrainedModel, df: DataFrame, keep: list[str] | None = None)
     if trained is None:
         raise ValueError("Model must be trained before making predictions")
     keep = list(df.columns if keep is None else keep)
+    if _is_array_input(df, trained.features):
+        df = df.withColumn(_FEATURES, array_to_vector(F.col(trained.features[0])))
     out = trained.model.transform(df)
     if trained.task_type == "classification":
         classes = F.array(*[F.lit(v) for v in trained.classes])

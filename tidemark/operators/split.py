@@ -1,6 +1,7 @@
 """Exact, reproducible three-way split (train / validation / test).
 
-Rows are ordered by md5(seed | key). The first ceil(n * test_size) rows are
+Rows are ordered by md5(seed | key) (the key should identify rows; ties are
+broken by the key and a whole-row hash). The first ceil(n * test_size) rows are
 held out; the first floor(holdout / 2) of those are validation, the rest
 test. Sizes are exact and independent of partitioning.
 
@@ -16,6 +17,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET_HEX_CHARS = 4  # 16^4 = 65,536 buckets: the bucket table stays small
 
@@ -67,8 +69,13 @@ def assign_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, see
     start = F.lit(0).cast("long")
     for b, s0 in edges.items():
         start = F.when(bucket == b, F.lit(s0)).otherwise(start)
-    rw = Window.partitionBy("_b").orderBy("_h", *key_cols)  # at most two buckets
-    edge = rows.where(is_edge).withColumn("_r", start + F.row_number().over(rw) - 1)
+    # Order inside a boundary bucket: hash, key, then a whole-row hash, so rows
+    # sharing a key keep one order on every recomputation (rows equal in every
+    # column are interchangeable). At most two buckets are ranked.
+    rw = Window.partitionBy("_b").orderBy("_h", *key_cols, "_t")
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    edge = rows.where(is_edge).withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0)) \
+        .withColumn("_r", start + F.row_number().over(rw) - 1)
     edge = edge.withColumn(split_col, F.when(F.col("_r") < cut1, "validation")
                            .when(F.col("_r") < cut2, "test").otherwise("train"))
     return pure.select(*keep).unionByName(edge.select(*keep))

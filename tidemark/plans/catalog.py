@@ -530,7 +530,17 @@ def q_train_feature_importance(spark, sf_dir):
     return ml.feature_importances(trained).withColumn("importance", round9(F.col("importance")))
 
 
+def q_train_rf_embeddings(spark, sf_dir):
+    """Ten classes from a 64-float embedding (array column used as the vector)."""
+    emb = table(spark, sf_dir, "embeddings")
+    tagged = split.assign_split(emb, ["vec_id"], test_size=0.2, seed=42)
+    cfg = {"model_type": "random_forest", "task_type": "classification",
+           "model_params": {"n_estimators": 20, "max_depth": 6}}
+    return _train_eval(spark, sf_dir, cfg, "label", ["embedding"], CLS_METRICS, tagged)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "train_rf_embeddings": q_train_rf_embeddings,
     "train_feature_importance": q_train_feature_importance,
     "drift_wasserstein": q_drift_wasserstein,
     "quality_missing_share": q_quality_missing_share,
