@@ -87,3 +87,16 @@ def test_missing_share_and_outliers(spark):
     assert ms["v"]["null_count"] == 0 and not ms["v"]["above_threshold"]
     oc = {r["column"]: r["n_outliers"] for r in quality.outlier_counts(df, ["v"], 2.0).collect()}
     assert oc == {"v": 1}
+
+
+def test_kfold_stratified_balanced(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"),
+                                  F.when(F.col("id") % 10 < 7, "a").when(F.col("id") % 10 < 9, "b")
+                                  .otherwise(None).alias("y"))
+    out = split.assign_folds(df, "y", ["k"], k=4)
+    assert out.count() == 1000
+    sizes = {}
+    for r in out.groupBy("y", "fold").count().collect():
+        sizes.setdefault(r["y"], []).append(r["count"])
+    for label, s in sizes.items():
+        assert len(s) == 4 and max(s) - min(s) <= 1, (label, s)

@@ -87,3 +87,28 @@ def three_way_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2,
     tagged = assign_split(df, key_cols, test_size, seed)
     parts = [tagged.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
     return parts[0], parts[1], parts[2]
+
+
+def assign_folds(df: DataFrame, label_col: str, key_cols: list[str], k: int = 5, seed: int = 42,
+                 fold_col: str = "fold") -> DataFrame:
+    """Stratified k-fold: ``fold_col`` = (rank of the row within its label,
+    in md5(seed | key) order) mod k, so every label's rows are spread over the
+    folds with sizes differing by at most one.
+
+    Ranks are exact without a per-label sort: rows are counted per (label,
+    16-bit hash bucket), offsets come from a window over that table (at most
+    65,536 rows per label), and rows are numbered inside their (label, bucket)
+    -- a label holding a third of all rows is still spread over 65,536 tasks'
+    worth of buckets."""
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rows = (df.withColumn("_h", split_hash(key_cols, seed))
+            .withColumn("_b", F.conv(F.substring("_h", 1, BUCKET_HEX_CHARS), 16, 10).cast("long"))
+            .withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0)))
+    counts = rows.groupBy(F.col(label_col).alias("_lab"), "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_start", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
+    rw = Window.partitionBy(label_col, "_b").orderBy("_h", *key_cols, "_t")
+    ranked = rows.withColumn("_rn", F.row_number().over(rw))
+    joined = ranked.join(offsets, F.col(label_col).eqNullSafe(F.col("_lab")) & (ranked["_b"] == offsets["_b"]))
+    fold = ((F.col("_start") + F.col("_rn") - 1) % F.lit(k)).cast("long")
+    return joined.select(*[ranked[c] for c in df.columns], fold.alias(fold_col))

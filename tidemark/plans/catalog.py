@@ -539,7 +539,13 @@ def q_train_rf_embeddings(spark, sf_dir):
     return _train_eval(spark, sf_dir, cfg, "label", ["embedding"], CLS_METRICS, tagged)
 
 
+def q_split_kfold(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return split.assign_folds(o, "o_orderpriority", ["o_orderkey"], k=5, seed=42)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "split_kfold": q_split_kfold,
     "train_rf_embeddings": q_train_rf_embeddings,
     "train_feature_importance": q_train_feature_importance,
     "drift_wasserstein": q_drift_wasserstein,

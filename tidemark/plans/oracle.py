@@ -491,7 +491,16 @@ SELECT "column", round(wd, 9) AS wasserstein, round(sd, 9) AS reference_std,
 FROM w JOIN sd USING ("column")
 """
 
+SPLIT_KFOLD = """
+SELECT o_orderkey, o_orderpriority,
+       CAST((row_number() OVER (PARTITION BY o_orderpriority
+                                ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) - 1) % 5
+            AS BIGINT) AS fold
+FROM orders
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "split_kfold": SPLIT_KFOLD,
     "drift_wasserstein": DRIFT_WASSERSTEIN,
     "quality_missing_share": QUALITY_MISSING_SHARE,
     "quality_outliers": QUALITY_OUTLIERS,
