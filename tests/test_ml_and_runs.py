@@ -110,8 +110,20 @@ def test_validation_gate(spark, tmp_out):
     spark.createDataFrame([(1, 2.0), (1, 2.0)], "a long, b double").write.option("header", True).csv(src)
     with pytest.raises(ValueError):
         create_data_pipeline(spark, {"input_path": src}).run()
-    _, meta = create_data_pipeline(spark, {"input_path": src, "force_continue": True}).run()
+    _, meta = create_data_pipeline(spark, {"input_path": src, "force_continue": True,
+                                           "metadata_path": f"{tmp_out}/meta"}).run()
     assert meta["validation_results"]["duplicate_rows"] == 1
+    assert spark.read.parquet(f"{tmp_out}/meta").count() == 1
+
+
+def test_baseline_sink_latest(spark, tmp_out):
+    from tidemark.sources.writers import save_metrics_as_baseline
+    m1 = spark.createDataFrame([("acc", 0.8)], "metric string, value double")
+    m2 = spark.createDataFrame([("acc", 0.9), ("f1", 0.7)], "metric string, value double")
+    save_metrics_as_baseline(m1, f"{tmp_out}/b", as_of="2024-01-01 00:00:00")
+    save_metrics_as_baseline(m2, f"{tmp_out}/b", as_of="2024-02-01 00:00:00")
+    got = {r["metric"]: r["value"] for r in runs.latest_baseline(spark.read.parquet(f"{tmp_out}/b")).collect()}
+    assert got == {"acc": 0.9, "f1": 0.7}
 
 
 def test_latest_versions(spark):

@@ -25,7 +25,8 @@ class DataPipeline:
     top-level ``input_path`` (overrides), ``validation_schema`` {dtypes},
     ``preprocessing`` {preprocessing_steps} or top-level
     ``preprocessing_steps``, ``output_path``, ``output_format`` (csv default,
-    parquet, json), ``force_continue``."""
+    parquet, json), ``force_continue``, ``metadata_path`` (run-metadata table,
+    one row appended per run)."""
 
     def __init__(self, spark: SparkSession, config: dict):
         self.spark = spark
@@ -59,6 +60,9 @@ class DataPipeline:
             "is_valid": result.is_valid,
             "fitted_steps": self.preprocessor.fitted.describe() if self.preprocessor.fitted else None,
         }
+        if self.config.get("metadata_path"):
+            import uuid
+            writers.append_run_metadata(self.spark, self.config["metadata_path"], uuid.uuid4().hex, metadata)
         return processed, metadata
 
 
