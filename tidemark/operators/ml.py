@@ -136,11 +136,11 @@ class ModelTrainer:
         # Estimators pass over the input several times (and the class list is
         # read first); keep it for the fit. Lost blocks are recomputed from lineage.
         df = df.select(*features, label)
-        # Spark ML fits run with the input's partitioning: spread a few large
-        # input splits over the cluster (a no-op for inputs of many files).
+        # Spark ML fits pass over their input many times with its partitioning
+        # as is; one round-robin shuffle gives every pass balanced tasks, even
+        # when the input came from a few large or skewed splits.
         parallelism = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
-            df = df.repartition(parallelism)
+        df = df.repartition(max(parallelism, df.rdd.getNumPartitions()))
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             classes = _class_values(df, label) if cls else []
