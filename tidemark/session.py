@@ -22,7 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.enabled", os.environ.get("TIDEMARK_AQE", "true"))
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
