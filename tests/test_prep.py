@@ -92,3 +92,15 @@ def test_chain_order_and_config_shapes(spark):
     assert a.columns == ["c", "v"] and a.count() == 2 and b.count() == 2
     with pytest.raises(ValueError):
         prep.fit_transform(df, [{"type": "nonsense"}])
+
+
+def test_label_codes_cluster_path_equals_small_path(spark, monkeypatch):
+    df = spark.range(200).select(F.concat(F.lit("v"), (F.col("id") % 37).cast("string")).alias("x"),
+                                 F.col("id")).union(spark.createDataFrame([(None, 999)], "x string, id long"))
+    small, _ = prep.fit_transform(df, [{"type": "encode_categorical", "columns": ["x"]}])
+    monkeypatch.setattr(prep, "SMALL_CODES", 5)
+    big, fitted = prep.fit_transform(df, [{"type": "encode_categorical", "columns": ["x"]}])
+    assert fitted.params[0]["x"].codes is not None
+    a = {(r["id"], r["x"]) for r in small.collect()}
+    b = {(r["id"], r["x"]) for r in big.collect()}
+    assert a == b and (999, 37.0) in a

@@ -36,14 +36,16 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     if not metrics:
         wanted = {"accuracy"}
     cm = confusion(df, label, prediction)
-    # Per class: support (true count), predicted count, true positives.
-    true_n = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    pred_n = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = cm.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"),
-                                                                F.col("n").alias("tp"))
-    per = (true_n.join(pred_n, "cls", "full").join(tp, "cls", "left")
-           .select("cls", *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c)
-                            for c in ("support", "predicted", "tp")]))
+    # Each confusion cell adds to its true class (support, true positives) and
+    # to its predicted class (predicted count): one pass over the cells.
+    cell = F.explode(F.array(
+        F.struct(F.col("label").cast("string").alias("cls"), F.col("n").alias("support"),
+                 F.lit(0).cast("long").alias("predicted"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("tp")),
+        F.struct(F.col("prediction").cast("string").alias("cls"), F.lit(0).cast("long").alias("support"),
+                 F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp"))))
+    per = cm.select(cell.alias("c")).groupBy(F.col("c.cls").alias("cls")).agg(
+        *[F.sum(f"c.{k}").cast("double").alias(k) for k in ("support", "predicted", "tp")])
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)

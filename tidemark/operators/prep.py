@@ -22,7 +22,8 @@ STEP_TYPES = ("drop_duplicates", "encode_categorical", "scale_numerical",
 LABEL_METHODS = ("label", "label_encode")
 FILL_METHODS = ("mean", "median", "mode", "constant")
 DEFAULT_MAX_CATEGORIES = 1000        # one-hot output columns allowed per input column
-BROADCAST_CODE_ROWS = 2_000_000      # label-code tables up to this size are broadcast
+SMALL_CODES = 10_000                 # up to this many values, codes are a literal map
+BROADCAST_CODE_ROWS = 2_000_000      # larger code tables up to this size are broadcast
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = _INTEGRAL + (T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType)
@@ -56,13 +57,27 @@ def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 @dataclass
 class LabelCodes:
     column: str
-    codes: DataFrame          # (value, code) with value in the column's type
+    codes: DataFrame | None   # (value, code) for many values, else None
     n_codes: int              # distinct non-null values
     null_seen: bool
+    values: list | None = None  # sorted values when there are few
+
+
+def _sort_key(v):
+    # NaN sorts above every number, as in Spark.
+    return (1, 0) if isinstance(v, float) and v != v else (0, v)
 
 
 def fit_label_codes(df: DataFrame, column: str) -> LabelCodes:
-    """Codes 0..k-1 in ascending value order; NULL, if present, gets k."""
+    """Codes 0..k-1 in ascending value order; NULL, if present, gets k.
+
+    One job fetches at most SMALL_CODES + 1 distinct values; within that
+    bound the codes are the sorted list. Beyond it the distinct values are
+    ranked on the cluster (``ordered.dense_codes``)."""
+    vals = [r[0] for r in df.select(column).distinct().limit(SMALL_CODES + 1).collect()]
+    if len(vals) <= SMALL_CODES:
+        present = sorted((v for v in vals if v is not None), key=_sort_key)
+        return LabelCodes(column, None, len(present), any(v is None for v in vals), present)
     codes = dense_codes(df, column)
     stats = df.agg(F.count_if(F.col(column).isNull()).alias("nulls")).first()
     n_codes = codes.count()  # the code table is checkpointed: a cheap count
@@ -73,18 +88,24 @@ def apply_label_codes(df: DataFrame, lc: LabelCodes) -> DataFrame:
     """Replace the column with its code as double. A value unseen at fit
     (or a NULL when none was seen) fails the job, as the fitted encoder would."""
     c = lc.column
-    codes = lc.codes.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"))
-    if lc.n_codes <= BROADCAST_CODE_ROWS:
-        codes = F.broadcast(codes)
-    joined = df.join(codes, F.col(c) == F.col("_lv"), "left")
     null_code = F.lit(lc.n_codes) if lc.null_seen else F.raise_error(
         F.lit(f"y contains previously unseen labels: NULL in column {c}"))
     unseen = F.raise_error(F.concat(F.lit(f"y contains previously unseen labels in column {c}: "),
                                     F.col(c).cast("string")))
+    if lc.values is not None:
+        t = df.schema[c].dataType
+        mapping = F.create_map(*[x for i, v in enumerate(lc.values) for x in (F.lit(v).cast(t), F.lit(i))])
+        looked = df.withColumn("_lc", mapping[F.col(c)]) if lc.values else df.withColumn(
+            "_lc", F.lit(None).cast("long"))
+    else:
+        codes = lc.codes.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"))
+        if lc.n_codes <= BROADCAST_CODE_ROWS:
+            codes = F.broadcast(codes)
+        looked = df.join(codes, F.col(c) == F.col("_lv"), "left")
     code = (F.when(F.col(c).isNull(), null_code)
             .when(F.col("_lc").isNull(), unseen)
             .otherwise(F.col("_lc"))).cast("double")
-    return joined.select(*[code.alias(c) if x == c else F.col(x) for x in df.columns])
+    return looked.select(*[code.alias(c) if x == c else F.col(x) for x in df.columns])
 
 
 # ---------------------------------------------------------------- F3 one-hot
