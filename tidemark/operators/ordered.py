@@ -11,15 +11,22 @@ depends on partition ids, so a recomputed task gives the same answer.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
+# The scan functions below run in Python workers; ship them (and this
+# module's helpers) by value, so executors need not have this package
+# installed -- only numpy and pandas, which PySpark's Arrow path needs anyway.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _RUN_SCHEMA_KS = ("column string, first_value double, last_value double, "
                   "sum_ref long, sum_cur long, max_ref long, max_cur long, "
                   "min_ref long, min_cur long, tot_ref long, tot_cur long")
