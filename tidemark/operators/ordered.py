@@ -267,6 +267,31 @@ def exact_medians(long_values: DataFrame) -> dict[str, float | None]:
     return {c: (sum(v) / len(v) if len(v) == 1 else (v[0] + v[1]) / 2.0) for c, v in found.items()}
 
 
+def positions(df: DataFrame, order_cols: list, pos_col: str = "_pos") -> DataFrame:
+    """``df`` plus the exact 0-based position of every row in ``order_cols``
+    order, with no single-task sort even when one key value repeats over a
+    large share of rows.
+
+    A random salt is the last sort key, so equal keys spread over several
+    range partitions; the sorted partitions are checkpointed to the shared
+    folder, which fixes each row's partition and place (rows with equal keys
+    are interchangeable, so the salt only decides which copy comes first).
+    A position is its partition's offset (one count per partition) plus its
+    place in the partition, read from ``monotonically_increasing_id``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    salted = df.withColumn("_salt", F.rand())
+    keys = list(order_cols) + ["_salt"]
+    ordered = salted.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    with_id = ordered.withColumn("_mid", F.monotonically_increasing_id())
+    with_id = with_id.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
+        "_in", F.col("_mid").bitwiseAND((1 << 33) - 1))
+    sizes = with_id.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))  # one row per partition
+    out = with_id.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
+    return out.withColumn(pos_col, F.col("_off") + F.col("_in")).drop("_salt", "_mid", "_pid", "_in", "_off")
+
+
 def dense_codes(values: DataFrame, col: str, code_col: str = "code") -> DataFrame:
     """(value, code): codes 0..k-1 in ascending order of the distinct non-null
     values of ``col`` (a global dense rank).
