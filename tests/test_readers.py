@@ -31,3 +31,26 @@ def test_unsupported_source_type(spark):
         readers.read_table(spark, {"source_type": "xml", "source_path": "/x"})
     with pytest.raises(ValueError):
         readers.read_by_extension(spark, "/x/data.txt")
+
+
+def test_drift_monitor_from_files(spark, tmp_out):
+    import json
+    from tidemark.operators import drift, perf
+    ref = spark.createDataFrame([("a", float(i)) for i in range(50)] + [("b", 1.0)] * 50, "c string, x double")
+    cur = spark.createDataFrame([("b", float(i) + 100) for i in range(60)], "c string, x double")
+    ref.coalesce(1).write.option("header", True).csv(f"{tmp_out}/ref.csv")
+    cur.write.parquet(f"{tmp_out}/cur.parquet")
+    mon = drift.DataDriftMonitor(spark, {"reference_data_path": f"{tmp_out}/ref.csv",
+                                         "categorical_columns": ["c"]})
+    res = mon.detect_drift(readers.read_by_extension(spark, f"{tmp_out}/cur.parquet"))
+    rows = {r["column"]: r for r in res.columns.collect()}
+    assert rows["c"]["drift_detected"] and rows["x"]["drift_detected"]
+    assert res.summary.first()["data_drift_detected"]
+    with open(f"{tmp_out}/base.json", "w") as f:
+        json.dump({"accuracy": 0.9, "mse": 1.0}, f)
+    pm = perf.ModelPerformanceMonitor(spark, {"baseline_metrics_path": f"{tmp_out}/base.json",
+                                              "lower_is_better_metrics": ["mse"]})
+    cur_m = spark.createDataFrame([("accuracy", 0.7), ("mse", 1.5)], "metric string, value double")
+    changes, summary = pm.detect_performance_degradation(cur_m)
+    assert {r["metric"] for r in changes.where("degraded").collect()} == {"accuracy", "mse"}
+    assert summary.first()["performance_degradation_detected"]

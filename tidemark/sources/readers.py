@@ -111,8 +111,7 @@ def read_csv(spark: SparkSession, path) -> DataFrame:
     """CSV with a header row: every cell read as text, pandas' NA tokens
     mapped to NULL, then each column cast to the narrowest of long, double,
     boolean or string that holds all its values."""
-    raw = spark.read.option("header", True).option("inferSchema", False) \
-        .option("nullValue", None).option("emptyValue", "").csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     cleaned = raw.select(*[F.when(F.col(c).isin(CSV_NA_TOKENS) | F.col(c).isNull(),
                                   F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
                            for c in raw.columns])
