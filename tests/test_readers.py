@@ -54,3 +54,20 @@ def test_drift_monitor_from_files(spark, tmp_out):
     changes, summary = pm.detect_performance_degradation(cur_m)
     assert {r["metric"] for r in changes.where("degraded").collect()} == {"accuracy", "mse"}
     assert summary.first()["performance_degradation_detected"]
+
+
+def test_json_document_and_lines(spark, tmp_out):
+    import json
+    p = f"{tmp_out}/doc.json"
+    with open(p, "w") as f:
+        json.dump([{"a": 1, "b": "x", "c": 1.5}, {"a": 2, "b": None, "c": None}], f, indent=2)
+    df = readers.read_table(spark, {"source_type": "json", "source_path": p})
+    assert dict(df.dtypes) == {"a": "bigint", "b": "string", "c": "double"}
+    assert df.count() == 2
+    lines = f"{tmp_out}/lines.json"
+    with open(lines, "w") as f:
+        f.write('{"a": 1}\n{"a": 2}\n')
+    assert readers.read_table(spark, {"source_type": "json", "source_path": lines, "lines": True}).count() == 2
+    # a list of paths is read whole
+    both = readers.read_table(spark, {"source_type": "json", "input_path": [lines, lines], "lines": True})
+    assert both.count() == 4
