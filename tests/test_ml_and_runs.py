@@ -143,3 +143,16 @@ def test_metrics_json_reader(spark, tmp_out):
         json.dump({"accuracy": 0.9, "f1": 1}, f)
     got = {r["metric"]: r["value"] for r in read_metrics(spark, p).collect()}
     assert got == {"accuracy": 0.9, "f1": 1.0}
+
+
+def test_registered_model_roundtrip(spark, sample, tmp_out):
+    x = _features(spark, sample)
+    t = ml.ModelTrainer(MODEL_CONFIG).train(x, "target")
+    for v in (1, 2):
+        ml.save_model(t, f"{tmp_out}/models/m/{v}")
+        runs.register_version(spark, f"{tmp_out}/versions", "m", v, "Staging" if v == 2 else "None", f"r{v}")
+    mv = spark.read.parquet(f"{tmp_out}/versions")
+    model, info = ml.load_registered_model(spark, mv, "m", f"{tmp_out}/models")
+    assert info["version"] == 2 and model.features == t.features
+    with pytest.raises(ValueError):
+        ml.load_registered_model(spark, mv, "m", f"{tmp_out}/models", stage="Production")

@@ -230,3 +230,14 @@ def feature_importances(trained: TrainedModel) -> DataFrame:
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame(list(zip(trained.features, [float(v) for v in imp])),
                                  "feature string, importance double")
+
+
+def load_registered_model(spark: SparkSession, model_versions: DataFrame, name: str, model_root: str,
+                          stage: str | None = None) -> tuple[TrainedModel, dict]:
+    """Load the newest version of ``name`` (optionally in one stage) saved
+    under ``<model_root>/<name>/<version>``; a missing model is an error."""
+    from tidemark.operators.runs import latest_version
+    info = latest_version(model_versions, name, stage)
+    if info is None:
+        raise ValueError(f"No registered version of model {name!r}" + (f" in stage {stage!r}" if stage else ""))
+    return load_model(spark, f"{model_root}/{name}/{info['version']}"), info

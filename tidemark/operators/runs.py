@@ -73,3 +73,10 @@ def latest_baseline(baselines: DataFrame) -> DataFrame:
     """Active baseline: (metric, value) at the latest ``as_of`` stamp."""
     top = baselines.agg(F.max("as_of").alias("_top"))
     return baselines.join(F.broadcast(top), F.col("as_of") == F.col("_top")).select("metric", "value")
+
+
+def register_version(spark: SparkSession, path: str, name: str, version: int, stage: str = "None",
+                     run_id: str | None = None) -> None:
+    """Append one (name, version, stage, run_id) row to the model-version table."""
+    spark.createDataFrame([(name, int(version), stage, run_id)], MODEL_VERSIONS_SCHEMA) \
+        .write.mode("append").parquet(path)
