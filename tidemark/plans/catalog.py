@@ -544,7 +544,31 @@ def q_split_kfold(spark, sf_dir):
     return split.assign_folds(o, "o_orderpriority", ["o_orderkey"], k=5, seed=42)
 
 
+def _ship_days(df: DataFrame) -> DataFrame:
+    return df.withColumn("l_ship_days", F.datediff(F.to_date("l_shipdate"),
+                                                   F.to_date(F.lit("1995-01-01"))).cast("double"))
+
+
+def q_stream_score(spark, sf_dir):
+    """lineitem rows arriving as a stream, scored on arrival by a forest
+    trained on the train split; the sink holds one row per arriving row."""
+    tagged = _lineitem_ml(spark, sf_dir)
+    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "l_returnflag")
+    cfg = {"model_type": "random_forest", "task_type": "classification",
+           "model_params": {"n_estimators": 10, "max_depth": 5}}
+    trained = ml.ModelTrainer(cfg).train(train, "l_returnflag", LI_FEATURES)
+    schema = table(spark, sf_dir, "lineitem").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    base = scratch_path(spark, "stream-score")
+    q = monitor.start_scoring(trained, _ship_days(stream), f"{base}/out", f"{base}/checkpoint",
+                              "returnflag_rf", "1", keep=["l_orderkey", "l_linenumber"])
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("l_orderkey", "l_linenumber", "prediction",
+                                                    "model_name", "model_version")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_score": q_stream_score,
     "split_kfold": q_split_kfold,
     "train_rf_embeddings": q_train_rf_embeddings,
     "train_feature_importance": q_train_feature_importance,
