@@ -156,3 +156,15 @@ def test_registered_model_roundtrip(spark, sample, tmp_out):
     assert info["version"] == 2 and model.features == t.features
     with pytest.raises(ValueError):
         ml.load_registered_model(spark, mv, "m", f"{tmp_out}/models", stage="Production")
+
+
+def test_score_request_payload_shapes(spark):
+    df = spark.createDataFrame([(float(i), float(i % 3), "hi" if i > 5 else "lo") for i in range(12)],
+                               "a double, b double, y string")
+    t = ml.ModelTrainer({"model_type": "linear"}).train(df, "y", ["a", "b"])
+    out = ml.score_request(spark, t, [[1.0, 0.0], [9.0, 1.0]], "m", "1").collect()
+    assert len(out) == 2 and out[0]["batch_size"] == 2
+    one = ml.score_request(spark, t, {"b": 1.0, "a": 10.0}, "m").first()
+    assert one["prediction"] in ("hi", "lo") and len(one["probability"]) == 2
+    with pytest.raises(ValueError):
+        ml.request_frame(spark, t, {"a": 1.0})

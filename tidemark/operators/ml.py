@@ -241,3 +241,27 @@ def load_registered_model(spark: SparkSession, model_versions: DataFrame, name:
     if info is None:
         raise ValueError(f"No registered version of model {name!r}" + (f" in stage {stage!r}" if stage else ""))
     return load_model(spark, f"{model_root}/{name}/{info['version']}"), info
+
+
+def request_frame(spark: SparkSession, trained: TrainedModel, features) -> DataFrame:
+    """A scoring request as rows: a list of feature vectors gives one row
+    each, in the model's feature order; a dict name -> value gives one row,
+    matched to the model's features by name (a missing name is an error)."""
+    names = trained.features
+    if isinstance(features, dict):
+        missing = [n for n in names if n not in features]
+        if missing:
+            raise ValueError(f"request lacks features {missing}")
+        rows = [tuple(float(features[n]) for n in names)]
+    else:
+        rows = [tuple(float(v) for v in vec) for vec in features]
+        bad = [len(r) for r in rows if len(r) != len(names)]
+        if bad:
+            raise ValueError(f"expected {len(names)} features per vector")
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names))
+
+
+def score_request(spark: SparkSession, trained: TrainedModel, features, model_name: str,
+                  model_version: str | None = None) -> DataFrame:
+    """Batch scoring of a request payload (see ``request_frame``)."""
+    return score_batch(trained, request_frame(spark, trained, features), model_name, model_version)
