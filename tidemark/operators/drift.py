@@ -146,7 +146,7 @@ def _names(spark, columns: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- categorical
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str],
-                      js_threshold: float = DEFAULT_JS_THRESHOLD) -> DataFrame:
+                      js_threshold: float = DEFAULT_JS_THRESHOLD, totals: DataFrame | None = None) -> DataFrame:
     """One row per column: Jensen-Shannon divergence of the value shares.
 
     One plan: per-value counts (one shuffle, consumed once) joined with the
@@ -154,7 +154,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], DRIFT_COLUMNS_SCHEMA)
-    totals = F.broadcast(side_totals(reference, current, columns))
+    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns))
     counts = side_counts(reference, current, columns, "string")
     js = counts.join(totals, "column").groupBy("column").agg(
         F.sum(js_term(safe_div(F.col("n_ref"), F.col("tot_ref")),
@@ -179,7 +179,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 # ---------------------------------------------------------------- numeric
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
-                  p_threshold: float = DEFAULT_DRIFT_THRESHOLD) -> DataFrame:
+                  p_threshold: float = DEFAULT_DRIFT_THRESHOLD, totals: DataFrame | None = None) -> DataFrame:
     """One row per column: KS statistic, p-value, drift iff p < threshold.
     A side with no non-null value gives no statistic and an error message.
     Totals come from broadcast global aggregates; the per-value counts (one
@@ -187,7 +187,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], DRIFT_COLUMNS_SCHEMA)
-    totals = F.broadcast(side_totals(reference, current, columns))
+    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns))
     counts = side_counts(reference, current, columns, "double")
     ks = ks_statistics(counts, totals)
     out = _names(spark, columns).join(F.broadcast(ks), "column", "left")
@@ -219,7 +219,7 @@ def wasserstein_drift(reference: DataFrame, current: DataFrame, columns: list[st
     first Wasserstein distance, normalised by the reference's population
     standard deviation (a zero deviation leaves it NULL)."""
     spark = reference.sparkSession
-    totals = F.broadcast(side_totals(reference, current, columns))
+    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns))
     counts = side_counts(reference, current, columns, "double")
     w = wasserstein_distances(counts, totals)
     std = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]) \
@@ -248,8 +248,11 @@ def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftC
     spark = reference.sparkSession
     common = common_columns(reference, current)
     cat, num, bad = route_columns(reference, common, cfg)
-    parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold),
-             numeric_drift(reference, current, num, cfg.drift_threshold)]
+    # One pair of global aggregates gives the non-null totals of every tested
+    # column; both halves read the same (broadcast, one row per column) table.
+    totals = side_totals(reference, current, cat + num) if cat + num else None
+    parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, totals),
+             numeric_drift(reference, current, num, cfg.drift_threshold, totals)]
     if bad:
         parts.append(spark.createDataFrame(
             [(c, "unsupported", "none", None, None, None, None, None, False, f"unsupported type {t}")
