@@ -109,3 +109,31 @@ def test_wasserstein_matches_bruteforce(spark):
                 for a, b in zip(pts, pts[1:]))
     assert abs(r["wasserstein"] - brute) < 1e-9
     assert r["drift_detected"]
+
+
+def test_exact_ks_pvalue_matches_enumeration(spark):
+    import itertools
+    from tidemark.functions.ks_exact import ks_exact_pvalue
+    xs = [0.1, 0.5, 0.9, 1.3, 2.2]
+    ys = [0.7, 1.1, 1.9, 2.5, 3.0, 3.3]
+    pool = xs + ys
+    m, n = len(xs), len(ys)
+
+    def dstat(a, b):
+        pts = sorted(a + b)
+        return max(abs(sum(x <= p for x in a) / len(a) - sum(y <= p for y in b) / len(b)) for p in pts)
+
+    d0 = dstat(xs, ys)
+    hits = total = 0
+    for idx in itertools.combinations(range(m + n), m):
+        a = [pool[i] for i in idx]
+        b = [pool[i] for i in range(m + n) if i not in idx]
+        total += 1
+        hits += dstat(a, b) >= d0 - 1e-12
+    assert abs(ks_exact_pvalue(d0, m, n) - hits / total) < 1e-12
+    ref = _df(spark, [(x,) for x in xs], "v double")
+    cur = _df(spark, [(y,) for y in ys], "v double")
+    r = drift.numeric_drift(ref, cur, ["v"], ks_method="auto").first()
+    assert abs(r["p_value"] - hits / total) < 1e-12
+    asym = drift.numeric_drift(ref, cur, ["v"]).first()["p_value"]
+    assert asym != r["p_value"]

@@ -51,6 +51,7 @@ class DriftConfig:
     categorical_columns: list[str] = field(default_factory=list)
     numerical_columns: list[str] = field(default_factory=list)
     datetime_column: str | None = None
+    ks_method: str = "asymp"
 
     @classmethod
     def from_dict(cls, cfg: dict | None) -> "DriftConfig":
@@ -62,6 +63,7 @@ class DriftConfig:
             categorical_columns=list(cfg.get("categorical_columns", []) or []),
             numerical_columns=list(cfg.get("numerical_columns", []) or []),
             datetime_column=cfg.get("datetime_column"),
+            ks_method=cfg.get("ks_method", "asymp"),
         )
 
 
@@ -179,9 +181,13 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 # ---------------------------------------------------------------- numeric
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
-                  p_threshold: float = DEFAULT_DRIFT_THRESHOLD, totals: DataFrame | None = None) -> DataFrame:
+                  p_threshold: float = DEFAULT_DRIFT_THRESHOLD, totals: DataFrame | None = None,
+                  ks_method: str = "asymp") -> DataFrame:
     """One row per column: KS statistic, p-value, drift iff p < threshold.
     A side with no non-null value gives no statistic and an error message.
+    ``ks_method``: "asymp" (limiting distribution, the default) or "auto"
+    (exact lattice-path p-value when both sides hold at most 10,000 values,
+    computed per column on the one-row-per-column result).
     Totals come from broadcast global aggregates; the per-value counts (one
     shuffle) feed the sorted scan once."""
     spark = reference.sparkSession
@@ -196,6 +202,15 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     empty = (n_ref == 0) | (n_cur == 0)
     stat = F.when(empty, F.lit(None).cast("double")).otherwise(F.col("statistic"))
     p = ks_pvalue(stat, n_ref, n_cur)
+    if ks_method == "auto":
+        from tidemark.functions.ks_exact import exact_pvalues
+        small = out.select("column", stat.alias("statistic"), n_ref.alias("n_reference"),
+                           n_cur.alias("n_current"))
+        exact = small.groupBy("column").applyInPandas(exact_pvalues, "column string, p_exact double")
+        out = out.join(F.broadcast(exact), "column", "left")  # one row per column
+        p = F.coalesce(F.col("p_exact"), p)
+    elif ks_method != "asymp":
+        raise ValueError(f"Unknown ks_method: {ks_method}")
     return out.select(
         "column",
         F.lit("numeric").alias("kind"),
@@ -252,7 +267,7 @@ def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftC
     # column; both halves read the same (broadcast, one row per column) table.
     totals = side_totals(reference, current, cat + num) if cat + num else None
     parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, totals),
-             numeric_drift(reference, current, num, cfg.drift_threshold, totals)]
+             numeric_drift(reference, current, num, cfg.drift_threshold, totals, cfg.ks_method)]
     if bad:
         parts.append(spark.createDataFrame(
             [(c, "unsupported", "none", None, None, None, None, None, False, f"unsupported type {t}")
