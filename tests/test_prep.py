@@ -104,3 +104,19 @@ def test_label_codes_cluster_path_equals_small_path(spark, monkeypatch):
     a = {(r["id"], r["x"]) for r in small.collect()}
     b = {(r["id"], r["x"]) for r in big.collect()}
     assert a == b and (999, 37.0) in a
+
+
+def test_fitted_steps_save_load(spark, tmp_path, monkeypatch):
+    df = spark.range(60).select(F.col("id"), (F.col("id") % 7).cast("double").alias("v"),
+                                F.concat(F.lit("k"), (F.col("id") % 9).cast("string")).alias("c"),
+                                F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("o"))
+    steps = [{"type": "fill_missing", "columns": ["v"], "method": "median"},
+             {"type": "encode_categorical", "columns": ["c"]},
+             {"type": "encode_categorical", "columns": ["o"], "method": "one_hot"},
+             {"type": "scale_numerical", "columns": ["v"]}]
+    monkeypatch.setattr(prep, "SMALL_CODES", 4)  # force a stored code table for "c"
+    out, fitted = prep.fit_transform(df, steps)
+    prep.save_fitted(fitted, str(tmp_path / "prep"))
+    back = prep.load_fitted(spark, str(tmp_path / "prep"))
+    again = prep.transform(df, back)
+    assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in again.collect())

@@ -358,6 +358,46 @@ def transform(df: DataFrame, fitted: FittedSteps) -> DataFrame:
     return df
 
 
+def _encode_params(params, path: str, step_no: int):
+    if isinstance(params, dict):
+        return {k: _encode_params(v, path, step_no) for k, v in params.items()}
+    if isinstance(params, LabelCodes):
+        enc = {"__label_codes__": True, "column": params.column, "n_codes": params.n_codes,
+               "null_seen": params.null_seen, "values": params.values, "codes_path": None}
+        if params.codes is not None:
+            enc["codes_path"] = f"{path}/codes/step{step_no}_{params.column}"
+            params.codes.write.mode("overwrite").parquet(enc["codes_path"])
+        return enc
+    return params
+
+
+def _decode_params(spark, params):
+    if isinstance(params, dict) and params.get("__label_codes__"):
+        codes = spark.read.parquet(params["codes_path"]) if params["codes_path"] else None
+        return LabelCodes(params["column"], codes, params["n_codes"], params["null_seen"], params["values"])
+    if isinstance(params, dict):
+        return {k: _decode_params(spark, v) for k, v in params.items()}
+    return params
+
+
+def save_fitted(fitted: FittedSteps, path: str) -> str:
+    """Write fitted steps beside a model: ``<path>/params`` (one JSON row:
+    the steps and their literals) and ``<path>/codes/...`` (large label-code
+    tables), so new data is transformed with the training statistics."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    doc = json.dumps({"steps": fitted.steps,
+                      "params": [_encode_params(p, path, i) for i, p in enumerate(fitted.params)]},
+                     default=str)
+    spark.createDataFrame([(doc,)], "doc string").coalesce(1).write.mode("overwrite").text(f"{path}/params")
+    return path
+
+
+def load_fitted(spark, path: str) -> FittedSteps:
+    doc = json.loads(spark.read.text(f"{path}/params").first()[0])
+    return FittedSteps(steps=doc["steps"], params=[_decode_params(spark, p) for p in doc["params"]])
+
+
 class DataPreprocessor:
     """Config-driven front end: ``DataPreprocessor(cfg).preprocess(df)``."""
 

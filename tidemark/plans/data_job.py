@@ -26,7 +26,8 @@ class DataPipeline:
     ``preprocessing`` {preprocessing_steps} or top-level
     ``preprocessing_steps``, ``output_path``, ``output_format`` (csv default,
     parquet, json), ``force_continue``, ``metadata_path`` (run-metadata table,
-    one row appended per run)."""
+    one row appended per run), ``fitted_path`` (fitted step statistics, for
+    transforming later data with ``prep.load_fitted`` + ``prep.transform``)."""
 
     def __init__(self, spark: SparkSession, config: dict):
         self.spark = spark
@@ -60,6 +61,8 @@ class DataPipeline:
             "is_valid": result.is_valid,
             "fitted_steps": self.preprocessor.fitted.describe() if self.preprocessor.fitted else None,
         }
+        if self.config.get("fitted_path") and self.preprocessor.fitted is not None:
+            prep.save_fitted(self.preprocessor.fitted, self.config["fitted_path"])
         if self.config.get("metadata_path"):
             import uuid
             writers.append_run_metadata(self.spark, self.config["metadata_path"], uuid.uuid4().hex, metadata)
