@@ -30,6 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table read as a file stream: a directory of part files is
+    streamed as is; a single file is picked out of its folder by name."""
+    import os
+    schema = table(spark, sf_dir, name).schema
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    if os.path.isdir(path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def null_every_7th(key: str, col: str) -> F.Column:
     return F.when(F.col(key) % 7 == 0, F.lit(None)).otherwise(F.col(col))
 
@@ -475,8 +487,7 @@ def q_stream_daily_drift(spark, sf_dir):
     """events arriving as a stream; each day's event_type shares against the
     first half of January (Jensen-Shannon), state kept in tables."""
     ev = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
-        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = table_stream(spark, sf_dir, "events")
     ref = ev.where(F.col("ts") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
     base = scratch_path(spark, "daily-drift")
     q = monitor.start_daily_drift(stream, ref, ["event_type"], "ts", f"{base}/out",
@@ -557,8 +568,7 @@ def q_stream_score(spark, sf_dir):
     cfg = {"model_type": "random_forest", "task_type": "classification",
            "model_params": {"n_estimators": 10, "max_depth": 5}}
     trained = ml.ModelTrainer(cfg).train(train, "l_returnflag", LI_FEATURES)
-    schema = table(spark, sf_dir, "lineitem").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    stream = table_stream(spark, sf_dir, "lineitem")
     base = scratch_path(spark, "stream-score")
     q = monitor.start_scoring(trained, _ship_days(stream), f"{base}/out", f"{base}/checkpoint",
                               "returnflag_rf", "1", keep=["l_orderkey", "l_linenumber"])
