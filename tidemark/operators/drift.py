@@ -197,6 +197,12 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     counts = side_counts(reference, current, columns, "double")
     ks = ks_statistics(counts, totals)
     out = _names(spark, columns).join(F.broadcast(ks), "column", "left")
+    if ks_method == "auto":
+        # The exact p-value reads the statistics a second time: take the
+        # (one row per column) result once instead of running the scan twice.
+        out = spark.createDataFrame(
+            [tuple(r) for r in out.select("column", "statistic", "tot_ref", "tot_cur").collect()],
+            "column string, statistic double, tot_ref long, tot_cur long")
     n_ref = F.coalesce(F.col("tot_ref"), F.lit(0)).cast("long")
     n_cur = F.coalesce(F.col("tot_cur"), F.lit(0)).cast("long")
     empty = (n_ref == 0) | (n_cur == 0)
