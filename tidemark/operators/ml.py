@@ -106,6 +106,12 @@ def _class_values(df: DataFrame, label: str) -> list:
     return sorted(r["v"] for r in vals)
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Round-robin over at least the cluster's default parallelism."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(parallelism, df.rdd.getNumPartitions()))
+
+
 def _is_array_input(df: DataFrame, features: list[str]) -> bool:
     return len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType)
 
@@ -130,18 +136,20 @@ class ModelTrainer:
         if self.model_type not in MODEL_TYPES:
             raise ValueError(f"Unsupported model type: {self.model_type}")
 
-    def train(self, df: DataFrame, label: str, features: list[str] | None = None) -> TrainedModel:
+    def train(self, df: DataFrame, label: str, features: list[str] | None = None,
+              balance: bool = True) -> TrainedModel:
+        """Fit on ``df``. With ``balance`` (default) the input is spread
+        round-robin and persisted for the fit; pass False when the caller
+        already holds a balanced, persisted table."""
         features = list(features or [c for c in df.columns if c != label])
         cls = self.task_type == "classification"
-        # Estimators pass over the input several times (and the class list is
-        # read first); keep it for the fit. Lost blocks are recomputed from lineage.
         df = df.select(*features, label)
         # Spark ML fits pass over their input many times with its partitioning
-        # as is; one round-robin shuffle gives every pass balanced tasks, even
-        # when the input came from a few large or skewed splits.
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        df = df.repartition(max(parallelism, df.rdd.getNumPartitions()))
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        # as is (and the class list is read first): one round-robin shuffle
+        # gives every pass balanced tasks, and the copy is kept for the fit
+        # (lost blocks are recomputed from lineage).
+        if balance:
+            df = balanced(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             classes = _class_values(df, label) if cls else []
             data = _index_label(df, label, classes) if cls else df.withColumn(
@@ -157,7 +165,8 @@ class ModelTrainer:
                 assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
                 model = Pipeline(stages=[assembler, est]).fit(data)
         finally:
-            df.unpersist()
+            if balance:
+                df.unpersist()
         self.trained = TrainedModel(model, features, label, self.task_type, self.model_type, classes)
         return self.trained
 

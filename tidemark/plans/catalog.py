@@ -386,11 +386,11 @@ def _train_eval(spark, sf_dir, cfg, label, features, metric_names, source=None):
     metric) are collected before it is released."""
     tagged = source if source is not None else _lineitem_ml(spark, sf_dir)
     cols = features + [label]
-    tagged = tagged.select(*cols, "split").persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = ml.balanced(tagged.select(*cols, "split")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train = tagged.where(F.col("split") == "train").select(*cols)
         val = tagged.where(F.col("split") == "validation").select(*cols)
-        trained = ml.ModelTrainer(cfg).train(train, label, features)
+        trained = ml.ModelTrainer(cfg).train(train, label, features, balance=False)
         rows = ml.evaluate(trained, val, metric_names).collect()
     finally:
         tagged.unpersist()
