@@ -168,3 +168,16 @@ def test_score_request_payload_shapes(spark):
     assert one["prediction"] in ("hi", "lo") and len(one["probability"]) == 2
     with pytest.raises(ValueError):
         ml.request_frame(spark, t, {"a": 1.0})
+
+
+def test_factories_accept_json_paths(spark, tmp_out):
+    p = f"{tmp_out}/data.json"
+    with open(p, "w") as f:
+        json.dump({"input_path": "x.csv", "preprocessing_steps": [{"type": "drop_duplicates"}]}, f)
+    assert create_data_pipeline(spark, p).config["input_path"] == "x.csv"
+    q = f"{tmp_out}/model.json"
+    with open(q, "w") as f:
+        json.dump({"trainer": {"model_type": "gradient_boosting", "task_type": "regression"},
+                   "evaluator": {"metrics": ["mse", "r2"]}}, f)
+    mp = create_model_pipeline(spark, q)
+    assert mp.trainer.model_type == "gradient_boosting" and mp.metrics == ["mse", "r2"]

@@ -120,3 +120,9 @@ def test_fitted_steps_save_load(spark, tmp_path, monkeypatch):
     back = prep.load_fitted(spark, str(tmp_path / "prep"))
     again = prep.transform(df, back)
     assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in again.collect())
+
+
+def test_approx_median_option(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    fills = prep.fit_fill(df, ["v"], "median", approx=True)
+    assert abs(fills["v"] - 500.0) <= 1.0

@@ -190,9 +190,12 @@ def _modes(df: DataFrame, cols: list[str]) -> dict:
     return found
 
 
-def fit_fill(df: DataFrame, columns: list[str] | None, method: str, value=0) -> dict:
+def fit_fill(df: DataFrame, columns: list[str] | None, method: str, value=0,
+             approx: bool = False, accuracy: int = 10_000) -> dict:
     """Fill value per column. Mean/median of a named non-numeric column is an
-    error; when columns default to all, such columns are skipped."""
+    error; when columns default to all, such columns are skipped. The median
+    is exact unless ``approx`` (one ``percentile_approx`` aggregate, rank
+    error about 1/accuracy)."""
     if method not in FILL_METHODS:
         raise ValueError(f"Unknown fill method: {method}")
     types = _types(df)
@@ -210,6 +213,10 @@ def fit_fill(df: DataFrame, columns: list[str] | None, method: str, value=0) ->
         if method == "mean":
             row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
             return {c: row[f"m{i}"] for i, c in enumerate(cols)}
+        if approx:
+            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"m{i}")
+                           for i, c in enumerate(cols)]).first()
+            return {c: row[f"m{i}"] for i, c in enumerate(cols)}
         long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
                 .unpivot([], cols, "column", "value"))
         med = exact_medians(long)
@@ -282,7 +289,8 @@ def fit_step(df: DataFrame, step: dict):
     if t == "scale_numerical":
         return fit_scale(df, step.get("columns", []))
     if t == "fill_missing":
-        return fit_fill(df, step.get("columns"), step.get("method", "mean"), step.get("value", 0))
+        return fit_fill(df, step.get("columns"), step.get("method", "mean"), step.get("value", 0),
+                        bool(step.get("approx", False)), int(step.get("accuracy", 10_000)))
     return None
 
 
