@@ -71,3 +71,17 @@ def test_json_document_and_lines(spark, tmp_out):
     # a list of paths is read whole
     both = readers.read_table(spark, {"source_type": "json", "input_path": [lines, lines], "lines": True})
     assert both.count() == 4
+
+
+def test_run_monitoring_from_config(spark, tmp_out):
+    from tidemark.plans.monitor_job import run_monitoring
+    ref = spark.createDataFrame([("a", float(i), "2024-01-01") for i in range(40)], "c string, x double, ts string")
+    cur = spark.createDataFrame([("b", float(i) + 50, "2024-02-01") for i in range(40)], "c string, x double, ts string")
+    ref.write.parquet(f"{tmp_out}/ref.parquet")
+    cur.coalesce(1).write.option("header", True).csv(f"{tmp_out}/cur.csv")
+    res = run_monitoring(spark, {"reference_data_path": f"{tmp_out}/ref.parquet",
+                                 "current_data_path": f"{tmp_out}/cur.csv", "datetime_column": "ts",
+                                 "output_path": f"{tmp_out}/out"})
+    assert res.data_drift_detected and sorted(res.drifted_columns) == ["c", "x"]
+    assert spark.read.parquet(f"{tmp_out}/out/drift_summary").count() == 1
+    assert "computed_at" in spark.read.parquet(f"{tmp_out}/out/drift_columns").columns
