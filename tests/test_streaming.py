@@ -40,3 +40,24 @@ def test_scoring_on_arrival(spark, tmp_out):
     out = spark.read.parquet(f"{tmp_out}/scored")
     assert out.count() == 40
     assert {r["prediction"] for r in out.collect()} <= {"hi", "lo"}
+
+
+def test_windowed_daily_drift_closes_days_by_watermark(spark, tmp_out):
+    rows = [(f"2024-01-0{d} 0{h}:00:00", t) for d in (1, 2) for h in range(4) for t in ("a", "b", "b")]
+    rows.append(("2024-01-09 00:00:00", "a"))  # advances the watermark past days 1 and 2
+    df = spark.createDataFrame(rows, "ts string, kind string").select(F.to_timestamp("ts").alias("ts"), "kind")
+    src = f"{tmp_out}/src"
+    df.where(F.dayofmonth("ts") < 9).coalesce(1).write.parquet(f"{src}/a")
+    df.where(F.dayofmonth("ts") == 9).coalesce(1).write.parquet(f"{src}/b")
+    ref = spark.createDataFrame([("a",), ("b",)], "kind string")
+    stream = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", True).parquet(src))
+    q = monitor.start_daily_drift_windowed(stream, ref, ["kind"], "ts", f"{tmp_out}/out", f"{tmp_out}/state",
+                                           f"{tmp_out}/ckpt", watermark="1 hour")
+    q.awaitTermination()
+    got = {str(r["day"]): round(r["js_divergence"], 12) for r in spark.read.parquet(f"{tmp_out}/out").collect()}
+    counts = df.where(F.dayofmonth("ts") < 9).select(F.to_date("ts").alias("day"), F.col("kind").alias("value")) \
+        .groupBy("day", F.lit("kind").alias("column"), "value").agg(F.count(F.lit(1)).alias("n"))
+    ref_path = monitor.write_reference_counts(ref, ["kind"], f"{tmp_out}/refc")
+    want = {str(r["day"]): round(r["js_divergence"], 12) for r in monitor.daily_js(spark, ref_path, counts).collect()}
+    assert got == want and set(got) == {"2024-01-01", "2024-01-02"}

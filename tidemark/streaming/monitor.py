@@ -102,3 +102,29 @@ def start_scoring(trained: ml.TrainedModel, stream: DataFrame, out_path: str, ch
     writer = scored.writeStream.format("parquet").option("path", out_path) \
         .option("checkpointLocation", checkpoint_path).outputMode("append")
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns: list[str], ts_col: str,
+                               out_path: str, state_path: str, checkpoint_path: str,
+                               watermark: str = "1 day", js_threshold: float = DEFAULT_JS_THRESHOLD,
+                               trigger: dict | None = None) -> StreamingQuery:
+    """Watermarked variant: per-(day, column, value) counts are kept in the
+    streaming state of a ``window(ts, "1 day")`` aggregation and emitted in
+    append mode once the watermark passes the day's end -- all groups of a day
+    close together, so each micro-batch holds whole days. The reference counts
+    are written once as a table. Rows later than the watermark are dropped
+    (use ``start_daily_drift`` to accept any lateness)."""
+    spark = stream.sparkSession
+    ref_path = write_reference_counts(reference, columns, f"{state_path}/reference_counts")
+    long = _long_counts(stream.withWatermark(ts_col, watermark).select(ts_col, *columns), columns, [ts_col])
+    counts = long.groupBy(F.window(ts_col, "1 day").alias("w"), "column", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        days = batch.select(F.to_date(F.col("w.start")).alias("day"), "column", "value", "n")
+        daily_js(spark, ref_path, days, js_threshold).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
+
+    writer = counts.writeStream.outputMode("append").foreachBatch(process) \
+        .option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
