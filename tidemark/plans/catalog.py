@@ -330,6 +330,11 @@ def q_perf_report(spark, sf_dir):
                                 ("baseline_value", "current_value", "change_pct")], "status")
 
 
+def q_perf_report_counts(spark, sf_dir):
+    cur, base = _perf_inputs(spark, sf_dir)
+    return perf.report_counts(perf.performance_report(cur, base, PERF_CONFIG))
+
+
 # ---------------------------------------------------------------- split
 
 def q_split_three_way(spark, sf_dir):
@@ -610,6 +615,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "perf_below_floor": q_perf_below_floor,
     "perf_changes": q_perf_changes,
     "perf_report": q_perf_report,
+    "perf_report_counts": q_perf_report_counts,
     "perf_summary": q_perf_summary,
     "split_kfold": q_split_kfold,
     "split_three_way": q_split_three_way,

@@ -358,6 +358,13 @@ SELECT metric, round(baseline_value, 9) AS baseline_value, round(current_value,
 FROM d ORDER BY abs(change_pct) DESC, metric
 """
 
+PERF_REPORT_COUNTS = _PERF_BASE + """,
+st AS (SELECT CASE WHEN (lower AND change_pct > 10.0) OR (NOT lower AND change_pct < -10.0) THEN 'degraded'
+                   WHEN (lower AND change_pct < -10.0) OR (NOT lower AND change_pct > 10.0) THEN 'improved'
+                   ELSE 'unchanged' END AS status FROM d)
+SELECT status, CAST(count(*) AS BIGINT) AS n FROM st GROUP BY 1
+"""
+
 # ---------------------------------------------------------------- split
 
 SPLIT_THREE_WAY = """
@@ -500,6 +507,7 @@ FROM orders
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "perf_report_counts": PERF_REPORT_COUNTS,
     "split_kfold": SPLIT_KFOLD,
     "drift_wasserstein": DRIFT_WASSERSTEIN,
     "quality_missing_share": QUALITY_MISSING_SHARE,
