@@ -335,6 +335,12 @@ def q_perf_report_counts(spark, sf_dir):
     return perf.report_counts(perf.performance_report(cur, base, PERF_CONFIG))
 
 
+def q_perf_report_long(spark, sf_dir):
+    cur, base = _perf_inputs(spark, sf_dir)
+    long = perf.report_long(perf.performance_report(cur, base, PERF_CONFIG))
+    return long.withColumn("value", round9(F.col("value")))
+
+
 # ---------------------------------------------------------------- split
 
 def q_split_three_way(spark, sf_dir):
@@ -616,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "perf_changes": q_perf_changes,
     "perf_report": q_perf_report,
     "perf_report_counts": q_perf_report_counts,
+    "perf_report_long": q_perf_report_long,
     "perf_summary": q_perf_summary,
     "split_kfold": q_split_kfold,
     "split_three_way": q_split_three_way,

@@ -365,6 +365,12 @@ st AS (SELECT CASE WHEN (lower AND change_pct > 10.0) OR (NOT lower AND change_p
 SELECT status, CAST(count(*) AS BIGINT) AS n FROM st GROUP BY 1
 """
 
+PERF_REPORT_LONG = _PERF_BASE + """,
+w AS (SELECT metric, baseline_value AS "Baseline", current_value AS "Current" FROM d)
+SELECT metric, variable, round(value, 9) AS value
+FROM (UNPIVOT w ON "Baseline", "Current" INTO NAME variable VALUE value)
+"""
+
 # ---------------------------------------------------------------- split
 
 SPLIT_THREE_WAY = """
@@ -508,6 +514,7 @@ FROM orders
 
 ORACLE_SQL: dict[str, str] = {
     "perf_report_counts": PERF_REPORT_COUNTS,
+    "perf_report_long": PERF_REPORT_LONG,
     "split_kfold": SPLIT_KFOLD,
     "drift_wasserstein": DRIFT_WASSERSTEIN,
     "quality_missing_share": QUALITY_MISSING_SHARE,
