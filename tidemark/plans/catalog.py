@@ -232,6 +232,22 @@ def q_prep_fill_constant(spark, sf_dir):
     return _fill(spark, sf_dir, "constant", ["l_quantity", "l_extendedprice", "l_returnflag"], value=0)
 
 
+def q_prep_fit_then_transform(spark, sf_dir):
+    """Fit on orders before 1998, transform the later orders with the
+    training statistics (median fill, label codes, mean / std)."""
+    o = table(spark, sf_dir, "orders")
+    o = o.select("o_orderkey", null_every_7th("o_orderkey", "o_totalprice").alias("o_totalprice"),
+                 "o_orderpriority", "o_orderdate")
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    train = o.where(F.col("o_orderdate") < cut).drop("o_orderdate")
+    new = o.where(F.col("o_orderdate") >= cut).drop("o_orderdate")
+    steps = [{"type": "fill_missing", "columns": ["o_totalprice"], "method": "median"},
+             {"type": "encode_categorical", "columns": ["o_orderpriority"], "method": "label"},
+             {"type": "scale_numerical", "columns": ["o_totalprice"]}]
+    _, fitted = prep.fit_transform(train, steps)
+    return _rounded(prep.transform(new, fitted), {"o_totalprice"})
+
+
 CHAIN_STEPS = [
     {"type": "drop_columns", "columns": ["props", "ts"]},
     {"type": "drop_duplicates"},
@@ -602,6 +618,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prep_fill_mean": q_prep_fill_mean,
     "prep_fill_median": q_prep_fill_median,
     "prep_fill_mode": q_prep_fill_mode,
+    "prep_fit_then_transform": q_prep_fit_then_transform,
     "prep_label_encode": q_prep_label_encode,
     "prep_one_hot": q_prep_one_hot,
     "prep_one_hot_drop_first": q_prep_one_hot_drop_first,

@@ -253,6 +253,21 @@ SELECT l_orderkey, l_partkey, round(coalesce(l_quantity, 0.0), 9) AS l_quantity,
        round(coalesce(l_extendedprice, 0.0), 9) AS l_extendedprice, coalesce(l_returnflag, '0') AS l_returnflag FROM f
 """
 
+PREP_FIT_THEN_TRANSFORM = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+                  o_orderpriority, o_orderdate FROM orders),
+tr AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+nw AS (SELECT * FROM o WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+med AS (SELECT median(o_totalprice) AS m FROM tr),
+trf AS (SELECT coalesce(o_totalprice, m) AS p FROM tr, med),
+st AS (SELECT avg(p) AS mu, stddev_samp(p) AS sd FROM trf),
+codes AS (SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS code
+          FROM (SELECT DISTINCT o_orderpriority FROM tr WHERE o_orderpriority IS NOT NULL))
+SELECT nw.o_orderkey, round((coalesce(nw.o_totalprice, m) - mu) / sd, 9) AS o_totalprice,
+       codes.code AS o_orderpriority
+FROM nw JOIN codes USING (o_orderpriority), med, st
+"""
+
 PREP_CHAIN = """
 WITH e AS (SELECT DISTINCT event_id, user_id, event_type,
                   CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value FROM events),
@@ -548,6 +563,7 @@ ORACLE_SQL: dict[str, str] = {
     "prep_fill_median": PREP_FILL_MEDIAN,
     "prep_fill_mode": PREP_FILL_MODE,
     "prep_fill_constant": PREP_FILL_CONSTANT,
+    "prep_fit_then_transform": PREP_FIT_THEN_TRANSFORM,
     "prep_chain": PREP_CHAIN,
     "drift_categorical": DRIFT_CATEGORICAL,
     "drift_numeric_ks": DRIFT_NUMERIC_KS,
