@@ -390,6 +390,21 @@ def _model_versions(spark, sf_dir):
         F.max("event_id").cast("string").alias("run_id"))
 
 
+def q_models_latest_production(spark, sf_dir):
+    return runs.latest_versions(_model_versions(spark, sf_dir), stage="Production")
+
+
+def q_runs_latest_baseline(spark, sf_dir):
+    """A baseline table with one stamp per day (metrics of that day's events);
+    the active baseline is the latest stamp's rows."""
+    ev = table(spark, sf_dir, "events")
+    daily = ev.groupBy(F.to_date("ts").cast("timestamp").alias("as_of")).agg(
+        F.avg("value").alias("mean_value"), F.count(F.lit(1)).cast("double").alias("n_events"),
+        F.avg(F.when(F.col("event_type") == "error", 1.0).otherwise(0.0)).alias("error_share"))
+    baselines = daily.unpivot(["as_of"], ["mean_value", "n_events", "error_share"], "metric", "value")
+    return runs.latest_baseline(baselines).withColumn("value", round9(F.col("value")))
+
+
 def q_models_latest_version(spark, sf_dir):
     return runs.latest_versions(_model_versions(spark, sf_dir))
 
@@ -645,6 +660,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_three_way": q_split_three_way,
     "runs_latest_metric": q_runs_latest_metric,
     "models_latest_version": q_models_latest_version,
+    "models_latest_production": q_models_latest_production,
+    "runs_latest_baseline": q_runs_latest_baseline,
     "train_feature_importance": q_train_feature_importance,
     "train_gbt_cls": q_train_gbt_cls,
     "train_gbt_multi": q_train_gbt_multi,

@@ -527,7 +527,21 @@ SELECT o_orderkey, o_orderpriority,
 FROM orders
 """
 
+MODELS_LATEST_PRODUCTION = MODELS_LATEST_VERSION.replace(
+    "FROM v GROUP BY 1, 2", "FROM v WHERE stage = 'Production' GROUP BY 1, 2")
+
+RUNS_LATEST_BASELINE = """
+WITH d AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS as_of, avg(value) AS mean_value,
+                  CAST(count(*) AS DOUBLE) AS n_events,
+                  avg(CASE WHEN event_type = 'error' THEN 1.0e0 ELSE 0.0e0 END) AS error_share
+           FROM events GROUP BY 1),
+l AS (UNPIVOT d ON mean_value, n_events, error_share INTO NAME metric VALUE value)
+SELECT metric, round(value, 9) AS value FROM l WHERE as_of = (SELECT max(as_of) FROM l)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "models_latest_production": MODELS_LATEST_PRODUCTION,
+    "runs_latest_baseline": RUNS_LATEST_BASELINE,
     "perf_report_counts": PERF_REPORT_COUNTS,
     "perf_report_long": PERF_REPORT_LONG,
     "split_kfold": SPLIT_KFOLD,
