@@ -539,7 +539,12 @@ l AS (UNPIVOT d ON mean_value, n_events, error_share INTO NAME metric VALUE valu
 SELECT metric, round(value, 9) AS value FROM l WHERE as_of = (SELECT max(as_of) FROM l)
 """
 
+STREAM_DAILY_DRIFT_WINDOWED = STREAM_DAILY_DRIFT.rstrip() + """
+WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "stream_daily_drift_windowed": STREAM_DAILY_DRIFT_WINDOWED,
     "models_latest_production": MODELS_LATEST_PRODUCTION,
     "runs_latest_baseline": RUNS_LATEST_BASELINE,
     "perf_report_counts": PERF_REPORT_COUNTS,

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.exprs import js_term, safe_div
@@ -113,15 +114,24 @@ def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns:
     append mode once the watermark passes the day's end -- all groups of a day
     close together, so each micro-batch holds whole days. The reference counts
     are written once as a table. Rows later than the watermark are dropped
-    (use ``start_daily_drift`` to accept any lateness)."""
+    (use ``start_daily_drift`` to accept any lateness). Days are UTC calendar
+    days of the event time; a TIMESTAMP_NTZ column is read as UTC."""
     spark = stream.sparkSession
     ref_path = write_reference_counts(reference, columns, f"{state_path}/reference_counts")
+    if isinstance(stream.schema[ts_col].dataType, T.TimestampNTZType):
+        # Watermarks need an instant: read the wall clock as UTC, so days stay
+        # the calendar days of the data whatever the session time zone.
+        stream = stream.withColumn(ts_col, F.to_timestamp(
+            F.concat(F.date_format(F.col(ts_col), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")),
+            "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
     long = _long_counts(stream.withWatermark(ts_col, watermark).select(ts_col, *columns), columns, [ts_col])
     counts = long.groupBy(F.window(ts_col, "1 day").alias("w"), "column", "value").agg(
         F.count(F.lit(1)).alias("n"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select(F.to_date(F.col("w.start")).alias("day"), "column", "value", "n")
+        # UTC day of the window start, independent of the session time zone.
+        day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+        days = batch.select(day.alias("day"), "column", "value", "n")
         daily_js(spark, ref_path, days, js_threshold).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
 
