@@ -26,10 +26,11 @@ SOURCE_TYPES = ("csv", "parquet", "json")
 
 def resolve_source(config: dict) -> tuple[str, str | list[str]]:
     """(source_type, path) from an ingestion config: ``input_path`` overrides
-    ``source_path`` (``data_source`` accepted as an alias); a list of paths is
-    read whole."""
+    ``source_path`` (``data_source`` and ``data_path`` accepted as aliases); a
+    list of paths is read whole."""
     source_type = config.get("source_type", "csv")
-    path = config.get("input_path") or config.get("source_path") or config.get("data_source")
+    path = (config.get("input_path") or config.get("source_path") or config.get("data_source")
+            or config.get("data_path"))
     if not path:
         raise ValueError("Source path must be specified in the configuration")
     if isinstance(path, list):
