@@ -137,3 +137,11 @@ def test_exact_ks_pvalue_matches_enumeration(spark):
     assert abs(r["p_value"] - hits / total) < 1e-12
     asym = drift.numeric_drift(ref, cur, ["v"]).first()["p_value"]
     assert asym != r["p_value"]
+
+
+def test_type_mismatch_is_an_error_row(spark):
+    ref = _df(spark, [(1.0, "a"), (2.0, "b")], "x double, c string")
+    cur = _df(spark, [("oops", "a"), ("1.5", "b")], "x string, c string")
+    rows = {r["column"]: r for r in drift.detect_drift(ref, cur, {}).columns.collect()}
+    assert rows["x"]["error"].startswith("unsupported type") and not rows["x"]["drift_detected"]
+    assert rows["c"]["kind"] == "categorical"

@@ -269,6 +269,13 @@ def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftC
     spark = reference.sparkSession
     common = common_columns(reference, current)
     cat, num, bad = route_columns(reference, common, cfg)
+    # A numeric reference column that is not numeric in the current table
+    # cannot be compared: report it as an error row instead of failing.
+    cur_types = {f.name: f.dataType for f in current.schema.fields}
+    mismatched = [c for c in num if not isinstance(cur_types[c], _NUMERIC)]
+    num = [c for c in num if c not in mismatched]
+    bad = bad + [(c, f"{dict((f.name, f.dataType) for f in reference.schema.fields)[c].simpleString()} "
+                     f"vs {cur_types[c].simpleString()}") for c in mismatched]
     # One pair of global aggregates gives the non-null totals of every tested
     # column; both halves read the same (broadcast, one row per column) table.
     totals = side_totals(reference, current, cat + num) if cat + num else None
