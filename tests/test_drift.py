@@ -145,3 +145,19 @@ def test_type_mismatch_is_an_error_row(spark):
     rows = {r["column"]: r for r in drift.detect_drift(ref, cur, {}).columns.collect()}
     assert rows["x"]["error"].startswith("unsupported type") and not rows["x"]["drift_detected"]
     assert rows["c"]["kind"] == "categorical"
+
+
+def test_reference_profile_gives_same_result(spark, tmp_path):
+    ref = spark.range(500).select((F.col("id") % 13).cast("double").alias("x"),
+                                  F.concat(F.lit("k"), (F.col("id") % 4).cast("string")).alias("c"))
+    cur = spark.range(300).select(((F.col("id") * 3) % 17).cast("double").alias("x"),
+                                  F.concat(F.lit("k"), (F.col("id") % 6).cast("string")).alias("c"))
+    direct = {r["column"]: tuple(r) for r in drift.detect_drift(ref, cur, {}).columns.collect()}
+    path = drift.reference_profile(ref, {}, str(tmp_path / "profile"))
+    cached = {r["column"]: tuple(r) for r in drift.detect_drift(ref, cur, {}, profile_path=path).columns.collect()}
+    assert set(direct) == set(cached) == {"x", "c"}
+    for k in direct:
+        a, b = direct[k], cached[k]
+        assert a[:3] == b[:3] and a[6:] == b[6:]
+        for x, y in zip(a[3:6], b[3:6]):
+            assert (x is None and y is None) or abs(x - y) < 1e-12

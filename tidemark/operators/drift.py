@@ -122,22 +122,40 @@ def _long(df: DataFrame, columns: list[str], value_type: str, is_ref: int) -> Da
 
 
 def side_counts(reference: DataFrame, current: DataFrame, columns: list[str],
-                value_type: str) -> DataFrame:
+                value_type: str, profile: DataFrame | None = None) -> DataFrame:
     """(column, value, n_ref, n_cur) per distinct non-null value, the union of
-    both sides' keys with 0 for an absent side. One shuffle."""
+    both sides' keys with 0 for an absent side. One shuffle. With a stored
+    reference ``profile`` (column, value, n_ref) only the current side is
+    scanned."""
+    if profile is not None:
+        ref = (profile.where(F.col("column").isin(columns))
+               .select("column", F.col("value").cast(value_type).alias("value"),
+                       F.col("n_ref").cast("long").alias("n_ref"), F.lit(0).cast("long").alias("n_cur")))
+        cur = _long(current, columns, value_type, 0).select(
+            "column", "value", F.lit(0).cast("long").alias("n_ref"), F.lit(1).cast("long").alias("n_cur"))
+        return ref.unionByName(cur).groupBy("column", "value").agg(
+            F.sum("n_ref").cast("long").alias("n_ref"), F.sum("n_cur").cast("long").alias("n_cur"))
     both = _long(reference, columns, value_type, 1).unionByName(_long(current, columns, value_type, 0))
     return both.groupBy("column", "value").agg(
         F.sum("is_ref").cast("long").alias("n_ref"),
         F.sum(1 - F.col("is_ref")).cast("long").alias("n_cur"))
 
 
-def side_totals(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+def side_totals(reference: DataFrame, current: DataFrame, columns: list[str],
+                profile: DataFrame | None = None) -> DataFrame:
     """(column, tot_ref, tot_cur): non-null counts per column and side, from
-    two global aggregates (map-side partial counts, one row each). The result
-    has one row per column, so it is broadcast wherever it is joined."""
+    two global aggregates (map-side partial counts, one row each), or from the
+    stored reference profile. The result has one row per column, so it is
+    broadcast wherever it is joined."""
     def side(df, name):
         wide = df.agg(*[F.count(F.col(c)).cast("long").alias(c) for c in columns])
         return wide.unpivot([], columns, "column", name)
+    if profile is not None:
+        names = reference.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+        ref = names.join(profile.where(F.col("column").isin(columns)).groupBy("column")
+                         .agg(F.sum("n_ref").cast("long").alias("tot_ref")), "column", "left") \
+            .select("column", F.coalesce(F.col("tot_ref"), F.lit(0)).cast("long").alias("tot_ref"))
+        return ref.join(side(current, "tot_cur"), "column")
     return side(reference, "tot_ref").join(side(current, "tot_cur"), "column")
 
 
@@ -148,7 +166,8 @@ def _names(spark, columns: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- categorical
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str],
-                      js_threshold: float = DEFAULT_JS_THRESHOLD, totals: DataFrame | None = None) -> DataFrame:
+                      js_threshold: float = DEFAULT_JS_THRESHOLD, totals: DataFrame | None = None,
+                      profile: DataFrame | None = None) -> DataFrame:
     """One row per column: Jensen-Shannon divergence of the value shares.
 
     One plan: per-value counts (one shuffle, consumed once) joined with the
@@ -156,8 +175,8 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], DRIFT_COLUMNS_SCHEMA)
-    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns))
-    counts = side_counts(reference, current, columns, "string")
+    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns, profile))
+    counts = side_counts(reference, current, columns, "string", profile)
     js = counts.join(totals, "column").groupBy("column").agg(
         F.sum(js_term(safe_div(F.col("n_ref"), F.col("tot_ref")),
                       safe_div(F.col("n_cur"), F.col("tot_cur")))).alias("js"),
@@ -182,7 +201,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
                   p_threshold: float = DEFAULT_DRIFT_THRESHOLD, totals: DataFrame | None = None,
-                  ks_method: str = "asymp") -> DataFrame:
+                  ks_method: str = "asymp", profile: DataFrame | None = None) -> DataFrame:
     """One row per column: KS statistic, p-value, drift iff p < threshold.
     A side with no non-null value gives no statistic and an error message.
     ``ks_method``: "asymp" (limiting distribution, the default) or "auto"
@@ -193,8 +212,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], DRIFT_COLUMNS_SCHEMA)
-    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns))
-    counts = side_counts(reference, current, columns, "double")
+    totals = F.broadcast(totals if totals is not None else side_totals(reference, current, columns, profile))
+    counts = side_counts(reference, current, columns, "double", profile)
     ks = ks_statistics(counts, totals)
     out = _names(spark, columns).join(F.broadcast(ks), "column", "left")
     if ks_method == "auto":
@@ -260,7 +279,26 @@ class DriftResult:
     mismatch: DataFrame         # (column, side)
 
 
-def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftConfig | None = None) -> DriftResult:
+def reference_profile(reference: DataFrame, config: dict | DriftConfig | None, path: str) -> str:
+    """Write the reference's per-value counts once: ``<path>/categorical``
+    (column, value string, n_ref) and ``<path>/numeric`` (column, value
+    double, n_ref), so later ``detect_drift(..., profile_path=path)`` calls
+    scan only the current table."""
+    cfg = config if isinstance(config, DriftConfig) else DriftConfig.from_dict(config)
+    cat, num, _ = route_columns(reference, list(reference.columns), cfg)
+    for kind, cols, typ in (("categorical", cat, "string"), ("numeric", num, "double")):
+        schema = f"column string, value {typ}, n_ref long"
+        if cols:
+            long = _long(reference, cols, typ, 1)
+            long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_ref")) \
+                .write.mode("overwrite").parquet(f"{path}/{kind}")
+        else:
+            reference.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{kind}")
+    return path
+
+
+def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftConfig | None = None,
+                 profile_path: str | None = None) -> DriftResult:
     """Per-column drift over the common columns plus the overall verdict.
 
     total_columns counts every common column, the skipped datetime column
@@ -276,11 +314,20 @@ def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftC
     num = [c for c in num if c not in mismatched]
     bad = bad + [(c, f"{dict((f.name, f.dataType) for f in reference.schema.fields)[c].simpleString()} "
                      f"vs {cur_types[c].simpleString()}") for c in mismatched]
-    # One pair of global aggregates gives the non-null totals of every tested
-    # column; both halves read the same (broadcast, one row per column) table.
-    totals = side_totals(reference, current, cat + num) if cat + num else None
-    parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, totals),
-             numeric_drift(reference, current, num, cfg.drift_threshold, totals, cfg.ks_method)]
+    if profile_path:
+        # Stored reference counts: only the current table is scanned.
+        spark_ = reference.sparkSession
+        pc = spark_.read.parquet(f"{profile_path}/categorical")
+        pn = spark_.read.parquet(f"{profile_path}/numeric")
+        parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, profile=pc),
+                 numeric_drift(reference, current, num, cfg.drift_threshold, ks_method=cfg.ks_method,
+                               profile=pn)]
+    else:
+        # One pair of global aggregates gives the non-null totals of every tested
+        # column; both halves read the same (broadcast, one row per column) table.
+        totals = side_totals(reference, current, cat + num) if cat + num else None
+        parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, totals),
+                 numeric_drift(reference, current, num, cfg.drift_threshold, totals, cfg.ks_method)]
     if bad:
         parts.append(spark.createDataFrame(
             [(c, "unsupported", "none", None, None, None, None, None, False, f"unsupported type {t}")
@@ -325,9 +372,12 @@ class DataDriftMonitor:
         self.spark = spark
         self.config = dict(config or {})
         self.reference: DataFrame | None = None
+        self.profile_path: str | None = None
         path = self.config.get("reference_data_path")
         if path:
             self.load_reference_data(path)
+            if self.config.get("reference_profile_path"):
+                self.build_reference_profile()
 
     def load_reference_data(self, path: str | None = None) -> DataFrame:
         from tidemark.sources.readers import read_by_extension
@@ -339,8 +389,20 @@ class DataDriftMonitor:
 
     def set_reference(self, df: DataFrame) -> None:
         self.reference = df
+        self.profile_path = None
+
+    def build_reference_profile(self, path: str | None = None) -> str:
+        """Store the reference's per-value counts (config key
+        ``reference_profile_path``); later comparisons scan only current data."""
+        if self.reference is None:
+            raise ValueError("Reference data not loaded. Call load_reference_data() first.")
+        path = path or self.config.get("reference_profile_path")
+        if not path:
+            raise ValueError("No path for the reference profile")
+        self.profile_path = reference_profile(self.reference, self.config, path)
+        return self.profile_path
 
     def detect_drift(self, current: DataFrame) -> DriftResult:
         if self.reference is None:
             raise ValueError("Reference data not loaded. Call load_reference_data() first.")
-        return detect_drift(self.reference, current, self.config)
+        return detect_drift(self.reference, current, self.config, getattr(self, "profile_path", None))
