@@ -181,3 +181,13 @@ def test_factories_accept_json_paths(spark, tmp_out):
                    "evaluator": {"metrics": ["mse", "r2"]}}, f)
     mp = create_model_pipeline(spark, q)
     assert mp.trainer.model_type == "gradient_boosting" and mp.metrics == ["mse", "r2"]
+
+
+def test_log_metrics_and_params_tables(spark, tmp_out):
+    rid = runs.log_metrics(spark, f"{tmp_out}/m", "model_a", {"accuracy": 0.8}, step=1)
+    runs.log_metrics(spark, f"{tmp_out}/m", "model_a", {"accuracy": 0.9}, step=2, run_id=rid)
+    runs.log_params(spark, f"{tmp_out}/p", rid, {"n_estimators": 10, "max_depth": 5})
+    last = runs.latest_metrics(spark.read.parquet(f"{tmp_out}/m")).first()
+    assert (last["model"], last["last_step"], last["last_value"], last["n_points"]) == ("model_a", 2, 0.9, 2)
+    params = {r["param"]: r["value"] for r in spark.read.parquet(f"{tmp_out}/p").collect()}
+    assert params == {"n_estimators": "10", "max_depth": "5"}
