@@ -191,3 +191,12 @@ def test_log_metrics_and_params_tables(spark, tmp_out):
     assert (last["model"], last["last_step"], last["last_value"], last["n_points"]) == ("model_a", 2, 0.9, 2)
     params = {r["param"]: r["value"] for r in spark.read.parquet(f"{tmp_out}/p").collect()}
     assert params == {"n_estimators": "10", "max_depth": "5"}
+
+
+def test_sample_table_shape_and_determinism(spark):
+    a = sample_table(spark, 200, 7)
+    b = sample_table(spark, 200, 7)
+    assert a.columns == ["id", "feature1", "feature2", "category", "target"]
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+    cats = {r["category"] for r in a.select("category").distinct().collect()}
+    assert cats <= {"A", "B", "C"} and {r["target"] for r in a.select("target").distinct().collect()} <= {0, 1}
