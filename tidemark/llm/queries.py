@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, url_filter
+from tidemark.llm import bpe, packing, substring, url_filter
 from tidemark.llm.common import read_table
 
 
@@ -22,12 +23,17 @@ def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 35)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_url_automaton, op7_kk_packing)}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_url_automaton, op6_substring_doubling, op7_kk_packing)}
 
 ORACLE_SQL = {
     "op4_url_automaton": """
