@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, substring, url_filter
+from tidemark.llm import bpe, langid, packing, substring, toxicity, url_filter
 from tidemark.llm.common import read_table
 
 
@@ -15,6 +15,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from documents whose crc32 modulo 3 is not 1."""
+    return langid.fit(docs.where(toxicity.fold("doc_id", 3) != 1).select("text", "lang"))
+
+
+def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(toxicity.fold("doc_id", 3) == 1, F.lit(False))
+    done = langid.predict(docs.select("doc_id", "text"), language_model(docs))
+    return done.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
@@ -33,7 +45,22 @@ def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_url_automaton, op6_substring_doubling, op7_kk_packing)}
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    """Learned from labelled documents whose crc32 modulo 5 is not 0."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labels = toxicity.bounded(labels.where(toxicity.fold("doc_id", 5) != 0).where("toxic IS NOT NULL"))
+    return toxicity.fit(toxicity.labelled(docs.select("doc_id", "text"), labels))
+
+
+def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    held = F.coalesce(toxicity.fold("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_language_crf, op4_url_automaton, op6_substring_doubling, op7_kk_packing,
+                              op10_toxicity_fm)}
 
 ORACLE_SQL = {
     "op4_url_automaton": """

@@ -36,6 +36,11 @@ def inverse(base: np.uint64) -> np.uint64:
     return np.uint64(pow(int(base), -1, 1 << 64))
 
 
+def salted(x: np.ndarray, salt: int) -> np.ndarray:
+    """A mixed hash of ``x``, another one for every salt."""
+    return mix(x + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -85,3 +90,11 @@ class Words:
 
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]]
+
+
+_LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
+
+
+def letters(texts: list[str | None]) -> list[bytes]:
+    """Texts in lower case with every ASCII character but letters as a space."""
+    return [(t or "").lower().encode().translate(_LETTERS) for t in texts]
