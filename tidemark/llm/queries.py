@@ -7,10 +7,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, substring, toxicity, url_filter
+from tidemark.llm import ann, bpe, langid, packing, rp_forest, substring, toxicity, url_filter
 from tidemark.llm.common import read_table
 
 
+def op1_ads_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -45,6 +50,10 @@ def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op9_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.links(read_table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
     """Learned from labelled documents whose crc32 modulo 5 is not 0."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -59,7 +68,7 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_language_crf, op4_url_automaton, op6_substring_doubling, op7_kk_packing,
+QUERIES = {f.__name__: f for f in (op1_ads_search, op2_byte_bpe, op3_language_crf, op4_url_automaton, op6_substring_doubling, op7_kk_packing, op9_rp_forest,
                               op10_toxicity_fm)}
 
 ORACLE_SQL = {
