@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, packing, rp_forest, substring, toxicity, url_filter
+from tidemark.llm import ann, bpe, langid, packing, rp_forest, substring, toxicity, training_order, url_filter
 from tidemark.llm.common import read_table
+from tidemark.session import scratch_path
 
 
 def op1_ads_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,13 @@ def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = scratch_path(spark, "training-order")
+    manifest = training_order.write(docs, out, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return training_order.slots(spark, out, manifest)
+
+
 def op9_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.links(read_table(spark, sf_dir, "embeddings"), 0.98)
 
@@ -68,8 +76,8 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ads_search, op2_byte_bpe, op3_language_crf, op4_url_automaton, op6_substring_doubling, op7_kk_packing, op9_rp_forest,
-                              op10_toxicity_fm)}
+QUERIES = {f.__name__: f for f in (op1_ads_search, op2_byte_bpe, op3_language_crf, op4_url_automaton, op6_substring_doubling, op7_kk_packing, op8_training_order,
+                              op9_rp_forest, op10_toxicity_fm)}
 
 ORACLE_SQL = {
     "op4_url_automaton": """
