@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, packing, rp_forest, substring, toxicity, training_order, url_filter
+from tidemark.llm import ann, bpe, langid, omh, packing, rp_forest, substring, toxicity, training_order, url_filter
 from tidemark.llm.common import read_table
 from tidemark.session import scratch_path
 
@@ -41,6 +41,10 @@ def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return omh.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op6_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 35)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -76,7 +80,7 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ads_search, op2_byte_bpe, op3_language_crf, op4_url_automaton, op6_substring_doubling, op7_kk_packing, op8_training_order,
+QUERIES = {f.__name__: f for f in (op1_ads_search, op2_byte_bpe, op3_language_crf, op4_url_automaton, op5_order_minhash, op6_substring_doubling, op7_kk_packing, op8_training_order,
                               op9_rp_forest, op10_toxicity_fm)}
 
 ORACLE_SQL = {
