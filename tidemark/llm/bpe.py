@@ -32,7 +32,7 @@ LONG_PIECE = 1024
 #: Cells of one padded matrix.
 MATRIX_CELLS = 1 << 20
 #: Encoded chunks kept per Python worker; later chunks are encoded again.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 700_000
 
 
 class PairTable:
@@ -229,34 +229,38 @@ class Encoder:
             start = end
         return out
 
-    def encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk; a space and letters is one piece as it stands."""
-        split = {c: self.pattern.findall(c) for c in chunks if not c[1:].isalpha() or c[0] != " "}
-        pieces = {c for c in chunks if c not in split}.union(*split.values())
-        ids = {p: self.kept[p] for p in pieces if p in self.kept}
-        new = [p for p in pieces if p not in ids]
-        ids |= zip(new, self.encode_pieces([p.encode() for p in new]), strict=True)
-        return ids | {c: b"".join([ids[p] for p in s]) for c, s in split.items()}
+        split = [[c] if c[:1] == " " and c[1:].isalpha() else self.pattern.findall(c) for c in chunks]
+        pieces = list({p for s in split for p in s})
+        ids = dict(zip(pieces, self.encode_pieces([p.encode() for p in pieces]), strict=True))
+        return [ids[s[0]] if len(s) == 1 else b"".join([ids[p] for p in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """A space after a character that is no white space always begins a
-        piece, so texts are cut there and each distinct chunk is encoded once."""
-        split = []
+        piece, so texts are cut there and each distinct chunk is encoded once.
+        A chunk's key is its text after that space, or ``\\n `` and its whole
+        text where no space was cut off."""
+        keys, ends = [], [0]
         for t in texts:
             if self.ODD_SPACE.search(t):
-                split.append(self.pattern.findall(t))
-            else:
-                first, *rest = t.split(" ")
-                split.append([first, *[" " + w for w in rest]])
+                keys += ["\n " + p for p in self.pattern.findall(t)]
+            elif t:
+                own = t.split(" ")
+                own[0] = "\n " + own[0]
+                keys += own
+            ends.append(len(keys))
         kept = self.kept
-        new = set().union(*split).difference(kept)
-        if new:
-            coded = self.encode_chunks(list(new))
-            if len(kept) < KEPT_CHUNKS:
+        ids = list(map(kept.get, keys))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            new = list({keys[i] for i in missing})
+            coded = dict(zip(new, self.encode_chunks([k[2:] if k[:2] == "\n " else " " + k for k in new]), strict=True))
+            for i in missing:
+                ids[i] = coded[keys[i]]
+            if len(kept) < KEPT_CHUNKS:  # what comes first stays: frequent chunks come early
                 kept.update(coded)
-            else:
-                kept = {c: kept[c] if c in kept else coded[c] for s in split for c in s}
-        return [b"".join(map(kept.__getitem__, s)) for s in split]
+        return [b"".join(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 @functools.lru_cache(maxsize=4)

@@ -50,9 +50,12 @@ def op6_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packed(read_table(spark, sf_dir, "documents"))
 
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
