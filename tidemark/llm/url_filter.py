@@ -26,6 +26,7 @@ class Automaton:
     ``/``) or ANY_STAR (any run). A pattern matches a whole string."""
 
     def __init__(self, patterns: Sequence[Sequence[int]]):
+        patterns = [self._single_stars(p) for p in patterns]
         total = sum(len(p) for p in patterns)
         self.words = words = max(1, -(-total // 64))
         self.step = np.zeros((256, words), np.uint64)  # byte -> bits that it may enter
@@ -51,6 +52,17 @@ class Automaton:
                 at += 1
             self.ends.append(at - 1)
 
+    @staticmethod
+    def _single_stars(pattern: Sequence[int]) -> list[int]:
+        """Neighbouring stars as one: the widest of them."""
+        out: list[int] = []
+        for s in pattern:
+            if out and out[-1] >= 256 and s >= 256:
+                out[-1] = max(out[-1], s)
+            else:
+                out.append(s)
+        return out
+
     def _shift(self, state: np.ndarray) -> np.ndarray:
         """One place up over all words; a pattern's first bit takes nothing over."""
         out = state << np.uint64(1)
