@@ -16,7 +16,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later uses do
-    not recompute it, and a lost executor costs nothing that came before."""
+    not recompute it, and a lost executor costs nothing that came before.
+    Grouped tables that are joined back to their rows are cut, too: only a join
+    whose sides come straight from a shuffle can have its skewed partitions
+    split at run time."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -55,11 +58,11 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     while True:
         # large star: every larger neighbour of a node points at the node's smallest neighbour
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "edges")
         e = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: every smaller neighbour, and the node itself, points at the smallest
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        e = e.join(low, "u")
+        e = cut(e, "edges")
+        e = e.join(cut(e.groupBy("u").agg(F.min("v").alias("m")), "edges"), "u")
         e = e.select(F.col("v").alias("u"), F.col("m").alias("v")).union(e.select("u", F.col("m").alias("v")))
         e = cut(e.where("u <> v").distinct(), "edges")
         before, state = state, _fingerprint(e)

@@ -186,7 +186,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     classes = cut(digested.mapInArrow(run, schema).groupBy("digest").agg(F.min("id").alias("id"), F.min("keys").alias("keys")), "omh-classes")
     keyed = classes.select("id", F.explode("keys").alias("bucket")).where("bucket <> 0")
     # any member can be the centre; its choice by a hash with the bucket differs between sketches
-    centres = keyed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id").alias("h"), "id")).alias("c"), F.count("*").alias("n")).where("n > 1").select("bucket", F.col("c.id").alias("centre"))
+    centres = keyed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id").alias("h"), "id")).alias("c"), F.count("*").alias("n"))
+    centres = cut(centres.where("n > 1").select("bucket", F.col("c.id").alias("centre")), "omh-centres")
     pairs = (keyed.join(centres, "bucket").where("id <> centre").groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
              .agg(F.count("*").alias("shared")))
     pairs = cut(pairs, "omh-pairs")

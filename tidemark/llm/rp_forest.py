@@ -133,6 +133,7 @@ def links(df: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str
     placed = cut(routed.withColumn("leaf", F.explode("leaves")), "leaves")
     # leaves of more than BLOCK_ROWS rows: every pair of blocks is a tile of its own
     big = placed.groupBy("leaf", "label").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).where("blocks > 1")
+    big = cut(big, "big-leaves")
     placed = placed.join(big, ["leaf", "label"], "left").fillna(1, ["blocks"]).withColumn("b", F.pmod(F.xxhash64("class", "leaf"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).drop("blocks", "o")

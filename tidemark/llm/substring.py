@@ -118,7 +118,7 @@ def repeated_spans(keyed: DataFrame, length: int) -> DataFrame:
     base = max(1, -(-length // 4))
     found = _anchors(keyed, length, base)
     # level 1: base windows
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    often = cut(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
     alive = cut(found.join(often, "h", "left_semi"), "anchors")
     # level 3 for whole runs, so that only their remainder needs level 2
     kinds = cut(alive.groupBy("h", "run").agg(F.count("*").alias("n"), F.min(F.struct(KEY, "anchor", "lo", "hi", "sides")).alias("one")), "runs")
@@ -129,8 +129,8 @@ def repeated_spans(keyed: DataFrame, length: int) -> DataFrame:
     left, right = F.shiftright("sides", 32), F.col("sides").bitwiseAND((1 << 32) - 1)
 
     def twice(side, name):
-        return (kinds.select("h", "n", "one.sides").groupBy("h", side.alias(name)).agg(F.sum("n").alias("n"))
-                .where("n > 1").select("h", name, F.lit(True).alias(f"{name}_again")))
+        counted = kinds.select("h", "n", "one.sides").groupBy("h", side.alias(name)).agg(F.sum("n").alias("n"))
+        return cut(counted.where("n > 1").select("h", name, F.lit(True).alias(f"{name}_again")), "twice")
 
     edges = (edges.withColumns({"l": left, "r": right}).join(twice(left, "l"), ["h", "l"], "left").join(twice(right, "r"), ["h", "r"], "left"))
     # a window that reaches `base` words before the anchor holds the left extension,
@@ -143,7 +143,7 @@ def repeated_spans(keyed: DataFrame, length: int) -> DataFrame:
     spans = (edges.select(KEY, "lo", "hi", F.lit(1).alias("weight")).union(witness)
              .groupBy(KEY).agg(F.collect_list(F.struct("lo", "hi", "weight")).alias("spans")))
     single = cut(_windows(keyed.join(spans, KEY), length), "windows")
-    again = single.groupBy("a", "b").agg(F.sum("weight").alias("n")).where("n > 1").select("a", "b")
+    again = cut(single.groupBy("a", "b").agg(F.sum("weight").alias("n")).where("n > 1").select("a", "b"), "again")
     late = single.where("weight = 1").join(again, ["a", "b"], "left_semi").select(KEY, F.col("at").alias("lo"), F.col("at").alias("hi"))
     return settled.union(late)
 
