@@ -102,13 +102,12 @@ def test_kfold_stratified_balanced(spark):
         assert len(s) == 4 and max(s) - min(s) <= 1, (label, s)
 
 
-def test_hot_key_paths_match_window_paths(spark, monkeypatch):
+def test_hot_key_paths_match_window_paths(spark):
     # one key value repeated over a third of the rows; force the distributed ranking
     base = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
                                     F.col("id").alias("payload"),
                                     (F.col("id") % 2).alias("y"))
     want_sizes = split.split_sizes(3000, 0.2)
-    monkeypatch.setattr(split, "WINDOW_ROWS", 50)
     tagged = split.assign_split(base, ["k"], 0.2, 42)
     counts = {r["split"]: r["count"] for r in tagged.groupBy("split").count().collect()}
     assert (counts["train"], counts["validation"], counts["test"]) == want_sizes
@@ -135,10 +134,9 @@ def test_positions_exact_with_repeated_keys(spark):
     assert [r["k"] for r in by_pos] == sorted(r["k"] for r in rows)
 
 
-def test_split_hot_bucket_on_cut(spark, monkeypatch):
+def test_split_hot_bucket_on_cut(spark):
     # every row shares the key, so the single bucket straddles both cuts
     df = spark.range(500).select(F.lit(1).alias("k"), F.col("id").alias("payload"))
-    monkeypatch.setattr(split, "WINDOW_ROWS", 10)
     tagged = split.assign_split(df, ["k"], 0.2, 42)
     counts = {r["split"]: r["count"] for r in tagged.groupBy("split").count().collect()}
     assert (counts["train"], counts["validation"], counts["test"]) == split.split_sizes(500, 0.2)

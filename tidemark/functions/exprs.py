@@ -13,6 +13,11 @@ KS_SMALL_LAMBDA = 0.2       # below this the series is 1 to double precision
 ROUND_DIGITS = 9            # result rounding shared with the SQL oracle
 
 
+def qcol(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def round9(c: Column) -> Column:
     return F.round(c, ROUND_DIGITS)
 

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.exprs import qcol
 
 CLASSIFICATION_METRICS = ("accuracy", "precision", "recall", "f1")
 REGRESSION_METRICS = ("mse", "rmse", "mae", "r2")
@@ -14,10 +17,21 @@ REGRESSION_METRICS = ("mse", "rmse", "mae", "r2")
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(label, prediction, n)."""
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+    return df.groupBy(qcol(label).alias("label"), qcol(prediction).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
+def _same_type(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(label, prediction) cast to one type, so that a class has one name in
+    both: doubles where either side is a number of another kind, else text."""
+    types = [df.select(qcol(c)).schema[0].dataType for c in (label, prediction)]
+    both = [qcol(label).alias("label"), qcol(prediction).alias("prediction")]
+    if types[0] != types[1]:
+        kind = "double" if all(isinstance(t, T.NumericType) for t in types) else "string"
+        both = [c.cast(kind).alias(n) for c, n in zip(both, ("label", "prediction"))]
+    return df.select(*both)
+
+
 def _metric_rows(df: DataFrame, values: dict, wanted) -> DataFrame:
     names = [m for m in values if m in wanted]
     if not names:
@@ -35,7 +49,7 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     wanted = set(metrics or []) or {"accuracy"}
     if not metrics:
         wanted = {"accuracy"}
-    cm = confusion(df, label, prediction)
+    cm = confusion(_same_type(df, label, prediction))
     # Each confusion cell adds to its true class (support, true positives) and
     # to its predicted class (predicted count): one pass over the cells.
     cell = F.explode(F.array(
@@ -69,7 +83,7 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     1 for a perfect fit and 0 otherwise). MSE is computed when listed or when
     the list is empty."""
     wanted = set(metrics or []) or {"mse"}
-    y, yh = F.col(label).cast("double"), F.col(prediction).cast("double")
+    y, yh = qcol(label).cast("double"), qcol(prediction).cast("double")
     agg = df.agg(F.avg(F.pow(y - yh, 2)).alias("mse"), F.avg(F.abs(y - yh)).alias("mae"),
                  F.sum(F.pow(y - yh, 2)).alias("sse"),
                  (F.var_pop(y) * F.count(y)).alias("sst"))
@@ -97,8 +111,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
     Scores are counted per distinct value (one shuffle) and scanned in
     sorted runs; no single task holds all scores."""
     from tidemark.operators.ordered import rank_auc
-    is_pos = (F.col(label) == F.lit(positive)).cast("long")
-    counts = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-              .groupBy(F.lit("score").alias("column"), F.col(score).cast("double").alias("value"))
+    is_pos = (qcol(label) == F.lit(positive)).cast("long")
+    counts = (df.where(qcol(score).isNotNull() & qcol(label).isNotNull())
+              .groupBy(F.lit("score").alias("column"), qcol(score).cast("double").alias("value"))
               .agg(F.sum(is_pos).alias("n_pos"), F.sum(1 - is_pos).alias("n_neg")))
     return rank_auc(counts).select("auc", F.col("n_pos").cast("long"), F.col("n_neg").cast("long"))

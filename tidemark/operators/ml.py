@@ -1,6 +1,6 @@
 """Model training, prediction, batch scoring and persistence on Spark ML.
 
-A trained model is a ``PipelineModel`` (VectorAssembler + estimator) plus
+A trained model is a ``PipelineModel`` (the estimator over a feature vector) plus
 the class values of a classification label, so predictions come back in the
 label's own values. Training, prediction and scoring are distributed by
 Spark ML; the driver only sees the (bounded) list of class values."""
@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import qcol
 from tidemark.operators import metrics as M
+from tidemark.sources.readers import nan_to_null
 
 MODEL_TYPES = ("random_forest", "gradient_boosting", "linear")
-MAX_CLASSES = 10_000          # classification labels are collected (bounded) to index them
 DEFAULT_N_ESTIMATORS = 100
-DEFAULT_RF_MAX_DEPTH = 5      # unbounded depth is not available in Spark ML (limit 30)
+DEFAULT_RF_MAX_DEPTH = 30     # the deepest Spark ML allows: there, no depth means unlimited
 DEFAULT_GBT_MAX_DEPTH = 3
 DEFAULT_LEARNING_RATE = 0.1
 DEFAULT_C = 1.0
@@ -70,46 +71,71 @@ class TrainedModel:
             self.model_type == "gradient_boosting" and len(self.classes) > 2)
 
 
+# Accepted hyperparameters per family. The last group only steers threads and
+# logging in single-process libraries and has no meaning on a cluster.
+_TREE_PARAMS = {"n_estimators", "max_depth", "min_samples_leaf", "max_features", "random_state"}
+_PARAMS = {"random_forest": _TREE_PARAMS, "gradient_boosting": _TREE_PARAMS | {"learning_rate", "subsample"},
+           "linear": {"C", "max_iter", "tol", "penalty", "l1_ratio", "fit_intercept", "random_state"}}
+_NO_EFFECT = {"n_jobs", "verbose"}
+
+
+def _feature_subset(value) -> str:
+    """The share or number of features a split looks at, as Spark ML spells it."""
+    if value is None:
+        return "all"
+    return str(value)  # sqrt, log2, a share in (0, 1] or a number
+
+
 def _estimator(model_type: str, task_type: str, params: dict, seed: int, n_rows: int, n_classes: int):
-    p = dict(params or {})
-    seed = int(p.pop("random_state", seed))
+    p = {k: v for k, v in (params or {}).items() if k not in _NO_EFFECT}
+    if model_type not in MODEL_TYPES:
+        raise ValueError(f"model type {model_type!r} is not one of {', '.join(MODEL_TYPES)}")
+    unknown = sorted(set(p) - _PARAMS[model_type])
+    if unknown:
+        raise ValueError(f"{model_type} has no hyperparameter {', '.join(unknown)}")
+    seed = int(p.pop("random_state", None) or seed)
     n_est = int(p.get("n_estimators", DEFAULT_N_ESTIMATORS))
     cls = task_type == "classification"
     common = dict(featuresCol=_FEATURES, labelCol=_LABEL_IDX)
+    if model_type != "linear":
+        depth = DEFAULT_RF_MAX_DEPTH if model_type == "random_forest" else DEFAULT_GBT_MAX_DEPTH
+        common |= dict(maxDepth=int(p.get("max_depth") or depth), seed=seed,
+                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)))
+        if "max_features" in p:
+            common["featureSubsetStrategy"] = _feature_subset(p["max_features"])
     if model_type == "random_forest":
-        kw = dict(numTrees=n_est, maxDepth=int(p.get("max_depth") or DEFAULT_RF_MAX_DEPTH), seed=seed,
-                  minInstancesPerNode=int(p.get("min_samples_leaf", 1)), **common)
-        return RandomForestClassifier(**kw) if cls else RandomForestRegressor(**kw)
+        return (RandomForestClassifier if cls else RandomForestRegressor)(numTrees=n_est, **common)
     if model_type == "gradient_boosting":
-        kw = dict(maxIter=n_est, maxDepth=int(p.get("max_depth") or DEFAULT_GBT_MAX_DEPTH),
-                  stepSize=float(p.get("learning_rate", DEFAULT_LEARNING_RATE)), seed=seed,
-                  minInstancesPerNode=int(p.get("min_samples_leaf", 1)), **common)
+        kw = dict(maxIter=n_est, stepSize=float(p.get("learning_rate", DEFAULT_LEARNING_RATE)),
+                  subsamplingRate=float(p.get("subsample", 1.0)), **common)
         if not cls:
             return GBTRegressor(**kw)
         if n_classes <= 2:
             return GBTClassifier(**kw)
-        return OneVsRest(classifier=GBTClassifier(**kw), **common)
-    if model_type == "linear":
-        if cls:
-            c = float(p.get("C", DEFAULT_C))
-            return LogisticRegression(regParam=1.0 / (c * max(n_rows, 1)), elasticNetParam=0.0,
-                                      standardization=False, maxIter=int(p.get("max_iter", 100)), **common)
-        return LinearRegression(regParam=0.0, solver="normal", **common)
-    raise ValueError(f"Unsupported model type: {model_type}")
+        return OneVsRest(classifier=GBTClassifier(**kw), featuresCol=_FEATURES, labelCol=_LABEL_IDX)
+    intercept = bool(p.get("fit_intercept", True))
+    if not cls:
+        return LinearRegression(regParam=0.0, solver="normal", fitIntercept=intercept, **common)
+    penalty = p.get("penalty", "l2")
+    mixing = {None: 0.0, "none": 0.0, "l2": 0.0, "l1": 1.0, "elasticnet": float(p.get("l1_ratio") or 0.0)}
+    if penalty not in mixing:
+        raise ValueError(f"linear has no penalty {penalty!r}")
+    strength = 0.0 if penalty in (None, "none") else 1.0 / (float(p.get("C", DEFAULT_C)) * max(n_rows, 1))
+    return LogisticRegression(regParam=strength, elasticNetParam=mixing[penalty], standardization=False,
+                              fitIntercept=intercept, tol=float(p.get("tol", 1e-6)),
+                              maxIter=int(p.get("max_iter", 100)), **common)
 
 
 def _class_values(df: DataFrame, label: str) -> list:
-    vals = (df.select(F.col(label).alias("v")).where(F.col("v").isNotNull()).distinct()
-            .limit(MAX_CLASSES + 1).collect())
-    if len(vals) > MAX_CLASSES:
-        raise ValueError(f"classification label {label} has more than {MAX_CLASSES} classes")
+    """The sorted class values; a model holds them all, so they are collected."""
+    vals = df.select(qcol(label).alias("v")).where(F.col("v").isNotNull()).distinct().collect()
     return sorted(r["v"] for r in vals)
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Round-robin over at least the cluster's default parallelism."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(parallelism, df.rdd.getNumPartitions()))
+    """Round-robin over the session's shuffle partitions, at least its parallelism."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _is_array_input(df: DataFrame, features: list[str]) -> bool:
@@ -117,8 +143,21 @@ def _is_array_input(df: DataFrame, features: list[str]) -> bool:
 
 
 def _index_label(df: DataFrame, label: str, classes: list) -> DataFrame:
-    mapping = F.create_map(*[x for i, v in enumerate(classes) for x in (F.lit(v), F.lit(float(i)))])
-    return df.withColumn(_LABEL_IDX, mapping[F.col(label)])
+    """The class's place in ``classes`` as _LABEL_IDX, by a join with the class list."""
+    kind = df.schema[label].dataType
+    schema = T.StructType([T.StructField("_class", kind), T.StructField(_LABEL_IDX, T.DoubleType())])
+    codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], schema)
+    return df.join(codes, qcol(label) == F.col("_class"), "left").drop("_class")
+
+
+def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
+    """``df`` with the feature vector _FEATURES; a NULL or NaN feature is an error."""
+    if _is_array_input(df, features):
+        # One array<number> column (e.g. an embedding) is the vector itself.
+        return df.withColumn(_FEATURES, array_to_vector(qcol(features[0])))
+    names = [f"_f{i}" for i in range(len(features))]  # names free of dots for the assembler
+    out = df.withColumns({n: qcol(f).cast("double") for n, f in zip(names, features, strict=True)})
+    return VectorAssembler(inputCols=names, outputCol=_FEATURES, handleInvalid="error").transform(out).drop(*names)
 
 
 class ModelTrainer:
@@ -134,7 +173,7 @@ class ModelTrainer:
         self.random_state = int(cfg.get("random_state", 42))
         self.trained: TrainedModel | None = None
         if self.model_type not in MODEL_TYPES:
-            raise ValueError(f"Unsupported model type: {self.model_type}")
+            raise ValueError(f"model type {self.model_type!r} is not one of {', '.join(MODEL_TYPES)}")
 
     def train(self, df: DataFrame, label: str, features: list[str] | None = None,
               balance: bool = True) -> TrainedModel:
@@ -143,7 +182,7 @@ class ModelTrainer:
         already holds a balanced, persisted table."""
         features = list(features or [c for c in df.columns if c != label])
         cls = self.task_type == "classification"
-        df = df.select(*features, label)
+        df = nan_to_null(df.select(*[qcol(c) for c in features], qcol(label)))
         # Spark ML fits pass over their input many times with its partitioning
         # as is (and the class list is read first): one round-robin shuffle
         # gives every pass balanced tasks, and the copy is kept for the fit
@@ -153,17 +192,11 @@ class ModelTrainer:
         try:
             classes = _class_values(df, label) if cls else []
             data = _index_label(df, label, classes) if cls else df.withColumn(
-                _LABEL_IDX, F.col(label).cast("double"))
+                _LABEL_IDX, qcol(label).cast("double"))
             n_rows = data.count() if (self.model_type == "linear" and cls) else 0
             est = _estimator(self.model_type, self.task_type, self.model_params, self.random_state,
                              n_rows, len(classes))
-            if _is_array_input(data, features):
-                # One array<number> column (e.g. an embedding) is the vector itself.
-                data = data.withColumn(_FEATURES, array_to_vector(F.col(features[0])))
-                model = Pipeline(stages=[est]).fit(data)
-            else:
-                assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="error")
-                model = Pipeline(stages=[assembler, est]).fit(data)
+            model = Pipeline(stages=[est]).fit(_vectors(data, features))
         finally:
             if balance:
                 df.unpersist()
@@ -172,7 +205,7 @@ class ModelTrainer:
 
     def save_model(self, path: str) -> str:
         if self.trained is None:
-            raise ValueError("Model must be trained before saving")
+            raise ValueError("nothing to save: train a model first")
         return save_model(self.trained, path)
 
 
@@ -180,11 +213,9 @@ def predict(trained: TrainedModel, df: DataFrame, keep: list[str] | None = None)
     """Input columns (or ``keep``) + ``prediction`` in the label's values +
     ``probability`` array<double> (NULL when the model has none)."""
     if trained is None:
-        raise ValueError("Model must be trained before making predictions")
+        raise ValueError("no trained model to predict with")
     keep = list(df.columns if keep is None else keep)
-    if _is_array_input(df, trained.features):
-        df = df.withColumn(_FEATURES, array_to_vector(F.col(trained.features[0])))
-    out = trained.model.transform(df)
+    out = trained.model.transform(_vectors(df, trained.features))
     if trained.task_type == "classification":
         classes = F.array(*[F.lit(v) for v in trained.classes])
         pred = F.element_at(classes, F.col("prediction").cast("int") + 1)
@@ -192,7 +223,7 @@ def predict(trained: TrainedModel, df: DataFrame, keep: list[str] | None = None)
         pred = F.col("prediction")
     prob = (vector_to_array(F.col("probability")) if trained.has_probability
             else F.lit(None).cast("array<double>"))
-    return out.select(*keep, pred.alias("prediction"), prob.alias("probability"))
+    return out.select(*[qcol(c) for c in keep], pred.alias("prediction"), prob.alias("probability"))
 
 
 def evaluate(trained: TrainedModel, df: DataFrame, metric_names=None) -> DataFrame:
@@ -205,10 +236,10 @@ def evaluate(trained: TrainedModel, df: DataFrame, metric_names=None) -> DataFra
 def score_batch(trained: TrainedModel, df: DataFrame, model_name: str, model_version: str | None = None,
                 keep: list[str] | None = None) -> DataFrame:
     """Batch scoring: predictions, probabilities, model name / version and
-    the batch size on every row (the size comes from a one-row aggregate)."""
+    the batch size on every row. The batch is counted once, so hand in a table
+    (or a persisted result) rather than a long plan."""
     scored = predict(trained, df, keep=keep)
-    size = df.agg(F.count(F.lit(1)).alias("batch_size"))
-    return scored.crossJoin(F.broadcast(size)).withColumn("model_name", F.lit(model_name)) \
+    return scored.withColumn("batch_size", F.lit(df.count()).cast("long")).withColumn("model_name", F.lit(model_name)) \
         .withColumn("model_version", F.lit(model_version).cast("string"))
 
 

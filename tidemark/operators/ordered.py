@@ -20,6 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import qcol
 from tidemark.session import ensure_checkpoint_dir
 
 # The scan functions below run in Python workers; ship them (and this
@@ -134,8 +135,8 @@ def rank_auc(counts: DataFrame) -> DataFrame:
     runs = _sorted_by_column_value(counts).mapInPandas(_auc_scan, _RUN_SCHEMA_AUC)
     runs = _with_offsets(runs, "sum_neg")
     return runs.groupBy("column").agg(
-        F.try_divide(F.sum(F.col("off_sum_neg") * F.col("sum_pos") + F.col("local")),
-                     (F.sum("sum_pos") * F.sum("sum_neg")).cast("double")).alias("auc"),
+        F.try_divide(F.sum(F.col("off_sum_neg").cast("double") * F.col("sum_pos") + F.col("local")),
+                     F.sum("sum_pos").cast("double") * F.sum("sum_neg").cast("double")).alias("auc"),
         F.sum("sum_pos").alias("n_pos"), F.sum("sum_neg").alias("n_neg"))
 
 
@@ -280,7 +281,7 @@ def positions(df: DataFrame, order_cols: list, pos_col: str = "_pos") -> DataFra
     place in the partition, read from ``monotonically_increasing_id``."""
     ensure_checkpoint_dir(df.sparkSession)
     salted = df.withColumn("_salt", F.rand())
-    keys = list(order_cols) + ["_salt"]
+    keys = [*order_cols, "_salt"]
     ordered = salted.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     with_id = ordered.withColumn("_mid", F.monotonically_increasing_id())
     with_id = with_id.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
@@ -301,7 +302,7 @@ def dense_codes(values: DataFrame, col: str, code_col: str = "code") -> DataFram
     its partition's offset plus its position, read from
     ``monotonically_increasing_id``. Offsets come from one count per partition."""
     ensure_checkpoint_dir(values.sparkSession)
-    distinct = values.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    distinct = values.select(qcol(col).alias("value")).where(F.col("value").isNotNull()).distinct()
     ordered = distinct.repartitionByRange("value").sortWithinPartitions("value").checkpoint(eager=True)
     with_id = ordered.withColumn("_mid", F.monotonically_increasing_id())
     with_id = with_id.select("value", F.shiftright("_mid", 33).alias("_pid"),

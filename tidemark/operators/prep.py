@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import qcol
 from tidemark.operators.ordered import dense_codes, exact_medians
+from tidemark.sources.readers import nan_to_null
 
 STEP_TYPES = ("drop_duplicates", "encode_categorical", "scale_numerical",
               "fill_missing", "drop_columns")
 LABEL_METHODS = ("label", "label_encode")
 FILL_METHODS = ("mean", "median", "mode", "constant")
-DEFAULT_MAX_CATEGORIES = 1000        # one-hot output columns allowed per input column
-SMALL_CODES = 10_000                 # up to this many values, codes are a literal map
-BROADCAST_CODE_ROWS = 2_000_000      # larger code tables up to this size are broadcast
+KEEP_CODE_ROWS = 2_000_000  # a join with more codes than this is worth keeping while later steps are fitted
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = _INTEGRAL + (T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType)
@@ -57,66 +57,53 @@ def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 @dataclass
 class LabelCodes:
     column: str
-    codes: DataFrame | None   # (value, code) for many values, else None
-    n_codes: int              # distinct non-null values
+    codes: DataFrame          # (value, code), one row a distinct non-null value
+    n_codes: int
     null_seen: bool
-    values: list | None = None  # sorted values when there are few
-
-
-def _sort_key(v):
-    # NaN sorts above every number, as in Spark.
-    return (1, 0) if isinstance(v, float) and v != v else (0, v)
 
 
 def fit_label_codes(df: DataFrame, column: str) -> LabelCodes:
-    """Codes 0..k-1 in ascending value order; NULL, if present, gets k.
-
-    One job fetches at most SMALL_CODES + 1 distinct values; within that
-    bound the codes are the sorted list. Beyond it the distinct values are
-    ranked on the cluster (``ordered.dense_codes``)."""
-    vals = [r[0] for r in df.select(column).distinct().limit(SMALL_CODES + 1).collect()]
-    if len(vals) <= SMALL_CODES:
-        present = sorted((v for v in vals if v is not None), key=_sort_key)
-        return LabelCodes(column, None, len(present), any(v is None for v in vals), present)
+    """Codes 0..k-1 in ascending value order; NULL, if present, gets k. The
+    distinct values are ranked on the cluster (``ordered.dense_codes``),
+    however many there are."""
     codes = dense_codes(df, column)
-    stats = df.agg(F.count_if(F.col(column).isNull()).alias("nulls")).first()
-    n_codes = codes.count()  # the code table is checkpointed: a cheap count
-    return LabelCodes(column, codes, n_codes, bool(stats["nulls"]))
+    nulls = df.where(qcol(column).isNull()).limit(1).count()
+    return LabelCodes(column, codes, codes.count(), bool(nulls))  # the codes are checkpointed: a cheap count
 
 
 def apply_label_codes(df: DataFrame, lc: LabelCodes) -> DataFrame:
     """Replace the column with its code as double. A value unseen at fit
-    (or a NULL when none was seen) fails the job, as the fitted encoder would."""
+    (or a NULL when none was seen) fails the job, as the fitted encoder would.
+
+    The codes are joined at every size; the planner broadcasts them when their
+    bytes allow it. NULL rows carry a salt as a second join key, so that a
+    shuffled join spreads them."""
     c = lc.column
     null_code = F.lit(lc.n_codes) if lc.null_seen else F.raise_error(
-        F.lit(f"y contains previously unseen labels: NULL in column {c}"))
-    unseen = F.raise_error(F.concat(F.lit(f"y contains previously unseen labels in column {c}: "),
-                                    F.col(c).cast("string")))
-    if lc.values is not None:
-        t = df.schema[c].dataType
-        mapping = F.create_map(*[x for i, v in enumerate(lc.values) for x in (F.lit(v).cast(t), F.lit(i))])
-        looked = df.withColumn("_lc", mapping[F.col(c)]) if lc.values else df.withColumn(
-            "_lc", F.lit(None).cast("long"))
-    else:
-        codes = lc.codes.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"))
-        if lc.n_codes <= BROADCAST_CODE_ROWS:
-            codes = F.broadcast(codes)
-        looked = df.join(codes, F.col(c) == F.col("_lv"), "left")
-    code = (F.when(F.col(c).isNull(), null_code)
+        F.lit(f"column {c}: NULL was not among the fitted labels"))
+    unseen = F.raise_error(F.concat(F.lit(f"column {c}: not among the fitted labels: "), qcol(c).cast("string")))
+    hashable = [qcol(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.when(qcol(c).isNull(), F.pmod(F.xxhash64(*hashable), F.lit(1024)) + 1).otherwise(F.lit(0))
+    codes = lc.codes.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"), F.lit(0).cast("long").alias("_lz"))
+    looked = df.withColumn("_ls", salt.cast("long"))
+    looked = looked.join(codes, (qcol(c) == F.col("_lv")) & (F.col("_ls") == F.col("_lz")), "left")
+    code = (F.when(qcol(c).isNull(), null_code)
             .when(F.col("_lc").isNull(), unseen)
             .otherwise(F.col("_lc"))).cast("double")
-    return looked.select(*[code.alias(c) if x == c else F.col(x) for x in df.columns])
+    return looked.select(*[code.alias(c) if x == c else qcol(x) for x in df.columns])
 
 
 # ---------------------------------------------------------------- F3 one-hot
 
 def fit_one_hot(df: DataFrame, column: str, drop_first: bool = False,
-                max_categories: int = DEFAULT_MAX_CATEGORIES) -> list:
-    """Sorted distinct non-null values; more than ``max_categories`` is an
-    error (the output schema grows with them)."""
-    vals = (df.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct()
-            .limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
+                max_categories: int | None = None) -> list:
+    """Sorted distinct non-null values (each becomes a column of the schema).
+    With ``max_categories``, more of them are an error."""
+    vals = df.select(qcol(column).alias("v")).where(F.col("v").isNotNull()).distinct()
+    if max_categories is not None:
+        vals = vals.limit(max_categories + 1)
+    vals = vals.collect()
+    if max_categories is not None and len(vals) > max_categories:
         raise ValueError(f"one-hot on {column}: more than {max_categories} categories")
     cats = sorted(r["v"] for r in vals)
     return cats[1:] if drop_first else cats
@@ -125,8 +112,8 @@ def fit_one_hot(df: DataFrame, column: str, drop_first: bool = False,
 def apply_one_hot(df: DataFrame, column: str, categories: list) -> DataFrame:
     """Drop the column and append ``<column>_<value>`` 0/1 int columns in
     category order; NULL and unseen values give all zeros."""
-    rest = [F.col(x) for x in df.columns if x != column]
-    ind = [F.when(F.col(column) == F.lit(v), 1).otherwise(0).alias(f"{column}_{v}") for v in categories]
+    rest = [qcol(x) for x in df.columns if x != column]
+    ind = [F.when(qcol(column) == F.lit(v), 1).otherwise(0).alias(f"{column}_{v}") for v in categories]
     return df.select(*rest, *ind)
 
 
@@ -140,7 +127,7 @@ def fit_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
         return {}
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = qcol(c).cast("double")
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
     row = df.agg(*aggs).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
@@ -152,11 +139,11 @@ def apply_scale(df: DataFrame, stats: dict[str, tuple]) -> DataFrame:
     for x in df.columns:
         if x in stats:
             mean, std = stats[x]
-            v = F.try_divide(F.col(x).cast("double") - F.lit(mean).cast("double"),
+            v = F.try_divide(qcol(x).cast("double") - F.lit(mean).cast("double"),
                              F.lit(std).cast("double"))
             out.append(v.alias(x))
         else:
-            out.append(F.col(x))
+            out.append(qcol(x))
     return df.select(*out)
 
 
@@ -180,8 +167,8 @@ def _modes(df: DataFrame, cols: list[str]) -> dict:
     for typ, names in fams.items():
         if not names:
             continue
-        long = (df.select(*[F.col(c).cast(typ).alias(c) for c in names])
-                .unpivot([], names, "column", "value").where(F.col("value").isNotNull()))
+        long = (df.select(*[qcol(c).cast(typ).alias(c) for c in names])
+                .unpivot([], [qcol(c) for c in names], "column", "value").where(F.col("value").isNotNull()))
         counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
         best = counts.groupBy("column").agg(
             F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("value"))).alias("b"))
@@ -211,14 +198,14 @@ def fit_fill(df: DataFrame, columns: list[str] | None, method: str, value=0,
         if not cols:
             return {}
         if method == "mean":
-            row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+            row = df.agg(*[F.avg(qcol(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
             return {c: row[f"m{i}"] for i, c in enumerate(cols)}
         if approx:
-            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"m{i}")
+            row = df.agg(*[F.percentile_approx(qcol(c).cast("double"), 0.5, accuracy).alias(f"m{i}")
                            for i, c in enumerate(cols)]).first()
             return {c: row[f"m{i}"] for i, c in enumerate(cols)}
-        long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-                .unpivot([], cols, "column", "value"))
+        long = (df.select(*[qcol(c).cast("double").alias(c) for c in cols])
+                .unpivot([], [qcol(c) for c in cols], "column", "value"))
         med = exact_medians(long)
         return {c: med.get(c) for c in cols}
     modes = _modes(df, cols)
@@ -228,22 +215,20 @@ def fit_fill(df: DataFrame, columns: list[str] | None, method: str, value=0,
     return modes
 
 
-def apply_fill(df: DataFrame, fills: dict) -> DataFrame:
-    """coalesce(column, fill) with the fill cast to the column type; an
-    integral column filled with a fractional mean/median becomes double."""
+def apply_fill(df: DataFrame, fills: dict, as_double: bool = False) -> DataFrame:
+    """coalesce(column, fill) with the fill cast to the column type; with
+    ``as_double`` (mean and median) an integral column becomes double."""
     types = _types(df)
     out = []
     for x in df.columns:
         if x in fills and fills[x] is not None:
             t, v = types[x], fills[x]
-            if isinstance(t, _INTEGRAL) and isinstance(v, float) and not float(v).is_integer():
-                out.append(F.coalesce(F.col(x).cast("double"), F.lit(v)).alias(x))
-            elif isinstance(t, (T.FloatType, T.DoubleType)):
-                out.append(F.coalesce(F.col(x), F.lit(v).cast(t)).alias(x))
+            if as_double and isinstance(t, _INTEGRAL):
+                out.append(F.coalesce(qcol(x).cast("double"), F.lit(v).cast("double")).alias(x))
             else:
-                out.append(F.coalesce(F.col(x), F.lit(v).cast(t)).alias(x))
+                out.append(F.coalesce(qcol(x), F.lit(v).cast(t)).alias(x))
         else:
-            out.append(F.col(x))
+            out.append(qcol(x))
     return df.select(*out)
 
 
@@ -282,8 +267,7 @@ def fit_step(df: DataFrame, step: dict):
     if t == "encode_categorical":
         present = [c for c in step.get("columns", []) if c in df.columns]
         if step.get("method", "label") == "one_hot":
-            return {c: fit_one_hot(df, c, bool(step.get("drop_first", False)),
-                                   int(step.get("max_categories", DEFAULT_MAX_CATEGORIES)))
+            return {c: fit_one_hot(df, c, bool(step.get("drop_first", False)), step.get("max_categories"))
                     for c in present}
         return {c: fit_label_codes(df, c) for c in present}
     if t == "scale_numerical":
@@ -308,7 +292,7 @@ def apply_step(df: DataFrame, step: dict, params) -> DataFrame:
         return df
     if t == "scale_numerical":
         return apply_scale(df, params)
-    return apply_fill(df, params)
+    return apply_fill(df, params, step.get("method", "mean") in ("mean", "median"))
 
 
 def steps_from_config(config: dict | None) -> list[dict]:
@@ -329,12 +313,13 @@ def _adds_shuffle(step: dict, params) -> bool:
     if step.get("type") == "drop_duplicates":
         return True
     if step.get("type") == "encode_categorical" and isinstance(params, dict):
-        return any(isinstance(p, LabelCodes) and p.n_codes > BROADCAST_CODE_ROWS for p in params.values())
+        return any(isinstance(p, LabelCodes) and p.n_codes > KEEP_CODE_ROWS for p in params.values())
     return False
 
 
 def fit_transform(df: DataFrame, steps: list[dict]) -> tuple[DataFrame, FittedSteps]:
     """Apply the steps in order, each fitted on the previous step's output.
+    NaN counts as missing: it becomes NULL before the first step.
 
     Fitting runs a statistics job over the current plan. When an earlier step
     left a whole-table shuffle in that plan (de-duplication, a large code
@@ -342,6 +327,7 @@ def fit_transform(df: DataFrame, steps: list[dict]) -> tuple[DataFrame, FittedSt
     from lineage) while the later steps are fitted, so the shuffle runs once
     for all fits and once more for the final output, not once per fit."""
     fitted = FittedSteps(steps=list(steps))
+    df = nan_to_null(df)
     shuffled, kept = False, []
     try:
         for step in steps:
@@ -360,7 +346,8 @@ def fit_transform(df: DataFrame, steps: list[dict]) -> tuple[DataFrame, FittedSt
 
 
 def transform(df: DataFrame, fitted: FittedSteps) -> DataFrame:
-    """Re-apply fitted steps (training statistics) to new data."""
+    """Re-apply fitted steps (training statistics) to new data; NaN is NULL."""
+    df = nan_to_null(df)
     for step, p in zip(fitted.steps, fitted.params):
         df = apply_step(df, step, p)
     return df
@@ -371,18 +358,15 @@ def _encode_params(params, path: str, step_no: int):
         return {k: _encode_params(v, path, step_no) for k, v in params.items()}
     if isinstance(params, LabelCodes):
         enc = {"__label_codes__": True, "column": params.column, "n_codes": params.n_codes,
-               "null_seen": params.null_seen, "values": params.values, "codes_path": None}
-        if params.codes is not None:
-            enc["codes_path"] = f"{path}/codes/step{step_no}_{params.column}"
-            params.codes.write.mode("overwrite").parquet(enc["codes_path"])
+               "null_seen": params.null_seen, "codes_path": f"{path}/codes/step{step_no}_{params.column}"}
+        params.codes.write.mode("overwrite").parquet(enc["codes_path"])
         return enc
     return params
 
 
 def _decode_params(spark, params):
     if isinstance(params, dict) and params.get("__label_codes__"):
-        codes = spark.read.parquet(params["codes_path"]) if params["codes_path"] else None
-        return LabelCodes(params["column"], codes, params["n_codes"], params["null_seen"], params["values"])
+        return LabelCodes(params["column"], spark.read.parquet(params["codes_path"]), params["n_codes"], params["null_seen"])
     if isinstance(params, dict):
         return {k: _decode_params(spark, v) for k, v in params.items()}
     return params

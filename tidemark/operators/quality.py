@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import qcol
+
 # Pandas dtype names for Spark types, as used by declared schemas.
 PANDAS_DTYPE = {
     "tinyint": "int8",
@@ -35,7 +37,7 @@ def pandas_dtype(t: T.DataType) -> str:
 
 
 def _is_missing(f: T.StructField) -> F.Column:
-    c = F.col(f.name)
+    c = qcol(f.name)
     if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
         return c.isNull() | F.isnan(c)
     return c.isNull()
@@ -48,14 +50,14 @@ def null_counts(df: DataFrame) -> DataFrame:
     if not fields:
         return df.sparkSession.createDataFrame([], "column string, null_count long")
     wide = df.agg(*[F.count_if(_is_missing(f)).cast("long").alias(f.name) for f in fields])
-    return wide.unpivot([], [f.name for f in fields], "column", "null_count")
+    return wide.unpivot([], [qcol(f.name) for f in fields], "column", "null_count")
 
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
     """One row (n_rows, distinct_rows, duplicate_rows): rows equal to an
     earlier row, NULLs equal to each other. A single grouped aggregation with
     a map-side partial count, so hot duplicates shrink before the shuffle."""
-    groups = df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    groups = df.groupBy(*[qcol(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"),
         F.count(F.lit(1)).cast("long").alias("distinct_rows"),
@@ -84,10 +86,10 @@ def type_check(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:
             T._parse_datatype_string(target)
         except Exception:  # noqa: BLE001 - unknown name: nothing conforms
             target = None
-        col = F.col(c)
+        col = qcol(c)
         bad = (col.isNotNull() & col.try_cast(target).isNull()) if target else col.isNotNull()
         aggs.append(F.count_if(bad).cast("long").alias(c))
-    counts = df.agg(*aggs).unpivot([], [c for c, _ in checked], "column", "n_nonconforming")
+    counts = df.agg(*aggs).unpivot([], [qcol(c) for c, _ in checked], "column", "n_nonconforming")
     meta = spark.createDataFrame(
         [(c, e, pandas_dtype(fields[c].dataType),
           e in (pandas_dtype(fields[c].dataType), fields[c].dataType.simpleString()))
@@ -104,6 +106,7 @@ class ValidationResult:
     summary: DataFrame      # (n_rows, n_cols, duplicate_rows, is_valid)
     duplicate_rows: int
     types_match: bool
+    n_rows: int
 
     def as_dict(self) -> dict:
         return {
@@ -128,17 +131,23 @@ def validation_summary(df: DataFrame, dtypes: dict[str, str] | None = None) -> D
 
 def validate(df: DataFrame, schema: dict | None = None) -> ValidationResult:
     """Null counts + duplicates + declared types; ``schema`` is
-    ``{"dtypes": {column: dtype}}``."""
+    ``{"dtypes": {column: dtype}}``. The tables of the result are a few rows
+    each, computed once."""
     dtypes = dict((schema or {}).get("dtypes", {}) or {})
-    summary = validation_summary(df, dtypes)
+    spark = df.sparkSession
+
+    def once(t: DataFrame) -> DataFrame:
+        return spark.createDataFrame(t.collect(), t.schema)
+
+    summary = once(validation_summary(df, dtypes))
     row = summary.first()
-    types = type_check(df, dtypes)
+    types = once(type_check(df, dtypes))
     fields = {f.name: f.dataType for f in df.schema.fields}
     types_ok = all(e in (pandas_dtype(fields[c]), fields[c].simpleString())
                    for c, e in dtypes.items() if c in fields)
-    return ValidationResult(is_valid=bool(row["is_valid"]), nulls=null_counts(df), types=types,
+    return ValidationResult(is_valid=bool(row["is_valid"]), nulls=once(null_counts(df)), types=types,
                             summary=summary, duplicate_rows=int(row["duplicate_rows"]),
-                            types_match=types_ok)
+                            types_match=types_ok, n_rows=int(row["n_rows"]))
 
 
 def missing_share(df: DataFrame, threshold: float = 0.1) -> DataFrame:
@@ -147,7 +156,7 @@ def missing_share(df: DataFrame, threshold: float = 0.1) -> DataFrame:
     fields = df.schema.fields
     wide = df.agg(F.count(F.lit(1)).alias("\x00n"),
                   *[F.count_if(_is_missing(f)).cast("long").alias(f.name) for f in fields])
-    long = wide.unpivot(["\x00n"], [f.name for f in fields], "column", "null_count")
+    long = wide.unpivot(["\x00n"], [qcol(f.name) for f in fields], "column", "null_count")
     share = F.try_divide(F.col("null_count").cast("double"), F.col("\x00n"))
     return long.select("column", "null_count", F.col("\x00n").cast("long").alias("n_rows"),
                        share.alias("missing_share"),
@@ -156,11 +165,15 @@ def missing_share(df: DataFrame, threshold: float = 0.1) -> DataFrame:
 
 def outlier_counts(df: DataFrame, columns: list[str], z: float = 3.0) -> DataFrame:
     """(column, n_outliers): values with |x - mean| / sample std > z, per
-    numeric column. Mean and std come from one aggregate (a one-row
-    broadcast); the count is a second aggregate."""
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
-                   *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)])
-    j = df.select(*columns).crossJoin(F.broadcast(stats))
-    counts = j.agg(*[F.count_if(F.abs(F.try_divide(F.col(c).cast("double") - F.col(f"m{i}"), F.col(f"s{i}")))
-                                > F.lit(z)).cast("long").alias(c) for i, c in enumerate(columns)])
-    return counts.unpivot([], columns, "column", "n_outliers")
+    numeric column. NaN counts as missing. Mean and std come from one
+    aggregate (one row, used as literals); the count is a second one."""
+    def value(c):
+        x = qcol(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    stats = df.agg(*[f(value(c)).alias(f"{k}{i}") for i, c in enumerate(columns)
+                     for k, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    counts = df.agg(*[F.count_if(F.abs(F.try_divide(value(c) - F.lit(stats[f"m{i}"]).cast("double"),
+                                                    F.lit(stats[f"s{i}"]).cast("double")))
+                                 > F.lit(z)).cast("long").alias(c) for i, c in enumerate(columns)])
+    return counts.unpivot([], [qcol(c) for c in columns], "column", "n_outliers")

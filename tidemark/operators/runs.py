@@ -37,11 +37,17 @@ def log_params(spark: SparkSession, path: str, run_id: str, params: dict) -> Non
 
 def latest_metrics(run_metrics: DataFrame) -> DataFrame:
     """(model, metric, last_step, last_value, n_points): the value at the
-    highest step per (model, metric)."""
+    highest step per (model, metric); a logged value without a step comes
+    before those with one. Ties, and values without steps, go to the latest
+    ``ts`` (where the table has one), then to the largest value."""
+    order = [F.coalesce(F.col("step"), F.lit(-(1 << 62)))]
+    if "ts" in run_metrics.columns:
+        order.append(F.coalesce(F.col("ts").cast("timestamp"), F.lit("0001-01-01").cast("timestamp")))
+    last = F.max(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col("value").alias("value")))
     return run_metrics.groupBy("model", "metric").agg(
-        F.max("step").alias("last_step"),
-        F.max_by("value", "step").alias("last_value"),
-        F.count(F.lit(1)).alias("n_points"))
+        F.max("step").alias("last_step"), last.alias("_last"),
+        F.count(F.lit(1)).alias("n_points")).select(
+        "model", "metric", "last_step", F.col("_last.value").alias("last_value"), "n_points")
 
 
 def latest_versions(model_versions: DataFrame, stage: str | None = None) -> DataFrame:
@@ -51,7 +57,7 @@ def latest_versions(model_versions: DataFrame, stage: str | None = None) -> Data
     if stage is not None:
         mv = mv.where(F.col("stage") == stage)
     best = mv.groupBy("name", "stage").agg(
-        F.max_by(F.struct("version", "run_id"), "version").alias("b"))
+        F.max(F.struct("version", "run_id")).alias("b"))  # equal versions: the largest run_id
     return best.select("name", "stage", F.col("b.version").alias("version"),
                        F.col("b.run_id").alias("run_id"))
 
@@ -61,7 +67,7 @@ def latest_version(model_versions: DataFrame, name: str, stage: str | None = Non
     mv = model_versions.where(F.col("name") == name)
     if stage is not None:
         mv = mv.where(F.col("stage") == stage)
-    row = mv.agg(F.max_by(F.struct("name", "version", "stage", "run_id"), "version").alias("b")).first()
+    row = mv.agg(F.max(F.struct("version", "run_id", "stage", "name")).alias("b")).first()
     if row is None or row["b"] is None:
         return None
     b = row["b"].asDict()
@@ -75,6 +81,18 @@ def latest_baseline(baselines: DataFrame) -> DataFrame:
     return baselines.join(F.broadcast(top), F.col("as_of") == F.col("_top")).select("metric", "value")
 
 
+def next_version(spark: SparkSession, path: str, name: str) -> int:
+    """One more than the highest registered version of ``name`` (1 at first)."""
+    from pyspark.errors import AnalysisException
+    try:
+        row = spark.read.schema(MODEL_VERSIONS_SCHEMA).parquet(path).where(F.col("name") == name).agg(F.max("version")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
+    return (row[0] or 0) + 1
+
+
 def register_version(spark: SparkSession, path: str, name: str, version: int, stage: str = "None",
                      run_id: str | None = None) -> None:
     """Append one (name, version, stage, run_id) row to the model-version table."""

@@ -15,18 +15,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import qcol
 from tidemark.operators.ordered import positions
 
 BUCKET_HEX_CHARS = 4  # 16^4 = 65,536 buckets: the bucket table stays small
-WINDOW_ROWS = 5_000_000  # a rank group larger than this is ranked by ordered.positions
 
 
 def split_hash(key_cols: list[str], seed: int) -> F.Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[qcol(c).cast("string") for c in key_cols]))
 
 
 def split_sizes(n: int, test_size: float = 0.2) -> tuple[int, int, int]:
@@ -64,34 +64,25 @@ def assign_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, see
     edges = {b: s for b, s, c in ((b1, s1, cut1), (b2, s2, cut2)) if s < c}
     bucket = F.col("_b")
     whole = F.when(bucket < b1, "validation").when(bucket < b2, "test").otherwise("train")
-    keep = list(df.columns) + [split_col]
+    keep = [qcol(c) for c in [*df.columns, split_col]]
     if not edges:
         return rows.withColumn(split_col, whole).select(*keep)
     is_edge = bucket.isin(list(edges))
     pure = rows.where(~is_edge).withColumn(split_col, whole)
     start = F.lit(0).cast("long")
-    for b, s0 in edges.items():
-        start = F.when(bucket == b, F.lit(s0)).otherwise(start)
     # Order inside a boundary bucket: hash, key, then a whole-row hash, so rows
     # sharing a key keep one order on every recomputation (rows equal in every
-    # column are interchangeable). At most two buckets are ranked: with a
-    # window when they are small, else with the salted distributed sort (a key
-    # repeated over a huge share of rows lands in one bucket).
-    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    rank_order = ["_h", *key_cols, "_t"]
+    # column are interchangeable). The rows of the at most two buckets are
+    # ranked by the salted distributed sort, since a key repeated over a huge
+    # share of rows lands in one bucket.
+    hashable = [qcol(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     edge = rows.where(is_edge).withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0))
-    small = [b for b in edges if counts[b] <= WINDOW_ROWS]
-    big = [b for b in edges if counts[b] > WINDOW_ROWS]
-    ranked = []
-    if small:
-        rw = Window.partitionBy("_b").orderBy(*rank_order)
-        ranked.append(edge.where(bucket.isin(small)).withColumn("_r", start + F.row_number().over(rw) - 1))
-    for b in big:
-        ranked.append(positions(edge.where(bucket == b), rank_order, "_p")
-                      .withColumn("_r", F.lit(edges[b]) + F.col("_p")).drop("_p"))
-    edge = ranked[0]
-    for r in ranked[1:]:
-        edge = edge.unionByName(r)
+    edge = positions(edge, ["_b", "_h", *[qcol(c) for c in key_cols], "_t"], "_p")
+    passed = 0
+    for b in sorted(edges):  # from a place among the edge rows to a rank among all
+        start = F.when(bucket == b, F.lit(edges[b] - passed)).otherwise(start)
+        passed += counts[b]
+    edge = edge.withColumn("_r", start + F.col("_p"))
     edge = edge.withColumn(split_col, F.when(F.col("_r") < cut1, "validation")
                            .when(F.col("_r") < cut2, "test").otherwise("train"))
     return pure.select(*keep).unionByName(edge.select(*keep))
@@ -111,35 +102,13 @@ def assign_folds(df: DataFrame, label_col: str, key_cols: list[str], k: int = 5,
     in md5(seed | key) order) mod k, so every label's rows are spread over the
     folds with sizes differing by at most one.
 
-    Ranks are exact without a per-label sort: rows are counted per (label,
-    16-bit hash bucket), offsets come from a window over that table (at most
-    65,536 rows per label), and rows are numbered inside their (label, bucket)
-    -- a label holding a third of all rows is still spread over 65,536 tasks'
-    worth of buckets."""
-    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    rows = (df.withColumn("_h", split_hash(key_cols, seed))
-            .withColumn("_b", F.conv(F.substring("_h", 1, BUCKET_HEX_CHARS), 16, 10).cast("long"))
-            .withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0)))
-    counts = rows.groupBy(F.col(label_col).alias("_lab"), "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_start", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    # Rank inside each (label, bucket). Groups above WINDOW_ROWS (a key value
-    # repeated over a huge share of rows) are ranked by the salted
-    # distributed sort instead of one window task; their list is bounded by
-    # rows / WINDOW_ROWS.
-    big = counts.where(F.col("_cnt") > WINDOW_ROWS).select("_lab", "_b").collect()
-    is_big = F.lit(False)
-    for r in big:
-        is_big = is_big | (F.col(label_col).eqNullSafe(F.lit(r["_lab"])) & (F.col("_b") == r["_b"]))
-    rw = Window.partitionBy(label_col, "_b").orderBy("_h", *key_cols, "_t")
-    ranked = rows.where(~is_big).withColumn("_rn", F.row_number().over(rw))
-    if big:
-        pos = positions(rows.where(is_big), [label_col, "_b", "_h", *key_cols, "_t"], "_p")
-        first = pos.groupBy(F.col(label_col).alias("_gl"), F.col("_b").alias("_gb")).agg(
-            F.min("_p").alias("_p0"))
-        pos = pos.join(F.broadcast(first), F.col(label_col).eqNullSafe(F.col("_gl")) & (F.col("_b") == F.col("_gb")))
-        ranked = ranked.unionByName(pos.withColumn("_rn", F.col("_p") - F.col("_p0") + 1)
-                                    .drop("_p", "_p0", "_gl", "_gb"))
-    joined = ranked.join(offsets, F.col(label_col).eqNullSafe(F.col("_lab")) & (ranked["_b"] == offsets["_b"]))
-    fold = ((F.col("_start") + F.col("_rn") - 1) % F.lit(k)).cast("long")
-    return joined.select(*[ranked[c] for c in df.columns], fold.alias(fold_col))
+    Ranks come from one salted distributed sort over (label, hash)
+    (``ordered.positions``): a label with a third of all rows, or a key repeated
+    over a huge share of them, is spread over many range partitions."""
+    hashable = [qcol(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rows = df.withColumn("_h", split_hash(key_cols, seed)).withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0))
+    placed = positions(rows, [qcol(label_col), "_h", *[qcol(c) for c in key_cols], "_t"], "_p")
+    first = placed.groupBy(qcol(label_col).alias("_lab")).agg(F.min("_p").alias("_p0"))
+    joined = placed.join(first, qcol(label_col).eqNullSafe(F.col("_lab")))
+    fold = ((F.col("_p") - F.col("_p0")) % F.lit(k)).cast("long")
+    return joined.select(*[qcol(c) for c in df.columns], fold.alias(fold_col))

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import prep, quality
+from tidemark.session import scratch_path
 from tidemark.sources import readers, writers
 
 
@@ -48,14 +49,17 @@ class DataPipeline:
         raw = self.load()
         result = quality.validate(raw, self.schema)
         if not result.is_valid and not self.config.get("force_continue", False):
-            raise ValueError("Data validation failed. Set 'force_continue' to True to proceed anyway.")
+            raise ValueError("the input has duplicate rows or undeclared types; set force_continue to prepare it anyway")
         processed = self.preprocessor.preprocess(raw)
+        # Written once and read back: neither the count nor a caller computes it again.
+        kept = scratch_path(self.spark, "prepared")
+        processed.write.parquet(kept)
+        processed = self.spark.read.parquet(kept)
         out = self.config.get("output_path")
         if out:
             writers.write_table(processed, out, fmt=self.config.get("output_format", "csv"))
-        raw_rows = result.summary.first()["n_rows"]
         metadata = {
-            "raw_shape": (raw_rows, len(raw.columns)),
+            "raw_shape": (result.n_rows, len(raw.columns)),
             "processed_shape": (processed.count(), len(processed.columns)),
             "validation_results": result.as_dict(),
             "is_valid": result.is_valid,

@@ -4,13 +4,12 @@ extension, and the baseline-metrics reader."""
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import qcol
+
 # The default missing-value tokens of pandas' CSV reader.
 CSV_NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -32,13 +31,11 @@ def resolve_source(config: dict) -> tuple[str, str | list[str]]:
     path = (config.get("input_path") or config.get("source_path") or config.get("data_source")
             or config.get("data_path"))
     if not path:
-        raise ValueError("Source path must be specified in the configuration")
-    if isinstance(path, list):
-        path = [str(Path(p)) for p in path]
-    else:
-        path = str(Path(path))
+        raise ValueError("ingestion config names no input path (input_path or source_path)")
+    # Paths go to Spark as they are: a URI scheme must survive.
+    path = [str(p) for p in path] if isinstance(path, list) else str(path)
     if source_type not in SOURCE_TYPES:
-        raise ValueError(f"Unsupported data source type: {source_type}")
+        raise ValueError(f"source type {source_type!r} is not one of {', '.join(SOURCE_TYPES)}")
     return source_type, path
 
 
@@ -54,12 +51,12 @@ def read_table(spark: SparkSession, config: dict) -> DataFrame:
 
 def read_by_extension(spark: SparkSession, path: str) -> DataFrame:
     """Reference / current dataset reader: .csv or .parquet by extension."""
-    ext = os.path.splitext(str(path).rstrip("/"))[1].lower()
-    if ext == ".csv":
+    ext = str(path).rstrip("/").rpartition("/")[2].rpartition(".")[2].lower()
+    if ext == "csv":
         return read_csv(spark, path)
-    if ext == ".parquet":
+    if ext == "parquet":
         return nan_to_null(spark.read.parquet(path))
-    raise ValueError(f"Unsupported file format: {ext}")
+    raise ValueError(f"cannot tell the format of {path!r}: expected .csv or .parquet")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -68,13 +65,21 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            cols.append(F.when(F.isnan(F.col(f.name)), F.lit(None).cast(f.dataType))
-                        .otherwise(F.col(f.name)).alias(f.name))
+            cols.append(F.when(F.isnan(qcol(f.name)), F.lit(None).cast(f.dataType))
+                        .otherwise(qcol(f.name)).alias(f.name))
         else:
-            cols.append(F.col(f.name))
+            cols.append(qcol(f.name))
     return df.select(*cols)
 
 
+# A decimal number or an infinity; Spark's cast alone also takes type suffixes ("1D").
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(inf|Inf|INF|infinity|Infinity|INFINITY)\s*$"
+
+
+def _is_number(v):
+    return v.rlike(NUMBER_PATTERN) & v.try_cast("double").isNotNull()
+
+
 def _infer_and_cast(df: DataFrame) -> DataFrame:
     """Strings -> long / double / boolean / string per column, chosen by one
     aggregate pass over the table (no driver-side sampling)."""
@@ -82,18 +87,18 @@ def _infer_and_cast(df: DataFrame) -> DataFrame:
         return df
     checks = []
     for c in df.columns:
-        v = F.col(c)
+        v = qcol(c)
         present = v.isNotNull()
         checks += [
             F.count_if(present & v.try_cast("bigint").isNull()).alias(f"{c}\x00l"),
-            F.count_if(present & v.try_cast("double").isNull()).alias(f"{c}\x00d"),
+            F.count_if(present & ~_is_number(v)).alias(f"{c}\x00d"),
             F.count_if(present & ~v.isin(CSV_TRUE_TOKENS + CSV_FALSE_TOKENS)).alias(f"{c}\x00b"),
             F.count_if(present).alias(f"{c}\x00n"),
         ]
     stats = df.agg(*checks).first()  # one row, four numbers per column
     out = []
     for c in df.columns:
-        v = F.col(c)
+        v = qcol(c)
         if stats[f"{c}\x00n"] == 0:
             out.append(v.cast("double").alias(c))          # all missing -> float, as pandas
         elif stats[f"{c}\x00l"] == 0:
@@ -111,10 +116,13 @@ def _infer_and_cast(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path) -> DataFrame:
     """CSV with a header row: every cell read as text, pandas' NA tokens
     mapped to NULL, then each column cast to the narrowest of long, double,
-    boolean or string that holds all its values."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    cleaned = raw.select(*[F.when(F.col(c).isin(CSV_NA_TOKENS) | F.col(c).isNull(),
-                                  F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+    boolean or string that holds all its values. A doubled quote inside quotes
+    is one quote, and a quoted cell may hold line breaks; for that, one file is
+    read by one task, so large tables should come as many files."""
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+           .option("multiLine", True).csv(path))
+    cleaned = raw.select(*[F.when(qcol(c).isin(CSV_NA_TOKENS) | qcol(c).isNull(),
+                                  F.lit(None).cast("string")).otherwise(qcol(c)).alias(c)
                            for c in raw.columns])
     return _infer_and_cast(cleaned)
 
@@ -139,5 +147,5 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     cols = obj.columns
     if not cols:
         return spark.createDataFrame([], "metric string, value double")
-    wide = obj.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return wide.unpivot([], cols, "metric", "value")
+    wide = obj.select(*[qcol(c).cast("double").alias(c) for c in cols])
+    return wide.unpivot([], [qcol(c) for c in cols], "metric", "value")

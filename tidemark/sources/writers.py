@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """Write a processed table: a directory of part files. CSV gets a header."""
+    """Write a processed table: a directory of part files. CSV gets a header,
+    doubles a quote inside a cell and keeps blanks at a cell's edges."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        (writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     elif fmt == "json":
         writer.json(path)
     else:
