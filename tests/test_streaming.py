@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ml
@@ -42,9 +43,9 @@ def test_scoring_on_arrival(spark, tmp_out):
     assert {r["prediction"] for r in out.collect()} <= {"hi", "lo"}
 
 
-def test_windowed_daily_drift_closes_days_by_watermark(spark, tmp_out):
+def test_windowed_daily_drift_scores_open_days(spark, tmp_out):
     rows = [(f"2024-01-0{d} 0{h}:00:00", t) for d in (1, 2) for h in range(4) for t in ("a", "b", "b")]
-    rows.append(("2024-01-09 00:00:00", "a"))  # advances the watermark past days 1 and 2
+    rows.append(("2024-01-09 00:00:00", "a"))  # advances the watermark past days 1 and 2; its own day stays open
     df = spark.createDataFrame(rows, "ts string, kind string").select(F.to_timestamp("ts").alias("ts"), "kind")
     src = f"{tmp_out}/src"
     df.where(F.dayofmonth("ts") < 9).coalesce(1).write.parquet(f"{src}/a")
@@ -56,8 +57,24 @@ def test_windowed_daily_drift_closes_days_by_watermark(spark, tmp_out):
                                            f"{tmp_out}/ckpt", watermark="1 hour")
     q.awaitTermination()
     got = {str(r["day"]): round(r["js_divergence"], 12) for r in spark.read.parquet(f"{tmp_out}/out").collect()}
-    counts = df.where(F.dayofmonth("ts") < 9).select(F.to_date("ts").alias("day"), F.col("kind").alias("value")) \
+    counts = df.select(F.to_date("ts").alias("day"), F.col("kind").alias("value")) \
         .groupBy("day", F.lit("kind").alias("column"), "value").agg(F.count(F.lit(1)).alias("n"))
     ref_path = monitor.write_reference_counts(ref, ["kind"], f"{tmp_out}/refc")
     want = {str(r["day"]): round(r["js_divergence"], 12) for r in monitor.daily_js(spark, ref_path, counts).collect()}
-    assert got == want and set(got) == {"2024-01-01", "2024-01-02"}
+    assert got == want and set(got) == {"2024-01-01", "2024-01-02", "2024-01-09"}
+
+
+@pytest.mark.parametrize("files", [1, 4, 16])
+def test_windowed_and_table_state_agree_over_many_files(spark, tmp_out, files):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(files).write.parquet(f"{tmp_out}/src")
+    ref = ev.where("event_id % 2 = 0")
+    found = []
+    for name, start in (("t", monitor.start_daily_drift), ("w", monitor.start_daily_drift_windowed)):
+        base = f"{tmp_out}/{name}"
+        q = start(spark.readStream.schema(ev.schema).parquet(f"{tmp_out}/src"), ref, ["event_type"], "ts",
+                  f"{base}/out", f"{base}/state", f"{base}/ck")
+        q.awaitTermination()
+        found.append(sorted((str(r["day"]), round(r["js_divergence"], 9), r["n_current"])
+                            for r in spark.read.parquet(f"{base}/out").collect()))
+    assert found[0] == found[1] and sum(r[2] for r in found[0]) == ev.count()

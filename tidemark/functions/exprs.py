@@ -3,6 +3,8 @@ expressions, so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,3 +66,40 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     p = F.when(lam < KS_SMALL_LAMBDA, F.lit(1.0)).otherwise(2.0 * series)
     return F.when(d.isNull(), F.lit(None).cast("double")).otherwise(
         F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+
+
+def _erfc(x: Column) -> Column:
+    """Complementary error function of x >= 0: the Maclaurin series of erf below
+    2, Laplace's continued fraction from there on."""
+    small = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)),
+        F.struct(x.alias("term"), x.alias("sum")),
+        lambda acc, n: F.struct((acc["term"] * -1.0 * x * x / n).alias("term"),
+                                (acc["sum"] + acc["term"] * -1.0 * x * x / n / (2 * n + 1)).alias("sum")),
+        lambda acc: 1.0 - 2.0 / F.sqrt(F.lit(math.pi)) * acc["sum"])
+    tail = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), x, lambda acc, k: x + k / 2.0 / acc)
+    return F.when(x < 2.0, small).otherwise(F.exp(-x * x) / F.sqrt(F.lit(math.pi)) / tail)
+
+
+def normal_two_sided(z: Column) -> Column:
+    """Probability that a standard normal value is further from 0 than z."""
+    return _erfc(F.abs(z) / math.sqrt(2.0))
+
+
+def chi_square_pvalue(x: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution. For whole degrees of freedom k
+    it is a finite sum: exp(-x/2) (x/2)^i / Gamma(i+1) over i = 0, 1, .. below k/2
+    for even k; for odd k, over i = 1/2, 3/2, .. and erfc(sqrt(x/2)) besides. The
+    terms are taken by their logarithms, so that large x and k neither overflow
+    nor vanish early."""
+    h = x / 2.0
+    odd = (dof % 2).cast("double")
+    start = F.struct((-h + F.when(odd == 1, 0.5 * F.ln(h) - math.log(math.sqrt(math.pi) / 2)).otherwise(F.lit(0.0))).alias("log"), F.lit(0.0).alias("sum"))
+    terms = F.floor(dof / 2).cast("int")
+    series = F.aggregate(
+        F.when(terms > 0, F.sequence(F.lit(1), terms)).otherwise(F.array().cast("array<int>")), start,
+        lambda acc, j: F.struct((acc["log"] + F.ln(h) - F.ln(j + odd / 2.0)).alias("log"), (acc["sum"] + F.exp(acc["log"])).alias("sum")),
+        lambda acc: acc["sum"])
+    tail = series + F.when(odd == 1, _erfc(F.sqrt(h))).otherwise(F.lit(0.0))
+    p = F.when(x <= 0, 1.0).when(x == F.lit(float("inf")), 0.0).otherwise(tail)
+    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))

@@ -11,13 +11,16 @@ aggregation collapses hot values map-side), then
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import js_term, ks_pvalue, round9, safe_div
+from tidemark.functions.exprs import (chi_square_pvalue, js_term, ks_pvalue, normal_two_sided, qcol,
+                                      round9, safe_div)
 from tidemark.operators.ordered import ks_statistics, wasserstein_distances
 
 # Defaults of the monitored configuration.
@@ -51,7 +54,7 @@ class DriftConfig:
     categorical_columns: list[str] = field(default_factory=list)
     numerical_columns: list[str] = field(default_factory=list)
     datetime_column: str | None = None
-    ks_method: str = "asymp"
+    ks_method: str = "auto"
 
     @classmethod
     def from_dict(cls, cfg: dict | None) -> "DriftConfig":
@@ -63,7 +66,7 @@ class DriftConfig:
             categorical_columns=list(cfg.get("categorical_columns", []) or []),
             numerical_columns=list(cfg.get("numerical_columns", []) or []),
             datetime_column=cfg.get("datetime_column"),
-            ks_method=cfg.get("ks_method", "asymp"),
+            ks_method=cfg.get("ks_method", "auto"),
         )
 
 
@@ -79,8 +82,8 @@ def column_mismatch(reference: DataFrame, current: DataFrame) -> DataFrame:
                             (current, sorted(cur - ref), "extra_in_current")):
         if not names:
             continue
-        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in names])
-        parts.append(counts.unpivot([], names, "column", "n_values")
+        counts = df.agg(*[F.count(_present(df, c)).alias(c) for c in names])
+        parts.append(counts.unpivot([], [qcol(c) for c in names], "column", "n_values")
                      .select("column", F.lit(side).alias("side"), F.col("n_values").cast("long")))
     if not parts:
         return reference.sparkSession.createDataFrame([], "column string, side string, n_values long")
@@ -114,10 +117,17 @@ def route_columns(reference: DataFrame, columns: list[str], cfg: DriftConfig):
     return cat, num, bad
 
 
+def _present(df: DataFrame, c: str):
+    """The column with NaN as NULL: both are missing values."""
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(qcol(c)), qcol(c))
+    return qcol(c)
+
+
 def _long(df: DataFrame, columns: list[str], value_type: str, is_ref: int) -> DataFrame:
     """Unpivot ``columns`` to (column, value, is_ref), dropping NULL values."""
-    cast = df.select(*[F.col(c).cast(value_type).alias(c) for c in columns])
-    long = cast.unpivot([], columns, "column", "value")
+    cast = df.select(*[_present(df, c).cast(value_type).alias(c) for c in columns])
+    long = cast.unpivot([], [qcol(c) for c in columns], "column", "value")
     return long.where(F.col("value").isNotNull()).withColumn("is_ref", F.lit(is_ref))
 
 
@@ -148,8 +158,8 @@ def side_totals(reference: DataFrame, current: DataFrame, columns: list[str],
     stored reference profile. The result has one row per column, so it is
     broadcast wherever it is joined."""
     def side(df, name):
-        wide = df.agg(*[F.count(F.col(c)).cast("long").alias(c) for c in columns])
-        return wide.unpivot([], columns, "column", name)
+        wide = df.agg(*[F.count(_present(df, c)).cast("long").alias(c) for c in columns])
+        return wide.unpivot([], [qcol(c) for c in columns], "column", name)
     if profile is not None:
         names = reference.sparkSession.createDataFrame([(c,) for c in columns], "column string")
         ref = names.join(profile.where(F.col("column").isin(columns)).groupBy("column")
@@ -201,12 +211,12 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
                   p_threshold: float = DEFAULT_DRIFT_THRESHOLD, totals: DataFrame | None = None,
-                  ks_method: str = "asymp", profile: DataFrame | None = None) -> DataFrame:
+                  ks_method: str = "auto", profile: DataFrame | None = None) -> DataFrame:
     """One row per column: KS statistic, p-value, drift iff p < threshold.
     A side with no non-null value gives no statistic and an error message.
-    ``ks_method``: "asymp" (limiting distribution, the default) or "auto"
-    (exact lattice-path p-value when both sides hold at most 10,000 values,
-    computed per column on the one-row-per-column result).
+    ``ks_method``: "auto" (the default: exact lattice-path p-value when both
+    sides hold at most 10,000 values, computed per column on the
+    one-row-per-column result) or "asymp" (always the limiting distribution).
     Totals come from broadcast global aggregates; the per-value counts (one
     shuffle) feed the sorted scan once."""
     spark = reference.sparkSession
@@ -235,7 +245,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
         out = out.join(F.broadcast(exact), "column", "left")  # one row per column
         p = F.coalesce(F.col("p_exact"), p)
     elif ks_method != "asymp":
-        raise ValueError(f"Unknown ks_method: {ks_method}")
+        raise ValueError(f"ks_method {ks_method!r} is neither auto nor asymp")
     return out.select(
         "column",
         F.lit("numeric").alias("kind"),
@@ -262,14 +272,57 @@ def wasserstein_drift(reference: DataFrame, current: DataFrame, columns: list[st
     totals = F.broadcast(side_totals(reference, current, columns))
     counts = side_counts(reference, current, columns, "double")
     w = wasserstein_distances(counts, totals)
-    std = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]) \
-        .unpivot([], columns, "column", "reference_std")
+    std = reference.agg(*[F.stddev_pop(_present(reference, c).cast("double")).alias(c) for c in columns]) \
+        .unpivot([], [qcol(c) for c in columns], "column", "reference_std")
     out = _names(spark, columns).join(F.broadcast(w), "column", "left").join(F.broadcast(std), "column", "left")
     norm = F.try_divide(F.col("wasserstein"), F.col("reference_std"))
     return out.select("column", "wasserstein", "reference_std", norm.alias("wasserstein_norm"),
                       F.coalesce(norm > F.lit(threshold), F.lit(False)).alias("drift_detected"))
 
 
+def _independence(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """Per (column, value): the four numbers a test of equal shares needs."""
+    totals = F.broadcast(side_totals(reference, current, columns))
+    return side_counts(reference, current, columns, "string").join(totals, "column")
+
+
+def chi_square_drift(reference: DataFrame, current: DataFrame, columns: list[str],
+                     threshold: float = DEFAULT_DRIFT_THRESHOLD) -> DataFrame:
+    """(column, statistic, degrees_of_freedom, p_value, drift_detected): Pearson's
+    chi-square of the current value counts against the reference's shares scaled
+    to the current size, over the reference's values; degrees of freedom are
+    those values less one. A current value that the reference lacks has no
+    expected count: the statistic is then infinite and the p-value 0. A column
+    with one value, or an empty side, has no p-value and no drift."""
+    counts = _independence(reference, current, columns)
+    expected = F.col("n_ref").cast("double") * F.col("tot_cur") / F.col("tot_ref")
+    term = F.when(F.col("n_ref") > 0, F.pow(F.col("n_cur") - expected, 2) / expected).otherwise(F.lit(float("inf")))
+    out = counts.where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0)).groupBy("column").agg(
+        F.sum(term).alias("statistic"), (F.count_if(F.col("n_ref") > 0) - 1).alias("degrees_of_freedom"))
+    p = F.when(F.col("degrees_of_freedom") > 0, chi_square_pvalue(F.col("statistic"), F.col("degrees_of_freedom")))
+    out = _names(reference.sparkSession, columns).join(F.broadcast(out.withColumn("p_value", p)), "column", "left")
+    return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
+
+
+def proportion_drift(reference: DataFrame, current: DataFrame, columns: list[str],
+                     threshold: float = DEFAULT_DRIFT_THRESHOLD) -> DataFrame:
+    """(column, statistic, p_value, drift_detected) of columns with at most two
+    values: the two-sided z-test of the share of the column's least value, with
+    the pooled share's variance. A column with one value on both sides has
+    statistic 0 and p-value 1; more than two values, or an empty side, give
+    neither and no drift."""
+    counts = _independence(reference, current, columns).where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0))
+    first = counts.groupBy("column").agg(
+        F.min(F.struct("value", "n_ref", "n_cur", "tot_ref", "tot_cur")).alias("f"), F.count(F.lit(1)).alias("n_values"))
+    n, m = F.col("f.tot_ref").cast("double"), F.col("f.tot_cur").cast("double")
+    pooled = (F.col("f.n_ref") + F.col("f.n_cur")) / (n + m)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
+    z = F.when(F.col("n_values") <= 2, F.coalesce(F.try_divide(F.col("f.n_ref") / n - F.col("f.n_cur") / m, spread), F.lit(0.0)))
+    out = first.select("column", z.alias("statistic")).withColumn("p_value", F.when(F.col("statistic").isNotNull(), normal_two_sided(F.col("statistic"))))
+    out = _names(reference.sparkSession, columns).join(F.broadcast(out), "column", "left")
+    return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
+
+
 # ---------------------------------------------------------------- whole table
 
 @dataclass
@@ -294,9 +347,21 @@ def reference_profile(reference: DataFrame, config: dict | DriftConfig | None, p
                 .write.mode("overwrite").parquet(f"{path}/{kind}")
         else:
             reference.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{kind}")
+    routing = json.dumps({"categorical": cat, "numeric": num})
+    reference.sparkSession.createDataFrame([(routing,)], "r string").coalesce(1).write.mode("overwrite").text(f"{path}/routing")
     return path
 
 
+def profile_routing(spark: SparkSession, path: str) -> dict | None:
+    """The columns of each kind in a stored profile; None where there is none."""
+    try:
+        return json.loads(spark.read.text(f"{path}/routing").first()[0])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftConfig | None = None,
                  profile_path: str | None = None) -> DriftResult:
     """Per-column drift over the common columns plus the overall verdict.
@@ -316,16 +381,20 @@ def detect_drift(reference: DataFrame, current: DataFrame, config: dict | DriftC
                      f"vs {cur_types[c].simpleString()}") for c in mismatched]
     if profile_path:
         # Stored reference counts: only the current table is scanned.
-        spark_ = reference.sparkSession
-        pc = spark_.read.parquet(f"{profile_path}/categorical")
-        pn = spark_.read.parquet(f"{profile_path}/numeric")
+        stored = profile_routing(spark, profile_path)
+        unknown = sorted((set(cat) - set(stored["categorical"])) | (set(num) - set(stored["numeric"])))
+        if unknown:
+            raise ValueError(f"the stored reference profile does not hold {', '.join(unknown)} as they are compared now; rebuild it")
+        pc = spark.read.parquet(f"{profile_path}/categorical")
+        pn = spark.read.parquet(f"{profile_path}/numeric")
         parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, profile=pc),
                  numeric_drift(reference, current, num, cfg.drift_threshold, ks_method=cfg.ks_method,
                                profile=pn)]
     else:
         # One pair of global aggregates gives the non-null totals of every tested
-        # column; both halves read the same (broadcast, one row per column) table.
+        # column, computed once: one row per column, shared by both halves.
         totals = side_totals(reference, current, cat + num) if cat + num else None
+        totals = totals and spark.createDataFrame(totals.collect(), totals.schema)
         parts = [categorical_drift(reference, current, cat, cfg.js_divergence_threshold, totals),
                  numeric_drift(reference, current, num, cfg.drift_threshold, totals, cfg.ks_method)]
     if bad:
@@ -377,13 +446,13 @@ class DataDriftMonitor:
         if path:
             self.load_reference_data(path)
             if self.config.get("reference_profile_path"):
-                self.build_reference_profile()
+                self.use_reference_profile(self.config["reference_profile_path"])
 
     def load_reference_data(self, path: str | None = None) -> DataFrame:
         from tidemark.sources.readers import read_by_extension
         path = path or self.config.get("reference_data_path")
         if not path:
-            raise ValueError("Reference data path not set")
+            raise ValueError("no reference_data_path configured")
         self.reference = read_by_extension(self.spark, path)
         return self.reference
 
@@ -391,11 +460,25 @@ class DataDriftMonitor:
         self.reference = df
         self.profile_path = None
 
+    def use_reference_profile(self, path: str) -> str:
+        """Use the profile stored at ``path``, building it where there is none.
+        A profile with other columns or kinds than the configuration gives is
+        an error: ``build_reference_profile`` replaces it."""
+        cfg = DriftConfig.from_dict(self.config)
+        cat, num, _ = route_columns(self.reference, list(self.reference.columns), cfg)
+        stored = profile_routing(self.spark, path)
+        if stored is None:
+            return self.build_reference_profile(path)
+        if (sorted(stored["categorical"]), sorted(stored["numeric"])) != (sorted(cat), sorted(num)):
+            raise ValueError(f"the reference profile at {path} was built for other columns; rebuild it")
+        self.profile_path = path
+        return path
+
     def build_reference_profile(self, path: str | None = None) -> str:
         """Store the reference's per-value counts (config key
         ``reference_profile_path``); later comparisons scan only current data."""
         if self.reference is None:
-            raise ValueError("Reference data not loaded. Call load_reference_data() first.")
+            raise ValueError("load or set a reference table first")
         path = path or self.config.get("reference_profile_path")
         if not path:
             raise ValueError("No path for the reference profile")
@@ -404,5 +487,5 @@ class DataDriftMonitor:
 
     def detect_drift(self, current: DataFrame) -> DriftResult:
         if self.reference is None:
-            raise ValueError("Reference data not loaded. Call load_reference_data() first.")
+            raise ValueError("load or set a reference table first")
         return detect_drift(self.reference, current, self.config, getattr(self, "profile_path", None))

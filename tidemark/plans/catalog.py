@@ -4,15 +4,14 @@ returns a DataFrame whose columns match the oracle SQL in ``oracle.py``.
 Fixture rules shared with the oracle:
 * derived NULLs: ``CASE WHEN <key> % 7 = 0 THEN NULL ELSE x END``;
 * drift periods: events before / from 2024-01-15, lineitem before / from
-  1998-01-01; induced drift by dropping 'error' events or shifting a value on
-  the current side.
+  1998-01-01; induced drift by calling 'error' events 'purchase' or shifting a
+  value on the current side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from tidemark.functions.exprs import round9
 from tidemark.session import scratch_path
 from tidemark.sources import readers, writers
 from tidemark.operators import drift, metrics, ml, perf, prep, quality, runs, split
+from tidemark.plans.model_job import create_model_pipeline
 from tidemark.streaming import monitor
 
 EVENTS_CUT = "2024-01-15 00:00:00"
@@ -31,13 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table read as a file stream: a directory of part files is
-    streamed as is; a single file is picked out of its folder by name."""
-    import os
-    schema = table(spark, sf_dir, name).schema
+    """A driver table read as a file stream, all present files in one trigger.
+    Spark's own listing tells a folder of part files, which is streamed as is,
+    from a single file, which is picked out of its folder by name."""
+    whole = table(spark, sf_dir, name)
+    files = whole.inputFiles()
     path = f"{sf_dir}/{name}.parquet"
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    if os.path.isdir(path):
+    reader = spark.readStream.schema(whole.schema)
+    if not (len(files) == 1 and files[0].endswith(f"/{name}.parquet")):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
@@ -51,9 +52,8 @@ def null_every_7th(key: str, col: str) -> F.Column:
 def _events_sides(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     ref = ev.where(F.col("ts") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
-    cur = ev.where((F.col("ts") >= F.lit(EVENTS_CUT).cast("timestamp_ntz"))
-                   & (F.col("event_type") != "error"))
-    return ref, cur
+    cur = ev.where(F.col("ts") >= F.lit(EVENTS_CUT).cast("timestamp_ntz"))
+    return ref, cur.withColumn("event_type", F.when(F.col("event_type") == "error", "purchase").otherwise(F.col("event_type")))
 
 
 def q_drift_categorical(spark, sf_dir):
@@ -76,14 +76,14 @@ def _lineitem_sides(spark, sf_dir):
 
 def q_drift_numeric_ks(spark, sf_dir):
     ref, cur, cols = _lineitem_sides(spark, sf_dir)
-    out = drift.numeric_drift(ref, cur, cols)
+    out = drift.numeric_drift(ref, cur, cols, ks_method="asymp")  # the oracle's series
     return out.select("column", round9(F.col("statistic")).alias("statistic"),
                       "n_reference", "n_current")
 
 
 def q_drift_numeric_pvalue(spark, sf_dir):
     ref, cur, cols = _lineitem_sides(spark, sf_dir)
-    out = drift.numeric_drift(ref, cur, cols)
+    out = drift.numeric_drift(ref, cur, cols, ks_method="asymp")  # the oracle's series
     return out.select("column", round9(F.col("statistic")).alias("statistic"),
                       round9(F.col("p_value")).alias("p_value"), "drift_detected")
 
@@ -91,6 +91,7 @@ def q_drift_numeric_pvalue(spark, sf_dir):
 DRIFT_CONFIG = {
     "categorical_columns": ["event_type"],
     "datetime_column": "ts",
+    "ks_method": "asymp",  # the oracle's series
 }
 
 
@@ -320,8 +321,8 @@ def _perf_inputs(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
     base = _period_metrics(ev.where(F.col("ts") < cut), with_signup=False)
-    cur_ev = ev.where((F.col("ts") >= cut) & (F.col("event_type") != "error")) \
-        .withColumn("value", F.col("value") * 0.8)
+    cur_ev = ev.where(F.col("ts") >= cut).withColumn("value", F.col("value") * 0.8) \
+        .withColumn("event_type", F.when(F.col("event_type") == "error", "purchase").otherwise(F.col("event_type")))
     cur = _period_metrics(cur_ev, with_signup=True)
     return cur, base
 
@@ -418,26 +419,46 @@ def _lineitem_ml(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     li = li.withColumn("l_ship_days", F.datediff(F.to_date("l_shipdate"),
                                                  F.to_date(F.lit("1995-01-01"))).cast("double"))
-    tagged = split.assign_split(li, ["l_orderkey", "l_linenumber"], test_size=0.2, seed=42)
-    return tagged
-
-
-def _train_eval(spark, sf_dir, cfg, label, features, metric_names, source=None):
-    """Train on the train split, evaluate on the validation split. The tagged
-    table feeds both, so it is kept for the duration; the metric rows (one per
-    metric) are collected before it is released."""
+    # The generated columns are independent of each other, so the labels to learn
+    # are made of the features: a model must then beat its trivial rival.
+    li = li.withColumns({
+        "band": F.when(F.col("l_quantity") <= 17, "low").when(F.col("l_quantity") <= 34, "mid").otherwise("high"),
+        "large": F.when(F.col("l_quantity") > 25, "yes").otherwise("no"),
+        "net": F.col("l_quantity") * 100.0 * (1.0 - F.col("l_discount"))})
+    return split.assign_split(li, ["l_orderkey", "l_linenumber"], test_size=0.2, seed=42)
+
+
+def _train_eval(spark, sf_dir, cfg, label, features, metric_names, source=None, floor=True):
+    """Train on the train split and return, for the validation and the test
+    split, facts that SQL can state exactly: rows, scored rows, whether all
+    predictions and probabilities are well formed and the metrics in range, and
+    (``floor``) whether the model beats its trivial rival: the majority class,
+    or the mean. The tagged table is written once and feeds fit and scoring."""
     tagged = source if source is not None else _lineitem_ml(spark, sf_dir)
-    cols = features + [label]
-    tagged = ml.balanced(tagged.select(*cols, "split")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train = tagged.where(F.col("split") == "train").select(*cols)
-        val = tagged.where(F.col("split") == "validation").select(*cols)
-        trained = ml.ModelTrainer(cfg).train(train, label, features, balance=False)
-        rows = ml.evaluate(trained, val, metric_names).collect()
-    finally:
-        tagged.unpersist()
-    out = spark.createDataFrame([tuple(r) for r in rows], "metric string, value double")
-    return out.withColumn("value", round9(F.col("value")))
+    path = scratch_path(spark, "tagged")
+    ml.balanced(tagged.select(*features, label, "split")).write.parquet(path)
+    tagged = spark.read.parquet(path)
+    trained = ml.ModelTrainer(cfg).train(tagged.where(F.col("split") == "train").drop("split"), label, features)
+    held = tagged.where(F.col("split") != "train")
+    scored = ml.predict(trained, held, keep=["split", label])
+    y, yh = F.col(label), F.col("prediction")
+    total = F.aggregate("probability", F.lit(0.0), lambda acc, x: acc + x)
+    whole = F.bool_and(F.col("probability").isNull() | (F.abs(total - 1.0) < 1e-6)).alias("probabilities_sum_to_one")
+    if trained.task_type == "classification":
+        known = F.bool_and(yh.isin(trained.classes))
+        rival = held.groupBy("split", label).count().groupBy("split").agg((F.max("count") / F.sum("count")).alias("rival"))
+        better = F.avg((y == yh).cast("double")).alias("own")
+    else:
+        known = F.bool_and(~F.isnan(yh) & (F.abs(yh) < F.lit(float("inf"))))
+        rival = held.groupBy("split").agg((-F.var_pop(y)).alias("rival"))
+        better = (-F.avg(F.pow(y - yh, 2))).alias("own")
+    facts = scored.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count("prediction").alias("n_scored"),
+                                        known.alias("predictions_known"), whole, better)
+    m = {r["metric"]: r["value"] for r in ml.evaluate(trained, held, metric_names).collect()}
+    in_range = set(m) == set(metric_names) and all(v <= 1 if k in (*CLS_METRICS, "r2") else v >= 0 for k, v in m.items())
+    facts = facts.join(rival, "split").withColumn("metrics_in_range", F.lit(in_range))
+    cols = ["split", "n_rows", "n_scored", "predictions_known", "probabilities_sum_to_one", "metrics_in_range"]
+    return facts.select(*cols, *([(F.col("own") > F.col("rival")).alias("beats_rival")] if floor else []))
 
 
 CLS_METRICS = ["accuracy", "precision", "recall", "f1"]
@@ -447,19 +468,19 @@ REG_METRICS = ["mse", "rmse", "mae", "r2"]
 def q_train_rf_cls(spark, sf_dir):
     cfg = {"model_type": "random_forest", "task_type": "classification",
            "model_params": {"n_estimators": 20, "max_depth": 5}}
-    return _train_eval(spark, sf_dir, cfg, "l_returnflag", LI_FEATURES, CLS_METRICS)
+    return _train_eval(spark, sf_dir, cfg, "band", LI_FEATURES, CLS_METRICS)
 
 
 def q_train_rf_reg(spark, sf_dir):
     cfg = {"model_type": "random_forest", "task_type": "regression",
            "model_params": {"n_estimators": 20, "max_depth": 5}}
-    return _train_eval(spark, sf_dir, cfg, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], REG_METRICS)
+    return _train_eval(spark, sf_dir, cfg, "net", ["l_quantity", "l_discount", "l_tax"], REG_METRICS)
 
 
 def q_train_gbt_cls(spark, sf_dir):
     cfg = {"model_type": "gradient_boosting", "task_type": "classification",
            "model_params": {"n_estimators": 10, "max_depth": 3}}
-    return _train_eval(spark, sf_dir, cfg, "l_linestatus", LI_FEATURES, CLS_METRICS)
+    return _train_eval(spark, sf_dir, cfg, "large", LI_FEATURES, CLS_METRICS)
 
 
 def q_train_gbt_multi(spark, sf_dir):
@@ -468,18 +489,18 @@ def q_train_gbt_multi(spark, sf_dir):
     tagged = split.assign_split(ev, ["event_id"], test_size=0.2, seed=42)
     cfg = {"model_type": "gradient_boosting", "task_type": "classification",
            "model_params": {"n_estimators": 5, "max_depth": 3}}
-    return _train_eval(spark, sf_dir, cfg, "event_type", ["value", "hour", "user"], CLS_METRICS, tagged)
+    return _train_eval(spark, sf_dir, cfg, "event_type", ["value", "hour", "user"], CLS_METRICS, tagged, floor=False)
 
 
 def q_train_gbt_reg(spark, sf_dir):
     cfg = {"model_type": "gradient_boosting", "task_type": "regression",
            "model_params": {"n_estimators": 10, "max_depth": 3}}
-    return _train_eval(spark, sf_dir, cfg, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], REG_METRICS)
+    return _train_eval(spark, sf_dir, cfg, "net", ["l_quantity", "l_discount", "l_tax"], REG_METRICS)
 
 
 def q_train_logreg(spark, sf_dir):
     cfg = {"model_type": "linear", "task_type": "classification"}
-    return _train_eval(spark, sf_dir, cfg, "l_linestatus", LI_FEATURES, CLS_METRICS)
+    return _train_eval(spark, sf_dir, cfg, "large", LI_FEATURES, CLS_METRICS)
 
 
 def q_train_linear_one_feature(spark, sf_dir):
@@ -491,16 +512,43 @@ def q_train_linear_one_feature(spark, sf_dir):
                                  F.round(F.lit(float(lr.intercept)), 6).alias("intercept"))
 
 
+def _checked(scored: DataFrame, trained) -> DataFrame:
+    """A scored row's checkable part: its prediction is a known class, its
+    probabilities sum to one."""
+    total = F.aggregate("probability", F.lit(0.0), lambda acc, x: acc + x)
+    return scored.withColumns({"known_class": F.col("prediction").isin(trained.classes),
+                               "probabilities_sum_to_one": F.abs(total - 1.0) < 1e-6}).drop("prediction", "probability")
+
+
 def q_score_batch(spark, sf_dir):
-    tagged = _lineitem_ml(spark, sf_dir)
-    train = tagged.where(F.col("split") == "train")
+    path = scratch_path(spark, "tagged")
+    ml.balanced(_lineitem_ml(spark, sf_dir).select("l_orderkey", "l_linenumber", *LI_FEATURES, "l_returnflag", "split")).write.parquet(path)
+    tagged = spark.read.parquet(path)
+    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "l_returnflag")
     test = tagged.where(F.col("split") == "test")
     cfg = {"model_type": "random_forest", "task_type": "classification",
            "model_params": {"n_estimators": 20, "max_depth": 5}}
-    trained = ml.ModelTrainer(cfg).train(train.select(*LI_FEATURES, "l_returnflag"), "l_returnflag", LI_FEATURES)
-    return ml.score_batch(trained, test.select("l_orderkey", "l_linenumber", *LI_FEATURES),
-                          model_name="returnflag_rf", model_version="1",
-                          keep=["l_orderkey", "l_linenumber"])
+    trained = ml.ModelTrainer(cfg).train(train, "l_returnflag", LI_FEATURES)
+    scored = ml.score_batch(trained, test.select("l_orderkey", "l_linenumber", *LI_FEATURES),
+                            model_name="returnflag_rf", model_version="1", keep=["l_orderkey", "l_linenumber"])
+    return _checked(scored, trained)
+
+
+def q_model_registry(spark, sf_dir):
+    """Train, register, find the newest version and score: one row a customer
+    segment with what the loaded model scored."""
+    c = table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "registry")
+    cfg = {"model_type": "linear", "task_type": "regression", "model_dir": root, "model_name": "balance",
+           "metrics_path": f"{root}-metrics", "split_keys": ["c_custkey"]}
+    features = c.select("c_custkey", F.col("c_nationkey").cast("double").alias("c_nationkey"), "c_acctbal")
+    for _ in range(2):
+        create_model_pipeline(spark, cfg).run(features, "c_acctbal")
+    versions = spark.read.parquet(f"{root}/_versions")
+    trained, info = ml.load_registered_model(spark, versions, "balance", root)
+    scored = ml.score_batch(trained, c.select("c_mktsegment", "c_custkey", F.col("c_nationkey").cast("double").alias("c_nationkey")),
+                            "balance", str(info["version"]), keep=["c_mktsegment"])
+    return scored.groupBy("c_mktsegment", "model_name", "model_version", "batch_size").agg(F.count("prediction").alias("n_scored"))
 
 
 # ---------------------------------------------------------------- io
@@ -580,7 +628,9 @@ def q_train_feature_importance(spark, sf_dir):
     cfg = {"model_type": "random_forest", "task_type": "classification",
            "model_params": {"n_estimators": 10, "max_depth": 4}}
     trained = ml.ModelTrainer(cfg).train(train, "l_linestatus", LI_FEATURES)
-    return ml.feature_importances(trained).withColumn("importance", round9(F.col("importance")))
+    imp = ml.feature_importances(trained)
+    total = F.lit(imp.agg(F.sum("importance")).first()[0])  # one number
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"), round9(total).alias("total"))
 
 
 def q_train_rf_embeddings(spark, sf_dir):
@@ -589,7 +639,7 @@ def q_train_rf_embeddings(spark, sf_dir):
     tagged = split.assign_split(emb, ["vec_id"], test_size=0.2, seed=42)
     cfg = {"model_type": "random_forest", "task_type": "classification",
            "model_params": {"n_estimators": 20, "max_depth": 6}}
-    return _train_eval(spark, sf_dir, cfg, "label", ["embedding"], CLS_METRICS, tagged)
+    return _train_eval(spark, sf_dir, cfg, "label", ["embedding"], CLS_METRICS, tagged, floor=False)
 
 
 def q_split_kfold(spark, sf_dir):
@@ -598,8 +648,7 @@ def q_split_kfold(spark, sf_dir):
 
 
 def q_stream_daily_drift_windowed(spark, sf_dir):
-    """Watermarked variant (1 hour): days are scored when the watermark closes
-    them, so the day still open at the end of the stream is not emitted."""
+    """Watermarked variant: counts in streaming state, every touched day rescored."""
     ev = table(spark, sf_dir, "events")
     stream = table_stream(spark, sf_dir, "events")
     ref = ev.where(F.col("ts") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
@@ -630,11 +679,104 @@ def q_stream_score(spark, sf_dir):
     q = monitor.start_scoring(trained, _ship_days(stream), f"{base}/out", f"{base}/checkpoint",
                               "returnflag_rf", "1", keep=["l_orderkey", "l_linenumber"])
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("l_orderkey", "l_linenumber", "prediction",
-                                                    "model_name", "model_version")
+    out = spark.read.parquet(f"{base}/out").drop("scored_at")
+    return _checked(out, trained)
+
+
+# ---------------------------------------------------------------- missing values as NaN, odd names, mixed types
+
+def _lineitem_with_nans(spark, sf_dir):
+    """NaN (not NULL) where the key is a multiple of 7; a dot in a name."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.when(F.col("l_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity")).alias("l.quantity"),
+                     F.when(F.col("l_partkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"))
+
+
+def q_quality_nan_counts(spark, sf_dir):
+    return quality.null_counts(_lineitem_with_nans(spark, sf_dir))
+
+
+def _nan_prep(spark, sf_dir, steps):
+    out, _ = prep.fit_transform(_lineitem_with_nans(spark, sf_dir), steps)
+    return out
+
+
+def q_prep_nan_fill_scale(spark, sf_dir):
+    """Mean fill and scaling of columns with NaN, one with a dotted name."""
+    out = _nan_prep(spark, sf_dir, [{"type": "fill_missing", "columns": ["l.quantity"], "method": "mean"},
+                                    {"type": "scale_numerical", "columns": ["l.quantity", "l_tax"]}])
+    return out.select("l_orderkey", "l_linenumber", round9(F.col("`l.quantity`")).alias("l_quantity"), round9(F.col("l_tax")).alias("l_tax"))
+
+
+def q_prep_nan_one_hot(spark, sf_dir):
+    """One-hot of a double column (its names hold dots), then fill and scale."""
+    out = _nan_prep(spark, sf_dir, [{"type": "encode_categorical", "columns": ["l_tax"], "method": "one_hot"},
+                                    {"type": "fill_missing", "columns": ["l.quantity"], "method": "median"},
+                                    {"type": "scale_numerical", "columns": ["l_tax_0.04"]}])
+    return out.select("l_orderkey", "l_linenumber", F.col("`l.quantity`").alias("l_quantity"), F.col("`l_tax_0.0`").alias("tax_0"),
+                      round9(F.col("`l_tax_0.04`")).alias("tax_4"), F.col("`l_tax_0.08`").alias("tax_8"), F.lit(len(out.columns)).cast("long").alias("n_columns"))
+
+
+def q_drift_nan_ks(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    cut = F.lit(SHIP_CUT).cast("timestamp_ntz")
+    cols = [F.when(F.col("l_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity")).alias("l.quantity")]
+    out = drift.numeric_drift(li.where(F.col("l_shipdate") < cut).select(*cols), li.where(F.col("l_shipdate") >= cut).select(*cols),
+                              ["l.quantity"], ks_method="asymp")
+    return out.select("column", round9(F.col("statistic")).alias("statistic"), "n_reference", "n_current")
+
+
+def q_eval_mixed_types(spark, sf_dir):
+    """A long label against a double prediction."""
+    t = _doc_predictions(spark, sf_dir).select(F.col("label").cast("long").alias("label"), F.col("prediction").cast("double").alias("prediction"))
+    return metrics.classification_metrics(t, metrics=CLS_METRICS).withColumn("value", round9(F.col("value")))
+
+
+def q_io_csv_text_roundtrip(spark, sf_dir):
+    """Texts with quotes, line breaks and edge blanks, and codes like 1D."""
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit(' "'), F.col("text"), F.lit('", said ')).alias("quoted"),
+        F.concat((F.col("doc_id") % 10).cast("string"), F.lit("D")).alias("code"))
+    path = writers.write_table(d, scratch_path(spark, "csv-text"), fmt="csv")
+    back = readers.read_table(spark, {"source_type": "csv", "input_path": path})
+    return back.select("doc_id", F.md5("quoted").alias("quoted_md5"), "code")
+
+
+def q_runs_latest_without_steps(spark, sf_dir):
+    """Metric values logged without a step: the latest stamp's value."""
+    ev = table(spark, sf_dir, "events")
+    logged = ev.select(F.col("event_type").alias("model"), F.lit("value").alias("metric"), F.lit(None).cast("long").alias("step"),
+                       "value", F.col("ts").cast("timestamp").alias("ts"))
+    return runs.latest_metrics(logged).withColumn("last_value", round9(F.col("last_value")))
+
+
+def q_drift_chi_square(spark, sf_dir):
+    ref, cur = _events_sides(spark, sf_dir)
+    out = drift.chi_square_drift(ref, cur, ["event_type"])
+    return out.select("column", round9(F.col("statistic")).alias("statistic"), "degrees_of_freedom", round9(F.col("p_value")).alias("p_value"), "drift_detected")
+
+
+def q_drift_proportions(spark, sf_dir):
+    """Two-valued columns: shares of the two sides by the z-test."""
+    ref, cur = _events_sides(spark, sf_dir)
+    flags = [F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd").alias("parity"),
+             F.when(F.col("event_type") == "signup", "signup").otherwise("other").alias("signup")]
+    out = drift.proportion_drift(ref.select(*flags), cur.select(*flags), ["parity", "signup"])
+    return out.select("column", round9(F.col("statistic")).alias("statistic"), round9(F.col("p_value")).alias("p_value"), "drift_detected")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quality_nan_counts": q_quality_nan_counts,
+    "prep_nan_fill_scale": q_prep_nan_fill_scale,
+    "prep_nan_one_hot": q_prep_nan_one_hot,
+    "drift_nan_ks": q_drift_nan_ks,
+    "drift_chi_square": q_drift_chi_square,
+    "drift_proportions": q_drift_proportions,
+    "eval_mixed_types": q_eval_mixed_types,
+    "io_csv_text_roundtrip": q_io_csv_text_roundtrip,
+    "runs_latest_without_steps": q_runs_latest_without_steps,
+    "model_registry": q_model_registry,
     "quality_duplicates": q_quality_duplicates,
     "quality_missing_share": q_quality_missing_share,
     "quality_null_counts": q_quality_null_counts,

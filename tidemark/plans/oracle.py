@@ -7,7 +7,8 @@ from __future__ import annotations
 
 _EVENTS_SIDES = """
 ref AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-15'),
-cur AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND event_type <> 'error')
+cur AS (SELECT * REPLACE (CASE WHEN event_type = 'error' THEN 'purchase' ELSE event_type END AS event_type)
+        FROM events WHERE ts >= TIMESTAMP '2024-01-15')
 """
 
 _JS_FROM_LONG = """
@@ -539,12 +540,128 @@ l AS (UNPIVOT d ON mean_value, n_events, error_share INTO NAME metric VALUE valu
 SELECT metric, round(value, 9) AS value FROM l WHERE as_of = (SELECT max(as_of) FROM l)
 """
 
-STREAM_DAILY_DRIFT_WINDOWED = STREAM_DAILY_DRIFT.rstrip() + """
-WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-"""
+# ---------------------------------------------------------------- models: facts of the held-out splits
+
+
+def _split_sql(table: str, keys: str) -> str:
+    """CTEs ending in ``tagged`` (with ``split``) for the split of ``table`` by ``keys``."""
+    text = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys.split(", "))
+    return f"""
+WITH o AS (SELECT *, md5(concat_ws('|', '42', {text})) AS h FROM {table}),
+r AS (SELECT *, row_number() OVER (ORDER BY h, {keys}) - 1 AS rk, count(*) OVER () AS n FROM o),
+s AS (SELECT *, CAST(ceil(n * 0.2e0) AS BIGINT) AS hold FROM r),
+s2 AS (SELECT *, hold - CAST(ceil(hold * 0.5e0) AS BIGINT) AS nval FROM s),
+tagged AS (SELECT *, CASE WHEN rk < nval THEN 'validation' WHEN rk < hold THEN 'test' ELSE 'train' END AS split FROM s2)
+"""
+
+
+def _model_facts(table: str, keys: str, floor: bool = True) -> str:
+    return _split_sql(table, keys) + f"""
+SELECT split, count(*) AS n_rows, count(*) AS n_scored, true AS predictions_known,
+       true AS probabilities_sum_to_one, true AS metrics_in_range{", true AS beats_rival" if floor else ""}
+FROM tagged WHERE split <> 'train' GROUP BY 1
+"""
+
+
+_LI_KEYS = "l_orderkey, l_linenumber"
+MODEL_ORACLES = {
+    "train_rf_cls": _model_facts("lineitem", _LI_KEYS),
+    "train_rf_reg": _model_facts("lineitem", _LI_KEYS),
+    "train_gbt_cls": _model_facts("lineitem", _LI_KEYS),
+    "train_gbt_multi": _model_facts("events", "event_id", floor=False),
+    "train_gbt_reg": _model_facts("lineitem", _LI_KEYS),
+    "train_logreg": _model_facts("lineitem", _LI_KEYS),
+    "train_rf_embeddings": _model_facts("embeddings", "vec_id", floor=False),
+    "train_feature_importance": """
+SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_ship_days']) AS feature, true AS in_range, 1.0e0 AS total
+""",
+    "score_batch": _split_sql("lineitem", _LI_KEYS) + """
+SELECT l_orderkey, l_linenumber, count(*) OVER () AS batch_size, 'returnflag_rf' AS model_name, '1' AS model_version,
+       true AS known_class, true AS probabilities_sum_to_one
+FROM tagged WHERE split = 'test'
+""",
+    "stream_score": """
+SELECT l_orderkey, l_linenumber, 'returnflag_rf' AS model_name, '1' AS model_version, true AS known_class,
+       true AS probabilities_sum_to_one FROM lineitem
+""",
+    "model_registry": """
+SELECT c_mktsegment, 'balance' AS model_name, '2' AS model_version, (SELECT count(*) FROM customer) AS batch_size, count(*) AS n_scored
+FROM customer GROUP BY 1
+""",
+}
+
+# ---------------------------------------------------------------- NaN, odd names, mixed types
+
+_LI_NANS = """
+t AS (SELECT l_orderkey, l_linenumber, l_shipdate, CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS q,
+             CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_tax END AS x FROM lineitem)
+"""
+
+NAN_ORACLES = {
+    "quality_nan_counts": f"""
+WITH {_LI_NANS}
+SELECT 'l_orderkey' AS "column", count(*) - count(l_orderkey) AS null_count FROM t
+UNION ALL SELECT 'l_linenumber', count(*) - count(l_linenumber) FROM t
+UNION ALL SELECT 'l.quantity', count(*) - count(q) FROM t
+UNION ALL SELECT 'l_tax', count(*) - count(x) FROM t
+""",
+    "prep_nan_fill_scale": f"""
+WITH {_LI_NANS},
+f AS (SELECT l_orderkey, l_linenumber, coalesce(q, (SELECT avg(q) FROM t)) AS q, x FROM t)
+SELECT l_orderkey, l_linenumber, round((q - (SELECT avg(q) FROM f)) / (SELECT stddev_samp(q) FROM f), 9) AS l_quantity,
+       round((x - (SELECT avg(x) FROM f)) / (SELECT stddev_samp(x) FROM f), 9) AS l_tax FROM f
+""",
+    "prep_nan_one_hot": f"""
+WITH {_LI_NANS},
+f AS (SELECT l_orderkey, l_linenumber, coalesce(q, (SELECT median(q) FROM t)) AS q, x,
+             CASE WHEN x = 0.04 THEN 1 ELSE 0 END AS four FROM t)
+SELECT l_orderkey, l_linenumber, q AS l_quantity, CASE WHEN x = 0.0 THEN 1 ELSE 0 END AS tax_0,
+       round((four - (SELECT avg(four) FROM f)) / (SELECT stddev_samp(four) FROM f), 9) AS tax_4,
+       CASE WHEN x = 0.08 THEN 1 ELSE 0 END AS tax_8, 3 + (SELECT count(DISTINCT x) FROM t) AS n_columns
+FROM f
+""",
+    "drift_nan_ks": f"""
+WITH {_LI_NANS},
+long AS (SELECT 'l.quantity' AS "column", q AS value, CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END AS is_ref FROM t),
+{_KS_FROM_LONG}
+SELECT "column", round(d, 9) AS statistic, n AS n_reference, m AS n_current FROM pv
+""",
+    "eval_mixed_types": EVAL_CLASSIFICATION,
+    "io_csv_text_roundtrip": """
+SELECT doc_id, md5(' "' || text || '", said ') AS quoted_md5, CAST(doc_id % 10 AS VARCHAR) || 'D' AS code FROM documents
+""",
+    "runs_latest_without_steps": """
+SELECT event_type AS model, 'value' AS metric, CAST(NULL AS BIGINT) AS last_step,
+       round(arg_max(value, struct_pack(t := ts, v := value)), 9) AS last_value, count(*) AS n_points
+FROM events GROUP BY 1
+""",
+    "drift_chi_square": f"""
+WITH {_EVENTS_SIDES},
+c AS (SELECT event_type, sum(r) AS n_ref, sum(1 - r) AS n_cur
+      FROM (SELECT event_type, 1 AS r FROM ref UNION ALL SELECT event_type, 0 FROM cur) GROUP BY 1),
+e AS (SELECT n_cur, n_ref * 1.0e0 * (SELECT sum(n_cur) FROM c) / (SELECT sum(n_ref) FROM c) AS x FROM c),
+x AS (SELECT sum((n_cur - x) * (n_cur - x) / x) AS stat, count(*) - 1 AS dof FROM e)
+SELECT 'event_type' AS "column", round(stat, 9) AS statistic, dof AS degrees_of_freedom,
+       round(exp(-stat / 2) * (1 + stat / 2), 9) AS p_value, exp(-stat / 2) * (1 + stat / 2) < 0.05 AS drift_detected FROM x
+""",
+    "drift_proportions": f"""
+WITH {_EVENTS_SIDES},
+u AS (SELECT 1 AS r, * FROM ref UNION ALL SELECT 0, * FROM cur),
+v AS (SELECT 'parity' AS "column", r, CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END AS hit FROM u
+      UNION ALL SELECT 'signup', r, CASE WHEN event_type = 'signup' THEN 0 ELSE 1 END FROM u),
+a AS (SELECT "column", sum(r) * 1.0e0 AS n, sum(1 - r) * 1.0e0 AS m, sum(r * hit) * 1.0e0 AS k, sum((1 - r) * hit) * 1.0e0 AS l FROM v GROUP BY 1),
+z AS (SELECT "column", (k / n - l / m) / sqrt((k + l) / (n + m) * (1 - (k + l) / (n + m)) * (1 / n + 1 / m)) AS z FROM a),
+p AS (SELECT "column", any_value(z) AS z,
+             1 - 2 / sqrt(pi()) * sum(power(-1.0e0, i) * power(abs(z) / sqrt(2.0e0), 2 * i + 1) / (gamma(i + 1.0e0) * (2 * i + 1))) AS p
+      FROM z, range(0, 60) g(i) GROUP BY 1)
+SELECT "column", round(z, 9) AS statistic, round(p, 9) AS p_value, p < 0.05 AS drift_detected FROM p
+""",
+}
 
 ORACLE_SQL: dict[str, str] = {
-    "stream_daily_drift_windowed": STREAM_DAILY_DRIFT_WINDOWED,
+    **MODEL_ORACLES,
+    **NAN_ORACLES,
+    "stream_daily_drift_windowed": STREAM_DAILY_DRIFT,
     "models_latest_production": MODELS_LATEST_PRODUCTION,
     "runs_latest_baseline": RUNS_LATEST_BASELINE,
     "perf_report_counts": PERF_REPORT_COUNTS,

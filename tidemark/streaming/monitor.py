@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.exprs import js_term, safe_div
+from tidemark.functions.exprs import js_term, qcol, safe_div
 from tidemark.operators import ml
 from tidemark.operators.drift import DEFAULT_JS_THRESHOLD
 
@@ -29,8 +29,8 @@ DAILY_DRIFT_SCHEMA = ("day date, column string, js_divergence double, n_referenc
 
 def _long_counts(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     """(keys..., column, value) with text values, NULLs dropped."""
-    cast = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in columns])
-    long = cast.unpivot(keys, columns, "column", "value")
+    cast = df.select(*keys, *[qcol(c).cast("string").alias(c) for c in columns])
+    long = cast.unpivot(keys, [qcol(c) for c in columns], "column", "value")
     return long.where(F.col("value").isNotNull())
 
 
@@ -46,21 +46,22 @@ def daily_js(spark: SparkSession, ref_counts_path: str, day_counts: DataFrame,
              js_threshold: float = DEFAULT_JS_THRESHOLD) -> DataFrame:
     """JS per (day, column) from current counts (day, column, value, n) and the
     reference count table; keys absent on one side count as 0."""
+    # A value that a day lacks adds js_term(p, 0), whatever the day: per column
+    # these terms are summed once over the whole reference, and a day takes back
+    # those of the values it has. No reference row is copied per day.
     ref = spark.read.parquet(ref_counts_path)
-    ref_tot = ref.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"))       # one row per column
+    ref_tot = ref.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"))  # one row per column
+    zero = F.lit(0.0)
+    shares = ref.join(F.broadcast(ref_tot), "column").select("column", "value", safe_div(F.col("n_ref"), F.col("tot_ref")).alias("p"))
+    absent = ref_tot.join(shares.groupBy("column").agg(F.sum(js_term(F.col("p"), zero)).alias("all_absent")), "column")
     cur_tot = day_counts.groupBy("day", "column").agg(F.sum("n").alias("tot_cur"))  # days x columns
-    slots = cur_tot.select("day", "column")
-    # Reference values spread over every (day, column) present, union current values.
-    ref_side = ref.join(F.broadcast(slots), "column").select(
-        "day", "column", "value", F.col("n_ref"), F.lit(0).cast("long").alias("n"))
-    cur_side = day_counts.select("day", "column", "value", F.lit(0).cast("long").alias("n_ref"), "n")
-    both = ref_side.unionByName(cur_side).groupBy("day", "column", "value").agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n").alias("n"))
-    both = both.join(F.broadcast(ref_tot), "column", "left").join(F.broadcast(cur_tot), ["day", "column"])
-    js = both.groupBy("day", "column").agg(
-        F.sum(js_term(safe_div(F.col("n_ref"), F.col("tot_ref")),
-                      safe_div(F.col("n"), F.col("tot_cur")))).alias("js_divergence"),
-        F.first("tot_ref").alias("n_reference"), F.first("tot_cur").alias("n_current"))
+    seen = day_counts.join(cur_tot, ["day", "column"]).join(shares, ["column", "value"], "left")
+    term = js_term(F.col("p"), safe_div(F.col("n"), F.col("tot_cur")))
+    taken = F.when(F.col("p").isNotNull(), js_term(F.col("p"), zero)).otherwise(zero)
+    js = seen.groupBy("day", "column").agg(F.sum(term - taken).alias("part"), F.first("tot_cur").alias("n_current"))
+    js = js.join(F.broadcast(absent), "column", "left").select(
+        "day", "column", (F.col("part") + F.coalesce("all_absent", zero)).alias("js_divergence"),
+        F.col("tot_ref").alias("n_reference"), "n_current")
     return js.select("day", "column", "js_divergence",
                      F.coalesce(F.col("n_reference"), F.lit(0)).cast("long").alias("n_reference"),
                      F.col("n_current").cast("long"),
@@ -75,14 +76,14 @@ def start_daily_drift(stream: DataFrame, reference: DataFrame, columns: list[str
     ref_path = write_reference_counts(reference, columns, f"{state_path}/reference_counts")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        day = F.to_date(F.col(ts_col)).alias("day")
-        long = _long_counts(batch.select(day, *columns), columns, ["day"])
+        day = F.to_date(qcol(ts_col)).alias("day")
+        long = _long_counts(batch.select(day, *[qcol(c) for c in columns]), columns, ["day"])
         partial = long.groupBy("day", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-        partial.write.mode("overwrite").partitionBy("day").parquet(f"{state_path}/partials/batch_id={batch_id}")
-        days = [r["day"] for r in partial.select("day").distinct().collect()]  # days in this batch
-        if not days:
-            return
-        acc = (spark.read.parquet(f"{state_path}/partials").where(F.col("day").isin(days))
+        own = f"{state_path}/partials/batch_id={batch_id}"
+        partial.write.mode("overwrite").partitionBy("day").parquet(own)
+        # the days of this batch, from the file just written; a replay writes the same
+        fresh = spark.read.schema("column string, value string, n long, day date").parquet(own).select("day").distinct()
+        acc = (spark.read.parquet(f"{state_path}/partials").join(fresh, "day", "left_semi")
                .groupBy("day", "column", "value").agg(F.sum("n").alias("n")))
         daily_js(spark, ref_path, acc, js_threshold).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
@@ -110,12 +111,16 @@ def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns:
                                watermark: str = "1 day", js_threshold: float = DEFAULT_JS_THRESHOLD,
                                trigger: dict | None = None) -> StreamingQuery:
     """Watermarked variant: per-(day, column, value) counts are kept in the
-    streaming state of a ``window(ts, "1 day")`` aggregation and emitted in
-    append mode once the watermark passes the day's end -- all groups of a day
-    close together, so each micro-batch holds whole days. The reference counts
-    are written once as a table. Rows later than the watermark are dropped
-    (use ``start_daily_drift`` to accept any lateness). Days are UTC calendar
-    days of the event time; a TIMESTAMP_NTZ column is read as UTC."""
+    streaming state of a ``window(ts, "1 day")`` aggregation, whose watermark
+    drops days that no row can reach any more. Every micro-batch adds its changed
+    counts to a table and rescores the days they belong to, so an open day (the
+    last one included) has its score so far and none waits for a later row.
+
+    ``watermark`` is the caller's promise: rows later than it, measured against
+    the newest event of earlier micro-batches, are dropped. Choose it above the
+    disorder of the source, or use ``start_daily_drift``, which accepts any.
+    Days are UTC calendar days of the event time; a TIMESTAMP_NTZ column is read
+    as UTC. The reference counts are written once as a table."""
     spark = stream.sparkSession
     ref_path = write_reference_counts(reference, columns, f"{state_path}/reference_counts")
     if isinstance(stream.schema[ts_col].dataType, T.TimestampNTZType):
@@ -131,10 +136,15 @@ def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns:
     def process(batch: DataFrame, batch_id: int) -> None:
         # UTC day of the window start, independent of the session time zone.
         day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
-        days = batch.select(day.alias("day"), "column", "value", "n")
+        own = f"{state_path}/updates/batch_id={batch_id}"
+        batch.select(day.alias("day"), "column", "value", "n").write.mode("overwrite").partitionBy("day").parquet(own)
+        fresh = spark.read.schema("column string, value string, n long, day date").parquet(own).select("day").distinct()
+        # counts only grow: the newest of a value is its largest
+        days = (spark.read.parquet(f"{state_path}/updates").join(fresh, "day", "left_semi")
+                .groupBy("day", "column", "value").agg(F.max("n").alias("n")))
         daily_js(spark, ref_path, days, js_threshold).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
 
-    writer = counts.writeStream.outputMode("append").foreachBatch(process) \
+    writer = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", checkpoint_path)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
