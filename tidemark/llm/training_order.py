@@ -47,10 +47,10 @@ def feistel(x: np.ndarray, size: int, key: int, rounds: int = 6) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def sequences(df: DataFrame, path: str, pattern: str, tokens: int, end_id: int, text: str = "text") -> DataFrame:
-    """(number, n, ids): the sequences of every partition, numbered from
-    partition * PER_PARTITION. ids are little-endian unsigned 16-bit, filled up
-    with the end id in a partition's last sequence."""
+def _sequences(path: str, pattern: str, tokens: int, end_id: int):
+    """A function from batches of texts to batches (number, n, ids): a
+    partition's sequences, numbered from partition * PER_PARTITION. ids are
+    little-endian unsigned 16-bit, filled up with the end id in the last one."""
 
     def run(batches):
         enc, base, made, rest = encoder(path, pattern), TaskContext.get().partitionId() * PER_PARTITION, 0, np.zeros(0, "<u2")
@@ -74,7 +74,7 @@ def sequences(df: DataFrame, path: str, pattern: str, tokens: int, end_id: int,
         if len(rest):
             yield rows(np.pad(rest, (0, tokens - len(rest)), constant_values=end_id), np.array([len(rest)]))
 
-    return df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "number long, n int, ids binary")
+    return run
 
 
 def _store(out: str) -> tuple[pa.fs.FileSystem, str]:
@@ -100,10 +100,10 @@ def write(df: DataFrame, out: str, path: str, pattern: str, tokens: int = 1024,
     parts, size = counted.agg(F.max("part"), F.sum("bytes")).first()
     space = ((parts or 0) + 1) * PER_PARTITION
     count = shards or max(1, -(-int(size or 0) // (shard_mb << 20)))
-    record = HEAD_BYTES + 2 * tokens
+    cut = _sequences(path, pattern, tokens, end_id)
 
-    def place(batches):
-        for b in batches:
+    def place(batches):  # in the same Python worker as the encoding
+        for b in cut(batches):
             number = b.column("number").to_numpy()
             if len(number) and number.max() >= space:
                 raise ValueError("the input's partitions changed between two passes")
@@ -134,7 +134,7 @@ def write(df: DataFrame, out: str, path: str, pattern: str, tokens: int = 1024,
 
     fs, folder = _store(out)
     fs.create_dir(folder, recursive=True)
-    placed = sequences(source, path, pattern, tokens, end_id).mapInArrow(place, "shard int, order long, number long, n int, ids binary")
+    placed = source.mapInArrow(place, "shard int, order long, number long, n int, ids binary")
     dealt = placed.repartitionById(count, F.col("shard")).sortWithinPartitions("shard", "order")
     made = sorted((r.shard, r.records) for r in dealt.mapInArrow(save, "shard int, records long").collect())  # one row a shard
     first, rows = 0, []
@@ -142,7 +142,7 @@ def write(df: DataFrame, out: str, path: str, pattern: str, tokens: int = 1024,
         rows.append((shard, first, records))
         first += records
     with fs.open_output_stream(f"{folder}/manifest.json") as f:
-        f.write(json.dumps({"tokens": tokens, "record": record, "end_id": end_id, "key": key, "shards": rows}).encode())
+        f.write(json.dumps({"tokens": tokens, "record": HEAD_BYTES + 2 * tokens, "end_id": end_id, "key": key, "shards": rows}).encode())
     return spark.createDataFrame(rows, "shard int, first_slot long, records long")
 
 
