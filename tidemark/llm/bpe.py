@@ -16,6 +16,7 @@ import base64
 import functools
 import heapq
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -189,7 +190,7 @@ class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
     #: A space next to other white space, where splitting at spaces would differ from the pattern.
-    ODD_SPACE = regex.compile(r"[\s\x1c-\x1f\x85] (?:[\s\x1c-\x1f\x85]|$)")
+    ODD_SPACE = re.compile(r"\s (?:\s|\Z)")
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary = vocabulary(path)
@@ -231,9 +232,19 @@ class Encoder:
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk; a space and letters is one piece as it stands."""
-        split = [[c] if c[:1] == " " and c[1:].isalpha() else self.pattern.findall(c) for c in chunks]
-        pieces = list({p for s in split for p in s})
-        ids = dict(zip(pieces, self.encode_pieces([p.encode() for p in pieces]), strict=True))
+        split = []
+        for c in chunks:
+            if c[:1] != " ":
+                split.append(self.pattern.findall(c))
+            elif c[1:].isalpha():
+                split.append([c])
+            elif c[1:-1].isalpha() and c[-1] in ".,":
+                split.append([c[:-1], c[-1]])
+            else:
+                split.append(self.pattern.findall(c))
+        ids = {p: self.kept.get(p[1:]) if p[0] == " " else None for s in split for p in s}
+        new = [p for p, x in ids.items() if x is None]
+        ids.update(zip(new, self.encode_pieces([p.encode() for p in new]), strict=True))
         return [ids[s[0]] if len(s) == 1 else b"".join([ids[p] for p in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -289,6 +300,10 @@ def add_binary(df: DataFrame, source: str, name: str, make) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def decode_all(tokens: list[bytes], rows: list[bytes | None]) -> list[bytes]:
+    return [b"".join(map(tokens.__getitem__, np.frombuffer(r, "<u4").tolist())) if r else b"" for r in rows]
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``df`` with column ``ids``: the token ids of the whole text as
     little-endian unsigned 32-bit integers. ``path`` names a vocabulary file
@@ -310,14 +325,29 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
 
     def make():
         tokens = vocabulary(path).tokens
-        return lambda rows: [b"".join(map(tokens.__getitem__, np.frombuffer(r, "<u4").tolist())) if r else b"" for r in rows]
+        return lambda rows: decode_all(tokens, rows)
 
     return add_binary(df, ids, out, make)
 
 
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one pass over the text."""
+    schema = _with_binary(_with_binary(df.schema, ids), out)
+    keep = schema.names[:-2]
+
+    def run(batches):
+        enc = encoder(path, pattern)
+        for batch in batches:
+            for part in text_slices(batch, text):
+                coded = enc.encode([t or "" for t in part.column(text).to_pylist()])
+                both = [pa.array(x, pa.binary()) for x in (coded, decode_all(enc.vocabulary.tokens, coded))]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *both], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    coded = encode(df.select("doc_id", "text"), path, pattern).drop("text")
-    both = decode(coded, path)
+    both = round_trip(df.select("doc_id", "text"), path, pattern)
     return both.select("doc_id", F.expr("length(token_ids) div 4").cast("long").alias("n_tokens"),
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
