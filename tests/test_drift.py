@@ -135,7 +135,7 @@ def test_exact_ks_pvalue_matches_enumeration(spark):
     cur = _df(spark, [(y,) for y in ys], "v double")
     r = drift.numeric_drift(ref, cur, ["v"], ks_method="auto").first()
     assert abs(r["p_value"] - hits / total) < 1e-12
-    asym = drift.numeric_drift(ref, cur, ["v"]).first()["p_value"]
+    asym = drift.numeric_drift(ref, cur, ["v"], ks_method="asymp").first()["p_value"]
     assert asym != r["p_value"]
 
 
@@ -161,3 +161,54 @@ def test_reference_profile_gives_same_result(spark, tmp_path):
         assert a[:3] == b[:3] and a[6:] == b[6:]
         for x, y in zip(a[3:6], b[3:6]):
             assert (x is None and y is None) or abs(x - y) < 1e-12
+
+
+@pytest.mark.parametrize("x,k,p", [(0.0, 3, 1.0), (3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251179, 3, 0.05),
+                                   (18.307038053275146, 10, 0.05), (124.34211340400407, 100, 0.05), (0.01, 1, 0.9203443), (1500.0, 1000, 0.0), (30.0, 5, 1.4748e-05)])
+def test_chi_square_tail(spark, x, k, p):
+    from tidemark.functions.exprs import chi_square_pvalue
+    got = spark.range(1).select(chi_square_pvalue(F.lit(x), F.lit(k)).alias("p")).first()["p"]
+    assert abs(got - p) < 1e-6
+
+
+@pytest.mark.parametrize("z", [0.0, 0.3, 1.0, 1.959963984540054, 2.82, 2.83, 5.0, -3.0])
+def test_normal_tail(spark, z):
+    from tidemark.functions.exprs import normal_two_sided
+    got = spark.range(1).select(normal_two_sided(F.lit(z)).alias("p")).first()["p"]
+    assert abs(got - math.erfc(abs(z) / math.sqrt(2))) < 1e-12
+
+
+def test_share_tests_on_edge_columns(spark):
+    ref = spark.createDataFrame([("a", "x", "u", None), ("b", "x", "v", None), ("a", "x", "w", None)], "p string, one string, three string, none string")
+    cur = spark.createDataFrame([("a", "x", "u", None), ("a", "x", "z", None)], ref.schema)
+    chi = {r["column"]: r for r in drift.chi_square_drift(ref, cur, ref.columns).collect()}
+    assert chi["p"]["degrees_of_freedom"] == 1 and abs(chi["p"]["statistic"] - 1.0) < 1e-9
+    assert chi["one"]["p_value"] is None and chi["none"]["statistic"] is None and not chi["one"]["drift_detected"]
+    assert math.isinf(chi["three"]["statistic"]) and chi["three"]["p_value"] == 0 and chi["three"]["drift_detected"]
+    z = {r["column"]: r for r in drift.proportion_drift(ref, cur, ref.columns).collect()}
+    assert abs(z["p"]["statistic"] + (1 / 3) / math.sqrt(0.8 * 0.2 * (1 / 3 + 1 / 2))) < 1e-9
+    assert z["one"]["p_value"] == 1 and z["three"]["p_value"] is None and z["none"]["p_value"] is None
+
+
+def test_nan_is_missing_and_names_are_free(spark):
+    nan = float("nan")
+    ref = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "`a.b` double")
+    cur = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (nan,), (nan,)], "`a.b` double")
+    r = drift.numeric_drift(ref, cur, ["a.b"]).first()
+    assert r["statistic"] == 0 and r["n_current"] == 3
+    assert drift.wasserstein_drift(ref, cur, ["a.b"]).first()["wasserstein"] == 0
+    assert drift.categorical_drift(ref, cur, ["a.b"]).first()["n_current"] == 3
+
+
+def test_stored_profile_is_reused_and_checked(spark, tmp_out):
+    ref = spark.createDataFrame([(float(i % 5), "x" if i % 2 else "y") for i in range(60)], "v double, c string")
+    ref.write.parquet(f"{tmp_out}/ref.parquet")
+    cfg = {"reference_data_path": f"{tmp_out}/ref.parquet", "reference_profile_path": f"{tmp_out}/profile"}
+    drift.DataDriftMonitor(spark, cfg)
+    import os
+    before = os.stat(f"{tmp_out}/profile/numeric/_SUCCESS").st_mtime_ns
+    monitor = drift.DataDriftMonitor(spark, cfg)
+    assert os.stat(f"{tmp_out}/profile/numeric/_SUCCESS").st_mtime_ns == before
+    assert not monitor.detect_drift(ref).summary.first()["data_drift_detected"]
+    with pytest.raises(ValueError, match="rebuild"):
+        drift.DataDriftMonitor(spark, {**cfg, "categorical_columns": ["v"]})

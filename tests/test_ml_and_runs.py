@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import metrics as M
 from tidemark.operators import ml, prep, runs
 from tidemark.plans.data_job import create_data_pipeline
 from tidemark.plans.model_job import create_model_pipeline
@@ -200,3 +201,29 @@ def test_sample_table_shape_and_determinism(spark):
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
     cats = {r["category"] for r in a.select("category").distinct().collect()}
     assert cats <= {"A", "B", "C"} and {r["target"] for r in a.select("target").distinct().collect()} <= {0, 1}
+
+
+def test_unknown_hyperparameters_are_errors(spark, sample):
+    x = _features(spark, sample)
+    with pytest.raises(ValueError, match="no hyperparameter subsample, trees"):
+        ml.ModelTrainer({"model_type": "random_forest", "model_params": {"trees": 3, "subsample": 0.5}}).train(x, "target")
+    ml.ModelTrainer({"model_type": "linear", "model_params": {"penalty": "elasticnet", "l1_ratio": 0.5, "n_jobs": 4}}).train(x, "target")
+
+
+def test_run_registers_what_the_loader_finds(spark, sample, tmp_out):
+    x = _features(spark, sample)
+    cfg = {"model_type": "linear", "model_params": {}, "model_dir": f"{tmp_out}/m", "metrics_path": f"{tmp_out}/h", "model_name": "clf"}
+    for version in (1, 2):
+        out = create_model_pipeline(spark, cfg).run(x, "target")
+        assert out["model_version"] == version and out["model_path"].endswith(f"/clf/{version}")
+    trained, info = ml.load_registered_model(spark, spark.read.parquet(f"{tmp_out}/m/_versions"), "clf", f"{tmp_out}/m")
+    assert info["version"] == 2 and ml.score_batch(trained, x, "clf", "2").count() == x.count()
+    last = runs.latest_metrics(spark.read.parquet(f"{tmp_out}/h")).collect()
+    assert last and all(r["last_value"] is not None and r["n_points"] == 2 for r in last)
+
+
+def test_feature_names_may_hold_dots(spark):
+    df = spark.createDataFrame([(float(i), float(i % 3), i % 2) for i in range(40)], "`a.b` double, `c` double, `y.z` int")
+    t = ml.ModelTrainer({"model_type": "random_forest", "model_params": {"n_estimators": 2, "max_depth": 2}}).train(df, "y.z")
+    assert ml.predict(t, df).count() == 40
+    assert M.as_dict(ml.evaluate(t, df, ["accuracy", "f1"])).keys() == {"accuracy", "f1"}

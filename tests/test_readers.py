@@ -1,3 +1,5 @@
+import pytest
+
 from tidemark.operators import quality
 from tidemark.sources import readers
 
@@ -85,3 +87,17 @@ def test_run_monitoring_from_config(spark, tmp_out):
     assert res.data_drift_detected and sorted(res.drifted_columns) == ["c", "x"]
     assert spark.read.parquet(f"{tmp_out}/out/drift_summary").count() == 1
     assert "computed_at" in spark.read.parquet(f"{tmp_out}/out/drift_columns").columns
+
+
+@pytest.mark.parametrize("path", ["s3a://bucket/x/t.csv", "hdfs://nn:8020/a//t.parquet", "file:///tmp/t.csv", "/plain/t.csv"])
+def test_paths_reach_spark_untouched(path):
+    assert readers.resolve_source({"source_type": "csv", "input_path": path})[1] == path
+    assert readers.resolve_source({"source_type": "csv", "input_path": [path]})[1] == [path]
+
+
+def test_csv_numbers_take_no_type_suffix(spark, tmp_out):
+    with open(f"{tmp_out}/c.csv", "w") as f:
+        f.write('code,num,q\n1D,1e3,"say ""hi"", ok"\n2F,-.5,"two\nlines"\n3d,inf," pad "\n')
+    t = readers.read_csv(spark, f"{tmp_out}/c.csv")
+    assert dict(t.dtypes) == {"code": "string", "num": "double", "q": "string"}
+    assert [r["q"] for r in t.collect()] == ['say "hi", ok', "two\nlines", " pad "]

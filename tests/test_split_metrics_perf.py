@@ -141,3 +141,16 @@ def test_split_hot_bucket_on_cut(spark):
     counts = {r["split"]: r["count"] for r in tagged.groupBy("split").count().collect()}
     assert (counts["train"], counts["validation"], counts["test"]) == split.split_sizes(500, 0.2)
     assert tagged.select("payload").distinct().count() == 500
+
+
+def test_metrics_of_mixed_types(spark):
+    df = spark.createDataFrame([(1, 1.0), (0, 0.0), (1, 1.0)], "label long, prediction double")
+    assert metrics.as_dict(metrics.classification_metrics(df, metrics=["accuracy", "precision", "recall", "f1"])) == {
+        "accuracy": 1.0, "precision": 1.0, "recall": 1.0, "f1": 1.0}
+
+
+def test_auc_of_huge_counts(spark):
+    from tidemark.operators.ordered import rank_auc
+    big = 4 * 10**9
+    counts = spark.createDataFrame([("s", 0.1, 0, big), ("s", 0.9, big, 0)], "column string, value double, n_pos long, n_neg long")
+    assert abs(rank_auc(counts).first()["auc"] - 1.0) < 1e-12
