@@ -256,8 +256,10 @@ def exact_medians(long_values: DataFrame) -> dict[str, float | None]:
         return {}
     spark = long_values.sparkSession
     tdf = spark.createDataFrame(targets, "column string, lo double, hi double, start long, k long")
-    inside = counts.join(F.broadcast(tdf), "column").where(
+    # only the values of those runs are counted again (two small rows a column are joined)
+    inside = long_values.join(F.broadcast(tdf), "column").where(
         (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+    inside = inside.groupBy("column", "lo", "hi", "start", "k", "value").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("column", "k").orderBy("value")  # one run per task
     inside = inside.withColumn("cum", F.col("start") + F.sum("n").over(w))
     picked = (inside.where(F.col("cum") > F.col("k"))

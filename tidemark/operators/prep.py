@@ -20,7 +20,7 @@ from tidemark.operators.ordered import dense_codes, exact_medians
 from tidemark.sources.readers import nan_to_null
 
 STEP_TYPES = ("drop_duplicates", "encode_categorical", "scale_numerical",
-              "fill_missing", "drop_columns")
+              "fill_missing", "drop_columns", "polynomial_features")
 LABEL_METHODS = ("label", "label_encode")
 FILL_METHODS = ("mean", "median", "mode", "constant")
 KEEP_CODE_ROWS = 2_000_000  # a join with more codes than this is worth keeping while later steps are fitted
@@ -184,7 +184,7 @@ def fit_fill(df: DataFrame, columns: list[str] | None, method: str, value=0,
     is exact unless ``approx`` (one ``percentile_approx`` aggregate, rank
     error about 1/accuracy)."""
     if method not in FILL_METHODS:
-        raise ValueError(f"Unknown fill method: {method}")
+        raise ValueError(f"fill method {method!r} is not one of {', '.join(FILL_METHODS)}")
     types = _types(df)
     named = columns is not None
     cols = [c for c in (columns if named else df.columns) if c in types]
@@ -232,6 +232,26 @@ def apply_fill(df: DataFrame, fills: dict, as_double: bool = False) -> DataFrame
     return df.select(*out)
 
 
+# ---------------------------------------------------------------- products of columns
+
+def polynomial_features(df: DataFrame, columns: list[str], degree: int = 2, interaction_only: bool = False) -> DataFrame:
+    """Append the products of two to ``degree`` of the numeric columns as double
+    columns named ``a*b``: all products with repetition, or without
+    (``interaction_only``). A missing factor makes the product missing."""
+    from itertools import combinations, combinations_with_replacement
+    types = _types(df)
+    cols = [c for c in columns if c in types and _is_numeric(types[c])]
+    pick = combinations if interaction_only else combinations_with_replacement
+    made = []
+    for n in range(2, degree + 1):
+        for names in pick(cols, n):
+            product = qcol(names[0]).cast("double")
+            for c in names[1:]:
+                product = product * qcol(c).cast("double")
+            made.append(product.alias("*".join(names)))
+    return df.select(*[qcol(c) for c in df.columns], *made)
+
+
 # ---------------------------------------------------------------- F1 chain
 
 @dataclass
@@ -254,11 +274,11 @@ class FittedSteps:
 def _check_step(step: dict) -> str:
     t = step.get("type")
     if t not in STEP_TYPES:
-        raise ValueError(f"Unknown preprocessing step type: {t}")
+        raise ValueError(f"step type {t!r} is not one of {', '.join(STEP_TYPES)}")
     if t == "encode_categorical":
         m = step.get("method", "label")
         if m not in LABEL_METHODS + ("one_hot",):
-            raise ValueError(f"Unknown encoding method: {m}")
+            raise ValueError(f"encoding method {m!r} is neither label nor one_hot")
     return t
 
 
@@ -284,6 +304,8 @@ def apply_step(df: DataFrame, step: dict, params) -> DataFrame:
         return drop_duplicates(df)
     if t == "drop_columns":
         return drop_columns(df, step.get("columns", []))
+    if t == "polynomial_features":
+        return polynomial_features(df, step.get("columns", []), int(step.get("degree", 2)), bool(step.get("interaction_only", False)))
     if t == "encode_categorical":
         for c, p in params.items():
             if c not in df.columns:

@@ -718,6 +718,15 @@ def q_prep_nan_one_hot(spark, sf_dir):
                       round9(F.col("`l_tax_0.04`")).alias("tax_4"), F.col("`l_tax_0.08`").alias("tax_8"), F.lit(len(out.columns)).cast("long").alias("n_columns"))
 
 
+def q_prep_polynomial(spark, sf_dir):
+    """Squares and products of two columns, then scaling of one of them."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    out, _ = prep.fit_transform(li, [{"type": "polynomial_features", "columns": ["l_quantity", "l_discount"], "degree": 2},
+                                     {"type": "scale_numerical", "columns": ["l_quantity*l_discount"]}])
+    return out.select("l_orderkey", "l_linenumber", *[round9(F.col(f"`{a}`")).alias(b) for a, b in
+                      (("l_quantity*l_quantity", "qq"), ("l_quantity*l_discount", "qd"), ("l_discount*l_discount", "dd"))])
+
+
 def q_drift_nan_ks(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     cut = F.lit(SHIP_CUT).cast("timestamp_ntz")
@@ -770,6 +779,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_nan_counts": q_quality_nan_counts,
     "prep_nan_fill_scale": q_prep_nan_fill_scale,
     "prep_nan_one_hot": q_prep_nan_one_hot,
+    "prep_polynomial": q_prep_polynomial,
     "drift_nan_ks": q_drift_nan_ks,
     "drift_chi_square": q_drift_chi_square,
     "drift_proportions": q_drift_proportions,

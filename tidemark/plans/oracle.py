@@ -619,6 +619,11 @@ SELECT l_orderkey, l_linenumber, q AS l_quantity, CASE WHEN x = 0.0 THEN 1 ELSE
        round((four - (SELECT avg(four) FROM f)) / (SELECT stddev_samp(four) FROM f), 9) AS tax_4,
        CASE WHEN x = 0.08 THEN 1 ELSE 0 END AS tax_8, 3 + (SELECT count(DISTINCT x) FROM t) AS n_columns
 FROM f
+""",
+    "prep_polynomial": """
+WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity * l_quantity AS qq, l_quantity * l_discount AS qd, l_discount * l_discount AS dd FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(qq, 9) AS qq, round((qd - (SELECT avg(qd) FROM t)) / (SELECT stddev_samp(qd) FROM t), 9) AS qd,
+       round(dd, 9) AS dd FROM t
 """,
     "drift_nan_ks": f"""
 WITH {_LI_NANS},
