@@ -33,7 +33,7 @@ LONG_PIECE = 1024
 #: Cells of one padded matrix.
 MATRIX_CELLS = 1 << 20
 #: Encoded chunks kept per Python worker; later chunks are encoded again.
-KEPT_CHUNKS = 700_000
+KEPT_CHUNKS = 500_000
 
 
 class PairTable:

@@ -37,6 +37,7 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
         total += int(n)
     if start < len(sizes):
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers live on for the next task
 
 
 def _fingerprint(e: DataFrame):

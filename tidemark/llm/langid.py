@@ -206,7 +206,7 @@ def predict(df: DataFrame, m: Model, text: str = "text", lang: str = "lang_pred"
 
         letter = regex.compile(r"\p{L}")
         for batch in batches:
-            for part in text_slices(batch, text, 2 << 20):
+            for part in text_slices(batch, text, 1 << 20):
                 texts = part.column(text).to_pylist()
                 w, p = _posteriors(m, texts)
                 n = np.diff(w.first)

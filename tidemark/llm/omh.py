@@ -132,7 +132,7 @@ def _hashes(df: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text", 1 << 20):
                 w = Words(part.column("text").cast(pa.binary()).to_pylist())
                 flat = (w.hash >> np.uint64(33)).astype("<i4")
                 words = [flat[a:b].tobytes() for a, b in zip(w.first, w.first[1:], strict=False)]
@@ -176,7 +176,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
 
     def run(batches):
         for batch in batches:
-            for piece in text_slices(batch, "text", 2 << 20):
+            for piece in text_slices(batch, "text", 1 << 20):
                 keys = sketch(piece.column("text").cast(pa.binary()).to_pylist())
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, SKETCHES, dtype=np.int32)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("digest"), flat], names=["id", "digest", "keys"])

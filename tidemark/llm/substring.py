@@ -62,7 +62,7 @@ ANCHORS = T.StructType([T.StructField(c, T.LongType()) for c in ("h", "sides", "
 def _anchors(keyed: DataFrame, length: int, base: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "__text", 2 << 20):
+            for part in text_slices(batch, "__text", 1 << 20):
                 w = Words(part.column("__text").cast(pa.binary()).to_pylist())
                 at, lo, hi = runs_of(w, length, base)
                 if not len(at):
@@ -93,7 +93,7 @@ def _windows(joined: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "__text", 2 << 20):
+            for part in text_slices(batch, "__text", 1 << 20):
                 w = Words(part.column("__text").cast(pa.binary()).to_pylist())
                 at, key, weight = [], [], []
                 for d, (k, spans) in enumerate(zip(part.column(KEY).to_pylist(), part.column("spans").to_pylist(), strict=True)):
@@ -170,7 +170,7 @@ def remove_repeats(df: DataFrame, length: int = 35, text: str = "text") -> DataF
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, text, 2 << 20):
+            for part in text_slices(batch, text, 1 << 20):
                 w = Words(part.column(text).cast(pa.binary()).to_pylist())
                 gone = np.zeros(len(w) + 1, np.int32)
                 for d, spans in enumerate(part.column("__spans").to_pylist()):

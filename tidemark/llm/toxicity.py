@@ -68,7 +68,7 @@ def features(df: DataFrame, text: str, label: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text", 1 << 20):
                 doc, term = _terms(part.column("text").to_pylist())
                 pair = np.unique((doc << HASH_BITS) | term)
                 offsets = np.searchsorted(pair >> HASH_BITS, np.arange(part.num_rows + 1)).astype(np.int32)
@@ -151,7 +151,7 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, text, 2 << 20):
+            for part in text_slices(batch, text, 1 << 20):
                 doc, term = _terms(part.column(text).to_pylist())
                 maybe = np.flatnonzero(quick[term & 0xFFFF])
                 doc, term = doc[maybe], term[maybe]

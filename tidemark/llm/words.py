@@ -19,19 +19,19 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASES = (np.uint64(0xD6E8FEB86659FD93 | 1), np.uint64(0xA0761D6478BD642F | 1))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers_to(base: int, n: int) -> np.ndarray:
-    out = np.ones(1, np.uint64)
-    while len(out) < n:
-        out = np.concatenate([out, out * (out[-1:] * np.uint64(base))])
-    return out[:n]
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    return _powers_to(int(base), 1 << max(10, int(n - 1).bit_length()))[:n]
+    """base**0 .. base**(n-1) modulo 2**64; one array a base is kept and grown."""
+    out = _POWERS.get(int(base), np.ones(1, np.uint64))
+    while len(out) < n:
+        out = np.concatenate([out, out * (out[-1:] * base)])
+        _POWERS[int(base)] = out
+    return out[:n]
 
 
+@functools.cache
 def inverse(base: np.uint64) -> np.uint64:
     return np.uint64(pow(int(base), -1, 1 << 64))
 
@@ -51,7 +51,7 @@ class Words:
     """The words of several texts: byte spans in ``data``, hashes, and
     ``first[d]`` .. ``first[d + 1]`` the words of text d."""
 
-    def __init__(self, texts: list[bytes | None], block: int = 1 << 21):
+    def __init__(self, texts: list[bytes | None], block: int = 1 << 17):
         self.data = b"\n".join([t or b"" for t in texts])
         raw = np.frombuffer(self.data, np.uint8)
         inside = ~_SEPARATOR[raw]
