@@ -101,3 +101,10 @@ def test_csv_numbers_take_no_type_suffix(spark, tmp_out):
     t = readers.read_csv(spark, f"{tmp_out}/c.csv")
     assert dict(t.dtypes) == {"code": "string", "num": "double", "q": "string"}
     assert [r["q"] for r in t.collect()] == ['say "hi", ok', "two\nlines", " pad "]
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from tidemark.session import clear_scratch, scratch_path
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert clear_scratch(spark) and not clear_scratch(spark)

@@ -60,3 +60,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder beside the checkpoints for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemark-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this session (see ``scratch_path``);
+    call it once no result that reads them is needed. True if there were any."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/tidemark-scratch")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
