@@ -45,7 +45,7 @@ def _lower_is_better(cfg: PerfConfig) -> F.Column:
 def _joined(current: DataFrame, baseline: DataFrame) -> DataFrame:
     base = baseline.select(F.col("metric"), F.col("value").cast("double").alias("baseline_value"))
     cur = current.select(F.col("metric"), F.col("value").cast("double").alias("current_value"))
-    return cur.join(F.broadcast(base), "metric", "left")
+    return cur.join(base, "metric", "left")
 
 
 def metric_changes(current: DataFrame, baseline: DataFrame, config: dict | PerfConfig | None = None) -> DataFrame:
@@ -128,7 +128,7 @@ class ModelPerformanceMonitor:
 
     def detect_performance_degradation(self, current: DataFrame):
         if self.baseline is None:
-            raise ValueError("Baseline metrics not loaded. Call load_baseline_metrics() first.")
+            raise ValueError("load or set baseline metrics first")
         return (metric_changes(current, self.baseline, self.config),
                 degradation_summary(current, self.baseline, self.config))
 
