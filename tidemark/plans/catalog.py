@@ -19,7 +19,9 @@ from tidemark.functions.exprs import round9
 from tidemark.session import scratch_path
 from tidemark.sources import readers, writers
 from tidemark.operators import drift, metrics, ml, perf, prep, quality, runs, split
-from tidemark.plans.model_job import create_model_pipeline
+from tidemark.plans.data_job import create_data_pipeline
+from tidemark.plans.model_job import create_model_pipeline, run_all
+from tidemark.plans.monitor_job import run_monitoring
 from tidemark.streaming import monitor
 
 EVENTS_CUT = "2024-01-15 00:00:00"
@@ -775,7 +777,88 @@ def q_drift_proportions(spark, sf_dir):
     return out.select("column", round9(F.col("statistic")).alias("statistic"), round9(F.col("p_value")).alias("p_value"), "drift_detected")
 
 
+# ---------------------------------------------------------------- whole jobs and their sinks
+
+def q_job_data(spark, sf_dir):
+    """The data job over a CSV copy of orders: validation gate passed, steps
+    fitted and applied, the processed table read back from its CSV sink."""
+    base = scratch_path(spark, "job-data")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", null_every_7th("o_orderkey", "o_orderpriority").alias("o_orderpriority"))
+    writers.write_table(o, f"{base}/in.csv", fmt="csv")
+    cfg = {"ingestion": {"source_type": "csv", "source_path": f"{base}/in.csv"}, "output_path": f"{base}/out.csv",
+           "validation_schema": {"dtypes": {"o_orderkey": "int64"}}, "metadata_path": f"{base}/runs",
+           "preprocessing": {"preprocessing_steps": [{"type": "encode_categorical", "columns": ["o_orderpriority"], "method": "label"}]}}
+    create_data_pipeline(spark, cfg).run()
+    return readers.read_by_extension(spark, f"{base}/out.csv")
+
+
+def q_job_data_gate(spark, sf_dir):
+    """What the gate says of a table with duplicate rows, and that a forced run
+    records: (refused, recorded_valid, raw_rows, raw_columns, duplicates)."""
+    base = scratch_path(spark, "job-gate")
+    table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus").write.parquet(f"{base}/in.parquet")
+    cfg = {"ingestion": {"source_type": "parquet"}, "input_path": f"{base}/in.parquet", "metadata_path": f"{base}/runs"}
+    try:
+        create_data_pipeline(spark, cfg).run()
+        refused = False
+    except ValueError:
+        refused = True
+    create_data_pipeline(spark, {**cfg, "force_continue": True}).run()
+    m = F.col("metadata")
+    return spark.read.parquet(f"{base}/runs").select(
+        F.lit(refused).alias("refused"), F.get_json_object(m, "$.is_valid").cast("boolean").alias("recorded_valid"),
+        F.get_json_object(m, "$.raw_shape[0]").cast("long").alias("raw_rows"), F.get_json_object(m, "$.raw_shape[1]").cast("long").alias("raw_columns"),
+        F.get_json_object(m, "$.validation_results.duplicate_rows").cast("long").alias("duplicates"))
+
+
+def q_job_monitoring(spark, sf_dir):
+    """The monitoring job over two files; its stored, stamped drift table."""
+    base = scratch_path(spark, "job-monitoring")
+    ref, cur = _drift_tables(spark, sf_dir)
+    ref.write.parquet(f"{base}/reference.parquet")
+    cur.write.parquet(f"{base}/current.parquet")
+    run_monitoring(spark, {**DRIFT_CONFIG, "reference_data_path": f"{base}/reference.parquet",
+                           "current_data_path": f"{base}/current.parquet", "output_path": f"{base}/out"})
+    stored = spark.read.parquet(f"{base}/out/drift_columns").where(F.col("computed_at").isNotNull())
+    return drift.rounded(stored.drop("computed_at"))
+
+
+def q_sink_metrics(spark, sf_dir):
+    """Metrics written as baselines under two stamps and as a JSON object: the
+    active baseline, and the object read back."""
+    base = scratch_path(spark, "sink-metrics")
+    cur, old = _perf_inputs(spark, sf_dir)
+    writers.save_metrics_as_baseline(old, f"{base}/baselines", as_of="2024-01-14 00:00:00")
+    writers.save_metrics_as_baseline(cur, f"{base}/baselines", as_of="2024-01-31 00:00:00")
+    active = runs.latest_baseline(spark.read.parquet(f"{base}/baselines"))
+    old.groupBy().pivot("metric").agg(F.first("value")).coalesce(1).write.json(f"{base}/object")
+    parts = active.withColumn("source", F.lit("active")).unionByName(
+        readers.read_metrics(spark, f"{base}/object").withColumn("source", F.lit("object")))
+    return parts.select("source", "metric", round9(F.col("value")).alias("value"))
+
+
+def q_job_all(spark, sf_dir):
+    """Data job, then model job on its output, whose label is named wrongly and
+    falls back to the last column: logged metrics and parameters of the run."""
+    base = scratch_path(spark, "job-all")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_acctbal") > 0, "plus").otherwise("minus").alias("side"))
+    c.write.parquet(f"{base}/in.parquet")
+    out = run_all(spark, {"ingestion": {"source_type": "parquet", "input_path": f"{base}/in.parquet"}},
+                  {"trainer": {"model_type": "linear", "task_type": "classification", "model_params": {"max_iter": 20}},
+                   "evaluator": {"metrics": ["accuracy", "f1"]}, "model_name": "sides", "model_dir": f"{base}/models",
+                   "metrics_path": f"{base}/metrics", "params_path": f"{base}/params"}, "no_such_column")
+    logged = runs.latest_metrics(spark.read.parquet(f"{base}/metrics"))
+    rows = F.lit(int(out["processed_shape"][0])).cast("long")
+    return logged.select("model", "metric", F.col("last_value").between(0, 1).alias("in_range"), rows.alias("processed_rows"),
+                         F.lit(int(spark.read.parquet(f"{base}/params").where("param = 'max_iter' AND value = '20'").count())).cast("long").alias("params_logged"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "job_data": q_job_data,
+    "job_data_gate": q_job_data_gate,
+    "job_monitoring": q_job_monitoring,
+    "job_all": q_job_all,
+    "sink_metrics": q_sink_metrics,
     "quality_nan_counts": q_quality_nan_counts,
     "prep_nan_fill_scale": q_prep_nan_fill_scale,
     "prep_nan_one_hot": q_prep_nan_one_hot,

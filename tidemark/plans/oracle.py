@@ -663,8 +663,25 @@ SELECT "column", round(z, 9) AS statistic, round(p, 9) AS p_value, p < 0.05 AS d
 """,
 }
 
+JOB_ORACLES = {
+    "job_data": PREP_LABEL_ENCODE,
+    "job_data_gate": """
+SELECT true AS refused, false AS recorded_valid, count(*) AS raw_rows, CAST(2 AS BIGINT) AS raw_columns,
+       count(*) - count(DISTINCT (l_returnflag, l_linestatus)) AS duplicates FROM lineitem
+""",
+    "job_monitoring": DRIFT_COLUMNS,
+    "sink_metrics": _PERF_BASE[:_PERF_BASE.index("j AS (")].rstrip().rstrip(",") + """
+SELECT 'active' AS source, metric, round(value, 9) AS value FROM c UNION ALL SELECT 'object', metric, round(value, 9) FROM b
+""",
+    "job_all": """
+SELECT 'sides' AS model, unnest(['accuracy', 'f1', 'test_accuracy', 'test_f1']) AS metric, true AS in_range,
+       (SELECT count(*) FROM customer) AS processed_rows, CAST(1 AS BIGINT) AS params_logged
+""",
+}
+
 ORACLE_SQL: dict[str, str] = {
     **MODEL_ORACLES,
+    **JOB_ORACLES,
     **NAN_ORACLES,
     "stream_daily_drift_windowed": STREAM_DAILY_DRIFT,
     "models_latest_production": MODELS_LATEST_PRODUCTION,
