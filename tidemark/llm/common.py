@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
@@ -14,15 +16,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """At most ``rows`` texts in an Arrow batch while a table is written: ten
+    thousand, the usual number, take tens of megabytes several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later uses do
     not recompute it, and a lost executor costs nothing that came before.
     Grouped tables that are joined back to their rows are cut, too: only a join
     whose sides come straight from a shuffle can have its skewed partitions
     split at run time."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    with small_batches(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):

@@ -193,7 +193,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     pairs = cut(pairs, "omh-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     # one plan at every size: a broadcast of the few ids of a small table would not hold for a large one
-    reps = part.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    # written before it is hashed: sorting texts and handing them to Python do not share a task's memory
+    reps = cut(part.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "omh-texts")
     words = cut(_hashes(reps), "omh-words")
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     best = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).where("r = 1")
