@@ -292,6 +292,58 @@ def test_near_duplicates_match_brute_force(spark):
     assert sorted((str(r.doc_id), r.kept) for r in omh.near_duplicates(odd).collect()) == [("3", True), ("3", True), ("None", True)]
 
 
+def bucket_components(texts, least=0.8):
+    """Components over all pairs that agree in a sketch, and the number of links."""
+    n = len(texts)
+    keys = omh.sketch([t.encode() for t in texts])
+    met = np.zeros((n, n), bool)
+    for k in keys.T:
+        met |= k[:, None] == k
+    numbers = {}
+    words = [np.array([numbers.setdefault(w, len(numbers)) for w in t.split()]) for t in texts]
+    has = np.zeros((n, len(numbers)), np.float32)
+    for i, w in enumerate(words):
+        has[i, w] = 1  # words of these texts are distinct
+    a, b = np.nonzero(np.triu(met & (has @ has.T >= least * len(words[0])), 1))
+    ok = omh.similar([words[i] for i in a], [words[j] for j in b], least)
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a[ok], root[b[ok]])
+        np.minimum.at(low, b[ok], root[a[ok]])
+        if (low == root).all():
+            return root.tolist(), int(ok.sum())
+        root = low
+
+
+@pytest.mark.parametrize("tile,first", [(512, 8), (64, 1)])
+def test_a_text_that_links_its_edited_copies(spark, monkeypatch, tile, first):
+    monkeypatch.setattr(omh, "TILE", tile)
+    monkeypatch.setattr(omh, "FIRST_PAIRS", first)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for c in range(1000):  # 0.88 to the base, 0.76 and little more to each other
+        at = set(rng.sample(range(200), 24))
+        texts.append(" ".join(f"x{c}y{i}" if i in at else w for i, w in enumerate(base)))
+    want, _ = bucket_components(texts)
+    got = {r.doc_id: r.component_id for r in omh.near_duplicates(table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) < 50
+
+
+def test_near_pairs_among_texts_with_a_long_shared_passage(spark):
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(150)]
+    texts = []
+    for c in range(500):
+        own = [f"o{c}x{i}" for i in range(50)]
+        at = set(rng.sample(range(50), 20))
+        texts += [" ".join(passage + own), " ".join(passage + [f"e{w}" if i in at else w for i, w in enumerate(own)])]
+    want, links = bucket_components(texts)
+    got = {r.doc_id: r.component_id for r in omh.near_duplicates(table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want and links > 490
+
+
 def test_digests_are_hex(spark):
     r = bpe.digests(table(spark, ["hello"]), MULTI, PATTERN).first()
     assert r.decoded_sha256 == hashlib.sha256(b"hello").hexdigest()

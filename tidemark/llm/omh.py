@@ -21,6 +21,8 @@ from tidemark.llm.words import Words, mix, salted
 #: Words of a k-mer, sketches, and k-mers of a sketch.
 K, SKETCHES, TAKE = 5, 32, 2
 FAR = np.int32(1 << 28)
+#: Texts on a side of a tile of a bucket, about; pairs a text and component are first given.
+TILE, FIRST_PAIRS = 512, 8
 
 
 def _occurrences(doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -127,6 +129,66 @@ def similar(a: list[np.ndarray], b: list[np.ndarray], least: float) -> np.ndarra
     return out
 
 
+def _shared(words: list[np.ndarray]) -> np.ndarray:
+    """Rows of cell counts: the product of two rows is at least the number of
+    words the texts have in common (repeats counted), and about that."""
+    size = np.array([len(x) for x in words], np.int64)
+    doc = np.repeat(np.arange(len(words)), size)
+    flat = np.concatenate([np.zeros(0, np.int64), *words]).astype(np.uint64)
+    cells = 1 << max(10, int(16 * size.max(initial=1)).bit_length())
+    while cells > 1024 and cells * len(words) > 1 << 24:
+        cells >>= 1
+    at = mix(flat + _occurrences(doc, flat).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(cells - 1)
+    return np.bincount(doc * cells + at.astype(np.int64), minlength=len(words) * cells).reshape(len(words), cells).astype(np.float32)
+
+
+def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
+    """The pairs of a tile that are in two components and that lengths and words
+    in common do not rule out; of a text and a component at most ``cap``, those
+    with the most words in common, and ``more`` says that there were others."""
+    t = t.sort_by("id")
+    ids, comp, left, other = (t.column(c).to_numpy() for c in ("id", "comp", "left", "other"))
+    words = [np.frombuffer(x, "<i4").astype(np.int64) for x in t.column("words").to_pylist()]
+    size = np.array([len(x) for x in words], np.int64)
+    x, y = np.flatnonzero(left), np.flatnonzero(~left)
+    shared = _shared(words)
+    common = np.rint(shared[x] @ shared[y].T).astype(np.int64)
+    longer = np.maximum(size[x][:, None], size[y])
+    limit = np.floor((1 - least) * longer + 1e-9).astype(np.int64)
+    ok = (np.abs(size[x][:, None] - size[y]) <= limit) & (longer - common <= limit) & (comp[x][:, None] != comp[y])
+    ok &= (ids[x][:, None] < ids[y]) | ~other[y]  # two texts outside the largest component meet twice
+    i, j = np.nonzero(ok)
+    order = np.lexsort((-common[i, j], comp[y[j]], i))
+    i, j = i[order], j[order]
+    new = np.ones(len(i), bool)
+    new[1:] = (i[1:] != i[:-1]) | (comp[y[j[1:]]] != comp[y[j[:-1]]])
+    at = np.arange(len(i))
+    rank = at - np.maximum.accumulate(np.where(new, at, 0))
+    i, j, last = i[rank < cap], j[rank < cap], (rank >= cap).any()
+    a, b = ids[x[i]], ids[y[j]]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": np.full(len(a), last)})
+
+
+def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: float, cap: int) -> DataFrame:
+    """(a, b, more): pairs of ``members`` (bucket, id, n) that may still join
+    components. Buckets inside one component have none, and buckets with the
+    same members count once. The others are cut into tiles, texts outside the
+    bucket's largest component against all."""
+    part = members.where("n > 2").select("bucket", "id").join(known.select(F.col("node").alias("id"), "component_id"), "id", "left")
+    part = cut(part.select("bucket", "id", F.coalesce("component_id", "id").alias("comp")), "omh-members")
+    sizes = part.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("mark"))
+    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"), F.bit_xor("mark").alias("mark"))
+    blocks = lambda n: F.ceil(n / F.lit(TILE)).cast("int")
+    sizes = sizes.where("comps > 1").groupBy("mark", "n").agg(F.min(F.struct("bucket", F.col("top.comp").alias("top"), blocks(F.col("n") - F.col("top.n")).alias("rows"), blocks(F.col("n")).alias("cols"))).alias("s"))
+    part = cut(part.join(cut(sizes.select("s.*"), "omh-open"), "bucket").withColumn("other", F.col("comp") != F.col("top")), "omh-open")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    row, col = F.pmod(F.xxhash64("id", "bucket"), "rows").cast("int"), F.pmod(F.xxhash64("id"), "cols").cast("int")
+    own = ["bucket", "id", "comp", "other"]
+    tiles = part.where("other").select(*own, F.lit(True).alias("left"), row.alias("i"), every("cols").alias("j"))
+    tiles = tiles.union(part.select(*own, F.lit(False), every("rows"), col)).join(words, "id")
+    return tiles.groupBy("bucket", "i", "j").applyInArrow(lambda t: _tile(t, least, cap), "a long, b long, more boolean")
+
+
 def _hashes(df: DataFrame) -> DataFrame:
     """(id, words): the words of each text as 31-bit hashes, little-endian int32."""
 
@@ -161,11 +223,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     when the edit similarity of their whole word sequences (1 - word edits /
     words of the longer) is at least ``least``; component_id is the least key
     reachable by links, itself included, and kept says whether it is the row's
-    own. Candidates agree in a sketch: every member of a bucket is paired with
-    one member, another in each sketch, so a bucket of n texts gives n - 1
-    pairs, and thousands of copies of a text are one text. A member's most often
-    shared pair is verified first; further pairs only while they would join
-    components.
+    own. Candidates are all pairs that agree in a sketch; thousands of copies of
+    a text are one text. First every member of a bucket is paired with one
+    member, another in each sketch, the most often shared pair of a member
+    before its others. Then the pairs of a bucket that are still in two
+    components are ruled out by their lengths and words in common or verified,
+    a few for each text and component at first, until none is left.
 
     Null texts and texts without words link with nothing; rows without a key
     neither (their class is null). Rows with one key are one document. Other
@@ -187,8 +250,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     keyed = classes.select("id", F.explode("keys").alias("bucket")).where("bucket <> 0")
     # any member can be the centre; its choice by a hash with the bucket differs between sketches
     centres = keyed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id").alias("h"), "id")).alias("c"), F.count("*").alias("n"))
-    centres = cut(centres.where("n > 1").select("bucket", F.col("c.id").alias("centre")), "omh-centres")
-    pairs = (keyed.join(centres, "bucket").where("id <> centre").groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+    centres = cut(centres.where("n > 1").select("bucket", F.col("c.id").alias("centre"), "n"), "omh-centres")
+    members = cut(keyed.join(centres, "bucket"), "omh-members")
+    pairs = (members.where("id <> centre").groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
              .agg(F.count("*").alias("shared")))
     pairs = cut(pairs, "omh-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
@@ -204,7 +268,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     side = lambda c: known.select(F.col("node").alias(c), F.col("component_id").alias(f"c{c}"))
     open_ = pairs.join(first.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
     open_ = open_.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    known = components(links.union(_verified(open_, words, least)))
+    links = cut(links.union(_verified(open_, words, least)), "omh-links")
+    known, seen, cap, more = components(links), pairs.select("a", "b"), FIRST_PAIRS, True
+    while more:
+        found = cut(_open_pairs(members, known, words, least, cap), "omh-found")
+        pairs = cut(found.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "omh-pairs")
+        new = cut(_verified(pairs, words, least), "omh-links")
+        more = bool(found.where("more").head(1))
+        seen, cap = seen.union(pairs), 16 * cap
+        if new.head(1):
+            links = links.union(new)
+            known = components(links)
     ids = classes.select("digest", F.col("id").alias("class_id")).join(known.select(F.col("node").alias("class_id"), "component_id"), "class_id", "left")
     out = rows.select("id", F.when(F.col("id").isNotNull(), F.md5("text")).alias("digest")).join(ids, "digest", "left")
     component = F.coalesce("component_id", "class_id", "id")
