@@ -189,6 +189,21 @@ def test_language_of_whole_texts(spark):
     assert langid.predict(table(spark, ["a"]).limit(0), m).count() == 0
 
 
+def test_language_of_texts_without_spaces(spark):
+    rng = random.Random(6)
+    stems = {"aa": ["kar", "tok", "mil", "rin"], "bb": ["shu", "wep", "zog", "fly"], "cc": ["漢字", "情報", "東京"], "dd": ["กข", "คง", "จฉ"]}
+    text = lambda k, n, gap: gap.join("".join(rng.choice(stems[k]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(text(k, 40, "" if k in ("cc", "dd") else " "), k) for k in stems for _ in range(60)]
+    m = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    new = ["kartokmilrinkartokmilrinkar" + text("bb", 400, ""), text("cc", 4, "") + text("dd", 400, ""), text("aa", 5, "\u00a0") + "\u3000" + text("bb", 400, "\u00a0"), text("aa", 9, " ")]
+    got = {r.doc_id: r for r in langid.predict(table(spark, new), m, spans="runs").collect()}
+    assert [got[i].lang_pred for i in range(4)] == ["bb", "dd", "bb", "aa"]
+    assert [[r.lang for r in got[i].runs] for i in range(2)] == [["aa", "bb"], ["cc", "dd"]]
+    assert {(r.first, r.words) for i in range(3) for r in got[i].runs} == {(0, 1)} and [(r.first, r.words) for r in got[3].runs] == [(0, 9)]
+    w, place = langid.tokens(["x " + "é" * 100 + " y", None, "z" * 47, "z" * 48])
+    assert [w.word(i) for i in range(len(w)) if place[i] == 1] == ["é".encode() * 16] * 5 + ["é".encode() * 20] and place[-3:].tolist() == [0, 0, 0]
+
+
 def test_forward_backward_equals_enumeration():
     import itertools
 

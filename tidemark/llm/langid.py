@@ -28,7 +28,36 @@ UNKNOWN = "und"
 FEATURE_BITS = 18
 #: Training texts per language, about (chosen by a hash of the text).
 TRAIN_TEXTS = 600
-AFFIXES, TRIGRAMS = (1, 2, 3, 4), 24
+AFFIXES = (1, 2, 3, 4)
+#: A longer run of bytes without white space takes a place in the chain for every so many bytes, about.
+TOKEN_BYTES = 32
+
+
+def tokens(texts: list[str | None]) -> tuple[Words, np.ndarray]:
+    """(words in lower case, the place in its text of the word each comes from).
+    A long run without white space, as in scripts that do not part words, is cut
+    between characters, so that it has many places in the chain."""
+    texts = letters(texts)
+    w = Words(texts)
+    place = np.arange(len(w)) - w.first[:-1][w.document()]
+    long = np.flatnonzero(w.end - w.start >= TOKEN_BYTES * 3 // 2)
+    if not len(long):
+        return w, place
+    parts = np.ones(len(w), np.int64)
+    cut: dict[int, list[bytes]] = {}
+    for i in long:
+        word, at = w.word(i), 0
+        pieces = cut[int(i)] = []
+        while at < len(word):
+            to = at + TOKEN_BYTES if len(word) - at >= TOKEN_BYTES * 3 // 2 else len(word)
+            while to < len(word) and word[to] & 0xC0 == 0x80:  # inside a character
+                to += 1
+            pieces.append(word[at:to])
+            at = to
+        parts[i] = len(pieces)
+    for d in np.unique(np.searchsorted(w.first, long, "right") - 1):
+        texts[d] = b" ".join(b" ".join(cut.get(i) or [w.word(i)]) for i in range(int(w.first[d]), int(w.first[d + 1])))
+    return Words(texts), np.repeat(place, parts)
 
 
 def _buckets(x: np.ndarray, kind: int) -> np.ndarray:
@@ -48,13 +77,14 @@ def word_features(w: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 x = (x << np.uint64(8)) | raw[at + j]
             rows.append(own)
             cols.append(_buckets(x, kind))
-    for j in range(int(min(size.max(initial=0) - 2, TRIGRAMS))):
-        own = np.flatnonzero(size >= j + 3)
-        x = np.zeros(len(own), np.uint64)
-        for i in range(3):
-            x = (x << np.uint64(8)) | raw[start[own] + j + i]
-        rows.append(own)
-        cols.append(_buckets(x, 3))  # the same feature wherever it stands
+    grams = np.maximum(size - 2, 0)
+    own = np.repeat(np.arange(len(which)), grams)
+    at = start[own] + np.arange(len(own)) - np.repeat(np.cumsum(grams) - grams, grams)
+    x = np.zeros(len(own), np.uint64)
+    for i in range(3):
+        x = (x << np.uint64(8)) | raw[at + i]
+    rows.append(own)
+    cols.append(_buckets(x, 3))  # the same feature wherever it stands
     return np.concatenate(rows), np.concatenate(cols)
 
 
@@ -112,7 +142,7 @@ def train(texts: list[str], langs: list[str], epochs: int = 3, batch: int = 600,
     """Stochastic gradient (Adagrad) on the conditional likelihood."""
     labels = sorted(set(langs))
     m = Model(labels, np.zeros((1 << FEATURE_BITS, len(labels))), np.zeros((len(labels),) * 2), np.zeros(len(labels)))
-    w = Words(letters(texts))
+    w, _ = tokens(texts)
     if not len(w) or len(labels) < 2:
         return m
     truth = np.array([labels.index(x) for x in langs])[w.document()]
@@ -176,14 +206,14 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", texts: int = TRAI
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-def _posteriors(m: Model, texts: list[str | None]) -> tuple[Words, np.ndarray]:
-    w = Words(letters(texts))
+def _posteriors(m: Model, texts: list[str | None]) -> tuple[Words, np.ndarray, np.ndarray]:
+    w, place = tokens(texts)
     if not len(w) or not m.labels:
-        return w, np.zeros((len(w), len(m.labels)))
+        return w, place, np.zeros((len(w), len(m.labels)))
     score, back = m.emissions(w)
     size = np.diff(w.first)
     own = size > 0
-    return w, forward_backward(score[back], w.first[:-1][own], size[own], m)
+    return w, place, forward_backward(score[back], w.first[:-1][own], size[own], m)
 
 
 def predict(df: DataFrame, m: Model, text: str = "text", lang: str = "lang_pred", score: str = "score", spans: str | None = None) -> DataFrame:
@@ -191,7 +221,7 @@ def predict(df: DataFrame, m: Model, text: str = "text", lang: str = "lang_pred"
     posterior mass. A null text, or one without letters, is ``und`` with score
     0; ties go to the first label in order. With ``spans``, an array column of
     that name lists the runs of words with one most likely label: (lang, first
-    word, words). Rows are judged one by one; extra columns pass through, those
+    word, words); a long word that is cut can be in several runs. Rows are judged one by one; extra columns pass through, those
     named like an output are replaced."""
     made = {x.lower() for x in (lang, score, spans or lang)}
     names = [c for c in df.columns if c.lower() not in made]
@@ -208,7 +238,7 @@ def predict(df: DataFrame, m: Model, text: str = "text", lang: str = "lang_pred"
         for batch in batches:
             for part in text_slices(batch, text, 1 << 20):
                 texts = part.column(text).to_pylist()
-                w, p = _posteriors(m, texts)
+                w, place, p = _posteriors(m, texts)
                 n = np.diff(w.first)
                 ok = np.array([bool(t and letter.search(t)) for t in texts], bool) & (n > 0) & bool(m.labels)
                 mass = np.stack([np.bincount(w.document(), p[:, k], len(n)) for k in range(len(m.labels))], 1) if m.labels else np.zeros((len(n), 1))
@@ -221,7 +251,8 @@ def predict(df: DataFrame, m: Model, text: str = "text", lang: str = "lang_pred"
                     for d, good in enumerate(ok):
                         own = top[w.first[d] : w.first[d + 1]]
                         cuts = np.flatnonzero(np.diff(own, prepend=-1)) if good else []
-                        runs.append([{"lang": m.labels[own[a]], "first": int(a), "words": int(b - a)} for a, b in zip(cuts, [*cuts[1:], len(own)], strict=True)] if good else [])
+                        at = place[w.first[d] : w.first[d + 1]]
+                        runs.append([{"lang": m.labels[own[a]], "first": int(at[a]), "words": int(at[b - 1] - at[a] + 1)} for a, b in zip(cuts, [*cuts[1:], len(own)], strict=True)] if good else [])
                     out.append(pa.array(runs, pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *out], names=schema.names)
 
