@@ -189,6 +189,15 @@ def test_language_of_whole_texts(spark):
     assert langid.predict(table(spark, ["a"]).limit(0), m).count() == 0
 
 
+def test_copies_do_not_lower_the_share_of_training_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda texts, langs: seen.append((texts, langs)))
+    rows = [(f"a{i} word", "aa") for i in range(400)] + [("b copy", "bb")] * 20000 + [(f"b{i} word", "bb") for i in range(399)]
+    langid.fit(spark.createDataFrame(rows, "text string, lang string"), texts=100)
+    (texts, langs), = seen
+    assert len(set(texts)) == len(texts) and all(70 <= langs.count(k) <= 130 for k in ("aa", "bb"))
+
+
 def test_language_of_texts_without_spaces(spark):
     rng = random.Random(6)
     stems = {"aa": ["kar", "tok", "mil", "rin"], "bb": ["shu", "wep", "zog", "fly"], "cc": ["漢字", "情報", "東京"], "dd": ["กข", "คง", "จฉ"]}

@@ -193,11 +193,12 @@ def train(texts: list[str], langs: list[str], epochs: int = 3, batch: int = 600,
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", texts: int = TRAIN_TEXTS) -> Model:
     """Train on about ``texts`` whole texts of every language, those with the
     least hash of the text. Rows with a null text or language are left out;
-    equal texts hash alike and count once. Without labelled rows the model has
+    equal texts hash alike and count once, also for the share that is chosen. Without labelled rows the model has
     no label and predicts ``und``."""
     known = df.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    share = {r["lang"]: min(1.0, texts / r["count"]) for r in known.groupBy("lang").count().collect()}
+    distinct = known.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").count()
+    share = {r["lang"]: min(1.0, texts / r["count"]) for r in distinct.collect()}
     if not share:
         return Model([], np.zeros((1 << FEATURE_BITS, 0)), np.zeros((0, 0)), np.zeros(0))
     limit = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in share.items()])
