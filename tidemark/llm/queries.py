@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, omh, packing, rp_forest, substring, toxicity, training_order, url_filter
+from tidemark.llm import alignment, ann, bpe, langid, omh, packing, periodic, prefix_bpe, rp_forest, substring, toxicity, training_order, url_filter
 from tidemark.llm.common import read_table
 from tidemark.session import scratch_path
 
@@ -83,8 +83,37 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): with h the crc32 of the decimal doc_id and g = h div 10,
+    the n words of a text whose h ends in 0 repeat from word a = g mod n on the
+    1 + (n - a) div (3 + g mod 8) words that stand there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.expr(r"regexp_extract_all(text, '[^\x20\x09-\x0D]+', 0)").alias("w"))
+    parts = words.selectExpr("doc_id", "text", "h", "w", "size(w) AS n", "CAST(pmod(h div 10, size(w)) AS INT) AS a", "CAST(3 + (h div 10) % 8 AS INT) AS k")
+    tail = "slice(w, a + 1, 1 + (n - a) div k)"
+    text = f"array_join(concat(slice(w, 1, a), slice(flatten(array_repeat({tail}, k)), 1, n - a)), ' ')"
+    return parts.selectExpr("doc_id", f"CASE WHEN h % 10 = 0 AND n > 0 THEN {text} ELSE text END AS text")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = periodic.find_runs(repeated_tails(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return done.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+                       F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_ads_search, op2_byte_bpe, op3_language_crf, op4_url_automaton, op5_order_minhash, op6_substring_doubling, op7_kk_packing, op8_training_order,
-                              op9_rp_forest, op10_toxicity_fm)}
+                              op9_rp_forest, op10_toxicity_fm, op11_prefix_bpe, op12_tokenizer_alignment, op13_periodic_runs)}
 
 ORACLE_SQL = {
     "op4_url_automaton": """
