@@ -97,8 +97,8 @@ def repeated_tails(docs: DataFrame) -> DataFrame:
     the n words of a text whose h ends in 0 repeat from word a = g mod n on the
     1 + (n - a) div (3 + g mod 8) words that stand there."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = docs.select("doc_id", "text", h.alias("h"), F.expr(r"regexp_extract_all(text, '[^\x20\x09-\x0D]+', 0)").alias("w"))
-    parts = words.selectExpr("doc_id", "text", "h", "w", "size(w) AS n", "CAST(pmod(h div 10, size(w)) AS INT) AS a", "CAST(3 + (h div 10) % 8 AS INT) AS k")
+    words = docs.select("doc_id", "text", h.alias("h"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
+    parts = words.selectExpr("doc_id", "text", "h", "w", "size(w) AS n", "CAST(pmod(h div 10, greatest(size(w), 1)) AS INT) AS a", "CAST(3 + (h div 10) % 8 AS INT) AS k")
     tail = "slice(w, a + 1, 1 + (n - a) div k)"
     text = f"array_join(concat(slice(w, 1, a), slice(flatten(array_repeat({tail}, k)), 1, n - a)), ' ')"
     return parts.selectExpr("doc_id", f"CASE WHEN h % 10 = 0 AND n > 0 THEN {text} ELSE text END AS text")
