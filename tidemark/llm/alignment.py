@@ -33,7 +33,9 @@ from tidemark.llm.bpe import _printable_bytes
 from tidemark.llm.common import cut, small_batches, text_slices
 
 #: Bytes of distinct text in a slice (one text at least).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+#: Bytes of text encoded in one call: the tokenizers' own results take 200 times that.
+ENCODED_BYTES = 1 << 18
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -90,8 +92,9 @@ def tokenizer_pair(path_a: str, path_b: str) -> Pair:
 
 def _before(mark: np.ndarray) -> np.ndarray:
     """How many marks lie before each place."""
-    n = np.cumsum(mark, dtype=np.int64)
-    return n - mark
+    n = np.cumsum(mark, dtype=np.int32 if len(mark) < 1 << 31 else np.int64)
+    n -= mark
+    return n
 
 
 class Slice:
@@ -184,7 +187,7 @@ def align_distinct(texts: DataFrame, path_a: str, path_b: str, keep_groups: bool
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=schema.names)
 
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", ENCODED_BYTES):
                 raw = part.column("text").to_pylist()
                 held.append((part.column("key").to_pylist(), part.column("copies").to_pylist(), pair.encode(raw)))
                 size += sum(map(len, raw))
