@@ -13,7 +13,7 @@ import sentencepiece
 import tokenizers
 
 from tests.llm.test_text_operators import ODD, table
-from tidemark.llm import alignment, periodic, prefix_bpe, queries
+from tidemark.llm import alignment, bpe, periodic, prefix_bpe, queries
 
 PLAIN = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -143,7 +143,7 @@ def aligned_by_loops(texts):
     a = tokenizers.Tokenizer.from_file(PLAIN)
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    to_byte = alignment._printable_bytes()
+    to_byte = bpe._printable_bytes()
 
     def spans(ids, raws):
         at, out = 0, []
@@ -199,20 +199,20 @@ def short(texts, n=600):
 def test_alignment_edges_and_columns(spark):
     texts = short(MORE)
     df = table(spark, texts, n_best=["x"] * len(texts), KEY=["y"] * len(texts))
-    done = alignment.align(df, PLAIN, PIECES, keep_groups=True)
+    done = alignment.align(df, PLAIN, PATTERN, PIECES, keep_groups=True)
     assert done.columns == ["doc_id", "KEY", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups"]
     got = {r.doc_id: r for r in done.collect()}
     assert len(got) == len(texts)
     for i, want in enumerate(aligned_by_loops(texts)):
         assert tuple(got[i][c] for c in NAMES) == want, texts[i]
         assert want[-1] == (sha(got[i].groups) if got[i].groups else "")
-    assert alignment.align(df.where("false"), PLAIN, PIECES).collect() == []
+    assert alignment.align(df.where("false"), PLAIN, PATTERN, PIECES).collect() == []
 
 
 def test_alignment_in_many_slices(spark, monkeypatch):
     monkeypatch.setattr(alignment, "SLICE_BYTES", 1)
     texts = ["the cat sat", "the cat", "unbelievable weather", "the cat sat", "", None, "weather the"] * 3
-    got = {r.doc_id: r for r in alignment.align(table(spark, texts).repartition(3), PLAIN, PIECES).collect()}
+    got = {r.doc_id: r for r in alignment.align(table(spark, texts).repartition(3), PLAIN, PATTERN, PIECES).collect()}
     for i, want in enumerate(aligned_by_loops(texts)):
         assert tuple(got[i][c] for c in NAMES) == want
 

@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import json
-import os
 
 import numpy as np
 import pandas as pd
@@ -29,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.bpe import _printable_bytes
+from tidemark.llm.bpe import encoder
 from tidemark.llm.common import cut, small_batches, text_slices
 
 #: Bytes of distinct text in a slice (one text at least).
 SLICE_BYTES = 2 << 20
-#: Bytes of text encoded in one call: the tokenizers' own results take 200 times that.
+#: Bytes of text encoded in one call.
 ENCODED_BYTES = 1 << 18
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
@@ -42,27 +40,12 @@ MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 class Pair:
     """Both tokenizers, the bytes of their tokens and the strings of their ids."""
 
-    def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    def __init__(self, path_a: str, pattern_a: str, path_b: str):
         import sentencepiece
-        import tokenizers
-
-        self.a = tokenizers.Tokenizer.from_file(path_a)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        with open(path_a, "rb") as f:
-            spec = json.load(f)
-        to_byte = _printable_bytes()
-        words = spec["model"]["vocab"]
-        added = {t["id"]: t["content"].encode() for t in spec.get("added_tokens") or []}
-        size = max([*words.values(), *added]) + 1
-        self.bytes_a = [b""] * size
-        for t, i in words.items():
-            self.bytes_a[i] = bytes(to_byte[c] for c in t) if all(c in to_byte for c in t) else t.encode()
-        for i, raw in added.items():
-            self.bytes_a[i] = raw
+
+        self.a, self.b = encoder(path_a, pattern_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.bytes_a = self.a.vocabulary.tokens
+        size = len(self.bytes_a)
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -74,20 +57,18 @@ class Pair:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of each text by A (behind a space) and by B; none where the
         tokens' bytes are not the text behind a space."""
-        call = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
         none = np.zeros(0, np.int32)
-        out = []
-        for text, one, two in zip(texts, call([" " + t for t in texts], add_special_tokens=False),
-                                  self.b.encode(texts, num_threads=1), strict=True):
-            raw, ids = (" " + text).encode(), one.ids
-            same = b"".join(map(self.bytes_a.__getitem__, ids)) == raw == b"".join(map(self.bytes_b.__getitem__, two))
-            out.append((np.array(ids, np.int32), np.array(two, np.int32)) if same else (none, none))
+        spaced, out = [" " + t for t in texts], []
+        for text, one, two in zip(spaced, self.a.encode(spaced), self.b.encode(texts, num_threads=1), strict=True):
+            raw, ids = text.encode(), np.frombuffer(one, "<i4")
+            same = b"".join(map(self.bytes_a.__getitem__, ids.tolist())) == raw == b"".join(map(self.bytes_b.__getitem__, two))
+            out.append((ids, np.array(two, np.int32)) if same else (none, none))
         return out
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizer_pair(path_a: str, path_b: str) -> Pair:
-    return Pair(path_a, path_b)
+def tokenizer_pair(path_a: str, pattern_a: str, path_b: str) -> Pair:
+    return Pair(path_a, pattern_a, path_b)
 
 
 def _before(mark: np.ndarray) -> np.ndarray:
@@ -163,14 +144,14 @@ def _spread(packed: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4").reshape(2, -1)
 
 
-def align_distinct(texts: DataFrame, path_a: str, path_b: str, keep_groups: bool) -> DataFrame:
+def align_distinct(texts: DataFrame, path_a: str, pattern_a: str, path_b: str, keep_groups: bool) -> DataFrame:
     """Rows of :data:`TEXTS` from distinct (text, copies, key): one a text, and
     one a slice with the slice's pairs (key null)."""
     schema = T._parse_datatype_string(TEXTS)
     types = [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def run(batches):
-        pair = tokenizer_pair(path_a, path_b)
+        pair = tokenizer_pair(path_a, pattern_a, path_b)
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def finish():
@@ -212,11 +193,11 @@ def _measured(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def align(df: DataFrame, path_a: str, path_b: str, text: str = "text", keep_groups: bool = False) -> DataFrame:
+def align(df: DataFrame, path_a: str, pattern_a: str, path_b: str, text: str = "text", keep_groups: bool = False) -> DataFrame:
     """The columns of ``df`` except ``text``, and per row
 
     * ``n_a``, ``n_b``: tokens of the text behind a space by the tokenizer file
-      ``path_a`` and of the text by the SentencePiece model ``path_b`` (which
+      ``path_a`` with split pattern ``pattern_a``, and of the text by the SentencePiece model ``path_b`` (which
       adds that space); special-token strings in a text are plain text;
     * ``n_groups``: groups cut at byte offsets where tokens of both end;
     * ``n_links``: pairs of token occurrences that overlap;
@@ -239,7 +220,7 @@ def align(df: DataFrame, path_a: str, path_b: str, text: str = "text", keep_grou
     some = F.coalesce(F.col("text") != "", F.lit(False))
     distinct = rows.where(some).groupBy("text").agg(F.count("*").alias("copies"))
     with small_batches(df.sparkSession):
-        done = cut(align_distinct(distinct.select("text", "copies", F.sha2("text", 256).alias("key")), path_a, path_b, keep_groups), "aligned")
+        done = cut(align_distinct(distinct.select("text", "copies", F.sha2("text", 256).alias("key")), path_a, pattern_a, path_b, keep_groups), "aligned")
     pairs = done.where("pairs IS NOT NULL").select("slice", F.posexplode(F.arrays_zip("pairs", "sums")).alias("place", "p"))
     pairs = pairs.select("slice", "place", F.col("p.pairs").alias("code"), F.col("p.sums").alias("links"))
     counts = cut(pairs.groupBy("code").agg(F.sum("links").alias("total")), "pair-counts")

@@ -89,7 +89,7 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def repeated_tails(docs: DataFrame) -> DataFrame:
