@@ -52,7 +52,7 @@ class Pair:
             self.bytes_b.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int32) for t in (self.bytes_a, self.bytes_b))
         # every id as text, with the sign that follows it: 0 within a side, 1 at the side's end
-        self.strings = [f"{i}{sign}" for n, end in ((size, "|"), (len(self.bytes_b), ";")) for sign in (",", end) for i in range(n)]
+        self.strings = [f"{i}{sign}".encode() for n, end in ((size, "|"), (len(self.bytes_b), ";")) for sign in (",", end) for i in range(n)]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of each text by A (behind a space) and by B; none where the
@@ -101,7 +101,7 @@ class Slice:
         self.n_links = np.bincount(self.link_text, minlength=len(ids))
         self.n_groups = np.diff(np.searchsorted(np.flatnonzero(self.both), edge, "right"))
 
-    def groups(self) -> list[str]:
+    def groups(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of every text, empty without tokens."""
         before = _before(self.both)
         ends = np.flatnonzero(self.both)
@@ -116,7 +116,7 @@ class Slice:
         which[place_b] = self.b + 2 * size_a + size_b * self.both[self.end_b]
         parts = list(map(self.pair.strings.__getitem__, which.tolist()))
         marks = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
-        return ["".join(parts[a:b])[:-1] for a, b in zip(marks, marks[1:], strict=False)]
+        return [b"".join(parts[a:b])[:-1] for a, b in zip(marks, marks[1:], strict=False)]
 
     def sums(self, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """The slice's pairs, each with its links times the copies of their
@@ -159,10 +159,10 @@ def align_distinct(texts: DataFrame, path_a: str, pattern_a: str, path_b: str, k
             done = Slice(pair, [i for x in held for i in x[2]])
             groups = done.groups()
             pairs, total, links = done.sums(copies)
-            hashes = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+            hashes = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
             n = len(keys)
             rows = [[number] * n, keys, done.n_a, done.n_b, done.n_groups, done.n_links, hashes,
-                    groups if keep_groups else [None] * n, list(map(_squeeze, links)), [None] * n, [None] * n]
+                    [g.decode() for g in groups] if keep_groups else [None] * n, list(map(_squeeze, links)), [None] * n, [None] * n]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=schema.names)
             rows = [[number], *[[None]] * 8, [pairs], [total]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=schema.names)
