@@ -1,217 +1,53 @@
 """Order statistics without a single-task window.
 
 A window ``partitionBy(column).orderBy(value)`` puts every distinct value of a
-column into one task. The helpers here range-partition the (column, value)
-table instead, scan each sorted partition once with vectorised pandas code
-(``mapInPandas``) and keep one summary row per run of a column inside a
-partition. Runs are ordered by their first value, so a small window over the
-summaries (bounded by partitions x columns) yields each run's offset; nothing
-depends on partition ids, so a recomputed task gives the same answer.
+column into one task. Running sums are taken in two levels here, all of it with
+built-in expressions: the (column, value) table is range-partitioned, a row's
+range becomes its ``bucket`` column, a window runs inside each bucket, and one
+summary row a bucket carries the bucket's sums and least value. A small window
+over the summaries (bounded by partitions x columns) gives every bucket's
+offset. The inputs are counts, one row a distinct value, so a value that holds a
+third of all rows is one row and a column with many values spreads over buckets.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import qcol
 from tidemark.session import ensure_checkpoint_dir
 
-# The scan functions below run in Python workers; ship them (and this
-# module's helpers) by value, so executors need not have this package
-# installed -- only numpy and pandas, which PySpark's Arrow path needs anyway.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_RUN_SCHEMA_KS = ("column string, first_value double, last_value double, "
-                  "sum_ref long, sum_cur long, max_ref long, max_cur long, "
-                  "min_ref long, min_cur long, tot_ref long, tot_cur long")
-_RUN_SCHEMA_COUNT = "column string, first_value double, last_value double, cnt long"
-
-
-def _runs(pdf: pd.DataFrame):
-    """Split a sorted batch into contiguous runs of the same column."""
-    cols = pdf["column"].to_numpy()
-    if len(cols) == 0:
-        return
-    breaks = np.flatnonzero(cols[1:] != cols[:-1]) + 1
-    starts = np.concatenate(([0], breaks))
-    ends = np.concatenate((breaks, [len(cols)]))
-    for s, e in zip(starts, ends):
-        yield cols[s], pdf.iloc[s:e]
-
-
-def _ks_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per run: first/last value, count sums, and the local cumulative counts
-    at which cr/N_ref - cc/N_cur is largest and smallest."""
-    out = []
-    state = None  # [column, first, last, cr, cc, maxx, maxr, maxc, minx, minr, minc, nr, nc]
-
-    def flush():
-        if state is not None:
-            out.append((state[0], state[1], state[2], state[3], state[4],
-                        state[6], state[7], state[9], state[10], state[11], state[12]))
-
-    for pdf in batches:
-        for col, run in _runs(pdf):
-            if state is None or state[0] != col:
-                flush()
-                state = [col, float(run["value"].iat[0]), None, 0, 0,
-                         -np.inf, 0, 0, np.inf, 0, 0,
-                         int(run["tot_ref"].iat[0]), int(run["tot_cur"].iat[0])]
-            cr = np.cumsum(run["n_ref"].to_numpy(dtype=np.int64)) + state[3]
-            cc = np.cumsum(run["n_cur"].to_numpy(dtype=np.int64)) + state[4]
-            nr = run["tot_ref"].to_numpy(dtype=np.float64)
-            nc = run["tot_cur"].to_numpy(dtype=np.float64)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                x = np.where(nr > 0, cr / nr, 0.0) - np.where(nc > 0, cc / nc, 0.0)
-            i, j = int(np.argmax(x)), int(np.argmin(x))
-            if x[i] > state[5]:
-                state[5], state[6], state[7] = x[i], int(cr[i]), int(cc[i])
-            if x[j] < state[8]:
-                state[8], state[9], state[10] = x[j], int(cr[j]), int(cc[j])
-            state[2] = float(run["value"].iat[-1])
-            state[3], state[4] = int(cr[-1]), int(cc[-1])
-    flush()
-    yield pd.DataFrame(out, columns=["column", "first_value", "last_value", "sum_ref",
-                                     "sum_cur", "max_ref", "max_cur", "min_ref", "min_cur",
-                                     "tot_ref", "tot_cur"])
-
-
-def _count_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per run: first/last value and the count sum."""
-    out = []
-    state = None
-    for pdf in batches:
-        for col, run in _runs(pdf):
-            if state is None or state[0] != col:
-                if state is not None:
-                    out.append(tuple(state))
-                state = [col, float(run["value"].iat[0]), None, 0]
-            state[2] = float(run["value"].iat[-1])
-            state[3] += int(run["n"].to_numpy(dtype=np.int64).sum())
-    if state is not None:
-        out.append(tuple(state))
-    yield pd.DataFrame(out, columns=["column", "first_value", "last_value", "cnt"])
-
-
-_RUN_SCHEMA_AUC = "column string, first_value double, sum_pos long, sum_neg long, local double"
-
-
-def _auc_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per run: positive / negative count sums and
-    sum_s pos_s * (negatives below s inside the run + neg_s / 2)."""
-    out = []
-    state = None  # [column, first, pos, neg, local]
-    for pdf in batches:
-        for col, run in _runs(pdf):
-            if state is None or state[0] != col:
-                if state is not None:
-                    out.append(tuple(state))
-                state = [col, float(run["value"].iat[0]), 0, 0, 0.0]
-            pos = run["n_pos"].to_numpy(dtype=np.int64)
-            neg = run["n_neg"].to_numpy(dtype=np.int64)
-            below = np.concatenate(([0], np.cumsum(neg)[:-1])) + state[3]
-            state[4] += float(np.sum(pos * (below + 0.5 * neg)))
-            state[2] += int(pos.sum())
-            state[3] += int(neg.sum())
-    if state is not None:
-        out.append(tuple(state))
-    yield pd.DataFrame(out, columns=["column", "first_value", "sum_pos", "sum_neg", "local"])
 
+def _bucketed(df: DataFrame) -> DataFrame:
+    """``df`` in ranges of (column, value) with the range's number as ``bucket``.
+    A number names a range of this very shuffle: use it once, or checkpoint
+    the table before using it twice."""
+    return df.repartitionByRange("column", "value").withColumn("bucket", F.spark_partition_id())
 
-def rank_auc(counts: DataFrame) -> DataFrame:
-    """Exact ROC AUC per column by the rank-sum formula (ties count half).
 
-    ``counts``: (column string, value double, n_pos long, n_neg long), one row
-    per distinct score. AUC = sum_s pos_s (negatives below s + neg_s / 2) /
-    (P * N); the term is linear in a run's negative offset, so one sorted scan
-    plus a window over run summaries gives it exactly."""
-    runs = _sorted_by_column_value(counts).mapInPandas(_auc_scan, _RUN_SCHEMA_AUC)
-    runs = _with_offsets(runs, "sum_neg")
-    return runs.groupBy("column").agg(
-        F.try_divide(F.sum(F.col("off_sum_neg").cast("double") * F.col("sum_pos") + F.col("local")),
-                     F.sum("sum_pos").cast("double") * F.sum("sum_neg").cast("double")).alias("auc"),
-        F.sum("sum_pos").alias("n_pos"), F.sum("sum_neg").alias("n_neg"))
+def _in_bucket():
+    return Window.partitionBy("column", "bucket").orderBy("value")
 
 
-_RUN_SCHEMA_W = "column string, first_value double, part double"
+def _up_to(column: str, end: int = Window.currentRow):
+    """Sum of ``column`` over the bucket's values up to this one (``end`` -1: below it)."""
+    return F.sum(column).over(_in_bucket().rowsBetween(Window.unboundedPreceding, end))
 
 
-def wasserstein_distances(counts: DataFrame, totals: DataFrame) -> DataFrame:
-    """First Wasserstein distance per column between the reference and current
-    empirical distributions: integral of |F_ref - F_cur| over the value axis.
-
-    ``counts`` and ``totals`` as for ``ks_statistics``. The absolute value
-    makes a run's contribution depend on its offset, so the sorted table is
-    checkpointed to the shared folder (fixing partition contents), scanned once
-    for run summaries and offsets (a table bounded by partitions x columns,
-    collected), and scanned again with those offsets."""
-    spark = counts.sparkSession
-    ensure_checkpoint_dir(spark)
-    rows = counts.join(F.broadcast(totals), "column")
-    ordered = _sorted_by_column_value(rows).checkpoint(eager=True)
-    runs = ordered.select("column", "value", F.col("n_ref").alias("n")).mapInPandas(
-        _count_scan, _RUN_SCHEMA_COUNT)
-    runs2 = ordered.select("column", "value", F.col("n_cur").alias("n")).mapInPandas(
-        _count_scan, _RUN_SCHEMA_COUNT).select("column", "first_value", F.col("cnt").alias("cnt_cur"))
-    runs = runs.join(runs2, ["column", "first_value"]).withColumnRenamed("cnt", "cnt_ref")
-    runs = _with_offsets(runs, "cnt_ref", "cnt_cur")
-    w = Window.partitionBy("column").orderBy("first_value")
-    runs = runs.withColumn("next_first", F.lead("first_value").over(w))
-    info = {(r["column"], r["first_value"]): (r["off_cnt_ref"], r["off_cnt_cur"], r["next_first"])
-            for r in runs.collect()}  # bounded: one row per run
-
-    def integrate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = []
-        state = None  # [column, first, cr, cc, prev_value, prev_diff, acc]
-        def flush():
-            if state is not None:
-                nxt = info[(state[0], state[1])][2]
-                last = 0.0 if nxt is None or state[4] is None else abs(state[5]) * (nxt - state[4])
-                out.append((state[0], state[1], state[6] + last))
-        for pdf in batches:
-            for col, run in _runs(pdf):
-                if state is None or state[0] != col:
-                    flush()
-                    first = float(run["value"].iat[0])
-                    off_r, off_c, _ = info[(col, first)]
-                    state = [col, first, off_r, off_c, None, 0.0, 0.0]
-                v = run["value"].to_numpy(dtype=np.float64)
-                cr = np.cumsum(run["n_ref"].to_numpy(dtype=np.int64)) + state[2]
-                cc = np.cumsum(run["n_cur"].to_numpy(dtype=np.int64)) + state[3]
-                nr = float(run["tot_ref"].iat[0])
-                nc = float(run["tot_cur"].iat[0])
-                diff = (cr / nr if nr > 0 else 0.0 * cr) - (cc / nc if nc > 0 else 0.0 * cc)
-                if state[4] is not None:  # gap from the previous batch's last value
-                    state[6] += abs(state[5]) * (v[0] - state[4])
-                state[6] += float(np.sum(np.abs(diff[:-1]) * np.diff(v)))
-                state[2], state[3] = int(cr[-1]), int(cc[-1])
-                state[4], state[5] = float(v[-1]), float(diff[-1])
-        flush()
-        yield pd.DataFrame(out, columns=["column", "first_value", "part"])
-
-    parts = ordered.mapInPandas(integrate, _RUN_SCHEMA_W)
-    return parts.groupBy("column").agg(F.sum("part").alias("wasserstein"))
-
-
-def _sorted_by_column_value(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
-
-
-def _with_offsets(runs: DataFrame, *sum_cols: str) -> DataFrame:
-    """Add off_<c> = sum of <c> over the earlier runs of the same column. The
-    window sees only run summaries, never rows."""
-    w = Window.partitionBy("column").orderBy("first_value").rowsBetween(
-        Window.unboundedPreceding, -1)
+def _with_offsets(buckets: DataFrame, *sum_cols: str) -> DataFrame:
+    """Add off_<c> = sum of <c> over the earlier buckets of the same column. The
+    window sees one row a bucket, never the rows themselves."""
+    w = Window.partitionBy("column").orderBy("first_value").rowsBetween(Window.unboundedPreceding, -1)
     for c in sum_cols:
-        runs = runs.withColumn(f"off_{c}", F.coalesce(F.sum(c).over(w), F.lit(0)))
-    return runs
+        buckets = buckets.withColumn(f"off_{c}", F.coalesce(F.sum(c).over(w), F.lit(0)))
+    return buckets
+
+
+def _gap(ref, cur):
+    """Share of the reference up to here less share of the current side; 0 for an empty side."""
+    return (F.coalesce(F.try_divide(ref.cast("double"), F.col("tot_ref")), F.lit(0.0))
+            - F.coalesce(F.try_divide(cur.cast("double"), F.col("tot_cur")), F.lit(0.0)))
 
 
 def ks_statistics(counts: DataFrame, totals: DataFrame) -> DataFrame:
@@ -220,29 +56,75 @@ def ks_statistics(counts: DataFrame, totals: DataFrame) -> DataFrame:
     ``counts``: (column string, value double, n_ref long, n_cur long), one row
     per distinct non-null value; ``totals``: (column, tot_ref, tot_cur), one
     row per column (broadcast). Returns (column, statistic, tot_ref, tot_cur) with
-    D = max_x |F_ref(x) - F_cur(x)|."""
-    rows = counts.join(F.broadcast(totals), "column")
-    runs = _sorted_by_column_value(rows).mapInPandas(_ks_scan, _RUN_SCHEMA_KS)
-    runs = _with_offsets(runs, "sum_ref", "sum_cur")
+    D = max_x |F_ref(x) - F_cur(x)|. A bucket's offset moves all its gaps alike,
+    so the places of its largest and smallest gap are kept and nothing is joined
+    back to the values."""
+    rows = _bucketed(counts).select("*", _up_to("n_ref").alias("up_ref"), _up_to("n_cur").alias("up_cur"))
+    gap, place = _gap(F.col("up_ref"), F.col("up_cur")), F.struct("up_ref", "up_cur")
+    buckets = rows.join(F.broadcast(totals), "column").groupBy("column", "bucket").agg(
+        F.min("value").alias("first_value"), F.sum("n_ref").alias("sum_ref"), F.sum("n_cur").alias("sum_cur"),
+        F.max_by(place, gap).alias("high"), F.min_by(place, gap).alias("low"),
+        F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"))
 
-    def dist(r, c):
-        return F.abs(F.try_divide((F.col("off_sum_ref") + F.col(r)).cast("double"), F.col("tot_ref"))
-                     - F.try_divide((F.col("off_sum_cur") + F.col(c)).cast("double"), F.col("tot_cur")))
+    def distance(at):
+        return F.abs(F.try_divide((F.col("off_sum_ref") + F.col(f"{at}.up_ref")).cast("double"), F.col("tot_ref"))
+                     - F.try_divide((F.col("off_sum_cur") + F.col(f"{at}.up_cur")).cast("double"), F.col("tot_cur")))
 
-    return runs.groupBy("column").agg(
-        F.max(F.greatest(dist("max_ref", "max_cur"), dist("min_ref", "min_cur"))).alias("statistic"),
+    return _with_offsets(buckets, "sum_ref", "sum_cur").groupBy("column").agg(
+        F.max(F.greatest(distance("high"), distance("low"))).alias("statistic"),
         F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"))
 
 
+def rank_auc(counts: DataFrame) -> DataFrame:
+    """Exact ROC AUC per column by the rank-sum formula (ties count half).
+
+    ``counts``: (column string, value double, n_pos long, n_neg long), one row
+    per distinct score. AUC = sum_s pos_s (negatives below s + neg_s / 2) /
+    (P * N); the term is linear in a bucket's negative offset, so one sum a
+    bucket and the offsets give it exactly."""
+    below = F.coalesce(_up_to("n_neg", -1), F.lit(0))
+    rows = _bucketed(counts).withColumn("local", F.col("n_pos") * (below + 0.5 * F.col("n_neg")))
+    buckets = rows.groupBy("column", "bucket").agg(
+        F.min("value").alias("first_value"), F.sum("n_pos").alias("sum_pos"), F.sum("n_neg").alias("sum_neg"), F.sum("local").alias("local"))
+    return _with_offsets(buckets, "sum_neg").groupBy("column").agg(
+        F.try_divide(F.sum(F.col("off_sum_neg").cast("double") * F.col("sum_pos") + F.col("local")),
+                     F.sum("sum_pos").cast("double") * F.sum("sum_neg").cast("double")).alias("auc"),
+        F.sum("sum_pos").alias("n_pos"), F.sum("sum_neg").alias("n_neg"))
+
+
+def wasserstein_distances(counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """First Wasserstein distance per column between the reference and current
+    empirical distributions: integral of |F_ref - F_cur| over the value axis.
+
+    ``counts`` and ``totals`` as for ``ks_statistics``. The absolute value
+    makes a value's part depend on its bucket's offset, so the bucketed table is
+    checkpointed to the shared folder, which fixes the bucket numbers, and the
+    offsets are joined back by bucket. A bucket's last value reaches to the
+    first value of the next."""
+    ensure_checkpoint_dir(counts.sparkSession)
+    rows = _bucketed(counts).checkpoint(eager=True)
+    buckets = _with_offsets(rows.groupBy("column", "bucket").agg(
+        F.min("value").alias("first_value"), F.sum("n_ref").alias("sum_ref"), F.sum("n_cur").alias("sum_cur")), "sum_ref", "sum_cur")
+    behind = F.lead("first_value").over(Window.partitionBy("column").orderBy("first_value"))
+    buckets = buckets.select("column", "bucket", "off_sum_ref", "off_sum_cur", behind.alias("next_first")).join(F.broadcast(totals), "column")
+    rows = rows.select("column", "bucket", "value", _up_to("n_ref").alias("up_ref"), _up_to("n_cur").alias("up_cur"),
+                       F.lead("value").over(_in_bucket()).alias("next_value"))
+    width = F.coalesce(F.col("next_value"), F.col("next_first")) - F.col("value")
+    part = F.abs(_gap(F.col("off_sum_ref") + F.col("up_ref"), F.col("off_sum_cur") + F.col("up_cur"))) * width
+    return rows.join(buckets, ["column", "bucket"]).groupBy("column").agg(F.coalesce(F.sum(part), F.lit(0.0)).alias("wasserstein"))
+
+
 def exact_medians(long_values: DataFrame) -> dict[str, float | None]:
     """Exact median per column (mean of the two middle values for an even
     count), as pandas computes it, without holding a column in one task.
 
     ``long_values``: (column string, value double), NULLs allowed. Two small
-    collects: the run containing each middle rank, then the value itself."""
+    collects: the bucket (run of values) containing each middle rank, then the
+    value itself."""
     counts = (long_values.where(F.col("value").isNotNull())
               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    runs = _sorted_by_column_value(counts).mapInPandas(_count_scan, _RUN_SCHEMA_COUNT)
+    runs = _bucketed(counts).groupBy("column", "bucket").agg(
+        F.min("value").alias("first_value"), F.max("value").alias("last_value"), F.sum("n").alias("cnt"))
     runs = _with_offsets(runs, "cnt")
     tot = Window.partitionBy("column")
     runs = runs.withColumn("total", F.sum("cnt").over(tot))
