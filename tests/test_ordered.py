@@ -24,8 +24,8 @@ def sides(seed, n=4000):
 
 def counted(spark, rows):
     df = spark.createDataFrame(rows, "column string, value double, side int")
-    counts = df.groupBy("column", "value").agg(F.count_if("side = 0").alias("n_ref"), F.count_if("side = 1").alias("n_cur"))
-    totals = df.groupBy("column").agg(F.count_if("side = 0").alias("tot_ref"), F.count_if("side = 1").alias("tot_cur"))
+    counts = df.groupBy("column", "value").agg(F.count_if(F.col("side") == 0).alias("n_ref"), F.count_if(F.col("side") == 1).alias("n_cur"))
+    totals = df.groupBy("column").agg(F.count_if(F.col("side") == 0).alias("tot_ref"), F.count_if(F.col("side") == 1).alias("tot_cur"))
     return counts, totals
 
 
