@@ -58,11 +58,38 @@ def test_other_estimators_train(spark, sample, model_type, task):
     assert ml.predict(t, x).count() == 100
 
 
-def test_multiclass_boosting_has_no_probability(spark):
-    df = spark.range(60).select((F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 3).alias("y"))
+def test_multiclass_boosting_has_probabilities(spark, tmp_out):
+    df = spark.range(600).select((F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("noise"),
+                                 F.element_at(F.array(*[F.lit(v) for v in "abc"]), (F.col("id") % 3 + 1).cast("int")).alias("y"))
     t = ml.ModelTrainer({"model_type": "gradient_boosting", "model_params": {"n_estimators": 3}}).train(df, "y")
-    r = ml.predict(t, df).first()
-    assert r["probability"] is None
+    rows = ml.predict(t, df).collect()
+    assert all(r["prediction"] == r["y"] for r in rows)
+    assert all(abs(sum(r["probability"]) - 1) < 1e-9 and max(r["probability"]) == r["probability"]["abc".index(r["y"])] for r in rows)
+    back = ml.load_model(spark, ml.save_model(t, f"{tmp_out}/boosted"))
+    again = ml.predict(back, df).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
+def test_boosting_follows_newton_steps(spark):
+    """One feature of three values, one split a value: every row's scores are
+    those of Newton boosting by hand."""
+    import math
+    n, rounds, step = {(0, 0): 30, (0, 1): 10, (1, 1): 20, (1, 2): 20, (2, 2): 40}, 4, 0.3
+    rows = [(float(x), y) for (x, y), c in n.items() for _ in range(c)]
+    df = spark.createDataFrame(rows, "x double, y int")
+    t = ml.ModelTrainer({"model_type": "gradient_boosting", "model_params": {"n_estimators": rounds, "learning_rate": step, "max_depth": 2}}).train(df, "y")
+    share = [sum(c for (_, y), c in n.items() if y == k) / len(rows) for k in range(3)]
+    score = {x: [math.log(s) for s in share] for x in range(3)}
+    for _ in range(rounds):
+        p = {x: [math.exp(s) / sum(map(math.exp, v)) for s in v] for x, v in score.items()}
+        for x in range(3):
+            for k in range(3):
+                h = p[x][k] * (1 - p[x][k])
+                z = [(c, max(-4.0, min(4.0, ((y == k) - p[x][k]) / h))) for (a, y), c in n.items() if a == x]
+                score[x][k] += step * 2 / 3 * sum(c * v for c, v in z) / sum(c for c, _ in z)
+    for r in ml.predict(t, df).select("x", "probability").distinct().collect():
+        v = score[int(r["x"])]
+        assert r["probability"] == pytest.approx([math.exp(s) / sum(map(math.exp, v)) for s in v], abs=1e-6)
 
 
 def test_unknown_model_type():

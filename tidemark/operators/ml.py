@@ -11,8 +11,7 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -23,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import qcol
 from tidemark.operators import metrics as M
+from tidemark.operators.boosting import fit_softmax_boosting
 from tidemark.sources.readers import nan_to_null
 
 MODEL_TYPES = ("random_forest", "gradient_boosting", "linear")
@@ -65,11 +65,6 @@ class TrainedModel:
     model_type: str
     classes: list = field(default_factory=list)   # label values in index order
 
-    @property
-    def has_probability(self) -> bool:
-        return self.task_type == "classification" and not (
-            self.model_type == "gradient_boosting" and len(self.classes) > 2)
-
 
 # Accepted hyperparameters per family. The last group only steers threads and
 # logging in single-process libraries and has no meaning on a cluster.
@@ -79,6 +74,16 @@ _PARAMS = {"random_forest": _TREE_PARAMS, "gradient_boosting": _TREE_PARAMS | {"
 _NO_EFFECT = {"n_jobs", "verbose"}
 
 
+class SoftmaxBoosting:
+    """Boosting for more than two classes with the estimator call of the others."""
+
+    def __init__(self, n_classes: int, **settings):
+        self.n_classes, self.settings = n_classes, settings
+
+    def fit(self, df: DataFrame) -> PipelineModel:
+        return fit_softmax_boosting(df, self.n_classes, **self.settings)
+
+
 def _feature_subset(value) -> str:
     """The share or number of features a split looks at, as Spark ML spells it."""
     if value is None:
@@ -105,14 +110,16 @@ def _estimator(model_type: str, task_type: str, params: dict, seed: int, n_rows:
             common["featureSubsetStrategy"] = _feature_subset(p["max_features"])
     if model_type == "random_forest":
         return (RandomForestClassifier if cls else RandomForestRegressor)(numTrees=n_est, **common)
+    if model_type == "gradient_boosting" and cls and n_classes > 2:
+        return SoftmaxBoosting(n_classes, features=_FEATURES, label=_LABEL_IDX, rounds=n_est, step=float(p.get("learning_rate", DEFAULT_LEARNING_RATE)),
+                               depth=common["maxDepth"], min_rows=common["minInstancesPerNode"],
+                               subset=common.get("featureSubsetStrategy", "all"), sample=float(p.get("subsample", 1.0)), seed=seed)
     if model_type == "gradient_boosting":
         kw = dict(maxIter=n_est, stepSize=float(p.get("learning_rate", DEFAULT_LEARNING_RATE)),
                   subsamplingRate=float(p.get("subsample", 1.0)), **common)
         if not cls:
             return GBTRegressor(**kw)
-        if n_classes <= 2:
-            return GBTClassifier(**kw)
-        return OneVsRest(classifier=GBTClassifier(**kw), featuresCol=_FEATURES, labelCol=_LABEL_IDX)
+        return GBTClassifier(**kw)
     intercept = bool(p.get("fit_intercept", True))
     if not cls:
         return LinearRegression(regParam=0.0, solver="normal", fitIntercept=intercept, **common)
@@ -196,7 +203,8 @@ class ModelTrainer:
             n_rows = data.count() if (self.model_type == "linear" and cls) else 0
             est = _estimator(self.model_type, self.task_type, self.model_params, self.random_state,
                              n_rows, len(classes))
-            model = Pipeline(stages=[est]).fit(_vectors(data, features))
+            rows = _vectors(data, features)
+            model = est.fit(rows) if isinstance(est, SoftmaxBoosting) else Pipeline(stages=[est]).fit(rows)
         finally:
             if balance:
                 df.unpersist()
@@ -211,7 +219,7 @@ class ModelTrainer:
 
 def predict(trained: TrainedModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Input columns (or ``keep``) + ``prediction`` in the label's values +
-    ``probability`` array<double> (NULL when the model has none)."""
+    ``probability`` array<double> (NULL for a regression)."""
     if trained is None:
         raise ValueError("no trained model to predict with")
     keep = list(df.columns if keep is None else keep)
@@ -221,8 +229,11 @@ def predict(trained: TrainedModel, df: DataFrame, keep: list[str] | None = None)
         pred = F.element_at(classes, F.col("prediction").cast("int") + 1)
     else:
         pred = F.col("prediction")
-    prob = (vector_to_array(F.col("probability")) if trained.has_probability
-            else F.lit(None).cast("array<double>"))
+    kind = out.schema["probability"].dataType if "probability" in out.columns and trained.task_type == "classification" else None
+    if kind is None:
+        prob = F.lit(None).cast("array<double>")
+    else:
+        prob = F.col("probability") if isinstance(kind, T.ArrayType) else vector_to_array(F.col("probability"))
     return out.select(*[qcol(c) for c in keep], pred.alias("prediction"), prob.alias("probability"))
 
 

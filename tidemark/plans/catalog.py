@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import round9
@@ -486,12 +486,9 @@ def q_train_gbt_cls(spark, sf_dir):
 
 
 def q_train_gbt_multi(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").withColumn("hour", F.hour("ts").cast("double")) \
-        .withColumn("user", F.col("user_id").cast("double"))
-    tagged = split.assign_split(ev, ["event_id"], test_size=0.2, seed=42)
     cfg = {"model_type": "gradient_boosting", "task_type": "classification",
            "model_params": {"n_estimators": 5, "max_depth": 3}}
-    return _train_eval(spark, sf_dir, cfg, "event_type", ["value", "hour", "user"], CLS_METRICS, tagged, floor=False)
+    return _train_eval(spark, sf_dir, cfg, "band", LI_FEATURES, CLS_METRICS)
 
 
 def q_train_gbt_reg(spark, sf_dir):
@@ -514,26 +511,30 @@ def q_train_linear_one_feature(spark, sf_dir):
                                  F.round(F.lit(float(lr.intercept)), 6).alias("intercept"))
 
 
-def _checked(scored: DataFrame, trained) -> DataFrame:
-    """A scored row's checkable part: its prediction is a known class, its
-    probabilities sum to one."""
-    total = F.aggregate("probability", F.lit(0.0), lambda acc, x: acc + x)
-    return scored.withColumns({"known_class": F.col("prediction").isin(trained.classes),
-                               "probabilities_sum_to_one": F.abs(total - 1.0) < 1e-6}).drop("prediction", "probability")
+def _tiers(li: DataFrame) -> DataFrame:
+    """A label of three values that one feature decides: trees that see every
+    feature learn it to the row, so its predictions can be stated in SQL."""
+    return li.withColumn("tier", F.when(F.col("l_discount") < 0.035, "low").when(F.col("l_discount") < 0.075, "mid").otherwise("high"))
+
+
+FOREST = {"model_type": "random_forest", "task_type": "classification",
+          "model_params": {"n_estimators": 10, "max_depth": 5, "max_features": None}}
+
+
+def _confidence() -> F.Column:
+    """The share of the most probable class; it must be the predicted one's."""
+    return round9(F.array_max("probability")).alias("confidence")
 
 
 def q_score_batch(spark, sf_dir):
+    """Every lineitem row scored by a forest trained on the train split."""
     path = scratch_path(spark, "tagged")
-    ml.balanced(_lineitem_ml(spark, sf_dir).select("l_orderkey", "l_linenumber", *LI_FEATURES, "l_returnflag", "split")).write.parquet(path)
+    ml.balanced(_tiers(_lineitem_ml(spark, sf_dir)).select("l_orderkey", "l_linenumber", *LI_FEATURES, "tier", "split")).write.parquet(path)
     tagged = spark.read.parquet(path)
-    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "l_returnflag")
-    test = tagged.where(F.col("split") == "test")
-    cfg = {"model_type": "random_forest", "task_type": "classification",
-           "model_params": {"n_estimators": 20, "max_depth": 5}}
-    trained = ml.ModelTrainer(cfg).train(train, "l_returnflag", LI_FEATURES)
-    scored = ml.score_batch(trained, test.select("l_orderkey", "l_linenumber", *LI_FEATURES),
-                            model_name="returnflag_rf", model_version="1", keep=["l_orderkey", "l_linenumber"])
-    return _checked(scored, trained)
+    trained = ml.ModelTrainer(FOREST).train(tagged.where(F.col("split") == "train").select(*LI_FEATURES, "tier"), "tier", LI_FEATURES)
+    scored = ml.score_batch(trained, tagged.select("l_orderkey", "l_linenumber", *LI_FEATURES),
+                            model_name="tier_rf", model_version="1", keep=["l_orderkey", "l_linenumber"])
+    return scored.select("l_orderkey", "l_linenumber", "prediction", _confidence(), "batch_size", "model_name", "model_version")
 
 
 def q_model_registry(spark, sf_dir):
@@ -625,14 +626,15 @@ def q_drift_wasserstein(spark, sf_dir):
 
 
 def q_train_feature_importance(spark, sf_dir):
-    tagged = _lineitem_ml(spark, sf_dir)
-    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "l_linestatus")
-    cfg = {"model_type": "random_forest", "task_type": "classification",
-           "model_params": {"n_estimators": 10, "max_depth": 4}}
-    trained = ml.ModelTrainer(cfg).train(train, "l_linestatus", LI_FEATURES)
-    imp = ml.feature_importances(trained)
-    total = F.lit(imp.agg(F.sum("importance")).first()[0])  # one number
-    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"), round9(total).alias("total"))
+    """The order of the features by importance for a target that two of them
+    make, one with four times the other's weight; place 0 is no influence."""
+    step = 4.0 * (F.col("l_discount") >= 0.05).cast("double") + (F.col("l_tax") >= 0.035).cast("double")
+    li = _ship_days(table(spark, sf_dir, "lineitem")).select(*LI_FEATURES, step.alias("steps"))
+    cfg = {"model_type": "random_forest", "task_type": "regression",
+           "model_params": {"n_estimators": 10, "max_depth": 4, "max_features": None}}
+    imp = ml.feature_importances(ml.ModelTrainer(cfg).train(li, "steps", LI_FEATURES))
+    place = F.rank().over(Window.orderBy(F.desc("importance"))).cast("long")  # one row a feature
+    return imp.select("feature", F.when(F.col("importance") > 0.01, place).otherwise(F.lit(0).cast("long")).alias("place"))
 
 
 def q_train_rf_embeddings(spark, sf_dir):
@@ -671,18 +673,16 @@ def _ship_days(df: DataFrame) -> DataFrame:
 def q_stream_score(spark, sf_dir):
     """lineitem rows arriving as a stream, scored on arrival by a forest
     trained on the train split; the sink holds one row per arriving row."""
-    tagged = _lineitem_ml(spark, sf_dir)
-    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "l_returnflag")
-    cfg = {"model_type": "random_forest", "task_type": "classification",
-           "model_params": {"n_estimators": 10, "max_depth": 5}}
-    trained = ml.ModelTrainer(cfg).train(train, "l_returnflag", LI_FEATURES)
+    tagged = _tiers(_lineitem_ml(spark, sf_dir))
+    train = tagged.where(F.col("split") == "train").select(*LI_FEATURES, "tier")
+    trained = ml.ModelTrainer(FOREST).train(train, "tier", LI_FEATURES)
     stream = table_stream(spark, sf_dir, "lineitem")
     base = scratch_path(spark, "stream-score")
     q = monitor.start_scoring(trained, _ship_days(stream), f"{base}/out", f"{base}/checkpoint",
-                              "returnflag_rf", "1", keep=["l_orderkey", "l_linenumber"])
+                              "tier_rf", "1", keep=["l_orderkey", "l_linenumber"])
     q.awaitTermination()
-    out = spark.read.parquet(f"{base}/out").drop("scored_at")
-    return _checked(out, trained)
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("l_orderkey", "l_linenumber", "prediction", _confidence(), "model_name", "model_version")
 
 
 # ---------------------------------------------------------------- missing values as NaN, odd names, mixed types

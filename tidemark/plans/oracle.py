@@ -564,25 +564,29 @@ FROM tagged WHERE split <> 'train' GROUP BY 1
 
 
 _LI_KEYS = "l_orderkey, l_linenumber"
+_TIER = "CASE WHEN l_discount < 0.035 THEN 'low' WHEN l_discount < 0.075 THEN 'mid' ELSE 'high' END"
 MODEL_ORACLES = {
     "train_rf_cls": _model_facts("lineitem", _LI_KEYS),
     "train_rf_reg": _model_facts("lineitem", _LI_KEYS),
     "train_gbt_cls": _model_facts("lineitem", _LI_KEYS),
-    "train_gbt_multi": _model_facts("events", "event_id", floor=False),
+    "train_gbt_multi": _model_facts("lineitem", _LI_KEYS),
     "train_gbt_reg": _model_facts("lineitem", _LI_KEYS),
     "train_logreg": _model_facts("lineitem", _LI_KEYS),
     "train_rf_embeddings": _model_facts("embeddings", "vec_id", floor=False),
     "train_feature_importance": """
-SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_ship_days']) AS feature, true AS in_range, 1.0e0 AS total
+WITH t AS (SELECT *, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS l_ship_days,
+                  CASE WHEN l_discount >= 0.05 THEN 4 ELSE 0 END + CASE WHEN l_tax >= 0.035 THEN 1 ELSE 0 END AS steps FROM lineitem),
+c AS (SELECT corr(steps, l_quantity) AS l_quantity, corr(steps, l_extendedprice) AS l_extendedprice, corr(steps, l_discount) AS l_discount,
+             corr(steps, l_tax) AS l_tax, corr(steps, l_ship_days) AS l_ship_days FROM t),
+l AS (UNPIVOT c ON l_quantity, l_extendedprice, l_discount, l_tax, l_ship_days INTO NAME feature VALUE r)
+SELECT feature, CASE WHEN r * r > 0.01 THEN rank() OVER (ORDER BY r * r DESC) ELSE 0 END AS place FROM l
 """,
-    "score_batch": _split_sql("lineitem", _LI_KEYS) + """
-SELECT l_orderkey, l_linenumber, count(*) OVER () AS batch_size, 'returnflag_rf' AS model_name, '1' AS model_version,
-       true AS known_class, true AS probabilities_sum_to_one
-FROM tagged WHERE split = 'test'
+    "score_batch": f"""
+SELECT l_orderkey, l_linenumber, {_TIER} AS prediction, 1.0e0 AS confidence, count(*) OVER () AS batch_size,
+       'tier_rf' AS model_name, '1' AS model_version FROM lineitem
 """,
-    "stream_score": """
-SELECT l_orderkey, l_linenumber, 'returnflag_rf' AS model_name, '1' AS model_version, true AS known_class,
-       true AS probabilities_sum_to_one FROM lineitem
+    "stream_score": f"""
+SELECT l_orderkey, l_linenumber, {_TIER} AS prediction, 1.0e0 AS confidence, 'tier_rf' AS model_name, '1' AS model_version FROM lineitem
 """,
     "model_registry": """
 SELECT c_mktsegment, 'balance' AS model_name, '2' AS model_version, (SELECT count(*) FROM customer) AS batch_size, count(*) AS n_scored
