@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import qcol
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.csv_ranges import bit_maps, first_bits, records
 
 # The default missing-value tokens of pandas' CSV reader.
 CSV_NA_TOKENS = [
@@ -117,10 +119,21 @@ def read_csv(spark: SparkSession, path) -> DataFrame:
     """CSV with a header row: every cell read as text, pandas' NA tokens
     mapped to NULL, then each column cast to the narrowest of long, double,
     boolean or string that holds all its values. A doubled quote inside quotes
-    is one quote, and a quoted cell may hold line breaks; for that, one file is
-    read by one task, so large tables should come as many files."""
-    raw = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-           .option("multiLine", True).csv(path))
+    is one quote, and a quoted cell may hold line breaks.
+
+    Files are split over tasks either way. A first pass looks for records of
+    several lines; without any, Spark's line reader takes the files, otherwise
+    each byte range owns the records that start in it (``csv_ranges``)."""
+    options = {"header": True, "inferSchema": False, "escape": '"'}
+    ensure_checkpoint_dir(spark)
+    maps = bit_maps(spark, path).checkpoint(eager=True)  # one row a byte range
+    if not maps.where("crossed").isEmpty():
+        names = spark.read.options(**options, multiLine=True).csv(path).columns  # reads the first record
+        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        rows = records(spark, path, first_bits(maps))
+        raw = rows.select(F.from_csv("record", schema, {"escape": '"', "multiLine": "true"}).alias("r")).select("r.*")
+    else:
+        raw = spark.read.options(**options).csv(path)
     cleaned = raw.select(*[F.when(qcol(c).isin(CSV_NA_TOKENS) | qcol(c).isNull(),
                                   F.lit(None).cast("string")).otherwise(qcol(c)).alias(c)
                            for c in raw.columns])
