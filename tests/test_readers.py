@@ -108,3 +108,42 @@ def test_scratch_tables_can_be_cleared(spark):
     path = scratch_path(spark, "t")
     spark.range(3).write.parquet(path)
     assert clear_scratch(spark) and not clear_scratch(spark)
+
+
+def _document(tmp_path, name, text):
+    (tmp_path / name).write_text(text)
+    return {"source_type": "json", "source_path": str(tmp_path / name)}
+
+
+def test_json_objects_of_columns(spark, tmp_path):
+    df = readers.read_table(spark, _document(tmp_path, "columns.json", """
+        {"n": {"0": 1, "1": 2, "10": 3}, "x.y": {"0": 1.5, "1": 2, "10": null}, "s": {"0": "a", "10": "7"},
+         "b": {"0": true, "1": false, "10": null}, "mixed": {"0": 1, "1": "u", "10": [1, 2]}, "none": {"0": null, "1": null}}"""))
+    assert df.dtypes == [("n", "bigint"), ("x.y", "double"), ("s", "string"), ("b", "boolean"), ("mixed", "string"), ("none", "double")]
+    assert sorted((tuple(r) for r in df.collect()), key=lambda r: r[0]) == [
+        (1, 1.5, "a", True, "1", None), (2, 2.0, None, False, "u", None), (3, None, "7", None, "[1,2]", None)]
+
+
+def test_json_objects_of_lists_and_many_files(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"part{k}.json").write_text(f'{{"a": [{k}, {k + 10}], "b": ["x", null]}}')
+    df = readers.read_table(spark, {"source_type": "json", "source_path": str(tmp_path)})
+    assert sorted(tuple(r) for r in df.where("b IS NOT NULL").collect()) == [(0, "x"), (1, "x"), (2, "x")]
+    assert sorted(r["a"] for r in df.collect()) == [0, 1, 2, 10, 11, 12]
+
+
+def test_json_layout_is_told_by_the_document(spark, tmp_path):
+    records = readers.read_table(spark, _document(tmp_path, "records.json", '\n [{"a": 1}, {"a": 2}]'))
+    assert sorted(r["a"] for r in records.collect()) == [1, 2]
+    with pytest.raises(ValueError, match="columns"):
+        readers.read_table(spark, _document(tmp_path, "scalars.json", '{"a": 1, "b": 2}'))
+    assert readers.read_table(spark, _document(tmp_path, "empty.json", "{}")).columns == []
+    assert readers.read_table(spark, _document(tmp_path, "rowless.json", '{"a": {}, "b": {}}')).count() == 0
+
+
+def test_json_columns_plan_has_no_field_a_row(spark, tmp_path):
+    import json
+    wide = {c: {str(i): i * k for i in range(3000)} for k, c in ((1, "a"), (2, "b"))}
+    df = readers.read_table(spark, _document(tmp_path, "long.json", json.dumps(wide)))
+    assert df.count() == 3000 and df.where("b = 2 * a").count() == 3000
+    assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 6000

@@ -574,6 +574,16 @@ def q_io_json_roundtrip(spark, sf_dir):
     return back.select(*c.columns)
 
 
+def q_io_json_columns(spark, sf_dir):
+    """customer as column-oriented objects, one file a nation -> JSON reader."""
+    c = table(spark, sf_dir, "customer").withColumn("c_gaps", null_every_7th("c_custkey", "c_acctbal"))
+    cells = [F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("row "), F.col("c_custkey")), F.col(n)))).alias(n) for n in c.columns]
+    objects = c.groupBy("c_nationkey").agg(F.to_json(F.struct(*cells)).alias("value")).select("value")
+    path = scratch_path(spark, "json-columns")
+    objects.write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_table(spark, {"source_type": "json", "input_path": path}).select(*c.columns)
+
+
 # ---------------------------------------------------------------- streaming
 
 def q_stream_daily_drift(spark, sf_dir):
@@ -924,6 +934,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_batch": q_score_batch,
     "io_csv_roundtrip": q_io_csv_roundtrip,
     "io_json_roundtrip": q_io_json_roundtrip,
+    "io_json_columns": q_io_json_columns,
     "stream_daily_drift": q_stream_daily_drift,
     "stream_daily_drift_windowed": q_stream_daily_drift_windowed,
     "stream_score": q_stream_score,

@@ -701,6 +701,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_daily_drift": STREAM_DAILY_DRIFT,
     "io_csv_roundtrip": IO_CSV_ROUNDTRIP,
     "io_json_roundtrip": IO_JSON_ROUNDTRIP,
+    "io_json_columns": "SELECT *, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_gaps FROM customer",
     "train_linear_one_feature": TRAIN_LINEAR_ONE_FEATURE,
     "eval_confusion": EVAL_CONFUSION,
     "eval_classification": EVAL_CLASSIFICATION,

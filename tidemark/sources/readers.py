@@ -140,9 +140,68 @@ def read_csv(spark: SparkSession, path) -> DataFrame:
     return _infer_and_cast(cleaned)
 
 
+def _first_sign(spark: SparkSession, path) -> str:
+    """The first character of the first file that is no white space ('' if none),
+    read through Spark's file systems."""
+    files = spark.read.text(path).inputFiles()
+    if not files:
+        return ""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(files[0]))
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        while (c := stream.read()) >= 0:
+            if chr(c) not in " \t\r\n":
+                return chr(c)
+        return ""
+    finally:
+        stream.close()
+
+
+def _cell_types(cells: DataFrame, texts: DataFrame) -> dict[str, str]:
+    """SQL type of each column: long, double, boolean or string, whichever holds
+    all its values, in the order of the documents' keys (one row a column)."""
+    kinds = {r["column"]: r["kind"] for r in cells.groupBy("column").agg(F.expr("schema_of_variant_agg(value)").alias("kind")).collect()}
+    keys = texts.select(F.posexplode(F.json_object_keys("value")).alias("place", "column")).groupBy("column").agg(F.min("place").alias("place"))
+    types = {"BIGINT": "bigint", "DECIMAL": "double", "DOUBLE": "double", "FLOAT": "double", "BOOLEAN": "boolean", "VOID": "double"}
+    names = [r["column"] for r in keys.orderBy("place", "column").collect()]
+    return {c: types.get(kinds[c].split("(")[0].split("<")[0], "string") for c in names if c in kinds}
+
+
+def read_json_columns(spark: SparkSession, path) -> DataFrame:
+    """A table from column-oriented objects, ``{"column": {"row": value}}`` or
+    ``{"column": [value, ...]}``; each file is one object and its own set of rows.
+
+    An object becomes a VARIANT, is exploded by column and by row, and the cells
+    are put together by row key, so no schema has a field a row. Columns come in
+    the order of the objects; a row without a cell in a column has NULL there.
+    Long, double, boolean or string is chosen by all values of a column (mixed
+    and nested ones are text; a column of nulls is double). Raises ValueError
+    for an object whose members are neither objects nor arrays. A file is one
+    row here, so it may be as large as a VARIANT (Spark's own limit); larger
+    tables should come as many files, or as JSON lines."""
+    texts = spark.read.text(path, wholetext=True)
+    whole = texts.select(F.col("_metadata.file_path").alias("file"), F.parse_json("value").alias("v"))
+    members = whole.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
+        "file", F.col("key").alias("column"), F.col("value").alias("cells"))
+    if not members.where("column IS NULL OR NOT startswith(schema_of_variant(cells), 'OBJECT') AND NOT startswith(schema_of_variant(cells), 'ARRAY')").isEmpty():
+        raise ValueError(f"{path}: neither an array of records nor columns of values")
+    cells = members.lateralJoin(spark.tvf.variant_explode(F.col("cells").outer())).select(
+        "file", "column", F.coalesce("key", F.col("pos").cast("string")).alias("row"), "value")
+    types = _cell_types(cells, texts)
+    if not types:
+        return spark.createDataFrame([], T.StructType([]))
+    rows = cells.groupBy("file", "row").agg(*[
+        F.max(F.when(F.col("column") == c, F.try_variant_get("value", "$", t))).alias(c) for c, t in types.items()])
+    return nan_to_null(rows.select(*[qcol(c) for c in types]))
+
+
 def read_json(spark: SparkSession, path, lines: bool = False) -> DataFrame:
-    """One JSON document holding an array of records (default), or JSON lines
-    when ``lines`` is true. Integral numbers come back as long."""
+    """JSON lines when ``lines`` is true; otherwise one JSON document a file: an
+    array of records, or an object of columns (:func:`read_json_columns`), as
+    the first file begins. Integral numbers come back as long."""
+    if not lines and _first_sign(spark, path) == "{":
+        return read_json_columns(spark, path)
     reader = spark.read
     if not lines:
         reader = reader.option("multiLine", True)
