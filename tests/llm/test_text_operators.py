@@ -368,6 +368,38 @@ def test_near_pairs_among_texts_with_a_long_shared_passage(spark):
     assert [got[i] for i in range(len(texts))] == want and links > 490
 
 
+@pytest.mark.parametrize("low,high", [(0.80, 0.85), (0.85, 0.90), (0.90, 1.0)])
+def test_share_of_similar_pairs_that_meet_in_a_sketch(low, high):
+    """Words changed at random places, as many as the similarities of the band take."""
+    rng = random.Random(int(low * 100))
+    met = []
+    for p in range(300):
+        base = [f"t{p}w{i}" for i in range(200)]
+        at = set(rng.sample(range(200), rng.randint(round(200 * (1 - high)) + 1, round(200 * (1 - low)))))
+        keys = omh.sketch([" ".join(base).encode(), " ".join(f"x{i}" if i in at else w for i, w in enumerate(base)).encode()])
+        met.append((keys[0] == keys[1]).any())
+    assert np.mean(met) >= 0.9
+
+
+def test_large_buckets_are_divided_by_rare_words(spark, monkeypatch):
+    """Texts that share a passage, in one bucket, some of them near each other:
+    with every bucket divided, components are those of all pairs."""
+    monkeypatch.setattr(omh, "LARGE", 3)
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(120)]
+    texts = []
+    for c in range(60):
+        own = [f"o{c}x{i % 25}" for i in range(50)]
+        at = set(rng.sample(range(50), 22))
+        texts += [passage + own, passage + [f"e{c}y{i}" if i in at else w for i, w in enumerate(own)]]
+    near = np.array([[1 - edits(a, b) / max(len(a), len(b)) >= 0.8 for b in texts] for a in texts])
+    root = list(range(len(texts)))
+    for _ in texts:
+        root = [min(root[j] for j in np.flatnonzero(near[i])) for i in range(len(texts))]
+    got = {r.doc_id: r.component_id for r in omh.near_duplicates(table(spark, [" ".join(t) for t in texts])).collect()}
+    assert [got[i] for i in range(len(texts))] == root and 30 < len(set(root)) < 70
+
+
 def test_digests_are_hex(spark):
     r = bpe.digests(table(spark, ["hello"]), MULTI, PATTERN).first()
     assert r.decoded_sha256 == hashlib.sha256(b"hello").hexdigest()

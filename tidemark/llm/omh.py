@@ -19,10 +19,13 @@ from tidemark.llm.common import components, cut, text_slices
 from tidemark.llm.words import Words, mix, salted
 
 #: Words of a k-mer, sketches, and k-mers of a sketch.
-K, SKETCHES, TAKE = 5, 32, 2
+K, SKETCHES, TAKE = 5, 64, 2
 FAR = np.int32(1 << 28)
+_FACTORS = np.random.default_rng(20240605).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Texts on a side of a tile of a bucket, about; pairs a text and component are first given.
-TILE, FIRST_PAIRS = 512, 8
+TILE, FIRST_PAIRS = 2048, 8
+#: Members from which an open bucket is divided by its texts' rare words.
+LARGE = 8 * TILE
 
 
 def _occurrences(doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -53,7 +56,7 @@ def sketch(texts: list[bytes | None]) -> np.ndarray:
     own = np.flatnonzero(grams)
     heads = begin[own]
     for s in range(SKETCHES):
-        rank = salted(label, s + 1)
+        rank = label * _FACTORS[s]  # labels are mixed; another odd factor orders them anew
         taken = []
         for _ in range(TAKE):
             least = np.minimum.reduceat(rank, heads)
@@ -169,17 +172,60 @@ def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": np.full(len(a), last)})
 
 
+def _rare_words(part: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """(bucket, id, comp): the texts of ``part`` dealt anew, by their rare words.
+
+    A text's words are labelled by occurrence and ordered by the texts of
+    ``part`` that hold them, rarest first. If an edit similarity of ``least`` or
+    more is possible, the texts have so many words in common that they share one
+    of the first floor((1 - least) * words) + 1 of each. So no pair that may be
+    linked is lost, while texts that only share what is common in the bucket
+    part ways."""
+
+    def run(batches):
+        for batch in batches:
+            for piece in text_slices(batch, "words", 1 << 20):
+                rows = [np.frombuffer(x, "<i4").astype(np.uint64) for x in piece.column("words").to_pylist()]
+                size = np.array([len(x) for x in rows], np.int64)
+                doc, flat = np.repeat(np.arange(len(rows)), size), np.concatenate([np.zeros(0, np.uint64), *rows])
+                label = mix(flat + _occurrences(doc, flat).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(label))
+                yield pa.RecordBatch.from_arrays([piece.column("id"), lists], names=["id", "labels"])
+
+    ids = part.groupBy("id").agg(F.min("comp").alias("comp"))
+    labels = words.join(ids.select("id"), "id", "left_semi").mapInArrow(run, "id long, labels array<long>")
+    labels = cut(labels.select("id", F.size("labels").alias("size"), F.explode("labels").alias("label")), "omh-labels")
+    held = cut(labels.groupBy("label").agg(F.count("*").alias("texts")).where("texts > 1"), "omh-labels")
+    # a label that no other text holds comes before all others and makes no group
+    first = labels.join(held, "label", "left").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.asc_nulls_first("texts"), "label")))
+    first = first.where(F.col("texts").isNotNull() & (F.col("place") <= F.floor((1 - least) * F.col("size") + 1e-9) + 1))
+    return first.select("id", F.col("label").alias("bucket")).join(ids, "id").select("bucket", "id", "comp")
+
+
+def _sizes(part: DataFrame) -> DataFrame:
+    """Of each bucket in more than one component: members, the component with
+    most of them (``top``), those in others, and a mark of its members."""
+    sizes = part.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("mark"))
+    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"), F.bit_xor("mark").alias("mark"))
+    return sizes.where("comps > 1")
+
+
 def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: float, cap: int) -> DataFrame:
     """(a, b, more): pairs of ``members`` (bucket, id, n) that may still join
     components. Buckets inside one component have none, and buckets with the
-    same members count once. The others are cut into tiles, texts outside the
-    bucket's largest component against all."""
+    same members count once. Buckets of more than LARGE members are divided by
+    rare words. A bucket is cut into tiles, texts outside its largest component
+    against all."""
     part = members.where("n > 2").select("bucket", "id").join(known.select(F.col("node").alias("id"), "component_id"), "id", "left")
     part = cut(part.select("bucket", "id", F.coalesce("component_id", "id").alias("comp")), "omh-members")
-    sizes = part.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("mark"))
-    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"), F.bit_xor("mark").alias("mark"))
+    sizes = cut(_sizes(part), "omh-open")
+    large = sizes.where(F.col("n") > LARGE).select("bucket")
+    if not large.isEmpty():
+        divided = _rare_words(part.join(large, "bucket", "left_semi"), words, least)
+        part = cut(part.join(large, "bucket", "left_anti").unionByName(divided), "omh-members")
+        sizes = _sizes(part)
     blocks = lambda n: F.ceil(n / F.lit(TILE)).cast("int")
-    sizes = sizes.where("comps > 1").groupBy("mark", "n").agg(F.min(F.struct("bucket", F.col("top.comp").alias("top"), blocks(F.col("n") - F.col("top.n")).alias("rows"), blocks(F.col("n")).alias("cols"))).alias("s"))
+    sizes = sizes.groupBy("mark", "n").agg(F.min(F.struct("bucket", F.col("top.comp").alias("top"), blocks(F.col("n") - F.col("top.n")).alias("rows"), blocks(F.col("n")).alias("cols"))).alias("s"))
     part = cut(part.join(cut(sizes.select("s.*"), "omh-open"), "bucket").withColumn("other", F.col("comp") != F.col("top")), "omh-open")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     row, col = F.pmod(F.xxhash64("id", "bucket"), "rows").cast("int"), F.pmod(F.xxhash64("id"), "cols").cast("int")
