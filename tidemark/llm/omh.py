@@ -73,62 +73,81 @@ def sketch(texts: list[bytes | None]) -> np.ndarray:
 
 
 def _band(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, width: int) -> np.ndarray:
-    """Edit distances of padded rows a, b (lengths n, m), exact where they are at
-    most ``width``: only cells within ``width`` of the diagonal are computed."""
+    """Edit distances of padded int32 rows a, b (lengths n, m), exact where they
+    are at most ``width``: only cells within ``width`` of the diagonal are computed."""
     rows, top = len(n), int(n.max(initial=0))
-    k = np.arange(2 * width + 1, dtype=np.int32)
-    padded = np.full((rows, top + 2 * width + 1), np.int64(-2))
+    # a cell within the band is at most the row's number and the width away from 0
+    kind, far = (np.int16, 1 << 14) if top + 4 * width < 1 << 14 else (np.int32, 1 << 28)
+    k = np.arange(2 * width + 1, dtype=kind)
+    padded = np.full((rows, top + 2 * width + 1), np.int32(-2))
     padded[:, width : width + min(b.shape[1], top + width + 1)] = b[:, : top + width + 1]
-    now = np.broadcast_to(np.where(k >= width, k - width, FAR).astype(np.int32), (rows, len(k))).copy()
+    now = np.broadcast_to(np.where(k >= width, k - kind(width), kind(far)).astype(kind), (rows, len(k))).copy()
     out = np.where(n == 0, m, FAR).astype(np.int32)
+    ends = {int(i): np.flatnonzero(n == i) for i in np.unique(n)}
     for i in range(1, top + 1):
-        same = padded[:, i - 1 : i + 2 * width] == a[:, i - 1 : i]
-        step = now + np.where(same, np.int32(0), np.int32(1))
-        step[:, :-1] = np.minimum(step[:, :-1], now[:, 1:] + 1)
-        now = np.minimum.accumulate(step - k, axis=1) + k
-        end = np.flatnonzero(n == i)
-        at = m[end] - i + width
-        ok = (at >= 0) & (at <= 2 * width)
-        out[end[ok]] = now[end[ok], at[ok]]
+        step = now + (padded[:, i - 1 : i + 2 * width] != a[:, i - 1 : i])
+        np.minimum(step[:, :-1], now[:, 1:] + kind(1), out=step[:, :-1])
+        step -= k
+        now = np.minimum.accumulate(step, axis=1)
+        now += k
+        np.minimum(now, kind(far), out=now)
+        if i in ends:
+            end = ends[i]
+            at = m[end] - i + width
+            ok = (at >= 0) & (at <= 2 * width)
+            out[end[ok]] = now[end[ok], at[ok]]
     return out
 
 
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Words that each pair of rows has in common, repeats counted (at least
+    that many: two words may share a 40-bit key)."""
+    def counted(rows):
+        pair = np.repeat(np.arange(len(rows), dtype=np.uint64), [len(r) for r in rows])
+        word = mix(np.concatenate([np.zeros(0, np.uint64), *[r.astype(np.uint64) for r in rows]]))
+        return np.unique((pair << np.uint64(40)) | (word >> np.uint64(24)), return_counts=True)
+
+    (u, ux), (v, vy) = counted(a), counted(b)
+    if not len(u) or not len(v):
+        return np.zeros(len(a), np.int64)
+    at = np.minimum(np.searchsorted(u, v), len(u) - 1)
+    both = np.where(u[at] == v, np.minimum(ux[at], vy), 0)
+    return np.bincount((v >> np.uint64(40)).astype(np.int64), weights=both, minlength=len(a)).astype(np.int64)
+
+
 def similar(a: list[np.ndarray], b: list[np.ndarray], least: float) -> np.ndarray:
     """For each pair of word-hash rows: is 1 - edit distance / longer length at
-    least ``least``? Words in common bound the distance from below; the band is
-    widened until the distance fits into it or it is beyond the limit."""
+    least ``least``? Words in common bound the distance from below; the band
+    begins beyond that bound and is widened until the distance fits into it or
+    it is beyond the limit."""
     n, m = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
     longer = np.maximum(n, m)
     limit = np.floor((1 - least) * longer + 1e-9).astype(np.int64)
     out = np.zeros(len(n), bool)
     todo = np.flatnonzero((np.abs(n - m) <= limit) & (longer > 0))
-
-    def common(x, y):
-        u, ux = np.unique(x, return_counts=True)
-        v, vy = np.unique(y, return_counts=True)
-        _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-        return np.minimum(ux[i], vy[j]).sum()
-
-    todo = np.array([i for i in todo if longer[i] - common(a[i], b[i]) <= limit[i]], np.int64)
-    width = 16
+    low = longer[todo] - _common([a[i] for i in todo], [b[i] for i in todo])
+    todo, low = todo[low <= limit[todo]], low[low <= limit[todo]]
+    width = np.zeros(len(n), np.int64)
+    width[todo] = np.minimum(limit[todo], np.maximum(16, 1 << np.ceil(np.log2(low * 5 // 4 + 2)).astype(np.int64)))
     while len(todo):
-        todo = todo[np.argsort(longer[todo], kind="stable")]
+        todo = todo[np.lexsort((longer[todo], width[todo]))]
         left = []
         at = 0
         while at < len(todo):
-            to = at + 1
-            while to < len(todo) and (to - at) * int(longer[todo[to]] + 2 * width) < 200_000:
+            to, first = at + 1, int(width[todo[at]])
+            while to < len(todo) and width[todo[to]] <= first + first // 8 and (to - at) * int(longer[todo[to]] + 2 * width[todo[to]]) < 400_000:
                 to += 1
             part = todo[at:to]
-            wide = int(longer[part].max())
-            x, y = np.full((len(part), wide), np.int64(-1)), np.full((len(part), wide), np.int64(-3))
+            wide, band = int(longer[part].max()), int(width[part].max())
+            x, y = np.full((len(part), wide), np.int32(-1)), np.full((len(part), wide), np.int32(-3))
             for r, i in enumerate(part):
                 x[r, : n[i]], y[r, : m[i]] = a[i], b[i]
-            distance = _band(x, n[part], y, m[part], width)
-            out[part] = distance <= np.minimum(limit[part], width)
-            left.append(part[(distance > width) & (limit[part] > width)])
+            distance = _band(x, n[part], y, m[part], band)
+            out[part] = distance <= np.minimum(limit[part], band)
+            left.append(part[(distance > band) & (limit[part] > band)])
+            width[left[-1]] = np.minimum(limit[left[-1]], 2 * band)
             at = to
-        todo, width = np.concatenate(left), 2 * width
+        todo = np.concatenate(left)
     return out
 
 
@@ -313,6 +332,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     known = components(links)
     side = lambda c: known.select(F.col("node").alias(c), F.col("component_id").alias(f"c{c}"))
     open_ = pairs.join(first.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
+    open_ = open_.select("a", "b", "shared", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb")
+    two = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.desc("shared"), "a", "b")
+    open_ = cut(open_.withColumn("place", F.row_number().over(two)).select("a", "b", "place"), "omh-pairs")
+    links = cut(links.union(_verified(open_.where("place = 1").select("a", "b"), words, least)), "omh-links")
+    known = components(links)
+    open_ = open_.where("place > 1").join(side("a"), "a", "left").join(side("b"), "b", "left")
     open_ = open_.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     links = cut(links.union(_verified(open_, words, least)), "omh-links")
     known, seen, cap, more = components(links), pairs.select("a", "b"), FIRST_PAIRS, True
