@@ -61,12 +61,12 @@ def test_scan_abandons_but_keeps_ties():
 def brute_links(rows, cosine):
     unit = {}
     for k, (i, v, label, _) in enumerate(rows):
-        ok = i is not None and label is not None and v and len(v) == 8 and all(z is not None and np.isfinite(z) for z in v) and any(v)
+        ok = i is not None and label is not None and v and all(z is not None and np.isfinite(z) for z in v) and any(v)
         if ok:
             w = np.array(v, np.float32).astype(float)
             unit[k] = w / np.linalg.norm(w)
     links, root = [0] * len(rows), {k: rows[k][0] for k in range(len(rows))}
-    near = {k: [j for j in unit if j != k and rows[j][2] == rows[k][2] and unit[j] @ unit[k] >= cosine - 1e-12] for k in unit}
+    near = {k: [j for j in unit if j != k and rows[j][2] == rows[k][2] and len(unit[j]) == len(unit[k]) and unit[j] @ unit[k] >= cosine - 1e-12] for k in unit}
     for k, js in near.items():
         links[k] = len(js)
     for _ in rows:
@@ -96,6 +96,45 @@ def test_forest_keeps_repeated_rows(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in rp_forest.links(df).collect()) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
 
 
+def test_search_with_extreme_components_and_two_lengths(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, [1e200] + [0.0] * 7), (1001, [1e-200] * 8), (1002, [-1e200] + [1.0] * 7)]
+    rows += [(2000 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(30, 4)))] + [(3000, [5e-324, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann.search(df, df, 5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for i, v in rows:
+        with np.errstate(over="ignore", invalid="ignore"):
+            want = sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i and len(w) == len(v) and np.isfinite(np.dot(v, w)))[:5]
+        mine = [(-s, j) for _, j, s in sorted(got.get(i, [])) if np.isfinite(s)]
+        assert len(got.get(i, [])) == min(5, sum(len(w) == len(v) for _, w in rows) - 1)
+        assert len(mine) >= 4 or len(v) == 3 or i in (1000, 1002)
+        for (a, _), (b, _) in zip(mine, want, strict=False):
+            assert np.isclose(a, b, rtol=1e-9, atol=0) or i in (1000, 1002)
+
+
+def test_queries_near_a_tiny_list_still_get_k_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "TILE_ROWS", 64)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(900, 8)), rng.normal(size=(3, 8)) * 0.1 + 50])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(df, df.where("vec_id >= 900 OR vec_id % 100 = 0"), 20).groupBy("query_id").count().collect()
+    assert len(got) == 12 and {r["count"] for r in got} == {20}
+
+
+def test_forest_links_extreme_components_and_every_length(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=4)
+    rows = [(i, (base + rng.normal(size=4) * 1e-4).tolist(), 1) for i in range(20)] + [(100 + i, v.tolist(), 1) for i, v in enumerate(rng.normal(size=(60, 8)))]
+    rows += [(200 + i, [(i + 1) * 1e200, 1e200 * (i + 1), 0.0], 1) for i in range(5)] + [(300 + i, [(i + 1) * 1e-200, (i + 1) * 1e-200, 0.0], 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in rp_forest.links(df).collect()}
+    assert all(got[i] == (19, 0) for i in range(20)) and all(got[100 + i][0] == 0 for i in range(60))
+    assert all(got[200 + i] == (9, 200) and got[300 + i] == (9, 200) for i in range(5))
+
+
 def test_components_of_paths_stars_and_loops(spark):
     rng = random.Random(4)
     path = [(i, i + 1) for i in range(100, 160)]

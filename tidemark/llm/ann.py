@@ -11,6 +11,7 @@ before their other components are read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,26 +20,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
-from tidemark.llm.vectors import common_dimension, matrix, sample, usable
+from tidemark.llm.vectors import matrix, sample, usable
 
 #: Rows that the index is fitted on, at most about; every row is indexed.
 FIT_ROWS = 16_384
 #: Dimensions of a column block, and the test's width (larger: fewer abandoned wrongly).
 BLOCK, WIDTH = 16, 2.1
 #: Share of the sample's true neighbours that the probed lists must hold.
-COVER = 0.985
+COVER = 0.97
 #: Rows and queries of one scan task.
 TILE_ROWS, TILE_QUERIES = 8192, 4096
 
 
 @dataclass
 class Index:
+    """The lists of the vectors of one length. Vectors are scaled by a power of
+    two so that no component exceeds 1: squares neither overflow nor vanish."""
+
     rotation: np.ndarray
-    top: float  # the largest squared norm
+    exponent: int
+    top: float  # the largest squared norm after scaling
     centroids: np.ndarray
-    probes: int
+    probes: int = 1
+    offset: int = 0  # number of its first list
 
     def points(self, x: np.ndarray, query: bool = False) -> np.ndarray:
+        x = np.ldexp(x, -self.exponent)
         extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, self.top - (x * x).sum(1)))
         return np.column_stack([x, extra]) @ self.rotation
 
@@ -47,29 +54,42 @@ class Index:
         d = (self.centroids**2).sum(1)[None, :] - 2 * points @ self.centroids.T
         return np.argsort(d, axis=1, kind="stable")[:, :n]
 
+    def probed(self, points: np.ndarray, sizes: np.ndarray, k: int) -> list[np.ndarray]:
+        """The lists each query reads: ``probes`` of them, and more until they
+        hold ``k`` rows besides the query itself, or all there are."""
+        order = self.ranked(points, len(self.centroids))
+        held = np.cumsum(sizes[order], axis=1)
+        need = np.minimum(len(self.centroids), np.maximum(self.probes, (held < k + 1).sum(1) + 1))
+        return [o[:n] + self.offset for o, n in zip(order, need, strict=True)]
+
 
-def fit(x: np.ndarray, top: float, rows: int, k: int, seed: int = 11) -> Index:
-    """Index from a sample ``x`` of ``rows`` rows: centroids by k-means, and as
-    many probes as the sample's own neighbours need."""
+def fit(x: np.ndarray, dim: int, peak: float, top: float, rows: int, k: int, seed: int = 11) -> Index:
+    """Index of ``rows`` vectors of length ``dim``, with largest component
+    ``peak`` and largest squared norm ``top`` in units of it, from a sample
+    ``x``: centroids by k-means, a list for about 200 rows, and as many probes
+    as the sample's own neighbours need. Without a sample there is one list."""
     rng = np.random.default_rng(seed)
-    dim = x.shape[1]
     rotation = np.linalg.qr(rng.normal(size=(dim + 1, dim + 1)))[0]
-    lists = int(max(1, min(np.sqrt(rows) / 4, len(x) / 64, 1024)))
-    index = Index(rotation, top, np.zeros((1, dim + 1)), 1)
+    mantissa, exponent = math.frexp(peak)
+    index = Index(rotation, exponent, top * mantissa**2, np.zeros((1, dim + 1)))
+    lists = int(max(1, min(rows / 200, len(x) / 64)))
+    if lists == 1:
+        return index
     points = index.points(x)
     index.centroids = points[rng.choice(len(points), lists, replace=False)]
     for _ in range(8):
         own = index.ranked(points, 1)[:, 0]
-        for i in range(lists):
-            if (own == i).any():
-                index.centroids[i] = points[own == i].mean(0)
+        held = np.bincount(own, minlength=lists)
+        sums = np.zeros_like(index.centroids)
+        np.add.at(sums, own, points)
+        index.centroids[held > 0] = sums[held > 0] / held[held > 0, None]
     own = index.ranked(points, 1)[:, 0]
-    ask = rng.choice(len(x), min(256, len(x)), replace=False)
-    near = -(x[ask] @ x.T)
+    ask = rng.choice(len(x), min(512, len(x)), replace=False)
+    asking = index.points(x[ask], query=True)
+    near = -(asking @ points.T)
     near[np.arange(len(ask)), ask] = np.inf
     near = np.argsort(near, axis=1, kind="stable")[:, : max(1, min(k, len(x) - 1))]
-    order = index.ranked(index.points(x[ask], query=True), lists)
-    place = np.argsort(order, axis=1)  # list -> how early it is probed
+    place = np.argsort(index.ranked(asking, lists), axis=1)  # list -> how early it is probed
     needed = np.sort(np.take_along_axis(place, own[near], 1).ravel())
     index.probes = min(lists, int(needed[min(len(needed) - 1, int(np.ceil(COVER * len(needed))))]) + 1)
     return index
@@ -82,21 +102,28 @@ def scan(candidates: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, c
     marks = [*range(0, dim, BLOCK), dim]
     limit = np.full(len(queries), np.inf)  # squared distance of the k-th best so far
     best_q, best_c, best_d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    squares = [((queries[:, a:b] ** 2).sum(1), (candidates[:, a:b] ** 2).sum(1)) for a, b in zip(marks, marks[1:], strict=False)]
     for at in range(0, n, chunk):
         part = candidates[at : at + chunk]
-        q, c = np.nonzero(~own[:, at : at + chunk])
-        d = np.zeros(len(q))
-        for a, b in zip(marks, marks[1:], strict=False):
-            if len(q) * 4 > len(queries) * len(part):  # most are alive: one product for all
-                x, y = queries[:, a:b], part[:, a:b]
-                d += ((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T)[q, c]
-            else:
-                d += ((queries[q, a:b] - part[c, a:b]) ** 2).sum(1)
-            bound = limit[q]
+        alive = ~own[:, at : at + chunk]
+        far, q = np.zeros(alive.shape), None
+        for (a, b), (xx, yy) in zip(zip(marks, marks[1:], strict=False), squares, strict=True):
+            bound = limit
             if b < dim:  # a partial distance: reject if it is too large by the test
                 bound = bound * (b / dim) * (1 + WIDTH / np.sqrt(b)) ** 2
-            alive = d <= bound + 1e-9
-            q, c, d = q[alive], c[alive], d[alive]
+            if q is not None:  # few are alive: pair by pair
+                d = d + ((queries[q, a:b] - part[c, a:b]) ** 2).sum(1)
+                stay = d <= bound[q] + 1e-9
+                q, c, d = q[stay], c[stay], d[stay]
+                continue
+            far += xx[:, None] + yy[None, at : at + chunk] - 2 * queries[:, a:b] @ part[:, a:b].T
+            alive &= far <= bound[:, None] + 1e-9
+            if b == dim and k <= alive.shape[1]:  # the k best of this chunk, and ties
+                own_best = np.partition(np.where(alive, far, np.inf), k - 1, axis=1)[:, k - 1]
+                alive &= far <= own_best[:, None] + 1e-9
+            if b == dim or np.count_nonzero(alive) * 10 < alive.size:
+                q, c = np.nonzero(alive)
+                d = far[q, c]
         best_q, best_c, best_d = np.concatenate([best_q, q]), np.concatenate([best_c, c + at]), np.concatenate([best_d, d])
         order = np.lexsort((best_d, best_q))
         best_q, best_c, best_d = best_q[order], best_c[order], best_d[order]
@@ -115,13 +142,15 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     out; all, if there are fewer. Ties go to the smaller key; score is the inner
     product of the original vectors in double precision.
 
-    Vectors that are null, empty, zero or hold null or non-finite components,
-    rows without a key, and vectors of another length than most take no part.
+    Vectors that are null, empty, zero or hold null or non-finite components and
+    rows without a key take no part; a query's candidates are the vectors of its
+    length. A score beyond the range of a double is infinite, or NaN and last.
     Of rows with one key the least vector counts. Other columns are not read. An
     empty table gives no rows. Lists and query sets are cut into tiles of at
     most about TILE_ROWS x TILE_QUERIES, so a list of near-equal vectors is no
     single task. The number of probed lists follows from the sample, so data
-    without clusters is scanned nearly whole.
+    without clusters is scanned for the most part; a query reads further lists
+    while those it has read hold fewer than k rows.
     """
     spark = df.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -130,35 +159,52 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
         x = x.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
         return x.where("id IS NOT NULL").where(usable("v")).groupBy("id").agg(F.min("v").alias("v"))
 
-    rows = cut(clean(df), "ann-rows")
-    dim = common_dimension(rows, "v")
-    if dim is None:
+    rows, asked = cut(clean(df), "ann-rows"), clean(queries)
+    # one row a vector length: rows, largest component, largest squared norm in its units
+    peaks = {r["dim"]: r for r in rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(F.array_max(F.transform("v", F.abs))).alias("peak")).collect()}
+    if not peaks:
         return spark.createDataFrame([], schema)
-    rows = rows.where(F.size("v") == dim)
-    asked = clean(queries).where(F.size("v") == dim)
-    total, top = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
-    learn = sample(rows, "id", FIT_ROWS).orderBy("id").toPandas()
-    index = fit(matrix(learn["v"]), top, total, k)
-    lists = len(index.centroids)
-
-    def place(query: bool):
-        def run(frames):
-            for x in frames:
-                if len(x):
-                    near = index.ranked(index.points(matrix(x["v"]), query), index.probes if query else 1)
-                    yield x.assign(lists=list(near.astype(np.int32)))
-        return run
-
-    kind = "id long, v array<double>, lists array<int>"
-    stored = cut(rows.mapInPandas(place(False), kind).select("id", "v", F.col("lists")[0].alias("list")), "ann-lists")
-    asking = asked.mapInPandas(place(True), kind).select("id", "v", F.explode("lists").alias("list"))
-    sizes = {r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}  # one number a list
-    asked_n = asked.count()
-    row_parts = F.array(*[F.lit(-(-sizes.get(i, 0) // TILE_ROWS)) for i in range(lists)])
-    query_parts = max(1, -(-asked_n * index.probes // (lists * TILE_QUERIES)))
+    peak = F.element_at(F.create_map(*[F.lit(x) for d, r in peaks.items() for x in (d, r["peak"])]), F.size("v"))
+    tops = dict(rows.withColumn("p", peak).groupBy(F.size("v")).agg(F.max(F.expr("aggregate(v, 0D, (a, x) -> a + (x / p) * (x / p))"))).collect())
+    indexes: dict[int, Index] = {}
+    offset = 0
+    for dim, r in sorted(peaks.items()):
+        own = sample(rows.where(F.size("v") == dim), "id", FIT_ROWS).orderBy("id").toPandas() if r["n"] > TILE_ROWS // 8 else pd.DataFrame({"v": []})
+        indexes[dim] = fit(matrix(own["v"]), dim, r["peak"], tops[dim], r["n"], k)
+        indexes[dim].offset, offset = offset, offset + len(indexes[dim].centroids)
+
+    def by_length(x: pd.DataFrame):
+        for dim, own in x.groupby(x["v"].map(len)):
+            if dim in indexes:
+                yield indexes[dim], own, matrix(own["v"])
+
+    def into_lists(frames):
+        for x in frames:
+            for index, own, m in by_length(x):
+                yield own.assign(list=(index.ranked(index.points(m), 1)[:, 0] + index.offset).astype(np.int32))
+
+    stored = cut(rows.mapInPandas(into_lists, "id long, v array<double>, list int"), "ann-lists")
+    sizes = np.zeros(offset, np.int64)
+    for r in stored.groupBy("list").count().collect():  # one number a list
+        sizes[r["list"]] = r["count"]
+
+    def to_lists(frames):
+        for x in frames:
+            for index, own, m in by_length(x):
+                held = sizes[index.offset : index.offset + len(index.centroids)]
+                yield own.assign(lists=[o.astype(np.int32) for o in index.probed(index.points(m, True), held, k)])
+
+    asking = asked.mapInPandas(to_lists, "id long, v array<double>, lists array<int>").select("id", "v", F.explode("lists").alias("list"))
+    # queries go to rows: a list's rows are cut into tiles, and a tile's queries into parts
+    row_parts = F.array(*[F.lit(int(-(-n // TILE_ROWS))) for n in sizes])
+    asks = asking.groupBy("list").agg(F.ceil(F.count("*") / TILE_QUERIES).cast("int").alias("n"))
+    query_parts = np.ones(offset, np.int64)
+    for r in asks.collect():  # one number a list
+        query_parts[r["list"]] = r["n"]
+    query_parts = F.array(*[F.lit(int(n)) for n in query_parts])
     stored = stored.withColumns({"rp": F.pmod(F.xxhash64("id"), F.get(row_parts, F.col("list"))).cast("int"),
-                                 "qp": F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1)))})
-    asking = asking.where(F.get(row_parts, F.col("list")) > 0).withColumns({"qp": F.pmod(F.xxhash64("id"), F.lit(query_parts)).cast("int"),
+                                 "qp": F.explode(F.sequence(F.lit(0), F.get(query_parts, F.col("list")) - 1))})
+    asking = asking.where(F.get(row_parts, F.col("list")) > 0).withColumns({"qp": F.pmod(F.xxhash64("id"), F.get(query_parts, F.col("list"))).cast("int"),
                                                                              "rp": F.explode(F.sequence(F.lit(0), F.get(row_parts, F.col("list")) - 1))})
 
     def tile(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
@@ -167,12 +213,15 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
             return none
         have, ask = have.sort_values("id"), ask.sort_values("id")
         x, y = matrix(have["v"]), matrix(ask["v"])
+        index = indexes[x.shape[1]]
+        points, asked_points = index.points(x), index.points(y, True)
         ids, asks = have["id"].to_numpy(), ask["id"].to_numpy()
         out = []
         for at in range(0, len(y), 256):  # bounds the query x candidate matrices
             own = asks[at : at + 256, None] == ids[None, :]
-            q, c = scan(index.points(x), index.points(y[at : at + 256], True), own, k)
-            score = (y[at + q] * x[c]).sum(1)
+            q, c = scan(points, asked_points[at : at + 256], own, k)
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = (y[at + q] * x[c]).sum(1)
             order = np.lexsort((ids[c], -score, q))
             q, c, score = q[order], c[order], score[order]
             rank = np.arange(len(q)) - np.searchsorted(q, q)

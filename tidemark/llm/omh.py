@@ -188,7 +188,7 @@ def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
     rank = at - np.maximum.accumulate(np.where(new, at, 0))
     i, j, last = i[rank < cap], j[rank < cap], (rank >= cap).any()
     a, b = ids[x[i]], ids[y[j]]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": np.full(len(a), last)})
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "bucket": np.full(len(a), t.column("bucket")[0].as_py(), np.int64), "more": np.full(len(a), last)})
 
 
 def _rare_words(part: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -229,8 +229,8 @@ def _sizes(part: DataFrame) -> DataFrame:
     return sizes.where("comps > 1")
 
 
-def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: float, cap: int) -> DataFrame:
-    """(a, b, more): pairs of ``members`` (bucket, id, n) that may still join
+def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: float, cap: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, bucket, more), and the open buckets' members: pairs of ``members`` (bucket, id, n) that may still join
     components. Buckets inside one component have none, and buckets with the
     same members count once. Buckets of more than LARGE members are divided by
     rare words. A bucket is cut into tiles, texts outside its largest component
@@ -251,7 +251,7 @@ def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: f
     own = ["bucket", "id", "comp", "other"]
     tiles = part.where("other").select(*own, F.lit(True).alias("left"), row.alias("i"), every("cols").alias("j"))
     tiles = tiles.union(part.select(*own, F.lit(False), every("rows"), col)).join(words, "id")
-    return tiles.groupBy("bucket", "i", "j").applyInArrow(lambda t: _tile(t, least, cap), "a long, b long, more boolean")
+    return tiles.groupBy("bucket", "i", "j").applyInArrow(lambda t: _tile(t, least, cap), "a long, b long, bucket long, more boolean"), part
 
 
 def _hashes(df: DataFrame) -> DataFrame:
@@ -342,10 +342,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     links = cut(links.union(_verified(open_, words, least)), "omh-links")
     known, seen, cap, more = components(links), pairs.select("a", "b"), FIRST_PAIRS, True
     while more:
-        found = cut(_open_pairs(members, known, words, least, cap), "omh-found")
+        found, part = _open_pairs(members, known, words, least, cap)
+        found = cut(found, "omh-found")
         pairs = cut(found.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "omh-pairs")
         new = cut(_verified(pairs, words, least), "omh-links")
-        more = bool(found.where("more").head(1))
+        # all pairs of the other buckets have been seen
+        again = found.where("more").select("bucket").distinct()
+        more = bool(again.head(1))
+        members = part.join(again, "bucket", "left_semi").select("bucket", "id", F.lit(3).alias("n"))
         seen, cap = seen.union(pairs), 16 * cap
         if new.head(1):
             links = links.union(new)

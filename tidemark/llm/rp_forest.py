@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, cut
-from tidemark.llm.vectors import common_dimension, matrix, sample, usable
+from tidemark.llm.vectors import matrix, sample, unit, usable
 
 #: Vectors that the splits are fitted on, at most about; all are routed.
 FIT_ROWS = 16_384
@@ -56,7 +56,7 @@ class Forest:
         """The leaves of every row over all trees, ascending; a leaf's number
         begins with its tree's."""
         rows, names = [], []
-        for t in range(TREES):
+        for t in range(TREES if self.depth else 1):  # without splits one tree holds all
             row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
             for level in range(self.depth):
                 p = x @ self.directions[t, level]
@@ -102,9 +102,9 @@ def links(df: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str
     counts the other rows linked directly, component_id is the least key
     reachable by links (itself included), kept says whether that is the row's
     own. Vectors that are null, empty, zero or hold null or non-finite
-    components, rows without a label or a key, and vectors of another length
-    than most link with nothing (their component is their own key, null for a
-    null key). Equal vectors of a label are one class, so thousands of copies
+    components, and rows without a label or a key link with nothing (their
+    component is their own key, null for a null key); vectors of different
+    lengths are not compared, each length has its own trees. Equal vectors of a label are one class, so thousands of copies
     are one row in the trees; equal keys on different vectors count as linked
     classes of one component. A pair that meets in several leaves counts in the
     first of them only. Other columns are not read; an empty table gives no rows.
@@ -113,28 +113,27 @@ def links(df: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label"))
     rows = rows.withColumn("ok", usable("v") & F.col("label").isNotNull() & F.col("id").isNotNull())
     classes = cut(rows.where("ok").groupBy("label", "v").agg(F.min("id").alias("class"), F.count("*").alias("copies")), "vector-classes")
-    dim = common_dimension(classes, "v")
-    if dim is None:
+    counts = {r["dim"]: r["count"] for r in classes.groupBy(F.size("v").alias("dim")).count().collect()}  # one row a vector length
+    if not counts:
         out = rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
         return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
-    own = classes.where(F.size("v") == dim)
-    total = own.count()
-    learn = matrix(sample(own, "class", FIT_ROWS).orderBy("class", "label").toPandas()["v"])
-    forest = Forest(learn / np.linalg.norm(learn, axis=1, keepdims=True), total, cosine)
+    forests = {}
+    for dim, total in counts.items():
+        learn = matrix(sample(classes.where(F.size("v") == dim), "class", FIT_ROWS).orderBy("class", "label").toPandas()["v"]) if total > LEAF_ROWS else np.zeros((0, dim))
+        forests[dim] = Forest(unit(learn), total, cosine)
 
     def route(frames):
         for x in frames:
-            if len(x):
-                m = matrix(x["v"])
-                yield x.assign(leaves=forest.leaves(m / np.linalg.norm(m, axis=1, keepdims=True)))
+            for dim, own in x.groupby(x["v"].map(len)):
+                yield own.assign(leaves=forests[dim].leaves(unit(matrix(own["v"]))), dim=np.int32(dim))
 
-    kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
-    routed = own.mapInPandas(route, f"label {kinds['label']}, v array<double>, class long, copies long, leaves array<long>")
+    kinds = {f.name: f.dataType.simpleString() for f in classes.schema.fields}
+    routed = classes.mapInPandas(route, f"label {kinds['label']}, v array<double>, class long, copies long, leaves array<long>, dim int")
     placed = cut(routed.withColumn("leaf", F.explode("leaves")), "leaves")
     # leaves of more than BLOCK_ROWS rows: every pair of blocks is a tile of its own
-    big = placed.groupBy("leaf", "label").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).where("blocks > 1")
+    big = placed.groupBy("leaf", "label", "dim").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).where("blocks > 1")
     big = cut(big, "big-leaves")
-    placed = placed.join(big, ["leaf", "label"], "left").fillna(1, ["blocks"]).withColumn("b", F.pmod(F.xxhash64("class", "leaf"), F.col("blocks")).cast("int"))
+    placed = placed.join(big, ["leaf", "label", "dim"], "left").fillna(1, ["blocks"]).withColumn("b", F.pmod(F.xxhash64("class", "leaf"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).drop("blocks", "o")
 
@@ -143,8 +142,7 @@ def links(df: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str
         if len(x) < 2:
             return none
         x = x.sort_values("class", kind="stable")
-        m = matrix(x["v"])
-        m = m / np.linalg.norm(m, axis=1, keepdims=True)
+        m = unit(matrix(x["v"]))
         leaf, i, j = int(x["leaf"].iloc[0]), int(x["i"].iloc[0]), int(x["j"].iloc[0])
         block = x["b"].to_numpy()
         near = np.triu(m @ m.T >= cosine - 1e-9, 1)
@@ -166,7 +164,7 @@ def links(df: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str
         hit = np.flatnonzero(n > 0)
         return pd.DataFrame({"class": own_class[hit], "n": n[hit].astype(np.int64), "root": own_class[root[hit]]})
 
-    found = cut(placed.groupBy("leaf", "label", "i", "j").applyInPandas(compare, "class long, n long, root long"), "vector-links")
+    found = cut(placed.groupBy("leaf", "label", "dim", "i", "j").applyInPandas(compare, "class long, n long, root long"), "vector-links")
     linked = found.groupBy("class").agg(F.sum("n").alias("linked"))
     united = components(found.select(F.col("class").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class")
     known = classes.join(linked, "class", "left").join(united, "class", "left")

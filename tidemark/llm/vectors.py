@@ -15,10 +15,11 @@ def usable(vector: str) -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def common_dimension(df: DataFrame, vector: str) -> int | None:
-    """The length most vectors have (the least of equals); None without vectors."""
-    top = df.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return None if top is None else top["d"]
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; scaled by their largest component first, so that
+    no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def sample(df: DataFrame, key: str, rows: int) -> DataFrame:
