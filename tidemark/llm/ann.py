@@ -97,7 +97,8 @@ def fit(x: np.ndarray, dim: int, peak: float, top: float, rows: int, k: int, see
 
 def scan(candidates: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, chunk: int = 1024):
     """(query, candidate) pairs holding each query's k nearest candidates, and
-    any that tie with the k-th. ``own`` (query x candidate) marks pairs to leave out."""
+    any that tie with the k-th. ``own`` (query x candidate) marks pairs to leave
+    out: a query's own row, and the rows of lists that it does not read."""
     n, dim = candidates.shape
     marks = [*range(0, dim, BLOCK), dim]
     limit = np.full(len(queries), np.inf)  # squared distance of the k-th best so far
@@ -105,18 +106,19 @@ def scan(candidates: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, c
     squares = [((queries[:, a:b] ** 2).sum(1), (candidates[:, a:b] ** 2).sum(1)) for a, b in zip(marks, marks[1:], strict=False)]
     for at in range(0, n, chunk):
         part = candidates[at : at + chunk]
-        alive = ~own[:, at : at + chunk]
-        far, q = np.zeros(alive.shape), None
+        asked = np.flatnonzero(~own[:, at : at + chunk].all(1))  # the others read nothing here
+        alive = ~own[asked, at : at + chunk]
+        far, q, mine, best = np.zeros(alive.shape), None, queries[asked], limit[asked]
         for (a, b), (xx, yy) in zip(zip(marks, marks[1:], strict=False), squares, strict=True):
-            bound = limit
+            bound = best
             if b < dim:  # a partial distance: reject if it is too large by the test
                 bound = bound * (b / dim) * (1 + WIDTH / np.sqrt(b)) ** 2
             if q is not None:  # few are alive: pair by pair
-                d = d + ((queries[q, a:b] - part[c, a:b]) ** 2).sum(1)
+                d = d + ((mine[q, a:b] - part[c, a:b]) ** 2).sum(1)
                 stay = d <= bound[q] + 1e-9
                 q, c, d = q[stay], c[stay], d[stay]
                 continue
-            far += xx[:, None] + yy[None, at : at + chunk] - 2 * queries[:, a:b] @ part[:, a:b].T
+            far += xx[asked, None] + yy[None, at : at + chunk] - 2 * mine[:, a:b] @ part[:, a:b].T
             alive &= far <= bound[:, None] + 1e-9
             if b == dim and k <= alive.shape[1]:  # the k best of this chunk, and ties
                 own_best = np.partition(np.where(alive, far, np.inf), k - 1, axis=1)[:, k - 1]
@@ -124,7 +126,7 @@ def scan(candidates: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, c
             if b == dim or np.count_nonzero(alive) * 10 < alive.size:
                 q, c = np.nonzero(alive)
                 d = far[q, c]
-        best_q, best_c, best_d = np.concatenate([best_q, q]), np.concatenate([best_c, c + at]), np.concatenate([best_d, d])
+        best_q, best_c, best_d = np.concatenate([best_q, asked[q]]), np.concatenate([best_c, c + at]), np.concatenate([best_d, d])
         order = np.lexsort((best_d, best_q))
         best_q, best_c, best_d = best_q[order], best_c[order], best_d[order]
         first = np.searchsorted(best_q, np.arange(len(queries)))
@@ -188,37 +190,61 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     for r in stored.groupBy("list").count().collect():  # one number a list
         sizes[r["list"]] = r["count"]
 
-    def to_lists(frames):
+    # neighbouring lists share a cell of at most about TILE_ROWS rows, so that a query is sent, and answers, once a cell
+    cell_of = np.zeros(offset, np.int64)
+    last, held = -1, TILE_ROWS
+    for index in indexes.values():
+        main = np.linalg.svd(index.centroids - index.centroids.mean(0), full_matrices=False)[2][0]
+        last, held = last + 1, 0
+        for i in np.argsort(index.centroids @ main, kind="stable") + index.offset:
+            if held and held + sizes[i] > TILE_ROWS:
+                last, held = last + 1, 0
+            cell_of[i], held = last, held + sizes[i]
+    cells_n = last + 1
+    cell_rows = np.bincount(cell_of, weights=sizes, minlength=cells_n)
+
+    def to_cells(frames):
         for x in frames:
             for index, own, m in by_length(x):
-                held = sizes[index.offset : index.offset + len(index.centroids)]
-                yield own.assign(lists=[o.astype(np.int32) for o in index.probed(index.points(m, True), held, k)])
-
-    asking = asked.mapInPandas(to_lists, "id long, v array<double>, lists array<int>").select("id", "v", F.explode("lists").alias("list"))
-    # queries go to rows: a list's rows are cut into tiles, and a tile's queries into parts
-    row_parts = F.array(*[F.lit(int(-(-n // TILE_ROWS))) for n in sizes])
-    asks = asking.groupBy("list").agg(F.ceil(F.count("*") / TILE_QUERIES).cast("int").alias("n"))
-    query_parts = np.ones(offset, np.int64)
-    for r in asks.collect():  # one number a list
-        query_parts[r["list"]] = r["n"]
-    query_parts = F.array(*[F.lit(int(n)) for n in query_parts])
-    stored = stored.withColumns({"rp": F.pmod(F.xxhash64("id"), F.get(row_parts, F.col("list"))).cast("int"),
-                                 "qp": F.explode(F.sequence(F.lit(0), F.get(query_parts, F.col("list")) - 1))})
-    asking = asking.where(F.get(row_parts, F.col("list")) > 0).withColumns({"qp": F.pmod(F.xxhash64("id"), F.get(query_parts, F.col("list"))).cast("int"),
-                                                                             "rp": F.explode(F.sequence(F.lit(0), F.get(row_parts, F.col("list")) - 1))})
+                near = index.probed(index.points(m, True), sizes[index.offset : index.offset + len(index.centroids)], k)
+                row = np.repeat(np.arange(len(own)), list(map(len, near)))
+                near = np.concatenate(near)
+                near, row = near[sizes[near] > 0], row[sizes[near] > 0]
+                order = np.lexsort((near, cell_of[near], row))
+                near, row, cell = near[order], row[order], cell_of[near[order]]
+                first = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(cell) != 0)])) if len(row) else np.zeros(0, np.int64)
+                lists = np.split(near.astype(np.int32), first[1:]) if len(first) else []
+                yield own.iloc[row[first]].assign(cell=cell[first].astype(np.int32), lists=lists)
+
+    asking = cut(asked.mapInPandas(to_cells, "id long, v array<double>, cell int, lists array<int>"), "ann-asking")
+    # a cell's rows are cut into tiles, and a tile's queries into parts
+    row_parts = F.array(*[F.lit(int(max(1, -(-n // TILE_ROWS)))) for n in cell_rows])
+    parts = np.ones(cells_n, np.int64)
+    for r in asking.groupBy("cell").agg(F.ceil(F.count("*") / TILE_QUERIES).cast("int").alias("n")).collect():  # one number a cell
+        parts[r["cell"]] = r["n"]
+    query_parts = F.array(*[F.lit(int(n)) for n in parts])
+    cell = F.get(F.array(*[F.lit(int(c)) for c in cell_of]), F.col("list"))
+    stored = stored.withColumn("cell", cell).withColumns({"rp": F.pmod(F.xxhash64("id"), F.get(row_parts, F.col("cell"))).cast("int"),
+                                                           "qp": F.explode(F.sequence(F.lit(0), F.get(query_parts, F.col("cell")) - 1))})
+    asking = asking.withColumns({"qp": F.pmod(F.xxhash64("id"), F.get(query_parts, F.col("cell"))).cast("int"),
+                                 "rp": F.explode(F.sequence(F.lit(0), F.get(row_parts, F.col("cell")) - 1))})
 
     def tile(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         if not len(have) or not len(ask):
             return none
-        have, ask = have.sort_values("id"), ask.sort_values("id")
+        have, ask = have.sort_values(["list", "id"]), ask.sort_values("id")
         x, y = matrix(have["v"]), matrix(ask["v"])
         index = indexes[x.shape[1]]
         points, asked_points = index.points(x), index.points(y, True)
         ids, asks = have["id"].to_numpy(), ask["id"].to_numpy()
+        names, of = np.unique(have["list"].to_numpy(), return_inverse=True)
+        read = np.zeros((len(ask), len(names)), bool)
+        for r, lists in enumerate(ask["lists"]):
+            read[r] = np.isin(names, lists)
         out = []
         for at in range(0, len(y), 256):  # bounds the query x candidate matrices
-            own = asks[at : at + 256, None] == ids[None, :]
+            own = (asks[at : at + 256, None] == ids[None, :]) | ~read[at : at + 256][:, of]
             q, c = scan(points, asked_points[at : at + 256], own, k)
             with np.errstate(over="ignore", invalid="ignore"):
                 score = (y[at + q] * x[c]).sum(1)
@@ -229,7 +255,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
             out.append(pd.DataFrame({"query_id": asks[at + q[best]], "vec_id": ids[c[best]], "score": score[best]}))
         return pd.concat(out)
 
-    cells = ["list", "rp", "qp"]
+    cells = ["cell", "rp", "qp"]
     found = stored.groupBy(*cells).cogroup(asking.groupBy(*cells)).applyInPandas(tile, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # limited to k before the shuffle, too
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
