@@ -403,3 +403,16 @@ def test_large_buckets_are_divided_by_rare_words(spark, monkeypatch):
 def test_digests_are_hex(spark):
     r = bpe.digests(table(spark, ["hello"]), MULTI, PATTERN).first()
     assert r.decoded_sha256 == hashlib.sha256(b"hello").hexdigest()
+
+
+def test_thousands_of_equal_rows_lose_their_windows(spark):
+    rng = random.Random(21)
+    text = " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(300))
+    words = text.split()
+    other = " ".join(["own", "words", *words[100:140], "behind"])
+    alone = " ".join(f"z{i}" for i in range(60))
+    rows = [(None, text)] * 3000 + [(None, "short text")] * 50 + [(1, other), (2, alone), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substring.remove_repeats(df, 35).groupBy("doc_id", "text", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, "", 300, 300, 3000), (None, "short text", 2, 0, 50), (1, "own words behind", 43, 40, 1),
+                                                       (2, alone, 60, 0, 1), (3, "", 0, 0, 2)], key=str)

@@ -164,7 +164,13 @@ def remove_repeats(df: DataFrame, length: int = 35, text: str = "text") -> DataF
     names = [c for c in df.columns if c.lower() not in ("n_words", "n_removed")]
     df = df.select(*[F.col(f"`{c}`") for c in names])
     keyed = df.withColumns({KEY: F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names if c != text])), F.col(f"`{text}`")), "__text": F.col(f"`{text}`")})
-    spans = repeated_spans(keyed.select(KEY, "__text"), length).groupBy(KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    # rows that are equal throughout lose every window; one of them stands for all among the windows
+    copies = cut(keyed.groupBy(KEY).agg(F.count("*").alias("n")).where("n > 1").select(KEY, F.lit(True).alias("__copied")), "copies")
+    once = keyed.select(KEY, "__text")
+    if not copies.isEmpty():
+        once = cut(once.groupBy(KEY).agg(F.min("__text").alias("__text")), "texts")
+    spans = repeated_spans(once, length).groupBy(KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    spans = spans.join(copies, KEY, "full")
     joined = keyed.drop("__text").join(spans, KEY, "left").drop(KEY)
     schema = T.StructType([*df.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
@@ -173,9 +179,12 @@ def remove_repeats(df: DataFrame, length: int = 35, text: str = "text") -> DataF
             for part in text_slices(batch, text, 1 << 20):
                 w = Words(part.column(text).cast(pa.binary()).to_pylist())
                 gone = np.zeros(len(w) + 1, np.int32)
-                for d, spans in enumerate(part.column("__spans").to_pylist()):
-                    if spans:
-                        first = w.first[d]
+                for d, (spans, copied) in enumerate(zip(part.column("__spans").to_pylist(), part.column("__copied").to_pylist(), strict=True)):
+                    first, size = w.first[d], w.first[d + 1] - w.first[d]
+                    if copied and size >= length:
+                        gone[first] += 1
+                        gone[first + size] -= 1
+                    elif spans:
                         np.add.at(gone, [s["lo"] + first for s in spans], 1)
                         np.add.at(gone, [s["hi"] + first + length for s in spans], -1)
                 removed = np.cumsum(gone)[: len(w)] > 0
