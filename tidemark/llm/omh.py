@@ -290,8 +290,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     reachable by links, itself included, and kept says whether it is the row's
     own. Candidates are all pairs that agree in a sketch; thousands of copies of
     a text are one text. First every member of a bucket is paired with one
-    member, another in each sketch, the most often shared pair of a member
-    before its others. Then the pairs of a bucket that are still in two
+    member, another in each sketch; of these pairs the most often shared one of
+    each member is verified, then those that share several sketches or a bucket
+    of two. Then all pairs of a bucket that are still in two
     components are ruled out by their lengths and words in common or verified,
     a few for each text and component at first, until none is left.
 
@@ -318,29 +319,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     centres = cut(centres.where("n > 1").select("bucket", F.col("c.id").alias("centre"), "n"), "omh-centres")
     members = cut(keyed.join(centres, "bucket"), "omh-members")
     pairs = (members.where("id <> centre").groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-             .agg(F.count("*").alias("shared")))
+             .agg(F.count("*").alias("shared"), F.min("n").alias("n")))
     pairs = cut(pairs, "omh-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     # one plan at every size: a broadcast of the few ids of a small table would not hold for a large one
     # written before it is hashed: sorting texts and handing them to Python do not share a task's memory
     reps = cut(part.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "omh-texts")
     words = cut(_hashes(reps), "omh-words")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+    both = pairs.select("a", "b", "shared").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     best = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).where("r = 1")
-    first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "omh-pairs")
     links = cut(_verified(first, words, least), "omh-links")
     known = components(links)
     side = lambda c: known.select(F.col("node").alias(c), F.col("component_id").alias(f"c{c}"))
-    open_ = pairs.join(first.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    open_ = open_.select("a", "b", "shared", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb")
-    two = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.desc("shared"), "a", "b")
-    open_ = cut(open_.withColumn("place", F.row_number().over(two)).select("a", "b", "place"), "omh-pairs")
-    links = cut(links.union(_verified(open_.where("place = 1").select("a", "b"), words, least)), "omh-links")
-    known = components(links)
-    open_ = open_.where("place > 1").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    open_ = open_.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    # pairs that met more than once, and those that no larger bucket holds; the others come with their buckets
+    likely = cut(pairs.where("shared > 1 OR n = 2").select("a", "b").join(first, ["a", "b"], "left_anti"), "omh-pairs")
+    open_ = likely.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     links = cut(links.union(_verified(open_, words, least)), "omh-links")
-    known, seen, cap, more = components(links), pairs.select("a", "b"), FIRST_PAIRS, True
+    known, seen, cap, more = components(links), first.union(likely), FIRST_PAIRS, True
     while more:
         found, part = _open_pairs(members, known, words, least, cap)
         found = cut(found, "omh-found")
