@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_names_and_oracles():
     names = entry.queries()
-    assert [n for n in names if n.startswith("op")] and {f"op{i}_" for i in range(1, 11)} == {n[: n.index("_") + 1] for n in names if n.startswith("op")}
+    assert [n for n in names if n.startswith("op")] and {f"op{i}_" for i in range(1, 14)} == {n[: n.index("_") + 1] for n in names if n.startswith("op")}
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
 
 
