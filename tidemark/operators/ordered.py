@@ -114,6 +114,23 @@ def wasserstein_distances(counts: DataFrame, totals: DataFrame) -> DataFrame:
     return rows.join(buckets, ["column", "bucket"]).groupBy("column").agg(F.coalesce(F.sum(part), F.lit(0.0)).alias("wasserstein"))
 
 
+def quantile_cuts(counts: DataFrame, pieces: int) -> DataFrame:
+    """(column, value): the values whose rows reach or cross a multiple of a
+    ``pieces``-th of their column's rows, so that less than a ``pieces``-th lies
+    strictly between two neighbours. At most ``pieces`` rows a column.
+
+    ``counts``: (column string, value double, n long), one row per distinct
+    value. The bucketed table is checkpointed, which fixes the bucket numbers, and
+    the offsets are joined back by bucket."""
+    ensure_checkpoint_dir(counts.sparkSession)
+    rows = _bucketed(counts).checkpoint(eager=True)
+    buckets = _with_offsets(rows.groupBy("column", "bucket").agg(F.min("value").alias("first_value"), F.sum("n").alias("sum_n")), "sum_n")
+    buckets = buckets.select("column", "bucket", "off_sum_n", F.sum("sum_n").over(Window.partitionBy("column")).alias("total"))
+    placed = rows.withColumn("up", _up_to("n")).join(buckets, ["column", "bucket"]).withColumn("up", F.col("up") + F.col("off_sum_n"))
+    reached, before = (f"CAST({x} AS DECIMAL(38, 0)) * {int(pieces)} div total" for x in ("up", "(up - n)"))
+    return placed.where(f"{reached} > {before}").select("column", "value")
+
+
 def exact_medians(long_values: DataFrame) -> dict[str, float | None]:
     """Exact median per column (mean of the two middle values for an even
     count), as pandas computes it, without holding a column in one task.

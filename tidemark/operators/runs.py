@@ -9,10 +9,13 @@ does not land in a single task."""
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
+
 RUN_METRICS_SCHEMA = ("run_id string, model string, metric string, step long, "
                       "value double, ts timestamp")
 MODEL_VERSIONS_SCHEMA = "name string, version long, stage string, run_id string"
@@ -93,8 +96,35 @@ def next_version(spark: SparkSession, path: str, name: str) -> int:
     return (row[0] or 0) + 1
 
 
+def reserve_version(spark: SparkSession, path: str, name: str) -> int:
+    """A version of ``name`` that no other caller gets, without a lock: the next
+    free number is claimed by creating its file under ``<path>/_claims``, and
+    whoever comes second tries the number after it. Callers that all register what
+    they reserve leave no gap; a caller that dies in between leaves its number
+    unused."""
+    folder = f"{path}/_claims/{quote('m ' + name, safe='')}"
+    taken = max((int(n) for n in files.names(spark, folder) if n.isdigit()), default=0)
+    version = max(taken + 1, next_version(spark, path, name))
+    while not files.claim(spark, f"{folder}/{version}"):
+        version += 1
+    return version
+
+
 def register_version(spark: SparkSession, path: str, name: str, version: int, stage: str = "None",
                      run_id: str | None = None) -> None:
-    """Append one (name, version, stage, run_id) row to the model-version table."""
-    spark.createDataFrame([(name, int(version), stage, run_id)], MODEL_VERSIONS_SCHEMA) \
-        .write.mode("append").parquet(path)
+    """Add one (name, version, stage, run_id) row to the model-version table. The
+    row is written aside and its file renamed into the table: appending jobs share
+    a temporary folder, and the first to end would delete the others' rows."""
+    aside = f"{path}/_staging/{uuid.uuid4().hex}"
+    spark.createDataFrame([(name, int(version), stage, run_id)], MODEL_VERSIONS_SCHEMA).coalesce(1).write.parquet(aside)
+    for part in files.names(spark, aside):
+        if part.startswith("part-"):
+            files.move(spark, f"{aside}/{part}", f"{path}/{part}")
+    files.delete(spark, aside)
+
+
+def register_next(spark: SparkSession, path: str, name: str, stage: str = "None", run_id: str | None = None) -> int:
+    """Reserve a version of ``name`` and register it; returns the version."""
+    version = reserve_version(spark, path, name)
+    register_version(spark, path, name, version, stage, run_id)
+    return version

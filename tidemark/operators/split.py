@@ -96,11 +96,9 @@ def three_way_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2,
     return parts[0], parts[1], parts[2]
 
 
-def assign_folds(df: DataFrame, label_col: str, key_cols: list[str], k: int = 5, seed: int = 42,
-                 fold_col: str = "fold") -> DataFrame:
-    """Stratified k-fold: ``fold_col`` = (rank of the row within its label,
-    in md5(seed | key) order) mod k, so every label's rows are spread over the
-    folds with sizes differing by at most one.
+def _ranked(df: DataFrame, label_col: str, key_cols: list[str], seed: int) -> DataFrame:
+    """``df`` with ``_rank``, the row's rank within its label in md5(seed | key)
+    order, and ``_n``, the label's rows (a null label is a label).
 
     Ranks come from one salted distributed sort over (label, hash)
     (``ordered.positions``): a label with a third of all rows, or a key repeated
@@ -108,7 +106,28 @@ def assign_folds(df: DataFrame, label_col: str, key_cols: list[str], k: int = 5,
     hashable = [qcol(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     rows = df.withColumn("_h", split_hash(key_cols, seed)).withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0))
     placed = positions(rows, [qcol(label_col), "_h", *[qcol(c) for c in key_cols], "_t"], "_p")
-    first = placed.groupBy(qcol(label_col).alias("_lab")).agg(F.min("_p").alias("_p0"))
-    joined = placed.join(first, qcol(label_col).eqNullSafe(F.col("_lab")))
-    fold = ((F.col("_p") - F.col("_p0")) % F.lit(k)).cast("long")
-    return joined.select(*[qcol(c) for c in df.columns], fold.alias(fold_col))
+    labels = placed.groupBy(qcol(label_col).alias("_lab")).agg(F.min("_p").alias("_p0"), F.count(F.lit(1)).alias("_n"))
+    joined = placed.join(labels, qcol(label_col).eqNullSafe(F.col("_lab")))
+    return joined.withColumn("_rank", F.col("_p") - F.col("_p0"))
+
+
+def assign_folds(df: DataFrame, label_col: str, key_cols: list[str], k: int = 5, seed: int = 42,
+                 fold_col: str = "fold") -> DataFrame:
+    """Stratified k-fold: ``fold_col`` = (rank of the row within its label,
+    in md5(seed | key) order) mod k, so every label's rows are spread over the
+    folds with sizes differing by at most one."""
+    fold = (F.col("_rank") % F.lit(k)).cast("long")
+    return _ranked(df, label_col, key_cols, seed).select(*[qcol(c) for c in df.columns], fold.alias(fold_col))
+
+
+def assign_stratified_split(df: DataFrame, label_col: str, key_cols: list[str], test_size: float = 0.2,
+                            seed: int = 42, split_col: str = "split") -> DataFrame:
+    """Add ``split_col`` in {'train', 'validation', 'test'} with the sizes of
+    ``split_sizes`` in every label by itself, so that each part has the labels'
+    shares. A label with one row is held out whole (as a table with one row is)."""
+    if not 0.0 <= test_size <= 1.0:
+        raise ValueError(f"test_size {test_size!r} is not a share of the rows")
+    hold = F.ceil(F.col("_n") * F.lit(float(test_size)))
+    validation = hold - F.ceil(hold * 0.5)
+    part = F.when(F.col("_rank") < validation, "validation").when(F.col("_rank") < hold, "test").otherwise("train")
+    return _ranked(df, label_col, key_cols, seed).select(*[qcol(c) for c in df.columns], part.alias(split_col))

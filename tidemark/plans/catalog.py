@@ -661,6 +661,25 @@ def q_split_kfold(spark, sf_dir):
     return split.assign_folds(o, "o_orderpriority", ["o_orderkey"], k=5, seed=42)
 
 
+def q_split_stratified(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return split.assign_stratified_split(o, "o_orderpriority", ["o_orderkey"], test_size=0.2, seed=42)
+
+
+def q_stream_daily_numeric(spark, sf_dir):
+    """events arriving as a stream: bounds of each day's KS statistic of two numeric
+    columns against the first half of January, state kept as counts between cuts."""
+    ev = table(spark, sf_dir, "events")
+    ref = ev.where(F.col("ts") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))
+    base = scratch_path(spark, "daily-numeric-drift")
+    q = monitor.start_daily_numeric_drift(table_stream(spark, sf_dir, "events"), ref, ["user_id", "value"], "ts",
+                                          f"{base}/out", f"{base}/state", f"{base}/checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    rounded = [round9(F.col(c)).alias(c) for c in ("statistic", "statistic_max", "p_value")]
+    return out.select("day", "column", *rounded, "n_reference", "n_current", "drift_detected", "decided")
+
+
 def q_stream_daily_drift_windowed(spark, sf_dir):
     """Watermarked variant: counts in streaming state, every touched day rescored."""
     ev = table(spark, sf_dir, "events")
@@ -917,6 +936,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "perf_report_long": q_perf_report_long,
     "perf_summary": q_perf_summary,
     "split_kfold": q_split_kfold,
+    "split_stratified": q_split_stratified,
     "split_three_way": q_split_three_way,
     "runs_latest_metric": q_runs_latest_metric,
     "models_latest_version": q_models_latest_version,
@@ -937,5 +957,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "io_json_columns": q_io_json_columns,
     "stream_daily_drift": q_stream_daily_drift,
     "stream_daily_drift_windowed": q_stream_daily_drift_windowed,
+    "stream_daily_numeric": q_stream_daily_numeric,
     "stream_score": q_stream_score,
 }

@@ -76,7 +76,7 @@ class ModelPipeline:
             # saved and registered where ml.load_registered_model looks for it
             root = self.config["model_dir"]
             versions = self.config.get("versions_path", f"{root}/_versions")
-            version = runs.next_version(self.spark, versions, name)
+            version = runs.reserve_version(self.spark, versions, name)
             results |= {"model_path": ml.save_model(trained, f"{root}/{name}/{version}"), "model_version": version}
             runs.register_version(self.spark, versions, name, version, self.config.get("stage", "None"), run_id)
         if self.config.get("metrics_path"):

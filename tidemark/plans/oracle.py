@@ -462,6 +462,35 @@ s AS (SELECT day, "column", sum(0.5 * (p * ln(2 * p / (p + q)) + q * ln(2 * q /
 SELECT day, "column", round(js, 9) AS js_divergence, n_reference, n_current, js > 0.1 AS drift_detected FROM s
 """
 
+STREAM_DAILY_NUMERIC = """
+WITH e AS (SELECT CAST(ts AS DATE) AS day, ts < TIMESTAMP '2024-01-15' AS is_ref, 'user_id' AS "column", CAST(user_id AS DOUBLE) AS value FROM events
+           UNION ALL SELECT CAST(ts AS DATE), ts < TIMESTAMP '2024-01-15', 'value', CAST(value AS DOUBLE) FROM events),
+v AS (SELECT * FROM e WHERE day IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)),
+rv AS (SELECT "column", value, count(*) AS n FROM v WHERE is_ref GROUP BY 1, 2),
+ru AS (SELECT "column", value, n, sum(n) OVER (PARTITION BY "column" ORDER BY value) AS up, sum(n) OVER (PARTITION BY "column") AS total FROM rv),
+cuts AS (SELECT "column", value AS cut, row_number() OVER (PARTITION BY "column" ORDER BY value) AS i
+         FROM ru WHERE (up * 256) // total > ((up - n) * 256) // total),
+p AS (SELECT v.day, v.is_ref, v."column", coalesce(2 * c.i - CASE WHEN v.value = c.cut THEN 1 ELSE 0 END, 0) AS place
+      FROM v ASOF LEFT JOIN cuts c ON v."column" = c."column" AND v.value >= c.cut),
+rp AS (SELECT "column", place, count(*) AS n_ref FROM p WHERE is_ref GROUP BY 1, 2),
+dp AS (SELECT day, "column", place, count(*) AS n FROM p GROUP BY 1, 2, 3),
+g AS (SELECT day, "column", place, sum(n_ref) AS n_ref, sum(n) AS n FROM (
+        SELECT d.day, rp."column", rp.place, rp.n_ref, 0 AS n FROM rp JOIN (SELECT DISTINCT day, "column" FROM dp) d USING ("column")
+        UNION ALL SELECT day, "column", place, 0, n FROM dp) GROUP BY 1, 2, 3),
+w AS (SELECT *, sum(n_ref) OVER o AS ur, sum(n) OVER o AS uc, sum(n_ref) OVER (PARTITION BY day, "column") AS tr, sum(n) OVER (PARTITION BY day, "column") AS tc
+      FROM g WINDOW o AS (PARTITION BY day, "column" ORDER BY place)),
+b AS (SELECT day, "column", abs(ur * 1.0e0 / tr - uc * 1.0e0 / tc) AS lo,
+             CASE WHEN place % 2 = 0 THEN greatest(abs(ur * 1.0e0 / tr - (uc - n) * 1.0e0 / tc), abs(uc * 1.0e0 / tc - (ur - n_ref) * 1.0e0 / tr)) ELSE 0 END AS hi, tr, tc FROM w),
+s AS (SELECT day, "column", max(lo) AS lo, greatest(max(lo), max(hi)) AS hi, CAST(max(tr) AS BIGINT) AS n, CAST(max(tc) AS BIGINT) AS m FROM b GROUP BY 1, 2),
+l AS (SELECT *, lo * sqrt(n * 1.0e0 * m / (n + m)) AS ll, hi * sqrt(n * 1.0e0 * m / (n + m)) AS lh FROM s),
+q AS (SELECT day, "column", sum(power(-1.0e0, k - 1) * exp(-2.0e0 * k * k * ll * ll)) AS sl, sum(power(-1.0e0, k - 1) * exp(-2.0e0 * k * k * lh * lh)) AS sh
+      FROM l, range(1, 101) r(k) GROUP BY 1, 2),
+t AS (SELECT l.*, CASE WHEN ll < 0.2 THEN 1.0e0 ELSE least(greatest(2.0e0 * sl, 0.0), 1.0) END AS pl,
+             CASE WHEN lh < 0.2 THEN 1.0e0 ELSE least(greatest(2.0e0 * sh, 0.0), 1.0) END AS ph FROM l JOIN q USING (day, "column"))
+SELECT day, "column", round(lo, 9) AS statistic, round(hi, 9) AS statistic_max, round(pl, 9) AS p_value, n AS n_reference, m AS n_current,
+       pl < 0.05 AS drift_detected, (pl < 0.05) = (ph < 0.05) AS decided FROM t
+"""
+
 # ---------------------------------------------------------------- declared checks
 
 QUALITY_MISSING_SHARE = f"""
@@ -528,6 +557,17 @@ SELECT o_orderkey, o_orderpriority,
 FROM orders
 """
 
+SPLIT_STRATIFIED = """
+WITH r AS (SELECT o_orderkey, o_orderpriority, count(*) OVER (PARTITION BY o_orderpriority) AS n,
+                  row_number() OVER (PARTITION BY o_orderpriority
+                                     ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) - 1 AS rk
+           FROM orders),
+s AS (SELECT *, CAST(ceil(n * 0.2e0) AS BIGINT) AS hold FROM r)
+SELECT o_orderkey, o_orderpriority,
+       CASE WHEN rk < hold - CAST(ceil(hold * 0.5e0) AS BIGINT) THEN 'validation' WHEN rk < hold THEN 'test' ELSE 'train' END AS split
+FROM s
+"""
+
 MODELS_LATEST_PRODUCTION = MODELS_LATEST_VERSION.replace(
     "FROM v GROUP BY 1, 2", "FROM v WHERE stage = 'Production' GROUP BY 1, 2")
 
@@ -693,6 +733,8 @@ ORACLE_SQL: dict[str, str] = {
     "perf_report_counts": PERF_REPORT_COUNTS,
     "perf_report_long": PERF_REPORT_LONG,
     "split_kfold": SPLIT_KFOLD,
+    "split_stratified": SPLIT_STRATIFIED,
+    "stream_daily_numeric": STREAM_DAILY_NUMERIC,
     "drift_wasserstein": DRIFT_WASSERSTEIN,
     "quality_missing_share": QUALITY_MISSING_SHARE,
     "quality_outliers": QUALITY_OUTLIERS,

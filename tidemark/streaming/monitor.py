@@ -2,12 +2,14 @@
 
 * ``start_daily_drift``: categorical drift (Jensen-Shannon) of each day of an
   arriving table against a fixed reference. State is a table, not executor
-  memory: every micro-batch writes its per-(day, column, value) partial
-  counts under ``<state>/batch_id=<id>/`` (overwritten on retry, so a replayed
-  batch is not counted twice), then recomputes drift only for the days it
-  touched, reading just those day partitions, and overwrites those day
-  partitions of the result table. Late rows for an old day simply update
-  that day.
+  memory (``day_state.DayState``): every micro-batch writes its per-(day, column,
+  value) partial counts (overwritten on retry, so a replayed batch is not counted
+  twice), then recomputes drift only for the days it touched, reading just those
+  days' folders, and overwrites those day partitions of the result table. Late
+  rows for an old day simply update that day. Older batches are folded together,
+  so the number of files does not grow with the number of batches.
+* ``start_daily_numeric_drift``: Kolmogorov-Smirnov of each day's numbers against
+  the reference, from counts between fixed cut points of the reference.
 * ``start_scoring``: predictions for rows as they arrive, appended to a
   Parquet table with the model name and version (exactly-once file sink).
 """
@@ -21,7 +23,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.exprs import js_term, qcol, safe_div
 from tidemark.operators import ml
-from tidemark.operators.drift import DEFAULT_JS_THRESHOLD
+from tidemark.operators.drift import DEFAULT_DRIFT_THRESHOLD, DEFAULT_JS_THRESHOLD
+from tidemark.operators.reference_cuts import ReferenceCuts
+from tidemark.streaming.day_state import DayState
 
 DAILY_DRIFT_SCHEMA = ("day date, column string, js_divergence double, n_reference long, "
                       "n_current long, drift_detected boolean")
@@ -70,21 +74,19 @@ def daily_js(spark: SparkSession, ref_counts_path: str, day_counts: DataFrame,
 
 def start_daily_drift(stream: DataFrame, reference: DataFrame, columns: list[str], ts_col: str,
                       out_path: str, state_path: str, checkpoint_path: str,
-                      js_threshold: float = DEFAULT_JS_THRESHOLD, trigger: dict | None = None) -> StreamingQuery:
-    """Start the daily drift monitor; returns the running query."""
+                      js_threshold: float = DEFAULT_JS_THRESHOLD, trigger: dict | None = None,
+                      fold_after: int = 16) -> StreamingQuery:
+    """Start the daily drift monitor; returns the running query. Rows without a
+    timestamp belong to no day and are left out."""
     spark = stream.sparkSession
     ref_path = write_reference_counts(reference, columns, f"{state_path}/reference_counts")
+    state = DayState(spark, f"{state_path}/days", "column string, value string", fold_after=fold_after)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         day = F.to_date(qcol(ts_col)).alias("day")
         long = _long_counts(batch.select(day, *[qcol(c) for c in columns]), columns, ["day"])
         partial = long.groupBy("day", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-        own = f"{state_path}/partials/batch_id={batch_id}"
-        partial.write.mode("overwrite").partitionBy("day").parquet(own)
-        # the days of this batch, from the file just written; a replay writes the same
-        fresh = spark.read.schema("column string, value string, n long, day date").parquet(own).select("day").distinct()
-        acc = (spark.read.parquet(f"{state_path}/partials").join(fresh, "day", "left_semi")
-               .groupBy("day", "column", "value").agg(F.sum("n").alias("n")))
+        acc = state.add(batch_id, partial)
         daily_js(spark, ref_path, acc, js_threshold).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
 
@@ -93,6 +95,36 @@ def start_daily_drift(stream: DataFrame, reference: DataFrame, columns: list[str
     return writer.start()
 
 
+def start_daily_numeric_drift(stream: DataFrame, reference: DataFrame, columns: list[str], ts_col: str,
+                              out_path: str, state_path: str, checkpoint_path: str, pieces: int = 256,
+                              p_threshold: float = DEFAULT_DRIFT_THRESHOLD, trigger: dict | None = None,
+                              fold_after: int = 16) -> StreamingQuery:
+    """Kolmogorov-Smirnov of each day's numbers against the reference, as rows
+    arrive: (day, column, statistic, statistic_max, p_value, n_reference,
+    n_current, drift_detected, decided).
+
+    The state holds a day's counts at and between the reference's cut points
+    (``reference_cuts``), at most 2 * ``pieces`` + 1 rows a day and column however
+    many distinct values arrive. The true statistic lies between ``statistic`` and
+    ``statistic_max``, which are at most 1 / ``pieces`` apart. Drift is reported
+    when the lower bound's p-value is under ``p_threshold``; ``decided`` says that
+    the upper bound gives the same verdict. Nulls and NaN are left out, as are
+    rows without a timestamp; a column without reference values has no statistic."""
+    cuts = ReferenceCuts.of(reference, columns, pieces)
+    reference_places = f"{state_path}/reference_places"
+    cuts.counts(reference, []).write.mode("overwrite").parquet(reference_places)
+    spark = stream.sparkSession
+    state = DayState(spark, f"{state_path}/days", "column string, place int", fold_after=fold_after)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        counts = cuts.counts(batch.withColumn("day", F.to_date(qcol(ts_col))), ["day"])
+        found = cuts.bounds(spark.read.parquet(reference_places), state.add(batch_id, counts), "day", p_threshold)
+        found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
+
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def start_scoring(trained: ml.TrainedModel, stream: DataFrame, out_path: str, checkpoint_path: str,
                   model_name: str, model_version: str | None = None, keep: list[str] | None = None,
                   trigger: dict | None = None) -> StreamingQuery:
@@ -109,7 +141,7 @@ def start_scoring(trained: ml.TrainedModel, stream: DataFrame, out_path: str, ch
 def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns: list[str], ts_col: str,
                                out_path: str, state_path: str, checkpoint_path: str,
                                watermark: str = "1 day", js_threshold: float = DEFAULT_JS_THRESHOLD,
-                               trigger: dict | None = None) -> StreamingQuery:
+                               trigger: dict | None = None, fold_after: int = 16) -> StreamingQuery:
     """Watermarked variant: per-(day, column, value) counts are kept in the
     streaming state of a ``window(ts, "1 day")`` aggregation, whose watermark
     drops days that no row can reach any more. Every micro-batch adds its changed
@@ -123,6 +155,8 @@ def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns:
     as UTC. The reference counts are written once as a table."""
     spark = stream.sparkSession
     ref_path = write_reference_counts(reference, columns, f"{state_path}/reference_counts")
+    # counts only grow: the newest of a value is its largest
+    state = DayState(spark, f"{state_path}/days", "column string, value string", F.max, fold_after)
     if isinstance(stream.schema[ts_col].dataType, T.TimestampNTZType):
         # Watermarks need an instant: read the wall clock as UTC, so days stay
         # the calendar days of the data whatever the session time zone.
@@ -136,12 +170,7 @@ def start_daily_drift_windowed(stream: DataFrame, reference: DataFrame, columns:
     def process(batch: DataFrame, batch_id: int) -> None:
         # UTC day of the window start, independent of the session time zone.
         day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
-        own = f"{state_path}/updates/batch_id={batch_id}"
-        batch.select(day.alias("day"), "column", "value", "n").write.mode("overwrite").partitionBy("day").parquet(own)
-        fresh = spark.read.schema("column string, value string, n long, day date").parquet(own).select("day").distinct()
-        # counts only grow: the newest of a value is its largest
-        days = (spark.read.parquet(f"{state_path}/updates").join(fresh, "day", "left_semi")
-                .groupBy("day", "column", "value").agg(F.max("n").alias("n")))
+        days = state.add(batch_id, batch.select(day.alias("day"), "column", "value", "n"))
         daily_js(spark, ref_path, days, js_threshold).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out_path)
 
