@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 from tidemark.functions.exprs import qcol
 from tidemark.operators import metrics as M
 from tidemark.operators.boosting import fit_softmax_boosting
+from tidemark.session import scratch_path
+from tidemark.sources import files
 from tidemark.sources.readers import nan_to_null
 
 MODEL_TYPES = ("random_forest", "gradient_boosting", "linear")
@@ -294,6 +297,61 @@ def load_registered_model(spark: SparkSession, model_versions: DataFrame, name:
     return load_model(spark, f"{model_root}/{name}/{info['version']}"), info
 
 
+def newest_saved_model(spark: SparkSession, model_root: str, name: str | None = None) -> tuple[TrainedModel, dict]:
+    """The model saved last under ``<model_root>/<name>/<version>`` (any name
+    unless given), found by its files alone: no version table is read. A model
+    counts from the commit marker of ``meta``, which ``save_model`` writes last,
+    so one that is half written is passed over. Equal times: the larger version,
+    then the larger name. No saved model is an error."""
+    found = []
+    names = [n for n in files.names(spark, model_root) if n[0] not in "_."] if name is None else [name]
+    for model in names:
+        for version in files.names(spark, f"{model_root}/{model}"):
+            saved = files.modified(spark, f"{model_root}/{model}/{version}/meta/_SUCCESS")
+            if saved is not None:
+                found.append((saved, int(version) if version.isdigit() else -1, model, version))
+    if not found:
+        raise ValueError(f"no saved model {'' if name is None else repr(name) + ' '}under {model_root}")
+    saved, _, model, version = max(found)
+    path = f"{model_root}/{model}/{version}"
+    return load_model(spark, path), {"name": model, "version": version, "path": path, "saved_ms": saved}
+
+
+@dataclass
+class CrossValidation:
+    predictions: DataFrame  # kept columns, label, fold, prediction, probability: one row a row with a fold
+    metrics: DataFrame      # (fold, metric, value)
+
+
+def cross_validate(config: dict, df: DataFrame, label: str, features: list[str] | None = None, fold_col: str = "fold",
+                   keep: list[str] | None = None, metrics: list[str] | None = None) -> CrossValidation:
+    """Out-of-fold predictions and metrics: for each value of ``fold_col`` (see
+    ``split.assign_folds``) a model is trained on the rows of the other folds and
+    predicts this fold's rows. The table is written once, balanced, and feeds all
+    fits; each fold's predictions are written before the next fit begins. Rows
+    without a fold or a label take no part. One fold alone is an error: nothing
+    would be left to train on."""
+    spark = df.sparkSession
+    features = list(features or [c for c in df.columns if c not in (label, fold_col)])
+    kept = list(dict.fromkeys([*(keep or []), label, fold_col]))
+    path = scratch_path(spark, "folds")
+    rows = df.select(*[qcol(c) for c in dict.fromkeys([*features, *kept])])
+    balanced(rows.where(qcol(fold_col).isNotNull() & qcol(label).isNotNull())).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    folds = sorted(r[0] for r in rows.select(qcol(fold_col)).distinct().collect())  # one row a fold
+    if len(folds) < 2:
+        raise ValueError(f"{fold_col} names {len(folds)} folds; at least two are needed")
+    parts, scores = [], []
+    for i, fold in enumerate(folds):
+        own = qcol(fold_col) == F.lit(fold)
+        trained = ModelTrainer(config).train(rows.where(~own).select(*[qcol(c) for c in features], qcol(label)), label, features)
+        predict(trained, rows.where(own), keep=kept).write.parquet(f"{path}/{i}")
+        parts.append(spark.read.parquet(f"{path}/{i}"))
+        scores.append(M.evaluate(parts[-1], trained.task_type, label=label, prediction="prediction", metrics=metrics)
+                      .select(F.lit(fold).alias("fold"), "metric", "value"))
+    return CrossValidation(reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, scores))
+
+
 def request_frame(spark: SparkSession, trained: TrainedModel, features) -> DataFrame:
     """A scoring request as rows: a list of feature vectors gives one row
     each, in the model's feature order; a dict name -> value gives one row,

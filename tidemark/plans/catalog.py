@@ -556,6 +556,37 @@ def q_model_registry(spark, sf_dir):
 
 # ---------------------------------------------------------------- io
 
+def q_model_newest_saved(spark, sf_dir):
+    """Two models of opposite labels are saved and no version is registered; the
+    newest one on disk scores every line: one row a return flag with the rows that
+    it labels as the second model was taught (one feature decides)."""
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
+    large = F.col("l_quantity") > 25
+    root = scratch_path(spark, "saved")
+    for version, (yes, no) in (("1", ("small", "large")), ("2", ("large", "small"))):
+        taught = li.select("l_quantity", F.when(large, yes).otherwise(no).alias("size"))
+        cfg = {"model_type": "random_forest", "model_params": {"n_estimators": 5, "max_depth": 2, "max_features": None}}
+        ml.save_model(ml.ModelTrainer(cfg).train(taught, "size"), f"{root}/sizes/{version}")
+    trained, info = ml.newest_saved_model(spark, root)
+    scored = ml.score_batch(trained, li, info["name"], info["version"], keep=["l_returnflag", "l_quantity"])
+    right = F.col("prediction") == F.when(large, "large").otherwise("small")
+    return scored.groupBy("l_returnflag", "model_name", "model_version").agg(F.count_if(right).alias("n_right"))
+
+
+def q_train_cv(spark, sf_dir):
+    """Three stratified folds over lineitem: one row a fold with its out-of-fold
+    rows, those of the positive class, and whether its model beats the majority class."""
+    li = _lineitem_ml(spark, sf_dir).drop("split")
+    tagged = split.assign_folds(li, "large", ["l_orderkey", "l_linenumber"], k=3, seed=42)
+    cfg = {"model_type": "linear", "task_type": "classification"}
+    cv = ml.cross_validate(cfg, tagged, "large", ["l_quantity", "l_discount", "l_tax"], metrics=CLS_METRICS)
+    yes = F.col("large") == "yes"
+    rows = cv.predictions.groupBy("fold").agg(F.count("prediction").alias("n_scored"), F.count_if(yes).alias("n_yes"),
+                                              F.greatest(F.avg(yes.cast("double")), F.avg((~yes).cast("double"))).alias("rival"))
+    scores = cv.metrics.groupBy("fold").agg(F.count_if(F.col("value").between(0, 1)).alias("n_metrics"), F.max(F.when(F.col("metric") == "accuracy", F.col("value"))).alias("own"))
+    return rows.join(scores, "fold").select("fold", "n_scored", "n_yes", "n_metrics", (F.col("own") > F.col("rival")).alias("beats_rival"))
+
+
 def q_io_csv_roundtrip(spark, sf_dir):
     """orders -> CSV part files (header) -> CSV reader with NA tokens and
     type inference; integers come back as long, text as string."""
@@ -899,6 +930,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "io_csv_text_roundtrip": q_io_csv_text_roundtrip,
     "runs_latest_without_steps": q_runs_latest_without_steps,
     "model_registry": q_model_registry,
+    "model_newest_saved": q_model_newest_saved,
     "quality_duplicates": q_quality_duplicates,
     "quality_missing_share": q_quality_missing_share,
     "quality_null_counts": q_quality_null_counts,
@@ -948,6 +980,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_gbt_reg": q_train_gbt_reg,
     "train_linear_one_feature": q_train_linear_one_feature,
     "train_logreg": q_train_logreg,
+    "train_cv": q_train_cv,
     "train_rf_cls": q_train_rf_cls,
     "train_rf_embeddings": q_train_rf_embeddings,
     "train_rf_reg": q_train_rf_reg,

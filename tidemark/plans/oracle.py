@@ -568,6 +568,16 @@ SELECT o_orderkey, o_orderpriority,
 FROM s
 """
 
+MODEL_NEWEST_SAVED = """
+SELECT l_returnflag, 'sizes' AS model_name, '2' AS model_version, count(*) AS n_right FROM lineitem GROUP BY 1
+"""
+
+TRAIN_CV = """
+WITH r AS (SELECT l_quantity > 25 AS yes, (row_number() OVER (PARTITION BY l_quantity > 25) - 1) % 3 AS fold FROM lineitem)
+SELECT CAST(fold AS BIGINT) AS fold, count(*) AS n_scored, count(*) FILTER (yes) AS n_yes, CAST(4 AS BIGINT) AS n_metrics, true AS beats_rival
+FROM r GROUP BY 1
+"""
+
 MODELS_LATEST_PRODUCTION = MODELS_LATEST_VERSION.replace(
     "FROM v GROUP BY 1, 2", "FROM v WHERE stage = 'Production' GROUP BY 1, 2")
 
@@ -734,6 +744,8 @@ ORACLE_SQL: dict[str, str] = {
     "perf_report_long": PERF_REPORT_LONG,
     "split_kfold": SPLIT_KFOLD,
     "split_stratified": SPLIT_STRATIFIED,
+    "model_newest_saved": MODEL_NEWEST_SAVED,
+    "train_cv": TRAIN_CV,
     "stream_daily_numeric": STREAM_DAILY_NUMERIC,
     "drift_wasserstein": DRIFT_WASSERSTEIN,
     "quality_missing_share": QUALITY_MISSING_SHARE,

@@ -21,6 +21,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def modified(spark: SparkSession, path: str) -> int | None:
+    """Milliseconds since 1970 of a file's last change; None where there is none."""
+    p, fs = _open(spark, path)
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     p, fs = _open(spark, path)
     return fs.delete(p, True)
