@@ -212,3 +212,23 @@ def test_stored_profile_is_reused_and_checked(spark, tmp_out):
     assert not monitor.detect_drift(ref).summary.first()["data_drift_detected"]
     with pytest.raises(ValueError, match="rebuild"):
         drift.DataDriftMonitor(spark, {**cfg, "categorical_columns": ["v"]})
+
+
+def test_preset_picks_a_test_for_each_column(spark):
+    from tidemark.operators import drift
+    n = 1200
+    ref = spark.range(n).selectExpr("id", "id * 1.5 AS num", "CAST(id % 3 AS STRING) AS cat", "CAST(NULL AS DOUBLE) AS gone", "CAST(id % 2 AS INT) AS `b.c`",
+                                    "7.0D AS same", "CASE WHEN id % 4 = 0 THEN id * 1.0D END AS thin", "CAST(id AS STRING) AS moved", "CASE WHEN id < 10 THEN 'x' END AS short")
+    cur = ref.withColumns({"num": F.col("num") + 900, "moved": F.lit("other"), "short": F.lit("y")}).drop("id")
+    got = drift.preset_drift(ref, cur)
+    rows = {r["column"]: r for r in got.columns.collect()}
+    assert {c: r.method for c, r in rows.items()} == {
+        "num": "wasserstein", "cat": "jensen_shannon", "gone": "none", "b.c": "jensen_shannon", "same": "jensen_shannon", "thin": "ks_test",
+        "moved": "jensen_shannon", "short": "z_test"}
+    assert {c for c, r in rows.items() if r.drift_detected} == {"num", "moved", "short"}
+    assert rows["same"].statistic == 0 and rows["thin"].p_value == 1.0 and rows["thin"].n_reference == 300
+    s = got.summary.first()
+    assert (s.columns_drifted, s.tested_columns, s.drift_score, s.data_drift_detected) == (3, 8, 3 / 8, False)
+    none = drift.preset_drift(ref.limit(0), cur)
+    assert {r.method for r in none.columns.collect()} == {"none"} and not none.summary.first().data_drift_detected
+    assert drift.preset_drift(ref.select("id"), cur.select("num")).columns.count() == 0

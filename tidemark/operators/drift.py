@@ -12,7 +12,9 @@ aggregation collapses hot values map-side), then
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 from tidemark.functions.exprs import (chi_square_pvalue, js_term, ks_pvalue, normal_two_sided, qcol,
                                       round9, safe_div)
 from tidemark.operators.ordered import ks_statistics, wasserstein_distances
+from tidemark.session import scratch_path
 
 # Defaults of the monitored configuration.
 DEFAULT_DRIFT_THRESHOLD = 0.05          # KS p-value below this -> drift
@@ -294,14 +297,18 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns: list[str
     those values less one. A current value that the reference lacks has no
     expected count: the statistic is then infinite and the p-value 0. A column
     with one value, or an empty side, has no p-value and no drift."""
-    counts = _independence(reference, current, columns)
+    out = _chi_square(_independence(reference, current, columns))
+    out = _names(reference.sparkSession, columns).join(F.broadcast(out), "column", "left")
+    return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
+
+
+def _chi_square(counts: DataFrame) -> DataFrame:
     expected = F.col("n_ref").cast("double") * F.col("tot_cur") / F.col("tot_ref")
     term = F.when(F.col("n_ref") > 0, F.pow(F.col("n_cur") - expected, 2) / expected).otherwise(F.lit(float("inf")))
     out = counts.where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0)).groupBy("column").agg(
         F.sum(term).alias("statistic"), (F.count_if(F.col("n_ref") > 0) - 1).alias("degrees_of_freedom"))
     p = F.when(F.col("degrees_of_freedom") > 0, chi_square_pvalue(F.col("statistic"), F.col("degrees_of_freedom")))
-    out = _names(reference.sparkSession, columns).join(F.broadcast(out.withColumn("p_value", p)), "column", "left")
-    return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
+    return out.withColumn("p_value", p)
 
 
 def proportion_drift(reference: DataFrame, current: DataFrame, columns: list[str],
@@ -311,16 +318,108 @@ def proportion_drift(reference: DataFrame, current: DataFrame, columns: list[str
     the pooled share's variance. A column with one value on both sides has
     statistic 0 and p-value 1; more than two values, or an empty side, give
     neither and no drift."""
-    counts = _independence(reference, current, columns).where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0))
+    out = _proportions(_independence(reference, current, columns))
+    out = _names(reference.sparkSession, columns).join(F.broadcast(out), "column", "left")
+    return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
+
+
+def _proportions(counts: DataFrame) -> DataFrame:
+    counts = counts.where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0))
     first = counts.groupBy("column").agg(
         F.min(F.struct("value", "n_ref", "n_cur", "tot_ref", "tot_cur")).alias("f"), F.count(F.lit(1)).alias("n_values"))
     n, m = F.col("f.tot_ref").cast("double"), F.col("f.tot_cur").cast("double")
     pooled = (F.col("f.n_ref") + F.col("f.n_cur")) / (n + m)
     spread = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
     z = F.when(F.col("n_values") <= 2, F.coalesce(F.try_divide(F.col("f.n_ref") / n - F.col("f.n_cur") / m, spread), F.lit(0.0)))
-    out = first.select("column", z.alias("statistic")).withColumn("p_value", F.when(F.col("statistic").isNotNull(), normal_two_sided(F.col("statistic"))))
-    out = _names(reference.sparkSession, columns).join(F.broadcast(out), "column", "left")
-    return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < F.lit(threshold), F.lit(False)))
+    return first.select("column", z.alias("statistic")).withColumn("p_value", F.when(F.col("statistic").isNotNull(), normal_two_sided(F.col("statistic"))))
+
+
+# ---------------------------------------------------------------- a test for each column
+
+# The limits of the monitored preset.
+PRESET_SMALL = 1000           # reference values up to which tests are used, distances above
+PRESET_FEW = 5                # a number with at most so many values is a category
+PRESET_DISTANCE = 0.1         # a distance of this or more -> drift
+PRESET_OVERALL = 0.5          # share of drifted columns, inclusive
+
+
+@dataclass
+class PresetResult:
+    columns: DataFrame          # (column, method, statistic, p_value, n_reference, n_current, n_values, drift_detected)
+    summary: DataFrame          # one row
+
+
+def preset_drift(reference: DataFrame, current: DataFrame, config: dict | DriftConfig | None = None) -> PresetResult:
+    """Each common column by the test that suits it, and the share that drifted.
+
+    Up to 1000 reference values: numbers by Kolmogorov-Smirnov, categories and
+    numbers of at most five values by chi-square, or by the z-test of a share when
+    there are at most two values; a p-value under the threshold is drift. Above:
+    the Wasserstein distance in reference deviations, and the square root of the
+    base-2 Jensen-Shannon divergence; 0.1 or more is drift. Values of both sides
+    count. A column with an empty side has method ``none`` and no drift; columns of
+    other types are not tested.
+
+    The values of both sides are counted once, into a table that the choice (one
+    row a column) and all tests read."""
+    cfg = config if isinstance(config, DriftConfig) else DriftConfig.from_dict(config)
+    spark = reference.sparkSession
+    cat, num, _ = route_columns(reference, common_columns(reference, current), cfg)
+    types = {f.name: f.dataType for f in current.schema.fields}
+    num = [c for c in num if isinstance(types[c], _NUMERIC)]
+    path = scratch_path(spark, "preset")
+    parts = [side_counts(reference, current, cols, kind).select("column", F.col("value").cast("string").alias("text"), number.alias("value"), "n_ref", "n_cur")
+             for cols, kind, number in ((cat, "string", F.lit(None).cast("double")), (num, "double", F.col("value"))) if cols]
+    empty = spark.createDataFrame([], "column string, text string, value double, n_ref long, n_cur long")
+    reduce(DataFrame.unionByName, parts, empty).write.parquet(path)
+    counts = spark.read.parquet(path)
+    facts = {r["column"]: r for r in counts.groupBy("column").agg(
+        F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"), F.count(F.lit(1)).alias("n_values")).collect()}
+
+    def method(c: str) -> str:
+        f = facts.get(c)
+        if f is None or not f["tot_ref"] or not f["tot_cur"]:
+            return "none"
+        small, few = f["tot_ref"] <= PRESET_SMALL, c in cat or f["n_values"] <= PRESET_FEW
+        if few:
+            return ("z_test" if f["n_values"] <= 2 else "chi_square") if small else "jensen_shannon"
+        return "ks_test" if small else "wasserstein"
+
+    rows = [(c, method(c), *([f["tot_ref"], f["tot_cur"], f["n_values"]] if (f := facts.get(c)) else [0, 0, 0])) for c in sorted([*cat, *num])]
+    chosen = spark.createDataFrame(rows, "column string, method string, n_reference long, n_current long, n_values long")
+    totals = F.broadcast(chosen.select("column", F.col("n_reference").alias("tot_ref"), F.col("n_current").alias("tot_cur")))
+
+    def by(name: str) -> DataFrame:
+        return counts.where(F.col("column").isin([c for c, m, *_ in rows if m == name]))
+
+    results = []
+    for name in sorted({m for _, m, *_ in rows} - {"none"}):
+        own = by(name)
+        numbers, texts = own.drop("text"), own.select("column", F.col("text").alias("value"), "n_ref", "n_cur").join(totals, "column")
+        if name == "ks_test":
+            tested = ks_statistics(numbers, totals).withColumn("p_value", ks_pvalue(F.col("statistic"), F.col("tot_ref"), F.col("tot_cur")))
+        elif name == "chi_square":
+            tested = _chi_square(texts)
+        elif name == "z_test":
+            tested = _proportions(texts)
+        elif name == "wasserstein":
+            mean = numbers.groupBy("column").agg((F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean"))
+            spread = F.sqrt(F.sum(F.pow(F.col("value") - F.col("mean"), 2) * F.col("n_ref")) / F.sum("n_ref"))
+            deviation = numbers.join(F.broadcast(mean), "column").groupBy("column").agg(spread.alias("sd"))
+            tested = wasserstein_distances(numbers, totals).join(F.broadcast(deviation), "column") \
+                .withColumn("statistic", F.try_divide(F.col("wasserstein"), F.greatest(F.col("sd"), F.lit(0.001))))
+        else:
+            js = js_term(safe_div(F.col("n_ref"), F.col("tot_ref")), safe_div(F.col("n_cur"), F.col("tot_cur")))
+            tested = texts.groupBy("column").agg(F.sqrt(F.greatest(F.sum(js), F.lit(0.0)) / math.log(2)).alias("statistic"))
+        p = F.col("p_value") if "p_value" in tested.columns else F.lit(None).cast("double")
+        results.append(tested.select("column", F.col("statistic").cast("double").alias("statistic"), p.alias("p_value")))
+    none = spark.createDataFrame([], "column string, statistic double, p_value double")
+    tested = reduce(DataFrame.unionByName, results, none)
+    distance = F.col("method").isin("wasserstein", "jensen_shannon")
+    drifted = F.when(distance, F.col("statistic") >= PRESET_DISTANCE).otherwise(F.col("p_value") < cfg.drift_threshold)
+    columns = chosen.join(F.broadcast(tested), "column", "left").select(
+        "column", "method", "statistic", "p_value", "n_reference", "n_current", "n_values", F.coalesce(drifted, F.lit(False)).alias("drift_detected"))
+    return PresetResult(columns, drift_summary(columns, len(rows), PRESET_OVERALL))
 
 
 # ---------------------------------------------------------------- whole table

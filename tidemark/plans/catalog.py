@@ -117,6 +117,24 @@ def q_drift_summary(spark, sf_dir):
     return s.withColumn("drift_score", round9(F.col("drift_score")))
 
 
+def _preset(spark, sf_dir):
+    """events before against after, each column by the test that suits it: numbers,
+    a number with few values, a category and a two-valued flag."""
+    ref, cur = _drift_tables(spark, sf_dir)
+    extra = {"few": F.col("user_id") % 5, "flag": F.when(F.col("event_type") == "signup", "yes").otherwise("no")}
+    return drift.preset_drift(ref.drop("props").withColumns(extra), cur.withColumns(extra), DRIFT_CONFIG)
+
+
+def q_drift_preset(spark, sf_dir):
+    found = _preset(spark, sf_dir).columns
+    return found.withColumns({c: round9(F.col(c)) for c in ("statistic", "p_value")})
+
+
+def q_drift_preset_share(spark, sf_dir):
+    found = _preset(spark, sf_dir).summary
+    return found.withColumn("drift_score", round9(F.col("drift_score")))
+
+
 def q_drift_retrain_signal(spark, sf_dir):
     ref, cur = _drift_tables(spark, sf_dir)
     return drift.drifted_columns(drift.detect_drift(ref, cur, DRIFT_CONFIG).columns)
@@ -560,15 +578,15 @@ def q_model_newest_saved(spark, sf_dir):
     """Two models of opposite labels are saved and no version is registered; the
     newest one on disk scores every line: one row a return flag with the rows that
     it labels as the second model was taught (one feature decides)."""
-    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
-    large = F.col("l_quantity") > 25
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", F.floor(F.col("l_quantity") / 10).cast("double").alias("tens"))
+    large = F.col("tens") >= 3
     root = scratch_path(spark, "saved")
     for version, (yes, no) in (("1", ("small", "large")), ("2", ("large", "small"))):
-        taught = li.select("l_quantity", F.when(large, yes).otherwise(no).alias("size"))
+        taught = li.select("tens", F.when(large, yes).otherwise(no).alias("size"))
         cfg = {"model_type": "random_forest", "model_params": {"n_estimators": 5, "max_depth": 2, "max_features": None}}
         ml.save_model(ml.ModelTrainer(cfg).train(taught, "size"), f"{root}/sizes/{version}")
     trained, info = ml.newest_saved_model(spark, root)
-    scored = ml.score_batch(trained, li, info["name"], info["version"], keep=["l_returnflag", "l_quantity"])
+    scored = ml.score_batch(trained, li, info["name"], info["version"], keep=["l_returnflag", "tens"])
     right = F.col("prediction") == F.when(large, "large").otherwise("small")
     return scored.groupBy("l_returnflag", "model_name", "model_version").agg(F.count_if(right).alias("n_right"))
 
@@ -954,6 +972,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_columns": q_drift_columns,
     "drift_numeric_ks": q_drift_numeric_ks,
     "drift_numeric_pvalue": q_drift_numeric_pvalue,
+    "drift_preset": q_drift_preset,
+    "drift_preset_share": q_drift_preset_share,
     "drift_retrain_signal": q_drift_retrain_signal,
     "drift_summary": q_drift_summary,
     "drift_wasserstein": q_drift_wasserstein,

@@ -100,6 +100,48 @@ c AS (SELECT ts, event_type, user_id,
              (CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END) * 1.2 AS value FROM cur)
 """
 
+# Chi-square columns have five values here: four degrees of freedom, a closed tail.
+_DRIFT_PRESET = f"""
+WITH {_DRIFT_TABLES},
+u AS (SELECT 1 AS r, event_type, user_id, value FROM r UNION ALL SELECT 0, event_type, user_id, value FROM c),
+v AS (SELECT r, 'event_type' AS "column", event_type AS t, CAST(NULL AS DOUBLE) AS x FROM u
+      UNION ALL SELECT r, 'flag', CASE WHEN event_type = 'signup' THEN 'yes' ELSE 'no' END, NULL FROM u
+      UNION ALL SELECT r, 'few', CAST(user_id % 5 AS VARCHAR), CAST(user_id % 5 AS DOUBLE) FROM u
+      UNION ALL SELECT r, 'user_id', CAST(user_id AS VARCHAR), CAST(user_id AS DOUBLE) FROM u
+      UNION ALL SELECT r, 'value', CAST(value AS VARCHAR), value FROM u),
+k AS (SELECT "column", t, x, sum(r) * 1.0e0 AS a, sum(1 - r) * 1.0e0 AS b FROM v WHERE t IS NOT NULL GROUP BY 1, 2, 3),
+f AS (SELECT "column", sum(a) AS n, sum(b) AS m, count(*) AS nv FROM k GROUP BY 1),
+o AS (SELECT "column", CASE WHEN "column" IN ('event_type', 'flag') OR nv <= 5
+             THEN CASE WHEN n > 1000 THEN 'jensen_shannon' WHEN nv <= 2 THEN 'z_test' ELSE 'chi_square' END
+             WHEN n > 1000 THEN 'wasserstein' ELSE 'ks_test' END AS method, n, m, nv FROM f),
+w AS (SELECT "column", t, x, a, b, n, m, sum(a) OVER o AS ca, sum(b) OVER o AS cb, lead(x) OVER o AS nx, min(t) OVER (PARTITION BY "column") AS t0
+      FROM k JOIN f USING ("column") WINDOW o AS (PARTITION BY "column" ORDER BY x)),
+sd AS (SELECT "column", stddev_pop(x) AS sd FROM v WHERE r = 1 AND t IS NOT NULL GROUP BY 1),
+g AS (SELECT "column", max(abs(ca / n - cb / m)) AS ks, sum(abs(ca / n - cb / m) * coalesce(nx - x, 0)) AS wd,
+             sum((b - a * m / n) * (b - a * m / n) / (a * m / n)) AS chi,
+             sum(CASE WHEN t = t0 THEN a END) AS a0, sum(CASE WHEN t = t0 THEN b END) AS b0, any_value(n) AS n, any_value(m) AS m,
+             sum(0.5 * (greatest(a / n, 1e-10) * log2(2 * greatest(a / n, 1e-10) / (greatest(a / n, 1e-10) + greatest(b / m, 1e-10)))
+                      + greatest(b / m, 1e-10) * log2(2 * greatest(b / m, 1e-10) / (greatest(a / n, 1e-10) + greatest(b / m, 1e-10))))) AS js
+      FROM w GROUP BY 1),
+s AS (SELECT "column", o.method, o.n, o.m, o.nv, CASE o.method WHEN 'ks_test' THEN ks WHEN 'wasserstein' THEN wd / greatest(sd, 0.001) WHEN 'chi_square' THEN chi
+             WHEN 'z_test' THEN (a0 / g.n - b0 / g.m) / sqrt((a0 + b0) / (g.n + g.m) * (1 - (a0 + b0) / (g.n + g.m)) * (1 / g.n + 1 / g.m))
+             ELSE sqrt(js) END AS st
+      FROM o JOIN g USING ("column") JOIN sd USING ("column")),
+p1 AS (SELECT "column", sum(power(-1.0e0, i - 1) * exp(-2.0e0 * i * i * st * st * n * m / (n + m))) AS ksum,
+              sum(CASE WHEN i <= 60 THEN power(-1.0e0, i - 1) * power(least(abs(st), 5) / sqrt(2.0e0), 2 * i - 1) / (gamma(i * 1.0e0) * (2 * i - 1)) END) AS zsum
+       FROM s, range(1, 101) q(i) GROUP BY 1),
+p AS (SELECT s.*, CASE method WHEN 'ks_test' THEN CASE WHEN st * sqrt(n * m / (n + m)) < 0.2 THEN 1 ELSE least(greatest(2 * ksum, 0), 1) END
+             WHEN 'chi_square' THEN exp(-st / 2) * (1 + st / 2) WHEN 'z_test' THEN 1 - 2 / sqrt(pi()) * zsum END AS pv
+      FROM s JOIN p1 USING ("column")),
+d AS (SELECT "column", method, round(st, 9) AS statistic, round(pv, 9) AS p_value, CAST(n AS BIGINT) AS n_reference, CAST(m AS BIGINT) AS n_current, nv AS n_values,
+             CASE WHEN method IN ('wasserstein', 'jensen_shannon') THEN st >= 0.1 ELSE pv < 0.05 END AS drift_detected FROM p)
+"""
+DRIFT_PRESET = _DRIFT_PRESET + "SELECT * FROM d"
+DRIFT_PRESET_SHARE = _DRIFT_PRESET + """
+SELECT count(*) FILTER (drift_detected) AS columns_drifted, count(*) AS tested_columns, count(*) AS total_columns,
+       round(avg(CASE WHEN drift_detected THEN 1.0e0 ELSE 0 END), 9) AS drift_score, avg(CASE WHEN drift_detected THEN 1.0e0 ELSE 0 END) >= 0.5 AS data_drift_detected FROM d
+"""
+
 _DRIFT_COLUMNS = f"""
 WITH {_DRIFT_TABLES},
 long AS (
@@ -744,6 +786,8 @@ ORACLE_SQL: dict[str, str] = {
     "perf_report_long": PERF_REPORT_LONG,
     "split_kfold": SPLIT_KFOLD,
     "split_stratified": SPLIT_STRATIFIED,
+    "drift_preset": DRIFT_PRESET,
+    "drift_preset_share": DRIFT_PRESET_SHARE,
     "model_newest_saved": MODEL_NEWEST_SAVED,
     "train_cv": TRAIN_CV,
     "stream_daily_numeric": STREAM_DAILY_NUMERIC,
