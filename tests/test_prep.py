@@ -122,3 +122,22 @@ def test_approx_median_option(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
     fills = prep.fit_fill(df, ["v"], "median", approx=True)
     assert abs(fills["v"] - 500.0) <= 1.0
+
+
+def test_one_hot_vectors_and_long_form(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import prep
+    fit = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "`x.y` string")
+    new = spark.createDataFrame([(1, "a", "k"), (2, "c", "k"), (3, None, None), (4, "unseen", "l"), (5, "a", "k")], "id int, `x.y` string, z string")
+    text = lambda df: {r.id: r.v for r in df.select("id", F.col("v").cast("string").alias("v")).collect()}
+    got = prep.apply_one_hot_vector(new, prep.fit_one_hot_codes(fit, "x.y"), "v")
+    assert got.columns == ["id", "z", "v"]
+    assert text(got) == {1: "(3,[0],[1.0])", 2: "(3,[2],[1.0])", 3: "(3,[],[])", 4: "(3,[],[])", 5: "(3,[0],[1.0])"}
+    got = prep.apply_one_hot_vector(new, prep.fit_one_hot_codes(fit, "x.y", drop_first=True), "v")
+    assert text(got) == {1: "(2,[],[])", 2: "(2,[1],[1.0])", 3: "(2,[],[])", 4: "(2,[],[])", 5: "(2,[],[])"}
+    none = prep.apply_one_hot_vector(new, prep.fit_one_hot_codes(fit.where("`x.y` IS NULL"), "x.y"), "v")
+    assert none.count() == 5 and [r.v.size for r in none.collect()] == [0] * 5
+    assert prep.apply_one_hot_vector(new.limit(0), prep.fit_one_hot_codes(fit, "x.y"), "v").count() == 0
+    long = sorted(map(tuple, prep.one_hot_long(new, ["id"], ["x.y", "z"]).collect()))
+    assert long == [(1, "x.y", "a"), (1, "z", "k"), (2, "x.y", "c"), (2, "z", "k"), (4, "x.y", "unseen"), (4, "z", "l"), (5, "x.y", "a"), (5, "z", "k")]

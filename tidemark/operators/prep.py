@@ -8,9 +8,11 @@ encoding), which ``transform`` reapplies to new data."""
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,9 +73,10 @@ def fit_label_codes(df: DataFrame, column: str) -> LabelCodes:
     return LabelCodes(column, codes, codes.count(), bool(nulls))  # the codes are checkpointed: a cheap count
 
 
-def apply_label_codes(df: DataFrame, lc: LabelCodes) -> DataFrame:
+def apply_label_codes(df: DataFrame, lc: LabelCodes, unseen: str = "error") -> DataFrame:
     """Replace the column with its code as double. A value unseen at fit
-    (or a NULL when none was seen) fails the job, as the fitted encoder would.
+    (or a NULL when none was seen) fails the job, as the fitted encoder would;
+    with ``unseen="null"`` an unseen value's code is NULL.
 
     The codes are joined at every size; the planner broadcasts them when their
     bytes allow it. NULL rows carry a salt as a second join key, so that a
@@ -81,14 +84,14 @@ def apply_label_codes(df: DataFrame, lc: LabelCodes) -> DataFrame:
     c = lc.column
     null_code = F.lit(lc.n_codes) if lc.null_seen else F.raise_error(
         F.lit(f"column {c}: NULL was not among the fitted labels"))
-    unseen = F.raise_error(F.concat(F.lit(f"column {c}: not among the fitted labels: "), qcol(c).cast("string")))
+    missed = F.lit(None) if unseen == "null" else F.raise_error(F.concat(F.lit(f"column {c}: not among the fitted labels: "), qcol(c).cast("string")))
     hashable = [qcol(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     salt = F.when(qcol(c).isNull(), F.pmod(F.xxhash64(*hashable), F.lit(1024)) + 1).otherwise(F.lit(0))
     codes = lc.codes.select(F.col("value").alias("_lv"), F.col("code").alias("_lc"), F.lit(0).cast("long").alias("_lz"))
     looked = df.withColumn("_ls", salt.cast("long"))
     looked = looked.join(codes, (qcol(c) == F.col("_lv")) & (F.col("_ls") == F.col("_lz")), "left")
     code = (F.when(qcol(c).isNull(), null_code)
-            .when(F.col("_lc").isNull(), unseen)
+            .when(F.col("_lc").isNull(), missed)
             .otherwise(F.col("_lc"))).cast("double")
     return looked.select(*[code.alias(c) if x == c else qcol(x) for x in df.columns])
 
@@ -117,6 +120,49 @@ def apply_one_hot(df: DataFrame, column: str, categories: list) -> DataFrame:
     return df.select(*rest, *ind)
 
 
+@dataclass
+class OneHotCodes:
+    codes: LabelCodes
+    drop_first: bool
+
+
+def fit_one_hot_codes(df: DataFrame, column: str, drop_first: bool = False) -> OneHotCodes:
+    """Positions of the categories of ``column`` in ascending order, ranked on the
+    cluster however many there are; only their number reaches the driver."""
+    return OneHotCodes(fit_label_codes(df, column), drop_first)
+
+
+def apply_one_hot_vector(df: DataFrame, fitted: OneHotCodes, out: str | None = None) -> DataFrame:
+    """Drop the column and append ``out`` (``<column>_vector`` unless given), a
+    sparse ML vector with a one at the row's category: for any number of
+    categories, with no schema column or literal for each. NULL and unseen values,
+    and the first category under ``drop_first``, give a vector of zeros; a column
+    without any category gives vectors of size 0."""
+    c, first = fitted.codes.column, int(fitted.drop_first)
+    out = out or f"{c}_vector"
+    size = max(fitted.codes.n_codes - first, 0)
+    known = replace(fitted.codes, null_seen=True)  # NULL has the code after the last
+    looked = apply_label_codes(df.withColumn("_oh", qcol(c)), replace(known, column="_oh"), unseen="null")
+    place = F.when(F.col("_oh") >= first, F.col("_oh") - first)
+    place = F.coalesce(place, F.lit(float(size)))  # the last category is the one that the encoder drops
+    rest = [qcol(x) for x in df.columns if x not in (c, out)]
+    rows = looked.select(*rest, place.alias("_place"))
+    if not size:
+        return rows.select(*rest, array_to_vector(F.array().cast("array<double>")).alias(out))
+    last = df.sparkSession.createDataFrame([(float(size),)], "_place double")
+    encoder = OneHotEncoder(inputCols=["_place"], outputCols=[out], dropLast=True).fit(last)
+    return encoder.transform(rows).drop("_place")
+
+
+def one_hot_long(df: DataFrame, key_cols: list[str], columns: list[str]) -> DataFrame:
+    """(keys..., column, category string): one row a non-null value, the ones of
+    the one-hot table without its zeros; no category need be known beforehand."""
+    cast = df.select(*[qcol(k) for k in key_cols], *[qcol(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)])
+    names = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (f"_v{i}", c)])
+    long = cast.unpivot([qcol(k) for k in key_cols], [f"_v{i}" for i in range(len(columns))], "_c", "category").where("category IS NOT NULL")
+    return long.select(*[qcol(k) for k in key_cols], names[F.col("_c")].alias("column"), "category")
+
+
 # ---------------------------------------------------------------- F4 scaling
 
 def fit_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple]:

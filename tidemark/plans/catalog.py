@@ -217,6 +217,22 @@ def q_prep_one_hot_drop_first(spark, sf_dir):
     return _one_hot(spark, sf_dir, True)
 
 
+def _lines_of_parts(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", null_every_7th("l_suppkey", "l_partkey").alias("l_partkey"), "l_returnflag")
+
+
+def q_prep_one_hot_vector(spark, sf_dir):
+    """One-hot of a key column with nulls, as sparse vectors (shown as text)."""
+    li = _lines_of_parts(spark, sf_dir).drop("l_returnflag")
+    out = prep.apply_one_hot_vector(li, prep.fit_one_hot_codes(li, "l_partkey"), "part")
+    return out.withColumn("part", F.col("part").cast("string"))
+
+
+def q_prep_one_hot_long(spark, sf_dir):
+    return prep.one_hot_long(_lines_of_parts(spark, sf_dir), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_returnflag"])
+
+
 def _rounded(df: DataFrame, cols) -> DataFrame:
     return df.select(*[round9(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -965,6 +981,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prep_fit_then_transform": q_prep_fit_then_transform,
     "prep_label_encode": q_prep_label_encode,
     "prep_one_hot": q_prep_one_hot,
+    "prep_one_hot_vector": q_prep_one_hot_vector,
+    "prep_one_hot_long": q_prep_one_hot_long,
     "prep_one_hot_drop_first": q_prep_one_hot_drop_first,
     "prep_scale": q_prep_scale,
     "drift_categorical": q_drift_categorical,

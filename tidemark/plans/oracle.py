@@ -610,6 +610,19 @@ SELECT o_orderkey, o_orderpriority,
 FROM s
 """
 
+_LINES_OF_PARTS = """
+WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_partkey END AS l_partkey, l_returnflag FROM lineitem)
+"""
+PREP_ONE_HOT_VECTOR = _LINES_OF_PARTS + """,
+c AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS code, count(*) OVER () AS n FROM (SELECT DISTINCT l_partkey FROM t WHERE l_partkey IS NOT NULL))
+SELECT l_orderkey, l_linenumber, '(' || (SELECT max(n) FROM c) || ',[' || coalesce(CAST(code AS VARCHAR), '') || '],['
+       || CASE WHEN code IS NULL THEN '' ELSE '1.0' END || '])' AS part FROM t LEFT JOIN c USING (l_partkey)
+"""
+PREP_ONE_HOT_LONG = _LINES_OF_PARTS + """
+SELECT l_orderkey, l_linenumber, 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS category FROM t WHERE l_partkey IS NOT NULL
+UNION ALL SELECT l_orderkey, l_linenumber, 'l_returnflag', l_returnflag FROM t WHERE l_returnflag IS NOT NULL
+"""
+
 MODEL_NEWEST_SAVED = """
 SELECT l_returnflag, 'sizes' AS model_name, '2' AS model_version, count(*) AS n_right FROM lineitem GROUP BY 1
 """
@@ -786,6 +799,8 @@ ORACLE_SQL: dict[str, str] = {
     "perf_report_long": PERF_REPORT_LONG,
     "split_kfold": SPLIT_KFOLD,
     "split_stratified": SPLIT_STRATIFIED,
+    "prep_one_hot_vector": PREP_ONE_HOT_VECTOR,
+    "prep_one_hot_long": PREP_ONE_HOT_LONG,
     "drift_preset": DRIFT_PRESET,
     "drift_preset_share": DRIFT_PRESET_SHARE,
     "model_newest_saved": MODEL_NEWEST_SAVED,
