@@ -254,3 +254,24 @@ def test_feature_names_may_hold_dots(spark):
     t = ml.ModelTrainer({"model_type": "random_forest", "model_params": {"n_estimators": 2, "max_depth": 2}}).train(df, "y.z")
     assert ml.predict(t, df).count() == 40
     assert M.as_dict(ml.evaluate(t, df, ["accuracy", "f1"])).keys() == {"accuracy", "f1"}
+
+
+def test_class_numbers_leave_rows_where_they_are(spark):
+    """A shuffle by the class would leave a fit as many partitions as there are classes."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        df = spark.range(4800).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("y"))
+        kept = ml.balanced(df).persist()
+        assert ml._index_label(kept, "y", ["a", "b"]).rdd.getNumPartitions() == 24
+        kept.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = ml._index_label(spark.createDataFrame([("a",), ("b",), (None,)], "y string"), "y", ["a", "b"]).collect()
+    assert {(r.y, r._label_idx) for r in rows} == {("a", 0.0), ("b", 1.0), (None, None)}
+
+
+def test_partitions_of_a_fit_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ml, "PARTITION_ROWS", 100, raising=False)
+    assert ml.balanced(spark.range(4800)).rdd.getNumPartitions() == 48
+    assert ml.balanced(spark.range(10)).rdd.getNumPartitions() == 4

@@ -34,6 +34,8 @@ DEFAULT_RF_MAX_DEPTH = 30     # the deepest Spark ML allows: there, no depth mea
 DEFAULT_GBT_MAX_DEPTH = 3
 DEFAULT_LEARNING_RATE = 0.1
 DEFAULT_C = 1.0
+#: Rows of a partition that is read in every pass of a fit: what a task reads does not follow the table's size.
+PARTITION_ROWS = 1 << 18
 _LABEL_IDX = "_label_idx"
 _FEATURES = "_features"
 
@@ -143,9 +145,11 @@ def _class_values(df: DataFrame, label: str) -> list:
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Round-robin over the session's shuffle partitions, at least its parallelism."""
+    """Round-robin over the session's shuffle partitions, at least its parallelism
+    and at most PARTITION_ROWS rows a partition, about (the rows are counted)."""
     spark = df.sparkSession
-    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              -(-df.count() // PARTITION_ROWS)))
 
 
 def _is_array_input(df: DataFrame, features: list[str]) -> bool:
@@ -153,11 +157,13 @@ def _is_array_input(df: DataFrame, features: list[str]) -> bool:
 
 
 def _index_label(df: DataFrame, label: str, classes: list) -> DataFrame:
-    """The class's place in ``classes`` as _LABEL_IDX, by a join with the class list."""
+    """The class's place in ``classes`` as _LABEL_IDX, by a join with the class
+    list. The list is always broadcast: a shuffle by the class would leave the
+    fit one partition a class."""
     kind = df.schema[label].dataType
     schema = T.StructType([T.StructField("_class", kind), T.StructField(_LABEL_IDX, T.DoubleType())])
     codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], schema)
-    return df.join(codes, qcol(label) == F.col("_class"), "left").drop("_class")
+    return df.join(F.broadcast(codes), qcol(label) == F.col("_class"), "left").drop("_class")
 
 
 def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
