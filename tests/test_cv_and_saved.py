@@ -50,3 +50,11 @@ def test_newest_model_is_the_last_that_was_saved_whole(spark, tmp_out):
     assert ml.newest_saved_model(spark, tmp_out, "b")[1]["version"] == "1"
     with pytest.raises(ValueError):
         ml.newest_saved_model(spark, tmp_out, "c")
+
+
+def test_ranks_within_a_label_need_no_shuffle_by_the_label(spark, monkeypatch):
+    df = labelled(spark, 2400)
+    folds = split.assign_folds(df, "y", ["id"], k=3)
+    assert "SortMergeJoin" not in folds._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(split, "BROADCAST_LABELS", 1, raising=False)
+    assert sorted(map(tuple, folds.collect())) == sorted(map(tuple, split.assign_folds(df, "y", ["id"], k=3).collect()))

@@ -23,6 +23,7 @@ from tidemark.functions.exprs import qcol
 from tidemark.operators.ordered import positions
 
 BUCKET_HEX_CHARS = 4  # 16^4 = 65,536 buckets: the bucket table stays small
+BROADCAST_LABELS = 10_000  # labels with their counts that every task may hold; more are joined by a shuffle
 
 
 def split_hash(key_cols: list[str], seed: int) -> F.Column:
@@ -107,6 +108,10 @@ def _ranked(df: DataFrame, label_col: str, key_cols: list[str], seed: int) -> Da
     rows = df.withColumn("_h", split_hash(key_cols, seed)).withColumn("_t", F.xxhash64(*hashable) if hashable else F.lit(0))
     placed = positions(rows, [qcol(label_col), "_h", *[qcol(c) for c in key_cols], "_t"], "_p")
     labels = placed.groupBy(qcol(label_col).alias("_lab")).agg(F.min("_p").alias("_p0"), F.count(F.lit(1)).alias("_n"))
+    # a shuffle by a label of a few values would leave as many partitions as there are values
+    labels = labels.checkpoint(eager=True)
+    if labels.count() <= BROADCAST_LABELS:
+        labels = F.broadcast(labels)
     joined = placed.join(labels, qcol(label_col).eqNullSafe(F.col("_lab")))
     return joined.withColumn("_rank", F.col("_p") - F.col("_p0"))
 
