@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.sources import readers
@@ -147,3 +148,25 @@ def test_json_columns_plan_has_no_field_a_row(spark, tmp_path):
     df = readers.read_table(spark, _document(tmp_path, "long.json", json.dumps(wide)))
     assert df.count() == 3000 and df.where("b = 2 * a").count() == 3000
     assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 6000
+
+
+def test_cells_of_json_columns_do_not_carry_the_names_of_their_document(spark, tmp_path):
+    """variant_explode gives each cell the row keys of the whole file."""
+    df = readers.read_table(spark, _document(tmp_path, "kinds.json", '{"a": {"r1": null, "r2": 1.10, "r3": 1e5}, "b": ["x", {"y": [1]}, null], "c": {"r1": null}}'))
+    assert "variant_explode" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.dtypes == [("a", "double"), ("b", "string"), ("c", "double")]
+    assert sorted(map(str, df.where("a IS NOT NULL OR b IS NOT NULL").collect())) == sorted([
+        "Row(a=1.1, b=None, c=None)", "Row(a=100000.0, b=None, c=None)", "Row(a=None, b='x', c=None)", "Row(a=None, b='{\"y\":[1]}', c=None)"])
+    assert df.count() == 6
+
+
+def test_json_columns_query_writes_objects_of_bounded_size(spark, tmp_path, monkeypatch):
+    from tidemark.plans import catalog
+    rows = spark.range(1, 200).select(F.col("id").alias("c_custkey"), F.concat(F.lit("name "), "id").alias("c_name"), (F.col("id") % 3).alias("c_nationkey"),
+                                      (F.col("id") / 8).alias("c_acctbal"), F.lit("m").alias("c_mktsegment"))
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(catalog, "JSON_ROWS", 20, raising=False)
+    df = catalog.q_io_json_columns(spark, str(tmp_path))
+    assert len(df.inputFiles()) > 3
+    assert sorted(df.drop("c_gaps").collect()) == sorted(rows.collect())
+    assert df.where("c_gaps IS NULL").count() == 199 // 7

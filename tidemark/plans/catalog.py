@@ -639,11 +639,17 @@ def q_io_json_roundtrip(spark, sf_dir):
     return back.select(*c.columns)
 
 
+#: Rows of an object of columns, about, if all rows were of one nation: each is put together in one group.
+JSON_ROWS = 1 << 17
+
+
 def q_io_json_columns(spark, sf_dir):
-    """customer as column-oriented objects, one file a nation -> JSON reader."""
+    """customer as column-oriented objects, one file a nation (several for a
+    table of more than JSON_ROWS rows) -> JSON reader."""
     c = table(spark, sf_dir, "customer").withColumn("c_gaps", null_every_7th("c_custkey", "c_acctbal"))
+    piece = F.pmod(F.xxhash64("c_custkey"), F.lit(1 + c.count() // JSON_ROWS))
     cells = [F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("row "), F.col("c_custkey")), F.col(n)))).alias(n) for n in c.columns]
-    objects = c.groupBy("c_nationkey").agg(F.to_json(F.struct(*cells)).alias("value")).select("value")
+    objects = c.groupBy("c_nationkey", piece).agg(F.to_json(F.struct(*cells)).alias("value")).select("value")
     path = scratch_path(spark, "json-columns")
     objects.write.option("maxRecordsPerFile", 1).text(path)
     return readers.read_table(spark, {"source_type": "json", "input_path": path}).select(*c.columns)

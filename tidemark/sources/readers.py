@@ -173,7 +173,9 @@ def read_json_columns(spark: SparkSession, path) -> DataFrame:
     ``{"column": [value, ...]}``; each file is one object and its own set of rows.
 
     An object becomes a VARIANT, is exploded by column and by row, and the cells
-    are put together by row key, so no schema has a field a row. Columns come in
+    are put together by row key, so no schema has a field a row. A VARIANT holds
+    the names of its whole document; the casts to maps and arrays give every
+    cell its own, so that time and memory follow the text. Columns come in
     the order of the objects; a row without a cell in a column has NULL there.
     Long, double, boolean or string is chosen by all values of a column (mixed
     and nested ones are text; a column of nulls is double). Raises ValueError
@@ -182,12 +184,14 @@ def read_json_columns(spark: SparkSession, path) -> DataFrame:
     tables should come as many files, or as JSON lines."""
     texts = spark.read.text(path, wholetext=True)
     whole = texts.select(F.col("_metadata.file_path").alias("file"), F.parse_json("value").alias("v"))
-    members = whole.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
-        "file", F.col("key").alias("column"), F.col("value").alias("cells"))
-    if not members.where("column IS NULL OR NOT startswith(schema_of_variant(cells), 'OBJECT') AND NOT startswith(schema_of_variant(cells), 'ARRAY')").isEmpty():
+    by_name, by_place = "map<string, variant>", "array<variant>"
+    members = whole.select("file", (F.size(F.try_variant_get("v", "$", by_place)) > 0).alias("records"),
+                           F.explode_outer(F.try_variant_get("v", "$", by_name)).alias("column", "cells"))
+    named, placed = F.try_variant_get("cells", "$", by_name), F.try_variant_get("cells", "$", by_place)
+    if not members.where(F.col("records") | F.col("column").isNotNull() & named.isNull() & placed.isNull()).isEmpty():
         raise ValueError(f"{path}: neither an array of records nor columns of values")
-    cells = members.lateralJoin(spark.tvf.variant_explode(F.col("cells").outer())).select(
-        "file", "column", F.coalesce("key", F.col("pos").cast("string")).alias("row"), "value")
+    numbered = F.transform(placed, lambda value, i: F.struct(i.cast("string").alias("key"), value.alias("value")))
+    cells = members.select("file", "column", F.inline(F.coalesce(F.map_entries(named), numbered))).withColumnRenamed("key", "row")
     types = _cell_types(cells, texts)
     if not types:
         return spark.createDataFrame([], T.StructType([]))
