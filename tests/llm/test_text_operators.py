@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import tokenizers
@@ -416,3 +417,28 @@ def test_thousands_of_equal_rows_lose_their_windows(spark):
     got = substring.remove_repeats(df, 35).groupBy("doc_id", "text", "n_words", "n_removed").count().collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, "", 300, 300, 3000), (None, "short text", 2, 0, 50), (1, "own words behind", 43, 40, 1),
                                                        (2, alone, 60, 0, 1), (3, "", 0, 0, 2)], key=str)
+
+
+def test_a_tile_of_near_copies_takes_little_memory():
+    import tracemalloc
+
+    r = np.random.default_rng(3)
+    base, n = r.integers(0, 5000, 200), 2048
+    rows = []
+    for _ in range(n):
+        row = base.copy()
+        row[r.integers(0, 200, 60)] = r.integers(0, 5000, 60)
+        rows.append(row)
+    left, comp = np.arange(n) < n // 2, r.integers(0, n // 3, n)
+    t = pa.table({"bucket": np.full(n, 7), "id": np.arange(n), "comp": comp, "left": left, "other": np.ones(n, bool), "words": pa.array([x.astype("<i4").tobytes() for x in rows], pa.binary())})
+    tracemalloc.start()
+    found = omh._tile(t, 0.8, 10**6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+    few = dict(zip(range(n), rows, strict=True))
+    pairs = set(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True))
+    for a in range(20):
+        for b in range(n // 2, n // 2 + 20):
+            near = omh.similar([few[a]], [few[b]], 0.8)[0] and comp[a] != comp[b]
+            assert not near or (a, b) in pairs

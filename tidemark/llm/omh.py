@@ -151,17 +151,26 @@ def similar(a: list[np.ndarray], b: list[np.ndarray], least: float) -> np.ndarra
     return out
 
 
-def _shared(words: list[np.ndarray]) -> np.ndarray:
-    """Rows of cell counts: the product of two rows is at least the number of
-    words the texts have in common (repeats counted), and about that."""
-    size = np.array([len(x) for x in words], np.int64)
+def _shared(words: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At least the number of words that the texts ``x`` (rows) and ``y``
+    (columns) of ``words`` have in common (repeats counted), and about that:
+    words are counted in cells, a few cells of all texts at a time."""
+    size = np.array([len(w) for w in words], np.int64)
     doc = np.repeat(np.arange(len(words)), size)
     flat = np.concatenate([np.zeros(0, np.int64), *words]).astype(np.uint64)
     cells = 1 << max(10, int(16 * size.max(initial=1)).bit_length())
     while cells > 1024 and cells * len(words) > 1 << 24:
         cells >>= 1
-    at = mix(flat + _occurrences(doc, flat).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(cells - 1)
-    return np.bincount(doc * cells + at.astype(np.int64), minlength=len(words) * cells).reshape(len(words), cells).astype(np.float32)
+    at = (mix(flat + _occurrences(doc, flat).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(cells - 1)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    doc, at = doc[order], at[order]
+    wide = min(cells, max(64, (1 << 20) // max(len(words), 1)))
+    out, part = (np.zeros((len(x), len(y)), np.float32) for _ in range(2))
+    for first in range(0, cells, wide):
+        a, b = np.searchsorted(at, [first, first + wide])
+        held = np.bincount(doc[a:b] * wide + at[a:b] - first, minlength=len(words) * wide).reshape(len(words), wide).astype(np.float32)
+        out += np.matmul(held[x], held[y].T, out=part)
+    return out
 
 
 def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
@@ -173,14 +182,21 @@ def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
     words = [np.frombuffer(x, "<i4").astype(np.int64) for x in t.column("words").to_pylist()]
     size = np.array([len(x) for x in words], np.int64)
     x, y = np.flatnonzero(left), np.flatnonzero(~left)
-    shared = _shared(words)
-    common = np.rint(shared[x] @ shared[y].T).astype(np.int64)
-    longer = np.maximum(size[x][:, None], size[y])
-    limit = np.floor((1 - least) * longer + 1e-9).astype(np.int64)
-    ok = (np.abs(size[x][:, None] - size[y]) <= limit) & (longer - common <= limit) & (comp[x][:, None] != comp[y])
-    ok &= (ids[x][:, None] < ids[y]) | ~other[y]  # two texts outside the largest component meet twice
-    i, j = np.nonzero(ok)
-    order = np.lexsort((-common[i, j], comp[y[j]], i))
+    shared = _shared(words, x, y)
+    at_x, at_y, in_common = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first in range(0, len(x), 128):  # the rules need several tables of a row and column each
+        r = x[first : first + 128]
+        common = np.rint(shared[first : first + 128]).astype(np.int64)
+        longer = np.maximum(size[r][:, None], size[y])
+        limit = np.floor((1 - least) * longer + 1e-9).astype(np.int64)
+        ok = (np.abs(size[r][:, None] - size[y]) <= limit) & (longer - common <= limit) & (comp[r][:, None] != comp[y])
+        ok &= (ids[r][:, None] < ids[y]) | ~other[y]  # two texts outside the largest component meet twice
+        i, j = np.nonzero(ok)
+        at_x.append(i + first)
+        at_y.append(j)
+        in_common.append(common[i, j])
+    i, j, common = np.concatenate(at_x), np.concatenate(at_y), np.concatenate(in_common)
+    order = np.lexsort((-common, comp[y[j]], i))
     i, j = i[order], j[order]
     new = np.ones(len(i), bool)
     new[1:] = (i[1:] != i[:-1]) | (comp[y[j[1:]]] != comp[y[j[:-1]]])
