@@ -369,6 +369,46 @@ def test_near_pairs_among_texts_with_a_long_shared_passage(spark):
     assert [got[i] for i in range(len(texts))] == want and links > 490
 
 
+def test_texts_that_meet_in_many_buckets_are_dealt_a_few_times(spark, monkeypatch):
+    made = []
+
+    def counted(df, name, cut=omh.cut):
+        out = cut(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(omh, "cut", counted)
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for c in range(200):
+        own = [f"o{c}x{i}" for i in range(60)]
+        at = set(rng.sample(range(60), 20))
+        texts += [" ".join(passage + own), " ".join(passage + [f"e{w}" if i in at else w for i, w in enumerate(own)])]
+    want, links = bucket_components(texts)
+    got = {r.doc_id: r.component_id for r in omh.near_duplicates(table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want and links > 180
+    assert max(n for name, n in made if name == "omh-members") > 5 * len(texts)  # they meet often
+    assert max(n for name, n in made if name in ("omh-open", "omh-found")) < 3 * len(texts)
+
+
+def test_packets_hold_the_pairs_of_a_tile_that_met():
+    r = np.random.default_rng(5)
+    n, base = 150, r.integers(0, 5000, 100)
+    rows = [np.where(r.random(100) < 0.05, r.integers(0, 5000, 100), base) for _ in range(n)]
+    own = [r.choice(6, 2, replace=False).tolist() for _ in range(n)]
+    t = pa.table({"bucket": np.full(n, 7), "id": np.arange(n) * 3, "comp": np.arange(n), "left": np.arange(n) % 2 == 0, "other": np.ones(n, bool),
+                  "own": own, "words": pa.array([x.astype("<i4").tobytes() for x in rows], pa.binary())})
+    got = []
+    for p in omh._packets(t, 0.8, 10**6):
+        p = p.to_pylist()[0]
+        assert len(p["ids"]) <= 2 * omh.BLOCK and [rows[i // 3].astype("<i4").tobytes() for i in p["ids"]] == p["words"]
+        got += [(p["ids"][i] // 3, p["ids"][j] // 3) for i, j in zip(p["x"], p["y"], strict=True)]
+    left, right = range(0, n, 2), range(1, n, 2)
+    assert sorted(got) == [(i, j) for i in left for j in right if i < j and set(own[i]) & set(own[j])]
+    assert list(omh._packets(t.slice(0, 1), 0.8, 8)) == []
+
+
 @pytest.mark.parametrize("low,high", [(0.80, 0.85), (0.85, 0.90), (0.90, 1.0)])
 def test_share_of_similar_pairs_that_meet_in_a_sketch(low, high):
     """Words changed at random places, as many as the similarities of the band take."""

@@ -9,6 +9,8 @@ that agree in a sketch are candidates; a banded alignment of their words decides
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -26,6 +28,8 @@ _FACTORS = np.random.default_rng(20240605).integers(1, 2**63, SKETCHES, np.uint6
 TILE, FIRST_PAIRS = 2048, 8
 #: Members from which an open bucket is divided by its texts' rare words.
 LARGE = 8 * TILE
+#: Texts on a side of a block of a tile's pairs that is verified at once; words of the pairs aligned at once.
+BLOCK, PAIR_WORDS = 64, 1 << 20
 
 
 def _occurrences(doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -162,26 +166,44 @@ def _shared(words: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray
     while cells > 1024 and cells * len(words) > 1 << 24:
         cells >>= 1
     at = (mix(flat + _occurrences(doc, flat).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(cells - 1)).astype(np.int64)
+    return _held_by_both(doc, at, cells, len(words), x, y)
+
+
+def _held_by_both(doc: np.ndarray, at: np.ndarray, cells: int, texts: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What the texts ``x`` (rows) and ``y`` (columns) both hold: the texts
+    ``doc`` hold the cells ``at``; a few cells of all texts at a time."""
     order = np.argsort(at, kind="stable")
     doc, at = doc[order], at[order]
-    wide = min(cells, max(64, (1 << 20) // max(len(words), 1)))
+    wide = min(cells, max(64, (1 << 20) // max(texts, 1)))
     out, part = (np.zeros((len(x), len(y)), np.float32) for _ in range(2))
     for first in range(0, cells, wide):
         a, b = np.searchsorted(at, [first, first + wide])
-        held = np.bincount(doc[a:b] * wide + at[a:b] - first, minlength=len(words) * wide).reshape(len(words), wide).astype(np.float32)
+        held = np.bincount(doc[a:b] * wide + at[a:b] - first, minlength=texts * wide).reshape(texts, wide).astype(np.float32)
         out += np.matmul(held[x], held[y].T, out=part)
     return out
 
 
+def _met(own: pa.ChunkedArray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Do the texts ``x`` (rows) and ``y`` (columns) have one of the buckets ``own`` in common?"""
+    lists = own.to_pylist()
+    doc = np.repeat(np.arange(len(lists)), [len(r) for r in lists])
+    _, at, n = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.array(r, np.int64) for r in lists]]), return_inverse=True, return_counts=True)
+    some = n[at] > 1
+    _, at = np.unique(at[some], return_inverse=True)
+    return _held_by_both(doc[some], at, int(at.max(initial=0)) + 1, len(lists), x, y) > 0.5
+
+
 def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
     """The pairs of a tile that are in two components and that lengths and words
-    in common do not rule out; of a text and a component at most ``cap``, those
+    in common do not rule out, and that met in one of the buckets ``own``, if
+    there is such a column; of a text and a component at most ``cap``, those
     with the most words in common, and ``more`` says that there were others."""
     t = t.sort_by("id")
     ids, comp, left, other = (t.column(c).to_numpy() for c in ("id", "comp", "left", "other"))
     words = [np.frombuffer(x, "<i4").astype(np.int64) for x in t.column("words").to_pylist()]
     size = np.array([len(x) for x in words], np.int64)
     x, y = np.flatnonzero(left), np.flatnonzero(~left)
+    met = _met(t.column("own"), x, y) if "own" in t.column_names else None
     shared = _shared(words, x, y)
     at_x, at_y, in_common = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for first in range(0, len(x), 128):  # the rules need several tables of a row and column each
@@ -191,6 +213,8 @@ def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
         limit = np.floor((1 - least) * longer + 1e-9).astype(np.int64)
         ok = (np.abs(size[r][:, None] - size[y]) <= limit) & (longer - common <= limit) & (comp[r][:, None] != comp[y])
         ok &= (ids[r][:, None] < ids[y]) | ~other[y]  # two texts outside the largest component meet twice
+        if met is not None:
+            ok &= met[first : first + 128]
         i, j = np.nonzero(ok)
         at_x.append(i + first)
         at_y.append(j)
@@ -207,8 +231,50 @@ def _tile(t: pa.Table, least: float, cap: int) -> pa.Table:
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "bucket": np.full(len(a), t.column("bucket")[0].as_py(), np.int64), "more": np.full(len(a), last)})
 
 
+_PACKET = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("more", T.BooleanType()), T.StructField("ids", T.ArrayType(T.LongType())),
+                        T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("x", T.ArrayType(T.IntegerType())), T.StructField("y", T.ArrayType(T.IntegerType()))])
+
+
+def _packets(t: pa.Table, least: float, cap: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of a tile (see ``_tile``) with their texts' words, a block of
+    BLOCK texts against BLOCK a row: ``x`` and ``y`` number the row's ``ids``."""
+    t = t.sort_by("id")
+    ids, words = t.column("id").to_numpy(), t.column("words")
+    found = _tile(t, least, cap)
+    a, b = (np.searchsorted(ids, found.column(c).to_numpy()) for c in ("a", "b"))
+    order = np.lexsort((b // BLOCK, a // BLOCK))
+    a, b = a[order], b[order]
+    starts = np.flatnonzero(np.diff(np.stack([a, b]) // BLOCK, axis=1, prepend=-1).any(0))
+    for i, j in zip(starts, [*starts[1:], len(a)], strict=False):
+        own, at = np.unique(np.concatenate([a[i:j], b[i:j]]), return_inverse=True)
+        at = at.astype(np.int32)
+        row = {"bucket": found.column("bucket")[0].as_py(), "more": found.column("more")[0].as_py(), "ids": ids[own], "words": words.take(pa.array(own)).to_pylist(),
+               "x": at[: j - i], "y": at[j - i :]}
+        kinds = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
+
+
+def _linked(packets: DataFrame, least: float) -> DataFrame:
+    """(a, b): the pairs of the packets whose alignment is good enough. Packets
+    are dealt round-robin: a tile with many pairs occupies more than one task."""
+
+    def run(batches):
+        for batch in batches:
+            for p in batch.to_pylist():
+                ids, x, y = (np.array(p[c], np.int64) for c in ("ids", "x", "y"))
+                rows = [np.frombuffer(r, "<i4").astype(np.int64) for r in p["words"]]
+                part = np.cumsum(np.array([len(rows[i]) + len(rows[j]) for i, j in zip(x, y, strict=True)], np.int64)) // PAIR_WORDS
+                for k in np.unique(part):
+                    i, j = x[part == k], y[part == k]
+                    ok = similar([rows[v] for v in i], [rows[v] for v in j], least)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i[ok]]), pa.array(ids[j[ok]])], names=["a", "b"])
+
+    parts = int(packets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packets.select("ids", "words", "x", "y").repartition(parts).mapInArrow(run, "a long, b long")
+
+
 def _rare_words(part: DataFrame, words: DataFrame, least: float) -> DataFrame:
-    """(bucket, id, comp): the texts of ``part`` dealt anew, by their rare words.
+    """(bucket, id, own, comp): the texts of ``part`` dealt anew, by their rare words.
 
     A text's words are labelled by occurrence and ordered by the texts of
     ``part`` that hold them, rarest first. If an edit similarity of ``least`` or
@@ -227,14 +293,14 @@ def _rare_words(part: DataFrame, words: DataFrame, least: float) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(label))
                 yield pa.RecordBatch.from_arrays([piece.column("id"), lists], names=["id", "labels"])
 
-    ids = part.groupBy("id").agg(F.min("comp").alias("comp"))
+    ids = part.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("own"))).alias("own"), F.min("comp").alias("comp"))
     labels = words.join(ids.select("id"), "id", "left_semi").mapInArrow(run, "id long, labels array<long>")
     labels = cut(labels.select("id", F.size("labels").alias("size"), F.explode("labels").alias("label")), "omh-labels")
     held = cut(labels.groupBy("label").agg(F.count("*").alias("texts")).where("texts > 1"), "omh-labels")
     # a label that no other text holds comes before all others and makes no group
     first = labels.join(held, "label", "left").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.asc_nulls_first("texts"), "label")))
     first = first.where(F.col("texts").isNotNull() & (F.col("place") <= F.floor((1 - least) * F.col("size") + 1e-9) + 1))
-    return first.select("id", F.col("label").alias("bucket")).join(ids, "id").select("bucket", "id", "comp")
+    return first.select("id", F.col("label").alias("bucket")).join(ids, "id").select("bucket", "id", "own", "comp")
 
 
 def _sizes(part: DataFrame) -> DataFrame:
@@ -245,14 +311,35 @@ def _sizes(part: DataFrame) -> DataFrame:
     return sizes.where("comps > 1")
 
 
+def _merged(members: DataFrame, known: DataFrame) -> DataFrame:
+    """(bucket, id, own): the members (bucket, id, n) of buckets in more than one
+    component, where buckets that hold much the same texts are one; ``own`` are
+    the buckets of the text in it.
+
+    Texts near each other meet in many buckets. A text's home is its largest
+    bucket; buckets whose members mostly have one home are merged. A merged bucket
+    of over twice its largest bucket's texts is left as its buckets, so merging
+    never adds rows, and to a bucket's pairs at most three times as many."""
+    part = members.join(known.select(F.col("node").alias("id"), "component_id"), "id", "left")
+    part = cut(part.select("bucket", "id", "n", F.coalesce("component_id", "id").alias("comp")), "omh-members")
+    part = part.join(cut(_sizes(part).select("bucket"), "omh-open"), "bucket", "left_semi")
+    part = cut(part.withColumn("home", F.max(F.struct("n", "bucket")).over(Window.partitionBy("id"))["bucket"]), "omh-home")
+    votes = part.groupBy("bucket", "home").agg(F.count("*").alias("votes")).groupBy("bucket").agg(F.max(F.struct("votes", "home"))["home"].alias("into"))
+    part = cut(part.join(cut(votes, "omh-home"), "bucket"), "omh-home")
+    merged = cut(part.groupBy("into", "id").agg(F.collect_set("bucket").alias("own"), F.max("n").alias("n")), "omh-home")
+    wide = cut(merged.groupBy("into").agg(F.count("*").alias("held"), F.max("n").alias("n")).where("held > 2 * n").select("into"), "omh-home")
+    alone = part.join(wide, "into", "left_semi").select(F.xxhash64("bucket", F.lit("alone")).alias("bucket"), "id", F.array("bucket").alias("own"))
+    return cut(merged.join(wide, "into", "left_anti").select(F.col("into").alias("bucket"), "id", "own").unionByName(alone), "omh-home")
+
+
 def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: float, cap: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, bucket, more), and the open buckets' members: pairs of ``members`` (bucket, id, n) that may still join
-    components. Buckets inside one component have none, and buckets with the
-    same members count once. Buckets of more than LARGE members are divided by
+    """Packets of pairs (see ``_packets``), and the open buckets' members: pairs of ``members`` (bucket, id, own) that may
+    still join components. Buckets inside one component have none, and buckets with
+    the same members count once. Buckets of more than LARGE members are divided by
     rare words. A bucket is cut into tiles, texts outside its largest component
     against all."""
-    part = members.where("n > 2").select("bucket", "id").join(known.select(F.col("node").alias("id"), "component_id"), "id", "left")
-    part = cut(part.select("bucket", "id", F.coalesce("component_id", "id").alias("comp")), "omh-members")
+    part = members.join(known.select(F.col("node").alias("id"), "component_id"), "id", "left")
+    part = cut(part.select("bucket", "id", "own", F.coalesce("component_id", "id").alias("comp")), "omh-members")
     sizes = cut(_sizes(part), "omh-open")
     large = sizes.where(F.col("n") > LARGE).select("bucket")
     if not large.isEmpty():
@@ -264,10 +351,14 @@ def _open_pairs(members: DataFrame, known: DataFrame, words: DataFrame, least: f
     part = cut(part.join(cut(sizes.select("s.*"), "omh-open"), "bucket").withColumn("other", F.col("comp") != F.col("top")), "omh-open")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     row, col = F.pmod(F.xxhash64("id", "bucket"), "rows").cast("int"), F.pmod(F.xxhash64("id"), "cols").cast("int")
-    own = ["bucket", "id", "comp", "other"]
+    own = ["bucket", "id", "own", "comp", "other"]
     tiles = part.where("other").select(*own, F.lit(True).alias("left"), row.alias("i"), every("cols").alias("j"))
     tiles = tiles.union(part.select(*own, F.lit(False), every("rows"), col)).join(words, "id")
-    return tiles.groupBy("bucket", "i", "j").applyInArrow(lambda t: _tile(t, least, cap), "a long, b long, bucket long, more boolean"), part
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _packets(pa.Table.from_batches(batches), least, cap)
+
+    return tiles.groupBy("bucket", "i", "j").applyInArrow(run, _PACKET), part
 
 
 def _hashes(df: DataFrame) -> DataFrame:
@@ -352,17 +443,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     likely = cut(pairs.where("shared > 1 OR n = 2").select("a", "b").join(first, ["a", "b"], "left_anti"), "omh-pairs")
     open_ = likely.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     links = cut(links.union(_verified(open_, words, least)), "omh-links")
-    known, seen, cap, more = components(links), first.union(likely), FIRST_PAIRS, True
+    known, cap, more = components(links), FIRST_PAIRS, True
+    members = _merged(members.where("n > 2"), known)
     while more:
         found, part = _open_pairs(members, known, words, least, cap)
         found = cut(found, "omh-found")
-        pairs = cut(found.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "omh-pairs")
-        new = cut(_verified(pairs, words, least), "omh-links")
+        new = cut(_linked(found, least), "omh-links")
         # all pairs of the other buckets have been seen
         again = found.where("more").select("bucket").distinct()
         more = bool(again.head(1))
-        members = part.join(again, "bucket", "left_semi").select("bucket", "id", F.lit(3).alias("n"))
-        seen, cap = seen.union(pairs), 16 * cap
+        members, cap = part.join(again, "bucket", "left_semi").select("bucket", "id", "own"), 256 * cap
         if new.head(1):
             links = links.union(new)
             known = components(links)
