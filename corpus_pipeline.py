@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, omh, queries, substring, toxicity
+from tidemark.llm.common import cut
 from tidemark.session import scratch_path
 
 #: A document stays when its language holds at least this share of its words' posterior mass.
@@ -44,8 +45,9 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a packed piece."""
-    return queries.packed(docs)
+    """One row a packed piece. The pieces are written here: only so do a few
+    texts at a time reach the workers (see ``cut``)."""
+    return cut(queries.packed(docs), "packed")
 
 
 STAGES = [("language ID", language), ("toxicity", toxic), ("MinHash near-dedup", near_copies), ("substring dedup", repeats), ("packing", pack)]

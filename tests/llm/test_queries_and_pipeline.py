@@ -21,6 +21,17 @@ def test_names_and_oracles():
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
 
 
+def test_packing_reaches_workers_a_few_texts_at_a_time(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"text {i} " * 3) for i in range(2500)] + [(None, None)], "doc_id long, text string").coalesce(1)
+    got = corpus_pipeline.pack(spark, docs, SF)
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()  # written already, in small batches
+    assert spark.conf.get(key) == before
+    rows = got.collect()
+    assert len(rows) == 2501 and sum(r.length for r in rows) == sum(r.doc_tokens for r in rows)
+
+
 def test_repeats_over_the_whole_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     got = {r.doc_id: r for r in entry.queries()["op6_substring_doubling"](spark, SF_SMALL).collect()}
