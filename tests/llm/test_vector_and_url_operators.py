@@ -1,6 +1,8 @@
 """Vector and url operators against brute force, and their edge cases."""
 
+import contextlib
 import fnmatch
+import os
 import random
 
 import numpy as np
@@ -135,6 +137,59 @@ def test_forest_links_extreme_components_and_every_length(spark):
     assert all(got[200 + i] == (9, 200) and got[300 + i] == (9, 200) for i in range(5))
 
 
+def test_forest_leaves_together_hold_every_pair_once(monkeypatch):
+    for name, value in {"STRIP_CELLS": 900, "LEAF_COLUMNS": 3, "ROUTE_ROWS": 7}.items():
+        monkeypatch.setattr(rp_forest, name, value)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=8) + rng.normal(size=(k, 8)) * 0.2 for k in (150, 40, 2, 2, 2)] + [rng.normal(size=(150, 8))])
+    turned = np.zeros((3, 8))  # a hair over and under the least cosine: single precision can't tell
+    turned[:, 0], turned[:, 1] = [1, 0.98 + 1e-10, 0.98 - 1e-10], [0, (1 - (0.98 + 1e-10) ** 2) ** 0.5, -((1 - (0.98 - 1e-10) ** 2) ** 0.5)]
+    m = rp_forest.unit(np.concatenate([x, turned]))
+    near = (m @ m.T >= 0.98) & ~np.eye(len(m), dtype=bool)
+    assert near[-3, -2] and not near[-3, -1] and 0.1 < near[:150, :150].mean() < 0.9
+    copies = rng.integers(1, 4, len(m)).astype(float)
+    forest, depth = rp_forest.Forest(m, 4, 0.98), 4
+    row, leaf = forest.leaves(m, depth)
+    n, low = np.zeros(len(m), int), np.arange(len(m))
+    for name in np.unique(leaf):
+        own = row[leaf == name]
+        blocks = [np.flatnonzero(own % 3 == b) for b in range(3)]
+        for left, right in [(b, b) for b in blocks] + [(blocks[0], blocks[1]), (blocks[0], blocks[2]), (blocks[1], blocks[2])]:
+            some, root = rp_forest.leaf_links(m[own], copies[own], left, right, 0.98, int(name), forest, depth)
+            n[own] += some
+            low = rp_forest._unite(len(m), low[own], low[own[root]])[low]
+    assert len(row) > 8 * len(m)  # rows lie in several leaves of a tree
+    assert (n == near @ copies).all()
+    assert (low == rp_forest._unite(len(m), *np.nonzero(near))).all()
+
+
+def test_forest_compares_a_large_cluster_in_bounded_memory(spark):
+    def workers():
+        own, found = {os.getpid()}, []
+        for _ in range(5):
+            for p in filter(str.isdigit, os.listdir("/proc")):
+                with contextlib.suppress(OSError):
+                    with open(f"/proc/{p}/status") as f:
+                        status = dict(line.split(":\t", 1) for line in f.read().splitlines() if ":\t" in line)
+                    if int(status["PPid"]) in own and int(p) not in own:
+                        own.add(int(p))
+                        found += [p] if status["Name"] != "java" else []
+        return found
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=64) + rng.normal(size=(2000, 64)) * 0.05
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(2)
+    for p in workers():
+        with contextlib.suppress(OSError), open(f"/proc/{p}/clear_refs", "w") as f:
+            f.write("5")  # forgets the peak so far
+    assert {(r.n_links, r.component_id) for r in rp_forest.links(df).collect()} == {(1999, 0)}
+    peaks = []
+    for p in workers():
+        with contextlib.suppress(OSError), open(f"/proc/{p}/status") as f:
+            peaks += [int(line.split()[1]) >> 10 for line in f if line.startswith("VmHWM")]
+    assert peaks and max(peaks) < 700
+
+
 def test_components_of_paths_stars_and_loops(spark):
     rng = random.Random(4)
     path = [(i, i + 1) for i in range(100, 160)]
